@@ -172,8 +172,11 @@ def safe_ratio(a, b) -> Column:
 
 
 def ratio6(a, b) -> Column:
-    """Ratio as a double rounded to 6 digits (display-stable across engines)."""
-    return F.round(safe_ratio(a, b).cast("double"), 6)
+    """Ratio of two sums as a double: both sides cast to double, then divided.
+
+    Not rounded (rounding is for display only); a zero denominator gives NULL.
+    """
+    return _c(a).cast("double") / F.nullif(_c(b).cast("double"), F.lit(0.0))
 
 
 # B16 --------------------------------------------------------------------------

@@ -198,3 +198,59 @@ SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d
        CAST(isodow(d) AS INTEGER) AS day_of_week
 FROM (SELECT CAST(unnest(generate_series(min(lo), max(hi), INTERVAL 1 DAY)) AS DATE) AS d FROM date_bounds_src) s
 """)
+
+# --- warehouse derivations used by KPI / fact oracles ---------------------------
+cte("sales_in_scope", """
+SELECT basket_id, product_id, household_id, store_id, week, transaction_timestamp, quantity,
+       sales_value, retail_disc, coupon_disc, coupon_match_disc, local_date
+FROM tx_local WHERE product_id IN (SELECT product_id FROM in_scope_ids)
+""")
+
+cte("promo_weekly", """
+SELECT product_id, store_id, week,
+  CASE WHEN bool_or(coalesce(display_location IN ('1','2','3','4','5','6','7','9'), false)) THEN TRUE
+       WHEN bool_or(display_location IS NULL OR display_location NOT IN ('0','A','1','2','3','4','5','6','7','9')) THEN NULL
+       ELSE FALSE END AS has_display,
+  CASE WHEN bool_or(coalesce(mailer_location IN ('A','C','D','F','H','J','L','P','X','Z'), false)) THEN TRUE
+       WHEN bool_or(mailer_location IS NULL OR mailer_location NOT IN ('0','A','C','D','F','H','J','L','P','X','Z')) THEN NULL
+       ELSE FALSE END AS has_mailer,
+  list_sort(list_distinct(list(display_location))) AS display_location_codes,
+  list_sort(list_distinct(list(mailer_location))) AS mailer_location_codes,
+  count(*) AS source_row_count,
+  bool_or(display_location IS NULL OR display_location NOT IN ('0','A','1','2','3','4','5','6','7','9')
+          OR mailer_location IS NULL OR mailer_location NOT IN ('0','A','C','D','F','H','J','L','P','X','Z')) AS promotion_code_unknown_flag
+FROM promotions WHERE product_id IN (SELECT product_id FROM in_scope_ids)
+GROUP BY product_id, store_id, week
+""")
+
+cte("sales_status", """
+SELECT s.*, p.product_id IS NOT NULL AS promotion_matched,
+  CASE WHEN p.product_id IS NULL THEN 'UNKNOWN'
+       WHEN p.promotion_code_unknown_flag OR p.has_display IS NULL OR p.has_mailer IS NULL THEN 'UNKNOWN'
+       WHEN p.has_display AND p.has_mailer THEN 'DISPLAY_MAILER'
+       WHEN p.has_display THEN 'DISPLAY_ONLY'
+       WHEN p.has_mailer THEN 'MAILER_ONLY'
+       ELSE 'NO_DISPLAY_MAILER' END AS support_status,
+  CASE WHEN p.product_id IS NULL THEN 'NO_PROMOTION_MATCH'
+       WHEN p.promotion_code_unknown_flag OR p.has_display IS NULL OR p.has_mailer IS NULL THEN 'UNCLASSIFIED_PROMOTION'
+       END AS unknown_reason
+FROM sales_in_scope s LEFT JOIN promo_weekly p
+  ON s.product_id = p.product_id AND s.store_id = p.store_id AND s.week = p.week
+""")
+
+cte("weekly_grain", """
+SELECT product_id, store_id, week, support_status, CAST(sum(sales_value) AS DECIMAL(38,2)) AS weekly_sales,
+       CAST(sum(quantity) AS DECIMAL(38,3)) AS weekly_quantity, count(*) AS lines
+FROM sales_status GROUP BY product_id, store_id, week, support_status
+""")
+
+cte("campaign_pairs", "SELECT DISTINCT campaign_id, household_id FROM campaigns")
+cte("coupon_pairs", "SELECT DISTINCT campaign_id, coupon_upc FROM coupons")
+
+cte("valid_redemptions", """
+SELECT r.* FROM coupon_redemptions r
+WHERE EXISTS (SELECT 1 FROM campaign_pairs c WHERE c.campaign_id = r.campaign_id AND c.household_id = r.household_id)
+  AND EXISTS (SELECT 1 FROM coupon_pairs c WHERE c.campaign_id = r.campaign_id AND c.coupon_upc = r.coupon_upc)
+  AND EXISTS (SELECT 1 FROM campaign_descriptions d WHERE d.campaign_id = r.campaign_id
+              AND r.redemption_date BETWEEN d.start_date AND d.end_date)
+""")
