@@ -254,3 +254,101 @@ WHERE EXISTS (SELECT 1 FROM campaign_pairs c WHERE c.campaign_id = r.campaign_id
   AND EXISTS (SELECT 1 FROM campaign_descriptions d WHERE d.campaign_id = r.campaign_id
               AND r.redemption_date BETWEEN d.start_date AND d.end_date)
 """)
+
+# --- normalised sources (descriptive attributes: NULLIF(BTRIM(x, ' '), '')) -------
+cte("q_products", """
+SELECT product_id, nullif(trim(manufacturer_id, ' '), '') AS manufacturer_id,
+       nullif(trim(department, ' '), '') AS department, nullif(trim(brand, ' '), '') AS brand,
+       nullif(trim(product_category, ' '), '') AS product_category,
+       nullif(trim(product_type, ' '), '') AS product_type, nullif(trim(package_size, ' '), '') AS package_size
+FROM products
+""")
+
+cte("q_demographics", """
+SELECT household_id, nullif(trim(age, ' '), '') AS age, nullif(trim(income, ' '), '') AS income,
+       nullif(trim(home_ownership, ' '), '') AS home_ownership, nullif(trim(marital_status, ' '), '') AS marital_status,
+       nullif(trim(household_size, ' '), '') AS household_size, nullif(trim(household_comp, ' '), '') AS household_comp,
+       nullif(trim(kids_count, ' '), '') AS kids_count
+FROM demographics
+""")
+
+cte("q_campaign_descriptions", """
+SELECT campaign_id, nullif(trim(campaign_type, ' '), '') AS campaign_type, start_date, end_date FROM campaign_descriptions
+""")
+
+# --- dimensions with keys in business-key order ------------------------------------
+cte("dim_product", """
+SELECT row_number() OVER (ORDER BY i.product_id) AS product_key, i.product_id, p.manufacturer_id, p.department,
+       p.brand, p.product_category, p.product_type, p.package_size,
+       CASE WHEN p.product_id IS NULL THEN 'REVIEW' ELSE coalesce(s.scope_status, 'REVIEW') END AS scope_status,
+       'fixture-1' AS scope_rule_version, p.product_id IS NULL AS source_lookup_missing_flag,
+       CAST(1 AS BIGINT) AS etl_batch_id
+FROM (SELECT product_id FROM products UNION SELECT product_id FROM transactions
+      UNION SELECT product_id FROM promotions UNION SELECT product_id FROM coupons) i
+LEFT JOIN (SELECT DISTINCT * FROM q_products) p ON p.product_id = i.product_id
+LEFT JOIN product_scope s ON s.product_id = i.product_id
+""")
+
+cte("dim_household", """
+SELECT row_number() OVER (ORDER BY i.household_id) AS household_key, i.household_id, d.age, d.income,
+       d.home_ownership, d.marital_status, d.household_size, d.household_comp, d.kids_count,
+       d.household_id IS NOT NULL AS demographics_available_flag, CAST(1 AS BIGINT) AS etl_batch_id
+FROM (SELECT household_id FROM demographics UNION SELECT household_id FROM transactions
+      UNION SELECT household_id FROM campaigns UNION SELECT household_id FROM coupon_redemptions) i
+LEFT JOIN (SELECT DISTINCT * FROM q_demographics) d ON d.household_id = i.household_id
+""")
+
+cte("dim_store", """
+SELECT row_number() OVER (ORDER BY store_id) AS store_key, store_id, CAST(1 AS BIGINT) AS etl_batch_id
+FROM (SELECT store_id FROM transactions UNION SELECT store_id FROM promotions) i
+""")
+
+cte("dim_campaign", """
+SELECT row_number() OVER (ORDER BY campaign_id) AS campaign_key, campaign_id, campaign_type, start_date, end_date,
+       CAST(1 AS BIGINT) AS etl_batch_id
+FROM (SELECT DISTINCT * FROM q_campaign_descriptions) c
+""")
+
+cte("dim_coupon", """
+SELECT row_number() OVER (ORDER BY p.campaign_id, p.coupon_upc) AS coupon_key, p.campaign_id, p.coupon_upc,
+       c.campaign_key, CAST(1 AS BIGINT) AS etl_batch_id
+FROM coupon_pairs p LEFT JOIN dim_campaign c USING (campaign_id)
+""")
+
+cte("fact_sales", """
+SELECT s.basket_id, s.product_id, s.household_id, s.store_id, p.product_key, h.household_key, st.store_key,
+       CAST(year(s.local_date) * 10000 + month(s.local_date) * 100 + day(s.local_date) AS INTEGER) AS date_key,
+       w.week_key, s.transaction_timestamp, s.quantity, s.sales_value, s.retail_disc, s.coupon_disc, s.coupon_match_disc,
+       s.quantity = 0 AS quantity_zero_flag,
+       s.quantity = 0 AND s.sales_value > 0 AS quantity_zero_sales_positive_flag,
+       s.quantity > 0 AND s.sales_value = 0 AS positive_quantity_zero_sales_flag,
+       s.coupon_disc > s.sales_value AS coupon_above_sales_flag,
+       s.coupon_match_disc > s.coupon_disc AS coupon_match_above_coupon_flag,
+       s.quantity > 45 AS high_quantity_flag,
+       'fixture-1' AS scope_rule_version, CAST(1 AS BIGINT) AS etl_batch_id
+FROM sales_in_scope s
+LEFT JOIN dim_week w ON w.source_week = s.week AND s.local_date BETWEEN w.coverage_start_date AND w.coverage_end_date
+LEFT JOIN dim_product p ON p.product_id = s.product_id
+LEFT JOIN dim_household h ON h.household_id = s.household_id
+LEFT JOIN dim_store st ON st.store_id = s.store_id
+""")
+
+cte("fact_promotion_weekly", """
+SELECT g.product_id, g.store_id, g.week, p.product_key, s.store_key, w.week_key, g.has_display, g.has_mailer,
+       g.display_location_codes, g.mailer_location_codes, g.source_row_count,
+       g.source_row_count > 1 AS multiple_source_rows_flag, g.promotion_code_unknown_flag,
+       'fixture-1' AS scope_rule_version, CAST(1 AS BIGINT) AS etl_batch_id
+FROM promo_weekly g
+LEFT JOIN dim_week w ON w.source_week = g.week
+LEFT JOIN dim_product p ON p.product_id = g.product_id
+LEFT JOIN dim_store s ON s.store_id = g.store_id
+""")
+
+cte("fact_coupon_redemption", """
+SELECT r.household_id, r.coupon_upc, r.campaign_id, r.redemption_date, h.household_key, c.coupon_key, c.campaign_key,
+       CAST(year(r.redemption_date) * 10000 + month(r.redemption_date) * 100 + day(r.redemption_date) AS INTEGER) AS redemption_date_key,
+       CAST(1 AS SMALLINT) AS redemption_record_count, CAST(1 AS BIGINT) AS etl_batch_id
+FROM valid_redemptions r
+LEFT JOIN dim_household h ON h.household_id = r.household_id
+LEFT JOIN dim_coupon c ON c.campaign_id = r.campaign_id AND c.coupon_upc = r.coupon_upc
+""")

@@ -120,7 +120,7 @@ def scope_summary(tx: DataFrame, decisions: DataFrame) -> DataFrame:
 
     Distinct counts are computed per status, never added across statuses.
     """
-    from ..functions.scalars import cents_long, ratio6
+    from ..functions.scalars import cents_long
     joined = tx.join(decisions.select("product_id", "scope_status"), "product_id", "left")
     per = joined.groupBy("scope_status").agg(
         F.count(F.lit(1)).alias("transaction_rows"),
@@ -137,9 +137,12 @@ def scope_summary(tx: DataFrame, decisions: DataFrame) -> DataFrame:
             .select("scope_status", "transaction_rows", "transacting_products",
                     "sales_cents", "baskets", "households",
                     F.coalesce("lookup_products", F.lit(0)).cast("bigint").alias("lookup_products"),
-                    (F.col("sales_cents") / 100).cast("decimal(38,2)").alias("sales_value"),
-                    F.round(F.col("transaction_rows") * 100.0 / total_rows, 6).alias("transaction_pct"),
-                    F.round(F.col("sales_cents") * 100.0 / total_cents, 6).alias("sales_pct")))
+                    (F.col("sales_cents").cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)")
+                    .alias("sales_value"),
+                    (F.col("transaction_rows").cast("double") * 100.0 / total_rows.cast("double"))
+                    .alias("transaction_pct"),
+                    (F.col("sales_cents").cast("double") * 100.0 / total_cents.cast("double"))
+                    .alias("sales_pct")))
 
 
 def scope_reconcile(tx: DataFrame, decisions: DataFrame) -> DataFrame:
