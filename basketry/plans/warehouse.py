@@ -9,6 +9,7 @@ sort-merge join when a dimension is large.  Facts aggregate before joining.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
@@ -19,6 +20,7 @@ from ..functions.scalars import (btrim_null, date_key, local_date, money, sales_
                                  to_cents, in_codes, unknown_code)
 from ..operators.keys import assign_keys
 from .calendar import date_bounds, dim_date, expected_weeks
+from ..session import checkpoint_dir
 from .context import Sources, sources
 from .scope import product_scope
 
@@ -36,11 +38,29 @@ def id_hub(frames: list[DataFrame], key: str) -> DataFrame:
 
 
 class Warehouse:
-    """All expected warehouse tables for one source folder (lazy plans)."""
+    """All warehouse tables for one source folder.
+
+    Derived tables that many queries read (scope decisions, dimensions, bridges,
+    facts) are written once as Parquet under the shared checkpoint folder and
+    read back: later queries scan the stored table (with column pruning and
+    filter push-down) instead of re-deriving it, and lineage is cut, so a lost
+    executor re-reads a file instead of recomputing the whole chain.  Set
+    ``basketry.materialize=false`` to keep everything as one lazy plan.
+    """
 
     def __init__(self, src: Sources):
         self.src = src
         self.spark = src.spark
+        self._base = None
+
+    def _store(self, name: str, df: DataFrame) -> DataFrame:
+        if self.spark.conf.get("basketry.materialize", "true").lower() == "false":
+            return df
+        if self._base is None:
+            self._base = f"{checkpoint_dir(self.spark).rstrip('/')}/basketry-wh-{uuid.uuid4().hex[:12]}"
+        path = f"{self._base}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # --- normalised sources ------------------------------------------------
     def q(self, table: str) -> DataFrame:
@@ -49,7 +69,7 @@ class Warehouse:
     # --- scope ---------------------------------------------------------------
     @cached_property
     def product_scope(self) -> DataFrame:
-        return product_scope(self.src.products, self.src.transactions)
+        return self._store("product_scope", product_scope(self.src.products, self.src.transactions))
 
     @cached_property
     def in_scope_ids(self) -> DataFrame:
@@ -62,7 +82,7 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dim_date(self.date_bounds)
+        return self._store("dim_date", dim_date(self.date_bounds))
 
     @cached_property
     def date_bounds(self) -> DataFrame:
@@ -88,7 +108,7 @@ class Warehouse:
             F.lit(C.SCOPE_RULE_VERSION).alias("scope_rule_version"),
             missing.alias("source_lookup_missing_flag"),
             F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id"))
-        return assign_keys(expected, "product_id", "product_key")
+        return self._store("dim_product", assign_keys(expected, "product_id", "product_key"))
 
     @cached_property
     def dim_household(self) -> DataFrame:
@@ -101,21 +121,21 @@ class Warehouse:
         expected = j.select("household_id", *C.DESCRIPTIONS["demographics"],
                             F.col("_hit").isNotNull().alias("demographics_available_flag"),
                             F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id"))
-        return assign_keys(expected, "household_id", "household_key")
+        return self._store("dim_household", assign_keys(expected, "household_id", "household_key"))
 
     @cached_property
     def dim_store(self) -> DataFrame:
         """H7: store ids from transactions and promotions."""
         ids = id_hub([self.src.transactions, self.src.promotions], "store_id")
-        return assign_keys(ids.withColumn("etl_batch_id", F.lit(C.BATCH_ID).cast("bigint")),
-                           "store_id", "store_key")
+        return self._store("dim_store", assign_keys(ids.withColumn("etl_batch_id", F.lit(C.BATCH_ID).cast("bigint")),
+                           "store_id", "store_key"))
 
     @cached_property
     def dim_campaign(self) -> DataFrame:
         """H8: distinct descriptions, one row per campaign id."""
         d = self.q("campaign_descriptions").distinct()
-        return assign_keys(d.withColumn("etl_batch_id", F.lit(C.BATCH_ID).cast("bigint")),
-                           "campaign_id", "campaign_key")
+        return self._store("dim_campaign", assign_keys(d.withColumn("etl_batch_id", F.lit(C.BATCH_ID).cast("bigint")),
+                           "campaign_id", "campaign_key"))
 
     @cached_property
     def dim_coupon(self) -> DataFrame:
@@ -124,27 +144,29 @@ class Warehouse:
         camp = self.dim_campaign.select("campaign_id", "campaign_key")
         j = pairs.join(camp, "campaign_id", "left").withColumn(
             "etl_batch_id", F.lit(C.BATCH_ID).cast("bigint"))
-        return assign_keys(j, ["campaign_id", "coupon_upc"], "coupon_key")
+        return self._store("dim_coupon", assign_keys(j, ["campaign_id", "coupon_upc"], "coupon_key"))
 
     # --- bridges -------------------------------------------------------------------
+
     @cached_property
     def bridge_campaign_household(self) -> DataFrame:
         """Distinct pairs mapped to keys."""
         pairs = self.src.campaigns.select("campaign_id", "household_id").distinct()
-        return (pairs.join(self.dim_campaign.select("campaign_id", "campaign_key"), "campaign_id", "left")
+        return self._store("bridge_campaign_household", (pairs.join(self.dim_campaign.select("campaign_id", "campaign_key"), "campaign_id", "left")
                 .join(self.dim_household.select("household_id", "household_key"), "household_id", "left")
-                .select("campaign_id", "household_id", "campaign_key", "household_key"))
+                .select("campaign_id", "household_id", "campaign_key", "household_key")))
 
     @cached_property
     def bridge_coupon_product(self) -> DataFrame:
         """Distinct (campaign, coupon, product) -> (coupon_key, product_key)."""
         triples = self.src.coupons.select("campaign_id", "coupon_upc", "product_id").distinct()
-        return (triples.join(self.dim_coupon.select("campaign_id", "coupon_upc", "coupon_key"),
+        return self._store("bridge_coupon_product", (triples.join(self.dim_coupon.select("campaign_id", "coupon_upc", "coupon_key"),
                              ["campaign_id", "coupon_upc"], "left")
                 .join(self.dim_product.select("product_id", "product_key"), "product_id", "left")
-                .select("campaign_id", "coupon_upc", "product_id", "coupon_key", "product_key"))
+                .select("campaign_id", "coupon_upc", "product_id", "coupon_key", "product_key")))
 
     # --- facts -------------------------------------------------------------------------
+
     @cached_property
     def sales_in_scope(self) -> DataFrame:
         """D1 + B5 + B7: in-scope transaction lines with cent-normalised money."""
@@ -167,13 +189,13 @@ class Warehouse:
              .join(self.dim_product.select("product_id", "product_key"), "product_id", "left")
              .join(self.dim_household.select("household_id", "household_key"), "household_id", "left")
              .join(self.dim_store.select("store_id", "store_key"), "store_id", "left"))
-        return j.select(
+        return self._store("fact_sales", j.select(
             "basket_id", "product_id", "household_id", "store_id",
             "product_key", "household_key", "store_key",
             date_key("local_date").alias("date_key"), "week_key", "transaction_timestamp",
             "quantity", *C.MONEY, *sales_flags(C.HIGH_QUANTITY),
             F.lit(C.SCOPE_RULE_VERSION).alias("scope_rule_version"),
-            F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id"))
+            F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id")))
 
     @cached_property
     def promotion_grouped(self) -> DataFrame:
@@ -185,13 +207,13 @@ class Warehouse:
         p = self.src.promotions.join(self.in_scope_ids, "product_id", "left_semi")
         d, m = F.col("display_location"), F.col("mailer_location")
         d_unknown, m_unknown = unknown_code(d, C.DISPLAY_KNOWN), unknown_code(m, C.MAILER_KNOWN)
-        return p.groupBy("product_id", "store_id", "week").agg(
+        return self._store("promotion_grouped", p.groupBy("product_id", "store_id", "week").agg(
             tristate(in_codes(d, C.DISPLAY_SUPPORT), d_unknown).alias("has_display"),
             tristate(in_codes(m, C.MAILER_SUPPORT), m_unknown).alias("has_mailer"),
             F.array_sort(F.collect_set(d)).alias("display_location_codes"),
             F.array_sort(F.collect_set(m)).alias("mailer_location_codes"),
             F.count(F.lit(1)).alias("source_row_count"),
-            F.bool_or(d_unknown | m_unknown).alias("promotion_code_unknown_flag"))
+            F.bool_or(d_unknown | m_unknown).alias("promotion_code_unknown_flag")))
 
     @cached_property
     def fact_promotion_weekly(self) -> DataFrame:
@@ -200,13 +222,13 @@ class Warehouse:
         j = (g.join(F.broadcast(wk), g.week == wk.source_week, "left")
              .join(self.dim_product.select("product_id", "product_key"), "product_id", "left")
              .join(self.dim_store.select("store_id", "store_key"), "store_id", "left"))
-        return j.select(
+        return self._store("fact_promotion_weekly", j.select(
             "product_id", "store_id", "week", "product_key", "store_key", "week_key",
             "has_display", "has_mailer", "display_location_codes", "mailer_location_codes",
             "source_row_count", (F.col("source_row_count") > 1).alias("multiple_source_rows_flag"),
             "promotion_code_unknown_flag",
             F.lit(C.SCOPE_RULE_VERSION).alias("scope_rule_version"),
-            F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id"))
+            F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id")))
 
     @cached_property
     def valid_redemptions(self) -> DataFrame:
@@ -227,12 +249,12 @@ class Warehouse:
         j = (r.join(self.dim_household.select("household_id", "household_key"), "household_id", "left")
              .join(self.dim_coupon.select("campaign_id", "coupon_upc", "coupon_key", "campaign_key"),
                    ["campaign_id", "coupon_upc"], "left"))
-        return j.select(
+        return self._store("fact_coupon_redemption", j.select(
             "household_id", "coupon_upc", "campaign_id", "redemption_date",
             "household_key", "coupon_key", "campaign_key",
             date_key("redemption_date").alias("redemption_date_key"),
             F.lit(1).cast("smallint").alias("redemption_record_count"),
-            F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id"))
+            F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id")))
 
 
 def tristate(yes, unknown) -> "F.Column":
