@@ -90,14 +90,14 @@ for _dim in ["dim_product", "dim_household", "dim_store", "dim_campaign", "dim_c
 
 # --- bridges ------------------------------------------------------------------------------
 @query("bridge_campaign_household", """
-SELECT p.campaign_id, p.household_id, c.campaign_key, h.household_key
+SELECT p.campaign_id, p.household_id, c.campaign_key, h.household_key, CAST(1 AS BIGINT) AS etl_batch_id
 FROM campaign_pairs p LEFT JOIN dim_campaign c USING (campaign_id) LEFT JOIN dim_household h USING (household_id)""")
 def q_bridge_ch(spark, d):
     return _wh(spark, d).bridge_campaign_household
 
 
 @query("bridge_coupon_product", """
-SELECT t.campaign_id, t.coupon_upc, t.product_id, c.coupon_key, p.product_key
+SELECT t.campaign_id, t.coupon_upc, t.product_id, c.coupon_key, p.product_key, CAST(1 AS BIGINT) AS etl_batch_id
 FROM (SELECT DISTINCT campaign_id, coupon_upc, product_id FROM coupons) t
 LEFT JOIN dim_coupon c USING (campaign_id, coupon_upc) LEFT JOIN dim_product p USING (product_id)""")
 def q_bridge_cp(spark, d):

@@ -154,7 +154,8 @@ class Warehouse:
         pairs = self.src.campaigns.select("campaign_id", "household_id").distinct()
         return self._store("bridge_campaign_household", (pairs.join(self.dim_campaign.select("campaign_id", "campaign_key"), "campaign_id", "left")
                 .join(self.dim_household.select("household_id", "household_key"), "household_id", "left")
-                .select("campaign_id", "household_id", "campaign_key", "household_key")))
+                .select("campaign_id", "household_id", "campaign_key", "household_key",
+                        F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id"))))
 
     @cached_property
     def bridge_coupon_product(self) -> DataFrame:
@@ -163,7 +164,8 @@ class Warehouse:
         return self._store("bridge_coupon_product", (triples.join(self.dim_coupon.select("campaign_id", "coupon_upc", "coupon_key"),
                              ["campaign_id", "coupon_upc"], "left")
                 .join(self.dim_product.select("product_id", "product_key"), "product_id", "left")
-                .select("campaign_id", "coupon_upc", "product_id", "coupon_key", "product_key")))
+                .select("campaign_id", "coupon_upc", "product_id", "coupon_key", "product_key",
+                        F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id"))))
 
     # --- facts -------------------------------------------------------------------------
 
