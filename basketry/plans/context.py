@@ -1,16 +1,23 @@
-"""A lazily built set of source frames for one input folder.
-
-Frames are lazy plans; building them costs nothing until an action.  One
-``Sources`` per (session, folder) lets many queries share the same plans.
+"""The staged source tables for one input folder.
+
+Staging is done once per session: each source-shaped table (the fixture
+mapping of the driver tables) is written as Parquet under the shared
+checkpoint folder and read back, like the reference's staging layer.  Every
+later query scans the staged table (column pruning, filter push-down) rather
+than re-deriving it from the raw tables, and lost executors re-read files
+instead of recomputing joins.  ``basketry.materialize=false`` keeps the whole
+chain as one lazy plan (used to inspect end-to-end plans).
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_semantics
+from ..session import checkpoint_dir, ensure_semantics
 from ..sources import fixtures as fx
 
 
@@ -19,49 +26,60 @@ class Sources:
         ensure_semantics(spark)
         self.spark = spark
         self.sf_dir = sf_dir
+        self._base = None
+
+    def _stage(self, name: str, df: DataFrame) -> DataFrame:
+        if self.spark.conf.get("basketry.materialize", "true").lower() == "false":
+            return df
+        if self._base is None:
+            self._base = f"{checkpoint_dir(self.spark).rstrip('/')}/basketry-staging-{uuid.uuid4().hex[:12]}"
+        path = f"{self._base}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
         return fx.read_table(self.spark, self.sf_dir, name)
 
     @cached_property
     def transactions_raw(self) -> DataFrame:
-        return fx.transactions_raw(self.spark, self.sf_dir)
+        return self._stage("transactions_raw", fx.transactions_raw(self.spark, self.sf_dir))
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return fx.transactions(self.spark, self.sf_dir)
+        return self._stage("transactions", fx.transactions(self.spark, self.sf_dir, self.transactions_raw))
 
     @cached_property
     def promotions(self) -> DataFrame:
-        return fx.promotions(self.spark, self.sf_dir)
+        return self._stage("promotions", fx.promotions(self.spark, self.sf_dir))
 
     @cached_property
     def products(self) -> DataFrame:
-        return fx.products(self.spark, self.sf_dir)
+        return self._stage("products", fx.products(self.spark, self.sf_dir))
 
     @cached_property
     def demographics(self) -> DataFrame:
-        return fx.demographics(self.spark, self.sf_dir)
+        return self._stage("demographics", fx.demographics(self.spark, self.sf_dir))
 
     @cached_property
     def campaigns(self) -> DataFrame:
-        return fx.campaigns(self.spark, self.sf_dir)
+        return self._stage("campaigns", fx.campaigns(self.spark, self.sf_dir))
 
     @cached_property
     def campaign_descriptions(self) -> DataFrame:
-        return fx.campaign_descriptions(self.spark, self.sf_dir)
+        return self._stage("campaign_descriptions", fx.campaign_descriptions(self.spark, self.sf_dir))
 
     @cached_property
     def coupons(self) -> DataFrame:
-        return fx.coupons(self.spark, self.sf_dir)
+        return self._stage("coupons", fx.coupons(self.spark, self.sf_dir))
 
     @cached_property
     def coupon_redemptions_raw(self) -> DataFrame:
-        return fx.coupon_redemptions_raw(self.spark, self.sf_dir)
+        return self._stage("coupon_redemptions_raw", fx.coupon_redemptions_raw(self.spark, self.sf_dir))
 
     @cached_property
     def coupon_redemptions(self) -> DataFrame:
-        return fx.coupon_redemptions(self.spark, self.sf_dir)
+        return self._stage("coupon_redemptions",
+                           fx.coupon_redemptions(self.spark, self.sf_dir, self.coupon_redemptions_raw))
 
     def source(self, name: str) -> DataFrame:
         return getattr(self, name)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: F401
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -68,9 +68,9 @@ def source_week_of(ts: Column) -> Column:
     return (F.floor(F.datediff(local, F.lit(C.CALENDAR_FIRST_MONDAY)) / 7) + 1).cast("int")
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Source rows brought to the basket-product grain (sums, earliest instant)."""
-    raw = transactions_raw(spark, sf_dir).drop("week")
+    raw = (raw if raw is not None else transactions_raw(spark, sf_dir)).drop("week")
     g = raw.groupBy("household_id", "store_id", "basket_id", "product_id").agg(
         F.sum("quantity").cast("decimal(18,3)").alias("quantity"),
         *[F.sum(m).cast("decimal(18,2)").alias(m) for m in C.MONEY],
@@ -177,8 +177,8 @@ def coupon_redemptions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def coupon_redemptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coupon_redemptions_raw(spark, sf_dir).distinct()
+def coupon_redemptions(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
+    return (raw if raw is not None else coupon_redemptions_raw(spark, sf_dir)).distinct()
 
 
 SOURCES = {
