@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The warehouse loads full snapshots in batches; there is no stream, watermark,
+window or stateful operator to express, so nothing here uses Structured
+Streaming.  A batch is identified by its input manifest and is rerun-safe
+(see ``basketry.operators.load``), which is what an incremental trigger would
+need if one were added later.
+"""
