@@ -42,31 +42,41 @@ def _cols(k) -> list[str]:
 def insert_only_merge(target: DataFrame, expected: DataFrame, key, cols: list[str],
                       key_col: str | None = None, table: str = "table") -> MergeResult:
     """I1 (lazy).  ``report`` is one row: table, total, inserted, unchanged,
-    conflicts, extras and the post-merge two-way difference (must be 0)."""
+    conflicts, extras and the post-merge two-way difference (must be 0).
+
+    All counts come from ONE full outer join of target and expected on the
+    business key (unique on both sides by contract, checked by ``verify_keys``):
+    a key only in the target is an extra, only in expected is an insert, in both
+    with a different row (NULL-safe) is a conflict.  The merged table equals
+    the expected one exactly when there are no conflicts and no extras, which
+    is the two-way EXCEPT of the reference computed in the same pass.
+    """
     key = _cols(key)
     attrs = [c for c in cols if c not in key]
     t = target.select(*key, *attrs, *([key_col] if key_col else []))
     e = expected.select(*key, *attrs)
-    te = t.alias("t").join(e.alias("e"), key, "inner")
-    conflicts = te.where(rows_differ([F.col(f"t.{c}") for c in attrs],
-                                     [F.col(f"e.{c}") for c in attrs])).select(*key)
-    extras = t.join(e.select(*key), key, "left_anti").select(*key)
     new = e.join(t.select(*key), key, "left_anti")
     if key_col:
         start = t.select(F.coalesce(F.max(key_col), F.lit(0)) + 1).scalar()
         new = assign_keys(new, key, key_col, start=start)
     merged = t.unionByName(new)
-    spark = target.sparkSession
-    n = lambda df: df.select(F.count(F.lit(1))).scalar()
-    total, inserted, before = n(merged), n(new), n(t)
-    diff = n(merged.select(*key, *attrs).exceptAll(e)) + n(e.exceptAll(merged.select(*key, *attrs)))
-    c_n, x_n = n(conflicts), n(extras)
-    report = spark.range(1).select(
-        F.lit(table).alias("table_name"), total.alias("total_rows"), inserted.alias("inserted_rows"),
-        before.alias("unchanged_rows"), c_n.alias("conflict_rows"), x_n.alias("extra_rows"),
-        diff.alias("two_way_difference"),
-        F.when((c_n == 0) & (x_n == 0) & (diff == 0) & (total == before + inserted), "PASS")
-        .otherwise("BLOCK").alias("status"))
+    tt = t.select(*key, *[F.col(c).alias(f"_t_{c}") for c in attrs], F.lit(True).alias("_in_t"))
+    ee = e.select(*key, *[F.col(c).alias(f"_e_{c}") for c in attrs], F.lit(True).alias("_in_e"))
+    j = tt.join(ee, key, "full")
+    in_t, in_e = F.coalesce("_in_t", F.lit(False)), F.coalesce("_in_e", F.lit(False))
+    differ = rows_differ([f"_t_{c}" for c in attrs], [f"_e_{c}" for c in attrs]) if attrs else F.lit(False)
+    counts = j.agg(F.count_if(in_t).alias("unchanged_rows"),
+                   F.count_if(~in_t & in_e).alias("inserted_rows"),
+                   F.count_if(in_t & in_e & differ).alias("conflict_rows"),
+                   F.count_if(in_t & ~in_e).alias("extra_rows"))
+    conflicts = j.where(F.col("_in_t") & F.col("_in_e") & differ).select(*key)
+    extras = j.where(F.col("_in_t") & F.col("_in_e").isNull()).select(*key)
+    c, x = F.col("conflict_rows"), F.col("extra_rows")
+    report = counts.select(
+        F.lit(table).alias("table_name"), (F.col("unchanged_rows") + F.col("inserted_rows")).alias("total_rows"),
+        "inserted_rows", "unchanged_rows", "conflict_rows", "extra_rows",
+        (2 * c + x).alias("two_way_difference"),
+        F.when((c == 0) & (x == 0), "PASS").otherwise("BLOCK").alias("status"))
     return MergeResult(merged, new, conflicts, extras, report)
 
 
