@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.scalars import cents_long, off_cent
 from ..operators import sets as S
+from ..operators.aggregates import combine_rows
 from ..plans import scope as SC
 from ..plans.warehouse import warehouse
 from ..registry import query
@@ -95,11 +96,15 @@ def q_k4(spark, d):
     rec = SC.validation_record(tx, wh.product_scope)
     a = tx.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("sales_value").isNull()).alias("nulls"),
                F.count_if(off_cent("sales_value")).alias("off"), F.sum(cents_long("sales_value")).alias("cents"))
-    g = lambda c: a.select(c).scalar()
-    return _rows([("source.rows", rec.select("source_rows").scalar(), g("rows")),
-                  ("source.null_sales", F.lit(0), g("nulls")),
-                  ("source.off_cent_sales", F.lit(0), g("off")),
-                  ("source.sales_cents", rec.select("source_sales_cents").scalar(), g("cents"))], spark)
+    w = combine_rows([a, rec.select("source_rows", "source_sales_cents"), spark.range(1).select(
+        F.lit(0).alias("zero"))])
+    long = w.selectExpr(f"stack(4, 'source.rows', CAST(source_rows AS {V}), CAST(rows AS {V}), "
+                        f"'source.null_sales', CAST(zero AS {V}), CAST(nulls AS {V}), "
+                        f"'source.off_cent_sales', CAST(zero AS {V}), CAST(off AS {V}), "
+                        f"'source.sales_cents', CAST(source_sales_cents AS {V}), CAST(cents AS {V})) "
+                        "as (metric, expected, actual)")
+    return long.withColumn("status", F.when(F.col("expected").eqNullSafe(F.col("actual")), "PASS")
+                           .otherwise("FAIL"))
 
 
 @query("lookup_count_match", with_status([chk("products.rows", "SELECT count(*) FROM products",
@@ -152,18 +157,21 @@ def _k8_sql() -> str:
 def q_k8(spark, d):
     """K8: per status rows and sales equal the frozen expectation (the classifier's summary)."""
     wh = warehouse(spark, d)
-    summ = SC.scope_summary(wh.src.transactions, wh.product_scope)
+    summ = SC.scope_summary(wh.src.transactions, wh.product_scope).select(
+        "scope_status", F.col("transaction_rows").alias("e_rows"), F.col("sales_value").alias("e_sales"))
     j = wh.src.transactions.join(wh.product_scope.select("product_id", "scope_status"), "product_id")
-    tot = j.groupBy("scope_status").agg(F.count(F.lit(1)).alias("rows"), F.sum("sales_value").alias("sales"))
-    checks = []
-    for s in C.SCOPE_STATUSES:
-        e = summ.where(F.col("scope_status") == s)
-        a = tot.where(F.col("scope_status") == s)
-        checks.append((f"{s}.rows", F.coalesce(e.select("transaction_rows").scalar(), F.lit(0)),
-                       F.coalesce(a.select("rows").scalar(), F.lit(0))))
-        checks.append((f"{s}.sales_value", F.coalesce(e.select("sales_value").scalar(), F.lit(0)),
-                       F.coalesce(a.select("sales").scalar(), F.lit(0))))
-    return _rows(checks, spark)
+    tot = j.groupBy("scope_status").agg(F.count(F.lit(1)).alias("a_rows"), F.sum("sales_value").alias("a_sales"))
+    statuses = spark.createDataFrame([(s,) for s in C.SCOPE_STATUSES], "scope_status string")
+    w = statuses.join(summ, "scope_status", "left").join(tot, "scope_status", "left")
+    z = F.lit(0)
+    long = w.select(F.explode(F.array(
+        F.struct(F.concat("scope_status", F.lit(".rows")).alias("metric"),
+                 F.coalesce("e_rows", z).cast(V).alias("expected"), F.coalesce("a_rows", z).cast(V).alias("actual")),
+        F.struct(F.concat("scope_status", F.lit(".sales_value")).alias("metric"),
+                 F.coalesce("e_sales", z).cast(V).alias("expected"),
+                 F.coalesce("a_sales", z).cast(V).alias("actual")))).alias("c")).select("c.*")
+    return long.withColumn("status", F.when(F.col("expected").eqNullSafe(F.col("actual")), "PASS")
+                           .otherwise("FAIL"))
 
 
 @query("promotion_scope_complete", """

@@ -86,3 +86,25 @@ def full_row_duplicates(df: DataFrame) -> DataFrame:
     return g.agg(F.count(F.lit(1)).alias("distinct_rows"),
                  F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("excess_rows"),
                  F.count_if(F.col("_n") > 1).alias("duplicated_groups"))
+
+
+def combine_rows(frames: list[DataFrame]) -> DataFrame:
+    """Put several one-row aggregates side by side as ONE row, each computed once.
+
+    Each frame is padded with typed NULLs for the others' columns, the frames are
+    unioned (one row each) and collapsed with ``max`` — a shuffle of N rows.  This
+    replaces per-column scalar subqueries (which would re-run an aggregate once per
+    column) and avoids a cross join.
+    """
+    fields = [(i, f) for i, df in enumerate(frames) for f in df.schema.fields]
+    names = [f.name for _, f in fields]
+    if len(set(names)) != len(names):
+        raise ValueError(f"duplicate column names: {names}")
+    padded = []
+    for i, df in enumerate(frames):
+        padded.append(df.select(*[F.col(f.name) if j == i else F.lit(None).cast(f.dataType).alias(f.name)
+                                  for j, f in fields]))
+    u = padded[0]
+    for p in padded[1:]:
+        u = u.unionByName(p)
+    return u.agg(*[F.max(n).alias(n) for n in names])

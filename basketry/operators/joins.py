@@ -68,24 +68,25 @@ def has_reference(df: DataFrame, ref: DataFrame, key, extra: Column | None = Non
 def non_fanout_check(left: DataFrame, right: DataFrame, on, measures: list[str]) -> DataFrame:
     """LEFT JOIN keeps the row count and every measure sum; reports unmatched rows.
 
-    One aggregate over the left side and one over the joined side; the right
-    key set is de-duplicated by the caller's contract and verified here.
+    Three aggregates — the left side, the joined side and the right side's
+    duplicate keys — each computed once and placed side by side in one row.
     """
+    from .aggregates import combine_rows
     on = _cols(on)
     r = right.select(*on).withColumn("_matched", F.lit(True))
-    dup = right.groupBy(*on).count().where("count > 1").select(F.count(F.lit(1))).scalar()
+    dup = (right.groupBy(*on).count().where("count > 1")
+           .agg(F.count(F.lit(1)).alias("duplicate_right_keys")))
     j = left.join(r, on, "left")
-    aggs = lambda df, pfx: df.agg(F.count(F.lit(1)).alias(f"{pfx}rows"),
-                                  *[F.sum(m).alias(f"{pfx}{m}") for m in measures])
-    a = aggs(left, "left_")
+    a = left.agg(F.count(F.lit(1)).alias("left_rows"), *[F.sum(m).alias(f"left_{m}") for m in measures])
     b = j.agg(F.count(F.lit(1)).alias("joined_rows"),
               F.count_if(F.col("_matched").isNull()).alias("unmatched_rows"),
               *[F.sum(m).alias(f"joined_{m}") for m in measures])
-    out = a.select("*", *[b.select(c).scalar().alias(c) for c in b.columns])   # two one-row aggregates
-    ok = (F.col("left_rows") == F.col("joined_rows")) & (dup == 0)
+    out = combine_rows([a, b, dup])
+    ok = (F.col("left_rows") == F.col("joined_rows")) & (F.col("duplicate_right_keys") == 0)
     for m in measures:
         ok = ok & F.col(f"left_{m}").eqNullSafe(F.col(f"joined_{m}"))
-    return out.select("*", dup.alias("duplicate_right_keys"), F.when(ok, "PASS").otherwise("FAIL").alias("status"))
+    cols = [c for c in out.columns if c != "duplicate_right_keys"]
+    return out.select(*cols, "duplicate_right_keys", F.when(ok, "PASS").otherwise("FAIL").alias("status"))
 
 
 def orphan_check(contracts: list[tuple[str, DataFrame, list[str], DataFrame, list[str]]]) -> DataFrame:

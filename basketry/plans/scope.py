@@ -104,15 +104,12 @@ def scope_join_guard(tx: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def _guard_row(src: DataFrame, j: DataFrame, d: DataFrame) -> DataFrame:
-    spark = src.sparkSession
-    sr = src.select("source_rows").scalar()
-    jr = j.select("joined_rows").scalar()
-    nr = j.select("null_status_rows").scalar()
-    dr = d.select("duplicate_decision_ids").scalar()
-    return spark.range(1).select(
-        sr.alias("source_rows"), jr.alias("joined_rows"), nr.alias("null_status_rows"),
-        dr.alias("duplicate_decision_ids"),
-        F.when((sr == jr) & (nr == 0) & (dr == 0), "PASS").otherwise("FAIL").alias("status"))
+    from ..operators.aggregates import combine_rows
+    row = combine_rows([src, j, d])
+    ok = ((F.col("source_rows") == F.col("joined_rows")) & (F.col("null_status_rows") == 0)
+          & (F.col("duplicate_decision_ids") == 0))
+    return row.select("source_rows", "joined_rows", "null_status_rows", "duplicate_decision_ids",
+                      F.when(ok, "PASS").otherwise("FAIL").alias("status"))
 
 
 def scope_summary(tx: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -147,18 +144,19 @@ def scope_summary(tx: DataFrame, decisions: DataFrame) -> DataFrame:
 
 def scope_reconcile(tx: DataFrame, decisions: DataFrame) -> DataFrame:
     """Rows and cents over statuses equal the source totals."""
-    s = scope_summary(tx, decisions)
     from ..functions.scalars import cents_long
-    spark = tx.sparkSession
-    rows_sum = s.select(F.sum("transaction_rows")).scalar()
-    cents_sum = s.select(F.sum("sales_cents")).scalar()
-    src_rows = tx.select(F.count(F.lit(1))).scalar()
-    src_cents = tx.select(F.sum(cents_long("sales_value"))).scalar()
-    return spark.range(1).select(
-        src_rows.alias("source_rows"), rows_sum.alias("classified_rows"),
-        src_cents.alias("source_sales_cents"), cents_sum.alias("classified_sales_cents"),
-        F.when(src_rows == rows_sum, "PASS").otherwise("FAIL").alias("row_reconciliation"),
-        F.when(src_cents == cents_sum, "PASS").otherwise("FAIL").alias("sales_reconciliation"))
+    from ..operators.aggregates import combine_rows
+    s = scope_summary(tx, decisions).agg(F.sum("transaction_rows").alias("classified_rows"),
+                                         F.sum("sales_cents").alias("classified_sales_cents"))
+    src = tx.agg(F.count(F.lit(1)).alias("source_rows"),
+                 F.sum(cents_long("sales_value")).alias("source_sales_cents"))
+    row = combine_rows([src, s])
+    return row.select(
+        "source_rows", "classified_rows", "source_sales_cents", "classified_sales_cents",
+        F.when(F.col("source_rows") == F.col("classified_rows"), "PASS").otherwise("FAIL")
+        .alias("row_reconciliation"),
+        F.when(F.col("source_sales_cents") == F.col("classified_sales_cents"), "PASS").otherwise("FAIL")
+        .alias("sales_reconciliation"))
 
 
 def scope_department_summary(decisions: DataFrame) -> DataFrame:

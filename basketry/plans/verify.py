@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scalars import local_date
+from ..operators.aggregates import combine_rows
 from .warehouse import Warehouse
 
 V = "decimal(38,3)"
@@ -196,8 +197,8 @@ class Verify:
         s = src.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(m) for m in measures])
         f = wh.fact_sales.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(m) for m in measures])
         # the baseline is a parameter; here it is the source total computed independently
-        w = s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns],
-                     *[f.select(c).scalar().alias(f"f_{c}") for c in f.columns])
+        w = combine_rows([s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns]),
+                          f.select(*[F.col(c).alias(f"f_{c}") for c in f.columns])])
         metrics = [("sales.source_vs_target_rows", "s_rows", "f_rows")]
         metrics += [(f"sales.source_vs_target.{m}", f"s_{m}", f"f_{m}") for m in measures]
         metrics += [(f"sales.baseline.{m}", f"s_{m}", f"f_{m}") for m in measures]
@@ -236,7 +237,7 @@ class Verify:
         j = s.join(p, ["product_key", "store_key", "week_key"], "left")
         a = s.agg(F.count(F.lit(1)).alias("l_rows"), *[F.sum(m).alias(f"l_{m}") for m in measures])
         b = j.agg(F.count(F.lit(1)).alias("j_rows"), *[F.sum(m).alias(f"j_{m}") for m in measures])
-        w = a.select("*", *[b.select(c).scalar().alias(c) for c in b.columns])
+        w = combine_rows([a, b])
         return _check_rows(w, [("sales_promotion.join_rows", "l_rows", "j_rows")]
                            + [(f"sales_promotion.{m}", f"l_{m}", f"j_{m}") for m in measures])
 
