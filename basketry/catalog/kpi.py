@@ -533,7 +533,7 @@ SELECT (SELECT CAST(sum(sales_value) {M2} FROM sales_in_scope) AS kpi_sales_valu
        (SELECT count(*) FROM sales_in_scope) AS fact_lines,
        (SELECT count(*) FROM sales_in_scope WHERE quantity > 0 AND sales_value >= 0) AS priced_lines,
        (SELECT count(*) FROM valid_redemptions) AS valid_redemptions,
-       (SELECT sum(valid_redemptions) FROM ({CAMPAIGN_SQL}) k) AS campaign_redemptions,
+       (SELECT CAST(sum(valid_redemptions) AS BIGINT) FROM ({CAMPAIGN_SQL}) k) AS campaign_redemptions,
        'PASS' AS status""")
 def q_kg(spark, d):
     wh = _wh(spark, d)

@@ -96,7 +96,7 @@ def q_p6(spark, d):
     return P.week_rule_mismatch(_wh(spark, d).src.transactions)
 
 
-@query("year_distribution", "SELECT year(local_date) AS local_year, count(*) AS transactions FROM tx_local GROUP BY 1")
+@query("year_distribution", "SELECT CAST(year(local_date) AS INTEGER) AS local_year, count(*) AS transactions FROM tx_local GROUP BY 1")
 def q_p7(spark, d):
     return P.year_distribution(_wh(spark, d).src.transactions)
 

@@ -97,7 +97,7 @@ def q_stage_replace_batch(spark, d):
     S.stage_replace_batch(p, path, 1)
     S.stage_replace_batch(p, path, 2)
     S.stage_replace_batch(p.where(F.col("department") == "PROMO"), path, 1)   # replace batch 1 only
-    return (spark.read.parquet(path).groupBy("etl_batch_id")
+    return (spark.read.parquet(path).groupBy(F.col("etl_batch_id").cast("bigint").alias("etl_batch_id"))
             .agg(F.count(F.lit(1)).alias("row_count")))
 
 

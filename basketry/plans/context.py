@@ -85,11 +85,12 @@ class Sources:
         return getattr(self, name)
 
 
-_CACHE: dict[tuple[int, str], "Sources"] = {}
+_CACHE: dict[tuple[int, str, str], "Sources"] = {}
 
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    key = (id(spark), sf_dir)
+    # one per live session and folder; a new session (even at a reused address) starts fresh
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = Sources(spark, sf_dir)
     return _CACHE[key]

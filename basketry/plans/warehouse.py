@@ -266,11 +266,12 @@ def tristate(yes, unknown) -> "F.Column":
             .otherwise(F.lit(False)))
 
 
-_WH: dict[tuple[int, str], Warehouse] = {}
+_WH: dict[tuple[int, str, str], Warehouse] = {}
 
 
 def warehouse(spark, sf_dir: str) -> Warehouse:
-    key = (id(spark), sf_dir)
+    # one per live session and folder; a new session (even at a reused address) starts fresh
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _WH:
         _WH[key] = Warehouse(sources(spark, sf_dir))
     return _WH[key]
