@@ -17,7 +17,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_dir, ensure_semantics
+from ..session import checkpoint_dir, write_stage, ensure_semantics
 from ..sources import fixtures as fx
 
 
@@ -34,8 +34,7 @@ class Sources:
         if self._base is None:
             self._base = f"{checkpoint_dir(self.spark).rstrip('/')}/basketry-staging-{uuid.uuid4().hex[:12]}"
         path = f"{self._base}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return write_stage(df, path, spread=True)
 
     def table(self, name: str) -> DataFrame:
         return fx.read_table(self.spark, self.sf_dir, name)

@@ -20,7 +20,7 @@ from ..functions.scalars import (btrim_null, date_key, local_date, money, sales_
                                  to_cents, in_codes, unknown_code)
 from ..operators.keys import assign_keys
 from .calendar import date_bounds, dim_date, expected_weeks
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, write_stage
 from .context import Sources, sources
 from .scope import product_scope
 
@@ -59,8 +59,7 @@ class Warehouse:
         if self._base is None:
             self._base = f"{checkpoint_dir(self.spark).rstrip('/')}/basketry-wh-{uuid.uuid4().hex[:12]}"
         path = f"{self._base}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return write_stage(df, path)
 
     # --- normalised sources ------------------------------------------------
     def q(self, table: str) -> DataFrame:

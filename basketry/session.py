@@ -66,6 +66,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def write_stage(df: DataFrame, path: str, spread: bool = False) -> DataFrame:
+    """Write a derived table as Parquet under the shared folder and read it back.
+
+    ``spread``: never write fewer files than the session's default parallelism.
+    Used for staging, whose input may be a single file (as in the local
+    fixtures), which would otherwise leave every later scan with one task.  On a
+    cluster the input already has more splits than cores, so nothing changes.
+    """
+    spark = df.sparkSession
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if df._jdf.rdd().getNumPartitions() < target:
+            df = df.repartition(target)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)
