@@ -553,3 +553,32 @@ def q_kg(spark, d):
         joined.alias("joined_lines"), lines.alias("fact_lines"), priced.alias("priced_lines"),
         valid.alias("valid_redemptions"), camp.alias("campaign_redemptions"),
         F.when(ok, "PASS").otherwise("FAIL").alias("status"))
+
+
+def _slice_sql(name: str, label: str, full: str) -> str:
+    return f"""
+SELECT '{name}' AS slice, {label} AS period, CAST(sum(sales_value) {M2} AS sales_value,
+       CAST(sum(quantity) {M3} AS quantity, count(DISTINCT basket_id) AS baskets,
+       count(DISTINCT household_id) AS households,
+       {r6('sum(sales_value)', 'count(DISTINCT basket_id)')} AS sales_per_basket,
+       {r6('sum(sales_value) FILTER (WHERE quantity > 0 AND sales_value >= 0)',
+           'sum(quantity) FILTER (WHERE quantity > 0 AND sales_value >= 0)')} AS unit_value,
+       {full} AS full_period
+FROM sales_in_scope GROUP BY 2"""
+
+
+TIME_SLICES_SQL = "\nUNION ALL ".join([
+    _slice_sql("day", "strftime(local_date, '%Y-%m-%d')", "CAST(NULL AS BOOLEAN)"),
+    _slice_sql("week", "lpad(CAST(week AS VARCHAR), 2, '0')",
+               "coalesce((SELECT NOT w.is_partial_coverage FROM dim_week w WHERE w.source_week = any_value(week)), false)"),
+    _slice_sql("month", "strftime(local_date, '%Y-%m')", "CAST(NULL AS BOOLEAN)"),
+    _slice_sql("quarter", "CAST(year(local_date) AS VARCHAR) || '-Q' || CAST(quarter(local_date) AS VARCHAR)",
+               "CAST(NULL AS BOOLEAN)"),
+    _slice_sql("year", "CAST(year(local_date) AS VARCHAR)", "CAST(NULL AS BOOLEAN)"),
+])
+
+
+@query("kpi_time_slices", TIME_SLICES_SQL)
+def q_t01_all(spark, d):
+    wh = _wh(spark, d)
+    return K.time_slices(wh.sales_in_scope, wh.dim_week)

@@ -236,3 +236,43 @@ def campaign_observation(dim_campaign: DataFrame, observed_lo: Column, observed_
         observed_lo.alias("observed_start"), observed_hi.alias("observed_end"),
         ((F.col("start_date") >= observed_lo) & (F.col("end_date") <= observed_hi))
         .alias("fully_observed"))
+
+
+def time_slices(sales: DataFrame, weeks: DataFrame) -> DataFrame:
+    """Sales and price KPIs by local day, source week, month, quarter and year.
+
+    One long table (slice, period); distinct counts are computed per period,
+    never added up.  ``full_period`` marks weeks with a full 7-day coverage
+    (week 1 is partial and is excluded from full-week comparisons).
+    """
+    s = with_periods(sales)
+    priced = (F.col("quantity") > 0) & (F.col("sales_value") >= 0)
+    aggs = [F.sum("sales_value").cast(MONEY_T).alias("sales_value"),
+            F.sum("quantity").cast(QTY_T).alias("quantity"),
+            F.countDistinct("basket_id").alias("baskets"),
+            F.countDistinct("household_id").alias("households"),
+            F.sum(F.when(priced, F.col("sales_value"))).cast(MONEY_T).alias("_ps"),
+            F.sum(F.when(priced, F.col("quantity"))).cast(QTY_T).alias("_pq")]
+    slices = {
+        "day": F.date_format("local_date", "yyyy-MM-dd"),
+        "week": F.lpad(F.col("week").cast("string"), 2, "0"),
+        "month": F.date_format("local_date", "yyyy-MM"),
+        "quarter": F.concat(F.col("calendar_year").cast("string"), F.lit("-Q"), F.col("quarter_number").cast("string")),
+        "year": F.col("calendar_year").cast("string"),
+    }
+    wk = F.broadcast(weeks.select(F.lpad(F.col("source_week").cast("string"), 2, "0").alias("period"),
+                                  (~F.col("is_partial_coverage")).alias("_full")))
+    parts = []
+    for name, label in slices.items():
+        g = s.groupBy(label.alias("period")).agg(*aggs).withColumn("slice", F.lit(name))
+        if name == "week":
+            g = g.join(wk, "period", "left").withColumn("full_period", F.coalesce("_full", F.lit(False))).drop("_full")
+        else:
+            g = g.withColumn("full_period", F.lit(None).cast("boolean"))
+        parts.append(g)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("slice", "period", "sales_value", "quantity", "baskets", "households",
+                      ratio6(F.col("sales_value"), F.col("baskets")).alias("sales_per_basket"),
+                      ratio6(F.col("_ps"), F.col("_pq")).alias("unit_value"), "full_period")
