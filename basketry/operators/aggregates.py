@@ -102,9 +102,9 @@ def combine_rows(frames: list[DataFrame]) -> DataFrame:
         raise ValueError(f"duplicate column names: {names}")
     padded = []
     for i, df in enumerate(frames):
-        padded.append(df.select(*[F.col(f.name) if j == i else F.lit(None).cast(f.dataType).alias(f.name)
+        padded.append(df.select(*[F.col(f"`{f.name}`") if j == i else F.lit(None).cast(f.dataType).alias(f.name)
                                   for j, f in fields]))
     u = padded[0]
     for p in padded[1:]:
         u = u.unionByName(p)
-    return u.agg(*[F.max(n).alias(n) for n in names])
+    return u.agg(*[F.max(F.col(f"`{n}`")).alias(n) for n in names])
