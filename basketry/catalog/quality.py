@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..plans.quality import RULES, Quality, dq_gate
+from ..plans.quality import RULES, Quality, dq_gate, results
 from ..plans.warehouse import warehouse
 from ..registry import query
 
@@ -201,3 +201,9 @@ def q_promo_unknown(spark, d):
     return g.agg(F.lit("fact_promotion_weekly").alias("table_name"),
                  F.lit("PROMOTION_UNKNOWN_CODES").alias("check_name"), F.lit("WARNING").alias("severity"),
                  n.alias("affected_groups"), F.when(n > 0, "FAIL").otherwise("PASS").alias("status"))
+
+
+@query("dq_results")
+def q_dq_results(spark, d):
+    """The audit rows with details JSON and samples (JSON text: row check only)."""
+    return results(quality(spark, d))
