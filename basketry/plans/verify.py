@@ -145,20 +145,20 @@ class Verify:
     def keys(self) -> DataFrame:
         """Primary / unique keys: no NULL, no duplicate; plus the table contracts.
 
-        Per table: one aggregate for the NULL checks of both keys and one grouped
-        pass per key for duplicates, combined into one row (each computed once).
+        Per key: one aggregate for NULLs with the duplicate-group count of one
+        grouped pass attached as a scalar subquery (each computed once).
         """
         parts = []
         for name in TABLES:
             df = self.t(name)
-            keys = (("pk", PRIMARY_KEYS[name]), ("uk", UNIQUE_KEYS[name]))
-            nulls = df.agg(*[F.count_if(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key]))
-                             .alias(f"{name}.{kind}_null") for kind, key in keys])
-            dups = [df.groupBy(*key).count().where("count > 1")
-                    .agg(F.count(F.lit(1)).alias(f"{name}.{kind}_duplicate")) for kind, key in keys]
-            w = combine_rows([nulls, *dups])
-            parts.append(_zero_checks(w, [f"{name}.{kind}_{what}" for kind, _ in keys
-                                          for what in ("null", "duplicate")]))
+            for kind, key in (("pk", PRIMARY_KEYS[name]), ("uk", UNIQUE_KEYS[name])):
+                nulls = df.agg(F.count_if(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key]))
+                               .alias("n"))
+                dups = (df.groupBy(*key).count().where("count > 1")
+                        .agg(F.count(F.lit(1)).alias("d")))
+                w = nulls.select("n", dups.select("d").scalar().alias("d")).withColumnsRenamed(
+                    {"n": f"{name}.{kind}_null", "d": f"{name}.{kind}_duplicate"})
+                parts.append(_zero_checks(w, [f"{name}.{kind}_null", f"{name}.{kind}_duplicate"]))
         parts.append(self.contracts())
         return reduce(lambda a, b: a.unionByName(b), parts)
 
