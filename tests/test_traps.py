@@ -235,3 +235,17 @@ def test_schema_mismatch_refused(spark, tmp_path):
         raise AssertionError("accepted a file with a different column set")
     except SchemaMismatch:
         pass
+
+
+def test_dq_results_samples_are_bounded(spark):
+    import json
+
+    from basketry.registry import QUERIES, load_all
+    from .conftest import SMALL
+    load_all()
+    rows = QUERIES["dq_results"](spark, SMALL).collect()
+    assert len(rows) == 57
+    for r in rows:
+        details = json.loads(r.details)
+        assert len(details["samples"]) == min(5, r.affected_rows)
+        assert details["count_unit"] == "rows_returned_by_rule"
