@@ -118,12 +118,16 @@ FK_CONTRACTS = [
     ("dim_week.week_end_date", "dim_week", ["week_end_date"], "dim_date", ["full_date"]),
     ("dim_week.coverage_start_date", "dim_week", ["coverage_start_date"], "dim_date", ["full_date"]),
     ("dim_week.coverage_end_date", "dim_week", ["coverage_end_date"], "dim_date", ["full_date"]),
+    *[(f"{t}.etl_batch_id", t, ["etl_batch_id"], "load_batches", ["etl_batch_id"]) for t in (
+        "dim_product", "dim_household", "dim_store", "dim_campaign", "dim_coupon", "bridge_campaign_household",
+        "bridge_coupon_product", "fact_sales", "fact_promotion_weekly", "fact_coupon_redemption")],
 ]
 
 _BRIDGE_SQL = {
-    "bridge_campaign_household": """(SELECT c.campaign_key, h.household_key FROM campaign_pairs p
+    "load_batches": "(SELECT CAST(1 AS BIGINT) AS etl_batch_id)",
+    "bridge_campaign_household": """(SELECT c.campaign_key, h.household_key, CAST(1 AS BIGINT) AS etl_batch_id FROM campaign_pairs p
         LEFT JOIN dim_campaign c USING (campaign_id) LEFT JOIN dim_household h USING (household_id))""",
-    "bridge_coupon_product": """(SELECT c.coupon_key, p.product_key FROM (SELECT DISTINCT campaign_id, coupon_upc, product_id FROM coupons) t
+    "bridge_coupon_product": """(SELECT c.coupon_key, p.product_key, CAST(1 AS BIGINT) AS etl_batch_id FROM (SELECT DISTINCT campaign_id, coupon_upc, product_id FROM coupons) t
         LEFT JOIN dim_coupon c USING (campaign_id, coupon_upc) LEFT JOIN dim_product p USING (product_id))""",
 }
 
@@ -135,7 +139,7 @@ def _fk_sql() -> str:
         notnull = " AND ".join(f"c.{a} IS NOT NULL" for a in ccols)
         match = " AND ".join(f"p.{b} = c.{a}" for a, b in zip(ccols, pcols))
         parts.append(f"SELECT '{name}' AS foreign_key, count(*) AS orphan_rows FROM {csrc} c "
-                     f"WHERE {notnull} AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE {match})")
+                     f"WHERE {notnull} AND NOT EXISTS (SELECT 1 FROM {_BRIDGE_SQL.get(parent, parent)} p WHERE {match})")
     return "\nUNION ALL ".join(parts)
 
 
@@ -159,13 +163,14 @@ SELECT (SELECT count(*) FROM valid_redemptions) AS redemptions,
           WHERE b.campaign_id = r.campaign_id AND b.coupon_upc = r.coupon_upc)) AS semi_filtered_redemptions""")
 def q_d9(spark, d):
     wh = _wh(spark, d)
-    r = wh.valid_redemptions
-    b = wh.bridge_coupon_product.select("campaign_id", "coupon_upc", "product_id")
-    n = lambda df: df.select(F.count(F.lit(1))).scalar()
-    return spark.range(1).select(
-        n(r).alias("redemptions"),
-        n(r.join(b, ["campaign_id", "coupon_upc"])).alias("rows_through_bridge"),   # the multiplied count, shown
-        n(D.has_reference(r, b, ["campaign_id", "coupon_upc"])).alias("semi_filtered_redemptions"))
+    # the multiplied count is the sum of (redemptions x products) over coupons: both sides are counted
+    # first, so the join has a row for each coupon and never one for each pair
+    r = wh.valid_redemptions.groupBy("campaign_id", "coupon_upc").agg(F.count(F.lit(1)).alias("r"))
+    b = wh.bridge_coupon_product.groupBy("campaign_id", "coupon_upc").agg(F.count(F.lit(1)).alias("p"))
+    j = r.join(b, ["campaign_id", "coupon_upc"], "left")
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return j.agg(zero("r").alias("redemptions"), zero(F.col("r") * F.coalesce("p", F.lit(0))).alias("rows_through_bridge"),
+                 zero(F.when(F.col("p").isNotNull(), F.col("r")).otherwise(0)).alias("semi_filtered_redemptions"))
 
 
 # --- E aggregates -------------------------------------------------------------------------
@@ -210,11 +215,10 @@ def q_e4(spark, d):
 
 
 @query("basket_conflict", """
-SELECT household_id, count(DISTINCT store_id) AS store_id_count FROM transactions
-GROUP BY household_id HAVING count(DISTINCT store_id) > 1""")
+SELECT basket_id, count(DISTINCT household_id) AS household_id_count, count(DISTINCT store_id) AS store_id_count
+FROM transactions_raw GROUP BY basket_id HAVING count(DISTINCT household_id) > 1 OR count(DISTINCT store_id) > 1""")
 def q_e5(spark, d):
-    # The multi-parent shape on a relation that has such groups: households shopping in several stores.
-    return E.multi_parent(_wh(spark, d).src.transactions, "household_id", ["store_id"])
+    return E.multi_parent(_wh(spark, d).src.transactions_raw, "basket_id", ["household_id", "store_id"])
 
 
 @query("tristate_flag", """
@@ -285,17 +289,18 @@ def q_e12(spark, d):
                                          F.sum("sales_value").cast("decimal(38,2)").alias("sales_value"))
 
 
-@query("full_row_duplicates", """
-SELECT 'campaigns' AS table_name, count(*) AS distinct_rows, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS excess_rows,
-       count(*) FILTER (WHERE n > 1) AS duplicated_groups FROM (SELECT campaign_id, household_id, count(*) AS n FROM campaigns GROUP BY ALL) a
-UNION ALL SELECT 'coupons', count(*), CAST(coalesce(sum(n - 1), 0) AS BIGINT), count(*) FILTER (WHERE n > 1)
-  FROM (SELECT campaign_id, coupon_upc, product_id, count(*) AS n FROM coupons GROUP BY ALL) b
-UNION ALL SELECT 'promotions', count(*), CAST(coalesce(sum(n - 1), 0) AS BIGINT), count(*) FILTER (WHERE n > 1)
-  FROM (SELECT product_id, store_id, display_location, mailer_location, week, count(*) AS n FROM promotions GROUP BY ALL) c""")
+SOURCE_FRAMES = ["transactions_raw", "promotions", "products", "demographics", "campaigns", "campaign_descriptions",
+                 "coupons", "coupon_redemptions_raw"]
+
+
+@query("full_row_duplicates", "\nUNION ALL ".join(f"""
+SELECT '{t}' AS table_name, count(*) AS distinct_rows, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS excess_rows,
+       count(*) FILTER (WHERE n > 1) AS duplicated_groups
+FROM (SELECT r, count(*) AS n FROM (SELECT t AS r FROM {t} t) x GROUP BY r) y""" for t in SOURCE_FRAMES))
 def q_e13(spark, d):
     wh = _wh(spark, d)
     return S.union_all([E.full_row_duplicates(wh.src.source(t)).select(F.lit(t).alias("table_name"), "*")
-                        for t in ["campaigns", "coupons", "promotions"]])
+                        for t in SOURCE_FRAMES])
 
 
 # --- F set operations --------------------------------------------------------------------------

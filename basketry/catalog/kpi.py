@@ -24,7 +24,8 @@ def _status(spark, d):
 
 
 def _with_category(spark, d, df):
-    p = _wh(spark, d).src.products.select("product_id", "product_category")
+    # the dimension has one row for each id, so a repeated lookup row cannot multiply sales
+    p = _wh(spark, d).dim_product.select("product_id", "product_category")
     return df.join(p, "product_id", "left")
 
 
@@ -298,6 +299,29 @@ def q_t01(spark, d):
                     (~F.col("is_partial_coverage")).alias("full_week_comparable"))
 
 
+def _slice_sql(name: str, label: str, full: str) -> str:
+    return f"""
+SELECT '{name}' AS slice, {label} AS period, CAST(sum(sales_value) {M2} AS sales_value,
+       CAST(sum(quantity) {M3} AS quantity, count(DISTINCT basket_id) AS baskets,
+       count(DISTINCT household_id) AS households,
+       {r6('sum(sales_value)', 'count(DISTINCT basket_id)')} AS sales_per_basket,
+       {r6('sum(sales_value) FILTER (WHERE quantity > 0 AND sales_value >= 0)',
+           'sum(quantity) FILTER (WHERE quantity > 0 AND sales_value >= 0)')} AS unit_value,
+       {full} AS full_period
+FROM sales_in_scope GROUP BY 2"""
+
+
+TIME_SLICES_SQL = "\nUNION ALL ".join([
+    _slice_sql("day", "strftime(local_date, '%Y-%m-%d')", "CAST(NULL AS BOOLEAN)"),
+    _slice_sql("week", "lpad(CAST(week AS VARCHAR), 2, '0')",
+               "coalesce((SELECT NOT w.is_partial_coverage FROM dim_week w WHERE w.source_week = any_value(week)), false)"),
+    _slice_sql("month", "strftime(local_date, '%Y-%m')", "CAST(NULL AS BOOLEAN)"),
+    _slice_sql("quarter", "CAST(year(local_date) AS VARCHAR) || '-Q' || CAST(quarter(local_date) AS VARCHAR)",
+               "CAST(NULL AS BOOLEAN)"),
+    _slice_sql("year", "CAST(year(local_date) AS VARCHAR)", "CAST(NULL AS BOOLEAN)"),
+])
+
+
 # --- business questions ---------------------------------------------------------------------------------
 @query("bq_s01", f"SELECT CAST(sum(sales_value) {M2} AS sales_value, CAST(sum(quantity) {M3} AS quantity FROM sales_in_scope")
 def q_bq_s01(spark, d):
@@ -359,13 +383,10 @@ def q_bq_s05(spark, d):
     return K.sales_kpis(_sales(spark, d)).select("baskets", "households")
 
 
-@query("bq_s06", f"""
-SELECT CAST(date_trunc('month', local_date) AS DATE) AS month_start, count(DISTINCT basket_id) AS baskets,
-       {r6('sum(sales_value)', 'count(DISTINCT basket_id)')} AS sales_per_basket
-FROM sales_in_scope GROUP BY 1""")
+@query("bq_s06", f"SELECT slice, period, baskets, sales_per_basket FROM ({TIME_SLICES_SQL}) t WHERE slice IN ('day', 'week', 'month')")
 def q_bq_s06(spark, d):
-    return K.sales_kpis(K.with_periods(_sales(spark, d)), "month_start").select(
-        "month_start", "baskets", "sales_per_basket")
+    wh = _wh(spark, d)
+    return K.time_slices(wh.sales_in_scope, wh.dim_week, ["day", "week", "month"]).select("slice", "period", "baskets", "sales_per_basket")
 
 
 @query("bq_p01", f"""
@@ -420,13 +441,16 @@ def q_bq_p05(spark, d):
 
 
 @query("bq_p06", f"""
-SELECT CAST(date_trunc('month', local_date) AS DATE) AS month_start, store_id,
+SELECT CAST(date_trunc('month', local_date) AS DATE) AS month_start, store_id, product_id,
        CAST(sum(retail_disc) {M2} AS retail_disc, CAST(sum(coupon_disc) {M2} AS coupon_disc,
        CAST(sum(coupon_match_disc) {M2} AS coupon_match_disc
-FROM sales_in_scope GROUP BY 1, 2""")
+FROM sales_in_scope GROUP BY GROUPING SETS ((1, 2), (1, 3))""")
 def q_bq_p06(spark, d):
-    return K.discount_kpis(K.with_periods(_sales(spark, d)), ["month_start", "store_id"]).select(
-        "month_start", "store_id", "retail_disc", "coupon_disc", "coupon_match_disc")
+    """By month and store, and by month and product (the other column null)."""
+    s = K.with_periods(_sales(spark, d))
+    parts = [K.discount_kpis(s, ["month_start", c]) for c in ("store_id", "product_id")]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).select(
+        "month_start", "store_id", "product_id", "retail_disc", "coupon_disc", "coupon_match_disc")
 
 
 @query("bq_m01", f"SELECT {MATCH_SQL} FROM sales_status")
@@ -475,11 +499,11 @@ for _bq, _cols in [("bq_c01", ["households_reached"]),
 
 # --- marts -----------------------------------------------------------------------------------------------
 @query("mart_sales_overview", f"""
-SELECT local_date, store_id, p.product_category, {SALES_KPI_SQL}
-FROM sales_in_scope s LEFT JOIN products p USING (product_id) GROUP BY 1, 2, 3""")
+SELECT local_date, store_id, product_id, p.product_category, {SALES_KPI_SQL}
+FROM sales_in_scope s LEFT JOIN products p USING (product_id) GROUP BY 1, 2, 3, 4""")
 def q_mt1(spark, d):
     return K.sales_kpis(_with_category(spark, d, _sales(spark, d)),
-                        ["local_date", "store_id", "product_category"])
+                        ["local_date", "store_id", "product_id", "product_category"])
 
 
 @query("mart_price_analysis", f"""
@@ -506,13 +530,23 @@ def q_mt2(spark, d):
 
 
 @query("mart_promotion_analysis", f"""
-SELECT support_status, unknown_reason, count(*) AS lines, CAST(sum(sales_value) {M2} AS sales_value,
-       CAST(sum(quantity) {M3} AS quantity
-FROM sales_status GROUP BY 1, 2""")
+SELECT g.*, h.sales_share, h.known_status_coverage, w.avg_weekly_sales, w.avg_weekly_quantity, o.compared_product_stores, o.avg_observed_difference
+FROM (SELECT support_status, unknown_reason, count(*) AS lines, CAST(sum(sales_value) {M2} AS sales_value,
+             CAST(sum(quantity) {M3} AS quantity FROM sales_status GROUP BY 1, 2) g
+LEFT JOIN ({SHARE_STATUS_SQL}) h USING (support_status)
+LEFT JOIN ({AVG_WEEKLY_SQL.format(where="")}) w USING (support_status),
+(SELECT count(*) AS compared_product_stores, round(avg(observed_difference), 6) AS avg_observed_difference FROM ({OBS_DIFF_SQL}) d) o""")
 def q_mt3(spark, d):
-    return _status(spark, d).groupBy("support_status", "unknown_reason").agg(
+    """Per status: lines and sales, share among the known statuses and its coverage, weekly averages, and the observed difference."""
+    st = _status(spark, d)
+    g = st.groupBy("support_status", "unknown_reason").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("sales_value").cast(K.MONEY_T).alias("sales_value"),
         F.sum("quantity").cast(K.QTY_T).alias("quantity"))
+    share = K.share_by_status(st).select("support_status", "sales_share", "known_status_coverage")
+    weekly = K.avg_weekly_by_status(st).select("support_status", "avg_weekly_sales", "avg_weekly_quantity")
+    seen = K.observed_difference(st).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("observed_difference"), 6).alias("m"))
+    return (g.join(share, "support_status", "left").join(weekly, "support_status", "left")
+            .withColumns({"compared_product_stores": seen.select("n").scalar(), "avg_observed_difference": seen.select("m").scalar()}))
 
 
 @query("mart_campaign_coupon", f"""
@@ -555,29 +589,6 @@ def q_kg(spark, d):
         F.when(ok, "PASS").otherwise("FAIL").alias("status"))
 
 
-def _slice_sql(name: str, label: str, full: str) -> str:
-    return f"""
-SELECT '{name}' AS slice, {label} AS period, CAST(sum(sales_value) {M2} AS sales_value,
-       CAST(sum(quantity) {M3} AS quantity, count(DISTINCT basket_id) AS baskets,
-       count(DISTINCT household_id) AS households,
-       {r6('sum(sales_value)', 'count(DISTINCT basket_id)')} AS sales_per_basket,
-       {r6('sum(sales_value) FILTER (WHERE quantity > 0 AND sales_value >= 0)',
-           'sum(quantity) FILTER (WHERE quantity > 0 AND sales_value >= 0)')} AS unit_value,
-       {full} AS full_period
-FROM sales_in_scope GROUP BY 2"""
-
-
-TIME_SLICES_SQL = "\nUNION ALL ".join([
-    _slice_sql("day", "strftime(local_date, '%Y-%m-%d')", "CAST(NULL AS BOOLEAN)"),
-    _slice_sql("week", "lpad(CAST(week AS VARCHAR), 2, '0')",
-               "coalesce((SELECT NOT w.is_partial_coverage FROM dim_week w WHERE w.source_week = any_value(week)), false)"),
-    _slice_sql("month", "strftime(local_date, '%Y-%m')", "CAST(NULL AS BOOLEAN)"),
-    _slice_sql("quarter", "CAST(year(local_date) AS VARCHAR) || '-Q' || CAST(quarter(local_date) AS VARCHAR)",
-               "CAST(NULL AS BOOLEAN)"),
-    _slice_sql("year", "CAST(year(local_date) AS VARCHAR)", "CAST(NULL AS BOOLEAN)"),
-])
-
-
 @query("kpi_time_slices", TIME_SLICES_SQL)
 def q_t01_all(spark, d):
     wh = _wh(spark, d)

@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import load as L
+from ..operators.aggregates import combine_rows
 from ..plans.warehouse import warehouse
 from ..registry import query
+from ..session import stored
 from ..sources.staging import scratch_path
+from .quality import REPORT_SQL, quality
+from .verify import ALL_VERIFY_SQL, full_report
+
+VERIFY_SQL = "\nUNION ALL ".join(f"SELECT * FROM ({s}) v{i}" for i, s in enumerate(ALL_VERIFY_SQL))
 
 
 def _wh(spark, d):
@@ -81,18 +87,36 @@ def q_i3(spark, d):
 
 
 @query("publish_after_checks", """
-SELECT 'dim_campaign' AS table_name, count(*) AS row_count FROM dim_campaign
-UNION ALL SELECT 'dim_store', count(*) FROM dim_store
-UNION ALL SELECT 'fact_coupon_redemption', count(*) FROM fact_coupon_redemption""")
+WITH dq AS (SELECT count(*) AS n FROM ("""+ REPORT_SQL +f""") r WHERE severity = 'ERROR' AND status = 'FAIL'),
+bad AS (SELECT count(*) AS n FROM ({VERIFY_SQL}) v WHERE status <> 'PASS'),
+ok AS (SELECT (SELECT n FROM dq) + (SELECT n FROM bad) = 0 AS all_pass),
+tables AS (SELECT 'dim_campaign' AS table_name, count(*) AS row_count FROM dim_campaign
+           UNION ALL SELECT 'dim_store', count(*) FROM dim_store
+           UNION ALL SELECT 'fact_coupon_redemption', count(*) FROM fact_coupon_redemption)
+SELECT 'all_checks' AS gate, table_name, CASE WHEN all_pass THEN row_count END AS row_count,
+       CASE WHEN all_pass THEN 'PUBLISHED' ELSE 'BLOCKED' END AS outcome FROM tables, ok
+UNION ALL SELECT 'rerun_of_dimensions', table_name, row_count, 'PUBLISHED' FROM tables WHERE table_name LIKE 'dim%'""")
 def q_i4(spark, d):
+    """All three tables behind the rules and the verification; the dimensions alone behind their rerun."""
     wh = _wh(spark, d)
-    frames = {"dim_campaign": wh.dim_campaign, "dim_store": wh.dim_store,
-              "fact_coupon_redemption": wh.fact_coupon_redemption}
-    checks = _rerun_report(wh, ["dim_campaign", "dim_store"])
-    base = scratch_path(spark, "publish")
-    L.publish(spark, frames, base, checks)
-    parts = [L.read_current(spark, base, t).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(t).alias("table_name"), "row_count") for t in frames]
+    checks = quality(spark, d).report().where(F.col("severity") == "ERROR").select(F.col("rule_code").alias("metric"), "status") \
+        .unionByName(full_report(spark, d).select("metric", "status"))
+    dimensions = {"dim_campaign": wh.dim_campaign, "dim_store": wh.dim_store}
+    attempts = [("all_checks", dimensions | {"fact_coupon_redemption": wh.fact_coupon_redemption}, checks),
+                ("rerun_of_dimensions", dimensions, _rerun_report(wh, list(dimensions)))]
+    parts = []
+    for gate, frames, passed in attempts:
+        base = scratch_path(spark, "publish")
+        try:
+            L.publish(spark, frames, base, passed)
+            outcome = "PUBLISHED"
+        except L.LoadBlocked:
+            outcome = "BLOCKED"
+        for t in frames:
+            rows = F.count(F.lit(1)) if outcome == "PUBLISHED" else F.lit(None).cast("long")
+            df = L.read_current(spark, base, t) if outcome == "PUBLISHED" else spark.range(1)
+            parts.append(df.agg(rows.alias("row_count")).select(F.lit(gate).alias("gate"), F.lit(t).alias("table_name"), "row_count",
+                                                                F.lit(outcome).alias("outcome")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -104,8 +128,11 @@ def _rerun_report(wh, names=None):
         expected = getattr(wh, name)
         empty = expected.limit(0)
         first = L.insert_only_merge(empty, expected, key, key + attrs, key_col, name)
-        second = L.insert_only_merge(first.merged, expected, key, key + attrs, key_col, name)
-        parts.append(second.report)
+        loaded = stored(first.merged, f"first-{name}")
+        second = L.insert_only_merge(loaded, expected, key, key + attrs, key_col, name)
+        moved = (L.changed_keys(loaded, second.merged, key, key_col) if key_col else expected.limit(0)) \
+            .agg(F.count(F.lit(1)).alias("changed_keys"))
+        parts.append(combine_rows([second.report, moved]))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -114,7 +141,7 @@ def _rerun_sql() -> str:
     for name, *_ in DIMENSIONS:
         parts.append(f"SELECT '{name}' AS table_name, count(*) AS total_rows, CAST(0 AS BIGINT) AS inserted_rows, "
                      f"count(*) AS unchanged_rows, CAST(0 AS BIGINT) AS conflict_rows, CAST(0 AS BIGINT) AS extra_rows, "
-                     f"CAST(0 AS BIGINT) AS two_way_difference, 'PASS' AS status FROM {name}")
+                     f"CAST(0 AS BIGINT) AS two_way_difference, 'PASS' AS status, CAST(0 AS BIGINT) AS changed_keys FROM {name}")
     return "\nUNION ALL ".join(parts)
 
 

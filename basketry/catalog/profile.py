@@ -9,6 +9,7 @@ from ..functions.scalars import local_date
 from ..plans import profile as P
 from ..plans.warehouse import warehouse
 from ..registry import query
+from .sources import OVERVIEW_COLUMNS
 
 
 def _wh(spark, d):
@@ -111,15 +112,12 @@ def q_p8(spark, d):
     return P.timestamp_range(_wh(spark, d).src.transactions)
 
 
-_TX_COLS = ["household_id", "store_id", "basket_id", "product_id", "quantity", "sales_value", "retail_disc",
-            "coupon_disc", "coupon_match_disc", "week"]
-
-
 @query("distinct_profile", "\nUNION ALL ".join(
-    f"SELECT 'transactions' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values FROM transactions"
-    for c in _TX_COLS))
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values FROM {t}"
+    for t, cols in OVERVIEW_COLUMNS.items() for c in cols))
 def q_p9(spark, d):
-    return P.distinct_profile(_wh(spark, d).src.transactions.select(*_TX_COLS), "transactions")
+    src = _wh(spark, d).src
+    return P.union([P.distinct_profile(src.source(t).select(*cols), t) for t, cols in OVERVIEW_COLUMNS.items()])
 
 
 @query("products_per_department", """

@@ -23,7 +23,7 @@ def quality(spark, d) -> Quality:
 STAGED = {
     "transactions": "q_tx", "promotions": "promotions", "products": "q_products",
     "demographics": "q_demographics", "campaign_descriptions": "q_campaign_descriptions",
-    "campaigns": "campaigns", "coupons": "coupons", "coupon_redemptions": "coupon_redemptions",
+    "campaigns": "campaigns", "coupons": "coupons", "coupon_redemptions": "coupon_redemptions_raw",
 }
 Q_TX = """(SELECT t.*, CAST(timezone('America/New_York', timezone('UTC', t.transaction_timestamp)) AS DATE) AS local_date
            FROM transactions_raw t)"""
@@ -106,13 +106,13 @@ WHERE campaign_type IS NULL OR start_date IS NULL OR end_date IS NULL OR start_d
                                         "(SELECT 1 FROM q_campaign_descriptions c WHERE c.campaign_id = t.campaign_id)")
     rc = "r.household_id, r.coupon_upc, r.campaign_id, r.redemption_date"
     sql["redemption_coupon_link"] = f"""
-SELECT {rc} FROM coupon_redemptions r WHERE NOT EXISTS
+SELECT {rc} FROM coupon_redemptions_raw r WHERE NOT EXISTS
   (SELECT 1 FROM coupons c WHERE c.campaign_id = r.campaign_id AND c.coupon_upc = r.coupon_upc)"""
     sql["redemption_household_campaign"] = f"""
-SELECT {rc} FROM coupon_redemptions r WHERE NOT EXISTS
+SELECT {rc} FROM coupon_redemptions_raw r WHERE NOT EXISTS
   (SELECT 1 FROM campaigns c WHERE c.campaign_id = r.campaign_id AND c.household_id = r.household_id)"""
     sql["redemption_dates"] = f"""
-SELECT {rc} FROM coupon_redemptions r
+SELECT {rc} FROM coupon_redemptions_raw r
 WHERE r.redemption_date IS NULL
    OR NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.full_date = r.redemption_date)
    OR NOT EXISTS (SELECT 1 FROM q_campaign_descriptions c WHERE c.campaign_id = r.campaign_id

@@ -145,10 +145,15 @@ def q_b11(spark, d):
 
 
 @query("coverage_clip", """
-SELECT source_week, coverage_start_date, coverage_end_date, is_partial_coverage FROM dim_week""")
+SELECT source_week, coverage_start_date, coverage_end_date, is_partial_coverage FROM dim_week
+WHERE source_week IN (SELECT week FROM transactions)""")
 def q_b12(spark, d):
-    return _wh(spark, d).dim_week.select("source_week", "coverage_start_date", "coverage_end_date",
-                                         "is_partial_coverage")
+    """The weeks that transactions name, clipped to the covered year."""
+    weeks = _wh(spark, d).src.transactions.select("week").distinct().where(F.col("week").isNotNull())
+    start = F.date_add(F.lit(C.CALENDAR_FIRST_MONDAY), (F.col("week") - 1) * 7)
+    lo, hi, partial = B.clip_range(start, F.date_add(start, 6), C.COVERAGE_START, C.COVERAGE_END)
+    return weeks.select(F.col("week").alias("source_week"), lo.alias("coverage_start_date"), hi.alias("coverage_end_date"),
+                        partial.alias("is_partial_coverage"))
 
 
 @query("null_safe_row_diff", """

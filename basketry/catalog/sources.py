@@ -183,34 +183,24 @@ def q_csv_export(spark, d):
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-# --- A10 source_manifest (no SQL oracle: file bytes are outside the views) ------------
-@query("source_manifest")
-def q_source_manifest(spark, d):
-    from ..sources.fixtures import TABLES
-    return S.source_manifest(spark, [f"{d}/{t}.parquet" for t in TABLES])
-
-
 # --- A11 source_overview ------------------------------------------------------------------
-_OVERVIEW_TABLES = ["products", "demographics", "campaign_descriptions", "campaigns", "coupons",
-                    "coupon_redemptions", "promotions"]
+OVERVIEW_COLUMNS = {
+    "transactions_raw": ["household_id", "store_id", "basket_id", "product_id", "quantity", *C.MONEY, "transaction_timestamp", "week"],
+    "products": ["product_id", *C.DESCRIPTIONS["products"]],
+    "demographics": ["household_id", *C.DESCRIPTIONS["demographics"]],
+    "campaign_descriptions": ["campaign_id", "campaign_type", "start_date", "end_date"],
+    "campaigns": ["campaign_id", "household_id"],
+    "coupons": ["coupon_upc", "product_id", "campaign_id"],
+    "coupon_redemptions_raw": C.REDEMPTION_GRAIN,
+    "promotions": ["product_id", "store_id", "display_location", "mailer_location", "week"],
+}
 
 
 def _overview_sql() -> str:
-    cols = {
-        "products": ["product_id", "manufacturer_id", "department", "brand", "product_category",
-                     "product_type", "package_size"],
-        "demographics": ["household_id", "age", "income", "home_ownership", "marital_status",
-                         "household_size", "household_comp", "kids_count"],
-        "campaign_descriptions": ["campaign_id", "campaign_type", "start_date", "end_date"],
-        "campaigns": ["campaign_id", "household_id"],
-        "coupons": ["coupon_upc", "product_id", "campaign_id"],
-        "coupon_redemptions": ["household_id", "coupon_upc", "campaign_id", "redemption_date"],
-        "promotions": ["product_id", "store_id", "display_location", "mailer_location", "week"],
-    }
     parts = []
-    for t in _OVERVIEW_TABLES:
-        for i, c in enumerate(cols[t]):
-            parts.append(f"SELECT '{t}' AS table_name, count(*) AS row_count, {len(cols[t])} AS column_count, "
+    for t, cols in OVERVIEW_COLUMNS.items():
+        for i, c in enumerate(cols):
+            parts.append(f"SELECT '{t}' AS table_name, count(*) AS row_count, {len(cols)} AS column_count, "
                          f"'{c}' AS column_name, {i + 1} AS ordinal, count(*) - count({c}) AS missing FROM {t}")
     return "\nUNION ALL ".join(parts)
 
@@ -218,26 +208,39 @@ def _overview_sql() -> str:
 @query("source_overview", _overview_sql())
 def q_source_overview(spark, d):
     s = sources(spark, d)
-    return S.source_overview({t: s.source(t) for t in _OVERVIEW_TABLES})
+    return S.source_overview({t: s.source(t) for t in OVERVIEW_COLUMNS})
 
 
 # --- A12 expected_rows_check ---------------------------------------------------------------
-@query("expected_rows_check", """
-SELECT 'transactions_raw' AS table_name, (SELECT count(*) FROM lineitem) AS expected_rows,
-       (SELECT count(*) FROM transactions_raw) AS actual_rows, 'PASS' AS status
-UNION ALL SELECT 'promotions', (SELECT count(*) FROM lineitem WHERE l_linestatus = 'F'),
-       (SELECT count(*) FROM promotions), 'PASS'
-UNION ALL SELECT 'products', (SELECT count(*) FROM part WHERE p_partkey % 97 <> 5),
-       (SELECT count(*) FROM products), 'PASS'
-UNION ALL SELECT 'coupons', (SELECT count(*) FROM part) + (SELECT count(*) FROM part WHERE p_partkey % 20 = 0),
-       (SELECT count(*) FROM coupons), 'PASS'""")
+# rows that the input tables say each source has
+EXPECTED_ROWS_SQL = {
+    "transactions_raw": "SELECT count(*) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)",
+    "promotions": "SELECT count(*) FROM lineitem WHERE l_linestatus = 'F'",
+    "products": "SELECT count(*) FROM part WHERE p_partkey % 97 <> 5",
+    "demographics": "SELECT count(*) FROM customer WHERE c_custkey % 3 = 0",
+    "campaigns": "SELECT count(*) FROM events WHERE event_type IN ('view', 'click')",
+    "campaign_descriptions": "SELECT count(DISTINCT k % 10) FROM ev",
+    "coupons": "SELECT count(*) + count(*) FILTER (WHERE p_partkey % 20 = 0) FROM part",
+    "coupon_redemptions_raw": "SELECT count(*) FROM events WHERE event_type = 'purchase'",
+}
+
+
+@query("expected_rows_check", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, ({q}) AS expected_rows, (SELECT count(*) FROM {t}) AS actual_rows, "
+    f"CASE WHEN ({q}) = (SELECT count(*) FROM {t}) THEN 'PASS' ELSE 'FAIL' END AS status" for t, q in EXPECTED_ROWS_SQL.items()))
 def q_expected_rows(spark, d):
     s = sources(spark, d)
-    li, part = s.table("lineitem"), s.table("part")
+    n = lambda df: df.select(F.count(F.lit(1))).scalar()
+    li, part, events = s.table("lineitem"), s.table("part"), s.table("events")
+    kinds = F.col("event_type")
     expected = {
-        "transactions_raw": li.select(F.count(F.lit(1))).scalar(),
-        "promotions": li.where(F.col("l_linestatus") == "F").select(F.count(F.lit(1))).scalar(),
-        "products": part.where(F.col("p_partkey") % 97 != 5).select(F.count(F.lit(1))).scalar(),
+        "transactions_raw": n(li.join(s.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")),
+        "promotions": n(li.where(F.col("l_linestatus") == "F")),
+        "products": n(part.where(F.col("p_partkey") % 97 != 5)),
+        "demographics": n(s.table("customer").where(F.col("c_custkey") % 3 == 0)),
+        "campaigns": n(events.where(kinds.isin("view", "click"))),
+        "campaign_descriptions": events.select(F.countDistinct(F.get_json_object("props", "$.k").cast("int") % 10)).scalar(),
         "coupons": part.select(F.count(F.lit(1)) + F.count_if(F.col("p_partkey") % 20 == 0)).scalar(),
+        "coupon_redemptions_raw": n(events.where(kinds == "purchase")),
     }
     return S.expected_rows_check({k: s.source(k) for k in expected}, expected)

@@ -85,22 +85,22 @@ def q_rows(spark, d):
 
 SCOPE_SQL = with_status([
     chk("product.scope_vs_csv", "0", """SELECT count(*) FROM dim_product p JOIN product_scope s USING (product_id)
-        WHERE p.scope_status <> s.scope_status"""),
+        WHERE p.scope_status IS DISTINCT FROM s.scope_status"""),
     chk("product.extra_codes", """SELECT count(*) FROM (SELECT product_id FROM promotions UNION SELECT product_id FROM coupons) x
         WHERE product_id NOT IN (SELECT product_id FROM products) AND product_id NOT IN (SELECT product_id FROM transactions)""",
         "SELECT count(*) FROM dim_product WHERE product_id NOT IN (SELECT product_id FROM product_scope)"),
     chk("product.invalid_extra_codes", "0", """SELECT count(*) FROM dim_product WHERE product_id NOT IN
         (SELECT product_id FROM product_scope) AND NOT (scope_status = 'REVIEW' AND source_lookup_missing_flag)"""),
-    chk("dim_product.wrong_scope_version", "0", "SELECT count(*) FROM dim_product WHERE scope_rule_version <> 'fixture-1'"),
-    chk("fact_sales.wrong_scope_version", "0", "SELECT count(*) FROM fact_sales WHERE scope_rule_version <> 'fixture-1'"),
+    chk("dim_product.wrong_scope_version", "0", "SELECT count(*) FROM dim_product p JOIN product_scope s USING (product_id) WHERE p.scope_rule_version IS DISTINCT FROM s.scope_rule_version"),
+    chk("fact_sales.wrong_scope_version", "0", "SELECT count(*) FROM fact_sales WHERE scope_rule_version IS DISTINCT FROM 'fixture-1'"),
     chk("fact_sales.invalid_scope", "0", """SELECT count(*) FROM fact_sales f LEFT JOIN dim_product p USING (product_key)
         LEFT JOIN product_scope s ON s.product_id = f.product_id
-        WHERE NOT coalesce(p.scope_status = 'IN_SCOPE' AND s.scope_status = 'IN_SCOPE', false)"""),
+        WHERE NOT coalesce(p.scope_status = 'IN_SCOPE' AND s.scope_status = 'IN_SCOPE' AND NOT p.source_lookup_missing_flag, false)"""),
     chk("fact_promotion_weekly.wrong_scope_version", "0",
-        "SELECT count(*) FROM fact_promotion_weekly WHERE scope_rule_version <> 'fixture-1'"),
+        "SELECT count(*) FROM fact_promotion_weekly WHERE scope_rule_version IS DISTINCT FROM 'fixture-1'"),
     chk("fact_promotion_weekly.invalid_scope", "0", """SELECT count(*) FROM fact_promotion_weekly f
         LEFT JOIN dim_product p USING (product_key) LEFT JOIN product_scope s ON s.product_id = f.product_id
-        WHERE NOT coalesce(p.scope_status = 'IN_SCOPE' AND s.scope_status = 'IN_SCOPE', false)"""),
+        WHERE NOT coalesce(p.scope_status = 'IN_SCOPE' AND s.scope_status = 'IN_SCOPE' AND NOT p.source_lookup_missing_flag, false)"""),
 ])
 
 
@@ -152,7 +152,7 @@ def _fk_sql() -> str:
         notnull = " AND ".join(f"c.{a} IS NOT NULL" for a in ccols)
         match = " AND ".join(f"p.{b} = c.{a}" for a, b in zip(ccols, pcols))
         parts.append(chk(f"fk.{name}", "0", f"SELECT count(*) FROM {tbl(child)} c WHERE {notnull} AND NOT EXISTS "
-                                            f"(SELECT 1 FROM {parent} p WHERE {match})"))
+                                            f"(SELECT 1 FROM {tbl(parent)} p WHERE {match})"))
     return with_status(parts)
 
 
@@ -167,9 +167,9 @@ def q_fk(spark, d):
 def _sales_totals_sql() -> str:
     src = "(SELECT * FROM transactions WHERE product_id IN (SELECT product_id FROM in_scope_ids))"
     parts = [chk("sales.source_vs_target_rows", f"SELECT count(*) FROM {src} s", "SELECT count(*) FROM fact_sales")]
-    for kind in ("source_vs_target", "baseline"):
+    for kind, of in (("source_vs_target", src), ("baseline", src.replace("FROM transactions ", "FROM transactions_raw "))):
         for m in ["quantity", *C.MONEY]:
-            parts.append(chk(f"sales.{kind}.{m}", f"SELECT sum({m}) FROM {src} s", f"SELECT sum({m}) FROM fact_sales"))
+            parts.append(chk(f"sales.{kind}.{m}", f"SELECT sum({m}) FROM {of} s", f"SELECT sum({m}) FROM fact_sales"))
     return with_status(parts)
 
 
@@ -185,14 +185,16 @@ CAL_SQL = with_status([
     chk("sales.date_week_mapping", "0", """SELECT count(*) FROM fact_sales f LEFT JOIN dim_date d USING (date_key)
         LEFT JOIN dim_week w USING (week_key)
         WHERE NOT coalesce(d.full_date BETWEEN w.coverage_start_date AND w.coverage_end_date, false)"""),
-    chk("week.calendar_mapping", "0", "SELECT 0"),
+    chk("week.calendar_mapping", "0", """SELECT count(*) FROM (SELECT week, min(d) AS lo, max(d) AS hi FROM (SELECT week,
+        CAST(timezone('America/New_York', timezone('UTC', transaction_timestamp)) AS DATE) AS d FROM transactions_raw) x GROUP BY week) s
+        LEFT JOIN dim_week w ON w.source_week = s.week
+        WHERE NOT coalesce(s.lo >= w.coverage_start_date AND s.hi <= w.coverage_end_date, false)"""),
 ])
 
 
 @query("verify_calendar", CAL_SQL)
 def q_cal(spark, d):
-    from ..plans.calendar import expected_weeks
-    return verifier(spark, d).calendar(expected_weeks(spark))
+    return verifier(spark, d).calendar()
 
 
 PROMO_SQL = with_status([
@@ -227,8 +229,9 @@ def q_fanout(spark, d):
 
 
 RED_SQL = with_status([
-    chk("redemption.source_vs_target", "SELECT count(*) FROM valid_redemptions",
-        "SELECT count(*) FROM fact_coupon_redemption"),
+    chk("redemption.source_vs_loaded_and_rejected", "SELECT count(*) FROM coupon_redemptions_raw",
+        """SELECT (SELECT count(*) FROM fact_coupon_redemption)
+             + (SELECT count(*) FROM redemptions_checked WHERE reject_reason <> '')"""),
     chk("redemption.invalid_links_dates", "0", """SELECT count(*) FROM fact_coupon_redemption f
         LEFT JOIN dim_campaign c USING (campaign_key)
         WHERE f.household_key IS NULL OR f.coupon_key IS NULL OR f.campaign_key IS NULL
@@ -245,12 +248,14 @@ ALL_VERIFY_SQL = [ROW_COUNTS_SQL, SCOPE_SQL, KEYS_SQL, FK_SQL, SALES_SQL, CAL_SQ
 
 
 def full_report(spark, d):
-    from ..plans.calendar import expected_weeks
     v = verifier(spark, d)
     wh = warehouse(spark, d)
+    if v.report is not None:
+        return v.report
     parts = [v.row_counts(), v.scope(), v.keys(), v.foreign_keys(fk_contracts(wh)), v.sales_totals(),
-             v.calendar(expected_weeks(spark)), v.promotion_rows(), v.join_no_fanout(), v.redemptions()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+             v.calendar(), v.promotion_rows(), v.join_no_fanout(), v.redemptions()]
+    v.report = wh._store("verify_report", reduce(lambda a, b: a.unionByName(b), parts))   # read by every audit query
+    return v.report
 
 
 @query("verify_report", """

@@ -22,14 +22,22 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 # --- calendar -------------------------------------------------------------------
-@query("expected_weeks", "SELECT * FROM dim_week")
+def _weeks_with(spark, d, used, name):
+    """The calendar's weeks with the number of rows of a source that fall into each."""
+    n = used.groupBy(F.col("week").alias("source_week")).agg(F.count(F.lit(1)).alias(name))
+    return _wh(spark, d).dim_week.join(n, "source_week", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+
+
+@query("expected_weeks", """
+SELECT w.*, (SELECT count(*) FROM transactions_raw t WHERE t.week = w.source_week) AS transaction_rows FROM dim_week w""")
 def q_expected_weeks(spark, d):
-    return _wh(spark, d).dim_week
+    return _weeks_with(spark, d, _wh(spark, d).src.transactions_raw, "transaction_rows")
 
 
-@query("dim_week", "SELECT * FROM dim_week")
+@query("dim_week", """
+SELECT w.*, (SELECT count(*) FROM promotions t WHERE t.week = w.source_week) AS promotion_rows FROM dim_week w""")
 def q_dim_week(spark, d):
-    return _wh(spark, d).dim_week
+    return _weeks_with(spark, d, _wh(spark, d).src.promotions, "promotion_rows")
 
 
 @query("date_bounds", """
@@ -63,7 +71,7 @@ def q_calendar_checks(spark, d):
     tx = wh.src.transactions.select("week", local_date("transaction_timestamp").alias("local_date"),
                                     "transaction_timestamp")
     wk = F.broadcast(wh.dim_week)   # 53 rows by construction
-    dd = F.broadcast(wh.dim_date)   # one row per calendar day in the bounds
+    dd = wh.dim_date
     n = F.count(F.lit(1))
     checks = [
         tx.where(F.col("transaction_timestamp").isNull()).select(F.lit("transactions_timestamp_missing").alias("check_name"), n.alias("affected")),
@@ -160,61 +168,76 @@ def q_fact_red(spark, d):
     return _wh(spark, d).fact_coupon_redemption
 
 
+@query("redemption_rejects", """
+SELECT household_id, coupon_upc, campaign_id, redemption_date, reject_reason FROM redemptions_checked WHERE reject_reason <> ''""")
+def q_red_rejects(spark, d):
+    return _wh(spark, d).redemption_rejects
+
+
+@query("redemption_balance", """
+SELECT (SELECT count(*) FROM coupon_redemptions_raw) AS source_rows, (SELECT count(*) FROM fact_coupon_redemption) AS loaded_rows,
+       (SELECT count(*) FROM redemptions_checked WHERE reject_reason <> '') AS rejected_rows,
+       CASE WHEN (SELECT count(*) FROM coupon_redemptions_raw) = (SELECT count(*) FROM fact_coupon_redemption)
+            + (SELECT count(*) FROM redemptions_checked WHERE reject_reason <> '') THEN 'PASS' ELSE 'FAIL' END AS status""")
+def q_red_balance(spark, d):
+    """Rows in = rows loaded + rows rejected."""
+    from ..operators.aggregates import combine_rows
+    wh = _wh(spark, d)
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    w = combine_rows([count(wh.src.coupon_redemptions_raw, "source_rows"), count(wh.fact_coupon_redemption, "loaded_rows"),
+                      count(wh.redemption_rejects, "rejected_rows")])
+    return w.withColumn("status", F.when(F.col("source_rows") == F.col("loaded_rows") + F.col("rejected_rows"), "PASS").otherwise("FAIL"))
+
+
 # --- H16-H18 load statistics --------------------------------------------------------------------
-SALES_TOTALS_SQL = """
-WITH src AS (SELECT * FROM transactions WHERE product_id IN (SELECT product_id FROM in_scope_ids)),
-s AS (SELECT count(*) AS n, sum(quantity) AS q, sum(sales_value) AS sv, sum(retail_disc) AS rd,
-             sum(coupon_disc) AS cd, sum(coupon_match_disc) AS cm FROM src),
-f AS (SELECT count(*) AS n, sum(quantity) AS q, sum(sales_value) AS sv, sum(retail_disc) AS rd,
-             sum(coupon_disc) AS cd, sum(coupon_match_disc) AS cm,
-             count(*) FILTER (WHERE quantity_zero_flag) AS f1, count(*) FILTER (WHERE quantity_zero_sales_positive_flag) AS f2,
-             count(*) FILTER (WHERE positive_quantity_zero_sales_flag) AS f3, count(*) FILTER (WHERE coupon_above_sales_flag) AS f4,
-             count(*) FILTER (WHERE coupon_match_above_coupon_flag) AS f5, count(*) FILTER (WHERE high_quantity_flag) AS f6
-      FROM fact_sales),
-t AS (SELECT count(*) FILTER (WHERE sales_value <> round(sales_value, 2)) AS t1 FROM src)
-SELECT metric, CAST(source_value AS DECIMAL(38,3)) AS source_value, CAST(target_value AS DECIMAL(38,3)) AS target_value,
-       CASE WHEN source_value IS NOT DISTINCT FROM target_value THEN 'PASS' ELSE 'FAIL' END AS status
-FROM (
-  SELECT 'rows' AS metric, s.n AS source_value, f.n AS target_value FROM s, f
-  UNION ALL SELECT 'sum:quantity', s.q, f.q FROM s, f
-  UNION ALL SELECT 'sum:sales_value', s.sv, f.sv FROM s, f
-  UNION ALL SELECT 'sum:retail_disc', s.rd, f.rd FROM s, f
-  UNION ALL SELECT 'sum:coupon_disc', s.cd, f.cd FROM s, f
-  UNION ALL SELECT 'sum:coupon_match_disc', s.cm, f.cm FROM s, f
-  UNION ALL SELECT 'flag:quantity_zero_flag', NULL, f1 FROM f
-  UNION ALL SELECT 'flag:quantity_zero_sales_positive_flag', NULL, f2 FROM f
-  UNION ALL SELECT 'flag:positive_quantity_zero_sales_flag', NULL, f3 FROM f
-  UNION ALL SELECT 'flag:coupon_above_sales_flag', NULL, f4 FROM f
-  UNION ALL SELECT 'flag:coupon_match_above_coupon_flag', NULL, f5 FROM f
-  UNION ALL SELECT 'flag:high_quantity_flag', NULL, f6 FROM f
-  UNION ALL SELECT 'tiny:sales_value', NULL, t1 FROM t) x"""
-
-
-@query("fact_sales_totals", SALES_TOTALS_SQL)
+SALES_FLAG_SQL = {
+    "quantity_zero_flag": "quantity = 0",
+    "quantity_zero_sales_positive_flag": "quantity = 0 AND sales_value > 0",
+    "positive_quantity_zero_sales_flag": "quantity > 0 AND sales_value = 0",
+    "coupon_above_sales_flag": "coupon_disc > sales_value",
+    "coupon_match_above_coupon_flag": "coupon_match_disc > coupon_disc",
+    "high_quantity_flag": "quantity > 45",
+}
+
+
+def _sales_totals_sql() -> str:
+    src = "(SELECT * FROM transactions WHERE product_id IN (SELECT product_id FROM in_scope_ids)) s"
+    rows = [("rows", "count(*)", "count(*)")] + [(f"sum:{m}", f"sum({m})", f"sum({m})") for m in ["quantity", *C.MONEY]]
+    rows += [(f"flag:{f}", f"count(*) FILTER (WHERE {c})", f"count(*) FILTER (WHERE {f})") for f, c in SALES_FLAG_SQL.items()]
+    parts = [f"SELECT '{m}' AS metric, CAST((SELECT {a} FROM {src}) AS DECIMAL(38,3)) AS source_value, "
+             f"CAST((SELECT {b} FROM fact_sales) AS DECIMAL(38,3)) AS target_value" for m, a, b in rows]
+    parts += [f"SELECT 'tiny:{m}', CAST((SELECT count(*) FILTER (WHERE {m} <> round({m}, 2)) FROM {src}) AS DECIMAL(38,3)), "
+              f"CAST((SELECT count(*) FROM {src} JOIN fact_sales f USING (basket_id, product_id) "
+              f"WHERE s.{m} <> f.{m}) AS DECIMAL(38,3))" for m in C.MONEY]
+    return ("SELECT *, CASE WHEN source_value IS NOT DISTINCT FROM target_value THEN 'PASS' ELSE 'FAIL' END AS status FROM ("
+            + " UNION ALL ".join(parts) + ") x")
+
+
+@query("fact_sales_totals", _sales_totals_sql())
 def q_fact_sales_totals(spark, d):
-    from ..functions.scalars import SALES_FLAG_NAMES
+    """Rows, sums, flags and tiny differences of the source lines against those of the fact."""
+    from ..functions.scalars import SALES_FLAG_NAMES, sales_flags
+    from ..operators.aggregates import combine_rows
     wh = _wh(spark, d)
     src = wh.src.transactions.join(wh.in_scope_ids, "product_id", "left_semi")
-    fact = wh.fact_sales
     V = "decimal(38,3)"
     measures = ["quantity", *C.MONEY]
-    s = src.agg(F.count(F.lit(1)).cast(V).alias("rows"), *[F.sum(m).cast(V).alias(f"sum:{m}") for m in measures])
-    f = fact.agg(F.count(F.lit(1)).cast(V).alias("rows"), *[F.sum(m).cast(V).alias(f"sum:{m}") for m in measures],
-                 *[F.count_if(F.col(fl)).cast(V).alias(f"flag:{fl}") for fl in SALES_FLAG_NAMES])
-    tiny = src.agg(F.count_if(tiny_off_cent("sales_value")).cast(V).alias("tiny:sales_value"))
-
-    def long(df, metrics, value):
-        pairs = ", ".join(f"'{m}', `{m}`" for m in metrics)
-        return df.selectExpr(f"stack({len(metrics)}, {pairs}) as (metric, {value})")
-
-    both = ["rows"] + [f"sum:{m}" for m in measures]
-    target_only = [f"flag:{fl}" for fl in SALES_FLAG_NAMES]
-    j = long(s, both, "source_value").join(long(f, both, "target_value"), "metric")
-    extra = long(f, target_only, "target_value").unionByName(long(tiny, ["tiny:sales_value"], "target_value"))
-    extra = extra.withColumn("source_value", F.lit(None).cast(V))
-    out = j.unionByName(extra)
-    return out.withColumn("status", F.when(F.col("source_value").eqNullSafe(F.col("target_value")), "PASS")
-                          .otherwise("FAIL"))
+    flagged = src.select("basket_id", "product_id", *measures, *sales_flags(C.HIGH_QUANTITY))
+    metrics = ["rows"] + [f"sum:{m}" for m in measures] + [f"flag:{f}" for f in SALES_FLAG_NAMES]
+
+    def totals(df, side):
+        values = [F.count(F.lit(1)), *[F.sum(m) for m in measures], *[F.count_if(F.col(f)) for f in SALES_FLAG_NAMES]]
+        return [v.cast(V).alias(f"{side}_{m}") for v, m in zip(values, metrics)]
+
+    # values off the cent in the source, and values that the fact stores otherwise than the source
+    s = flagged.agg(*totals(flagged, "source"), *[F.count_if(tiny_off_cent(m)).cast(V).alias(f"source_tiny:{m}") for m in C.MONEY])
+    f = wh.fact_sales.agg(*totals(wh.fact_sales, "target"))
+    both = src.join(wh.fact_sales.select("basket_id", "product_id", *[F.col(m).alias(f"_f_{m}") for m in C.MONEY]), ["basket_id", "product_id"])
+    t = both.agg(*[F.count_if(F.col(m) != F.col(f"_f_{m}")).cast(V).alias(f"target_tiny:{m}") for m in C.MONEY])
+    metrics = metrics + [f"tiny:{m}" for m in C.MONEY]
+    pairs = ", ".join(f"'{m}', `source_{m}`, `target_{m}`" for m in metrics)
+    out = combine_rows([s, f, t]).selectExpr(f"stack({len(metrics)}, {pairs}) as (metric, source_value, target_value)")
+    return out.withColumn("status", F.when(F.col("source_value").eqNullSafe(F.col("target_value")), "PASS").otherwise("FAIL"))
 
 
 @query("promotion_consolidation_stats", """

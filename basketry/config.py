@@ -52,6 +52,8 @@ MONEY = ["sales_value", "retail_disc", "coupon_disc", "coupon_match_disc"]
 MEASURES = ["quantity"] + MONEY
 
 # Source keys and descriptive attributes per staged table.
+REDEMPTION_GRAIN = ["household_id", "coupon_upc", "campaign_id", "redemption_date"]
+REDEMPTION_GRAIN = ["household_id", "coupon_upc", "campaign_id", "redemption_date"]
 REQUIRED_KEYS = {
     "products": ["product_id"],
     "demographics": ["household_id"],

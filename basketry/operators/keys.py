@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def _cols(k) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
@@ -13,26 +15,27 @@ def _cols(k) -> list[str]:
 def assign_keys(df: DataFrame, order, key_col: str, start: Column | int = 1) -> DataFrame:
     """G1: dense keys ``start, start+1, ...`` in business-key order, distributed.
 
-    The rows are range-partitioned and sorted (the same exchange is reused by
-    both branches below, so partition contents are fixed for the query); each
-    partition's row count gives its offset.  Only the per-partition counts —
-    one row per partition, a bound set by the partition count, not the data —
-    are windowed and broadcast.  No single-partition ``row_number``.
+    The rows are range-partitioned, sorted and written once, with the partition
+    they fell into and their position in it as columns.  Offsets and keys are both
+    derived from that stored table, so they cannot disagree however the range
+    bounds were sampled or partitions coalesced.  Only the per-partition counts
+    (a row for each partition) are windowed and broadcast; there is no
+    single-partition ``row_number``.  Rows with equal order columns get distinct
+    keys in the order they were stored in.
     """
     order = _cols(order)
     start_col = start if isinstance(start, Column) else F.lit(start)
-    ranked = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    position = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    ranked = stored(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("_pid", F.spark_partition_id()).withColumn("_pos", position), "ranked")
     counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return (ranked.join(F.broadcast(offsets), "_pid")
-            .withColumn(key_col, (start_col + F.col("_off") + pos).cast("bigint"))
-            .drop("_pid", "_mid", "_off"))
+            .withColumn(key_col, (start_col + F.col("_off") + F.col("_pos")).cast("bigint"))
+            .drop("_pid", "_pos", "_off"))
 
 
 def sample_issues(df: DataFrame, n: int = 5, order=None) -> DataFrame:

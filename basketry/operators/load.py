@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import rows_differ
+from .aggregates import combine_rows
 from .keys import assign_keys
 
 
@@ -42,14 +43,14 @@ def _cols(k) -> list[str]:
 def insert_only_merge(target: DataFrame, expected: DataFrame, key, cols: list[str],
                       key_col: str | None = None, table: str = "table") -> MergeResult:
     """I1 (lazy).  ``report`` is one row: table, total, inserted, unchanged,
-    conflicts, extras and the post-merge two-way difference (must be 0).
+    conflicts, extras and the two-way difference of the merged table (must be 0).
 
-    All counts come from ONE full outer join of target and expected on the
+    The counts come from ONE full outer join of target and expected on the
     business key (unique on both sides by contract, checked by ``verify_keys``):
     a key only in the target is an extra, only in expected is an insert, in both
-    with a different row (NULL-safe) is a conflict.  The merged table equals
-    the expected one exactly when there are no conflicts and no extras, which
-    is the two-way EXCEPT of the reference computed in the same pass.
+    with a different row (NULL-safe) is a conflict.  The difference is measured on
+    the merged table itself, as EXCEPT ALL against the expected rows both ways.
+    ``load_insert_only`` is the guarded form, which stops on a conflict or extra.
     """
     key = _cols(key)
     attrs = [c for c in cols if c not in key]
@@ -65,21 +66,48 @@ def insert_only_merge(target: DataFrame, expected: DataFrame, key, cols: list[st
     j = tt.join(ee, key, "full")
     in_t, in_e = F.coalesce("_in_t", F.lit(False)), F.coalesce("_in_e", F.lit(False))
     differ = rows_differ([f"_t_{c}" for c in attrs], [f"_e_{c}" for c in attrs]) if attrs else F.lit(False)
-    counts = j.agg(F.count_if(in_t).alias("unchanged_rows"),
+    counts = j.agg(F.count_if(in_t & in_e & ~differ).alias("unchanged_rows"),
                    F.count_if(~in_t & in_e).alias("inserted_rows"),
                    F.count_if(in_t & in_e & differ).alias("conflict_rows"),
                    F.count_if(in_t & ~in_e).alias("extra_rows"))
     conflicts = j.where(F.col("_in_t") & F.col("_in_e") & differ).select(*key)
     extras = j.where(F.col("_in_t") & F.col("_in_e").isNull()).select(*key)
-    c, x = F.col("conflict_rows"), F.col("extra_rows")
-    report = counts.select(
-        F.lit(table).alias("table_name"), (F.col("unchanged_rows") + F.col("inserted_rows")).alias("total_rows"),
-        "inserted_rows", "unchanged_rows", "conflict_rows", "extra_rows",
-        (2 * c + x).alias("two_way_difference"),
-        F.when((c == 0) & (x == 0), "PASS").otherwise("BLOCK").alias("status"))
+    c, x, w = F.col("conflict_rows"), F.col("extra_rows"), F.col("two_way_difference")
+    rows_m, rows_e = merged.select(*key, *attrs), e
+    difference = (rows_m.exceptAll(rows_e).unionByName(rows_e.exceptAll(rows_m))
+                  .agg(F.count(F.lit(1)).alias("two_way_difference")))
+    report = combine_rows([counts, merged.agg(F.count(F.lit(1)).alias("total_rows")), difference]).select(
+        F.lit(table).alias("table_name"), "total_rows", "inserted_rows", "unchanged_rows", "conflict_rows", "extra_rows",
+        "two_way_difference", F.when((c == 0) & (x == 0) & (w == 0), "PASS").otherwise("BLOCK").alias("status"))
     return MergeResult(merged, new, conflicts, extras, report)
 
 
+def load_insert_only(target: DataFrame, expected: DataFrame, key, cols: list[str],
+                     key_col: str | None = None, table: str = "table") -> DataFrame:
+    """I1 guarded: the merged table, or ``LoadBlocked`` if any existing row differs or is no longer expected."""
+    result = insert_only_merge(target, expected, key, cols, key_col, table)
+    r = result.report.first()
+    if r["status"] != "PASS":
+        raise LoadBlocked(f"{table}: {r['conflict_rows']} conflicts, {r['extra_rows']} extra rows, "
+                          f"difference {r['two_way_difference']}; nothing loaded")
+    return result.merged
+
+
+def changed_keys(before: DataFrame, after: DataFrame, key, key_col: str) -> DataFrame:
+    """Business keys whose surrogate key is another one (or gone) after a load."""
+    key = _cols(key)
+    a = after.select(*key, F.col(key_col).alias("_after"))
+    return before.select(*key, key_col).join(a, key, "left").where(~F.col(key_col).eqNullSafe(F.col("_after"))).select(*key)
+
+
+def load_without_rejects(checked: DataFrame, reason_col: str = "reject_reason", table: str = "table") -> DataFrame:
+    """The rows of ``checked`` to load, or ``LoadBlocked`` if any row has a reject reason."""
+    bad = checked.where(F.col(reason_col) != "").select(F.count(F.lit(1))).first()[0]
+    if bad:
+        raise LoadBlocked(f"{table}: {bad} rows rejected; nothing loaded")
+    return checked.drop(reason_col)
+
+
 def type1_upsert(target: DataFrame, expected: DataFrame, key, cols: list[str],
                  key_col: str | None = None) -> DataFrame:
     """Overwrite descriptive attributes of existing keys (no history); keep keys;

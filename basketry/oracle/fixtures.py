@@ -93,16 +93,16 @@ SELECT CAST(c_custkey AS VARCHAR) AS household_id, c_mktsegment AS age,
 FROM customer WHERE c_custkey % 3 = 0
 """)
 
+cte("ev", """
+SELECT user_id, event_type, ts, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+""")
+
 cte("campaign_descriptions", """
 SELECT CAST(i AS VARCHAR) AS campaign_id,
        CASE WHEN i <= 2 THEN 'TypeA' WHEN i <= 6 THEN 'TypeB' ELSE 'TypeC' END AS campaign_type,
        DATE '2016-11-14' + CAST(40 * i AS INTEGER) AS start_date,
        DATE '2016-11-14' + CAST(40 * i + 120 AS INTEGER) AS end_date
-FROM range(10) r(i)
-""")
-
-cte("ev", """
-SELECT user_id, event_type, ts, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+FROM (SELECT DISTINCT k % 10 AS i FROM ev WHERE k IS NOT NULL) r
 """)
 
 cte("campaigns", """
@@ -247,12 +247,21 @@ FROM sales_status GROUP BY product_id, store_id, week, support_status
 cte("campaign_pairs", "SELECT DISTINCT campaign_id, household_id FROM campaigns")
 cte("coupon_pairs", "SELECT DISTINCT campaign_id, coupon_upc FROM coupons")
 
+cte("redemptions_checked", """
+SELECT r.*, concat_ws('; ',
+  CASE WHEN NOT EXISTS (SELECT 1 FROM campaign_pairs c WHERE c.campaign_id = r.campaign_id AND c.household_id = r.household_id)
+       THEN 'household not in campaign' END,
+  CASE WHEN NOT EXISTS (SELECT 1 FROM coupon_pairs c WHERE c.campaign_id = r.campaign_id AND c.coupon_upc = r.coupon_upc)
+       THEN 'coupon not in campaign' END,
+  CASE WHEN NOT EXISTS (SELECT 1 FROM campaign_descriptions d WHERE d.campaign_id = r.campaign_id
+              AND r.redemption_date BETWEEN d.start_date AND d.end_date) THEN 'date outside campaign' END,
+  CASE WHEN r.copy > 1 THEN 'repeated row' END) AS reject_reason
+FROM (SELECT *, row_number() OVER (PARTITION BY household_id, coupon_upc, campaign_id, redemption_date) AS copy
+      FROM coupon_redemptions_raw) r
+""")
+
 cte("valid_redemptions", """
-SELECT r.* FROM coupon_redemptions r
-WHERE EXISTS (SELECT 1 FROM campaign_pairs c WHERE c.campaign_id = r.campaign_id AND c.household_id = r.household_id)
-  AND EXISTS (SELECT 1 FROM coupon_pairs c WHERE c.campaign_id = r.campaign_id AND c.coupon_upc = r.coupon_upc)
-  AND EXISTS (SELECT 1 FROM campaign_descriptions d WHERE d.campaign_id = r.campaign_id
-              AND r.redemption_date BETWEEN d.start_date AND d.end_date)
+SELECT household_id, coupon_upc, campaign_id, redemption_date FROM redemptions_checked WHERE reject_reason = ''
 """)
 
 # --- normalised sources (descriptive attributes: NULLIF(BTRIM(x, ' '), '')) -------

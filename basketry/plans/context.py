@@ -13,11 +13,9 @@ from __future__ import annotations
 
 from functools import cached_property
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_dir, write_stage, ensure_semantics
+from ..session import shared_path, write_stage, ensure_semantics
 from ..sources import fixtures as fx
 
 
@@ -32,9 +30,9 @@ class Sources:
         if self.spark.conf.get("basketry.materialize", "true").lower() == "false":
             return df
         if self._base is None:
-            self._base = f"{checkpoint_dir(self.spark).rstrip('/')}/basketry-staging-{uuid.uuid4().hex[:12]}"
+            self._base = shared_path(self.spark, "basketry-staging")
         path = f"{self._base}/{name}"
-        return write_stage(df, path, spread=True)
+        return write_stage(df, path)
 
     def table(self, name: str) -> DataFrame:
         return fx.read_table(self.spark, self.sf_dir, name)

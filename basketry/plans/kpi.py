@@ -238,22 +238,26 @@ def campaign_observation(dim_campaign: DataFrame, observed_lo: Column, observed_
         .alias("fully_observed"))
 
 
-def time_slices(sales: DataFrame, weeks: DataFrame) -> DataFrame:
+def time_slices(sales: DataFrame, weeks: DataFrame, slices: list[str] | None = None) -> DataFrame:
     """Sales and price KPIs by local day, source week, month, quarter and year.
 
     One long table (slice, period); distinct counts are computed per period,
-    never added up.  ``full_period`` marks weeks with a full 7-day coverage
-    (week 1 is partial and is excluded from full-week comparisons).
+    never added up.  Lines are first brought to one row for each day, week, basket
+    and household, an exchange that all slices reuse.  ``full_period`` marks weeks
+    with a full 7-day coverage (week 1 is partial and is excluded from full-week
+    comparisons).
     """
-    s = with_periods(sales)
     priced = (F.col("quantity") > 0) & (F.col("sales_value") >= 0)
+    small = sales.groupBy("local_date", "week", "basket_id", "household_id").agg(
+        F.sum("sales_value").alias("sales_value"), F.sum("quantity").alias("quantity"),
+        F.sum(F.when(priced, F.col("sales_value"))).alias("_ps"), F.sum(F.when(priced, F.col("quantity"))).alias("_pq"))
+    s = with_periods(small)
     aggs = [F.sum("sales_value").cast(MONEY_T).alias("sales_value"),
             F.sum("quantity").cast(QTY_T).alias("quantity"),
             F.countDistinct("basket_id").alias("baskets"),
             F.countDistinct("household_id").alias("households"),
-            F.sum(F.when(priced, F.col("sales_value"))).cast(MONEY_T).alias("_ps"),
-            F.sum(F.when(priced, F.col("quantity"))).cast(QTY_T).alias("_pq")]
-    slices = {
+            F.sum("_ps").cast(MONEY_T).alias("_ps"), F.sum("_pq").cast(QTY_T).alias("_pq")]
+    labels = {
         "day": F.date_format("local_date", "yyyy-MM-dd"),
         "week": F.lpad(F.col("week").cast("string"), 2, "0"),
         "month": F.date_format("local_date", "yyyy-MM"),
@@ -263,8 +267,8 @@ def time_slices(sales: DataFrame, weeks: DataFrame) -> DataFrame:
     wk = F.broadcast(weeks.select(F.lpad(F.col("source_week").cast("string"), 2, "0").alias("period"),
                                   (~F.col("is_partial_coverage")).alias("_full")))
     parts = []
-    for name, label in slices.items():
-        g = s.groupBy(label.alias("period")).agg(*aggs).withColumn("slice", F.lit(name))
+    for name in slices or labels:
+        g = s.groupBy(labels[name].alias("period")).agg(*aggs).withColumn("slice", F.lit(name))
         if name == "week":
             g = g.join(wk, "period", "left").withColumn("full_period", F.coalesce("_full", F.lit(False))).drop("_full")
         else:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -54,10 +54,29 @@ def anomaly_counts(df: DataFrame, high: int = C.HIGH_QUANTITY, label: str = "ALL
 
 def quantity_quantiles(df: DataFrame, col: str = "quantity",
                        probs=(0.0, 0.5, 0.9, 0.99, 1.0)) -> DataFrame:
-    """Exact, linearly interpolated percentiles (Spark ``percentile``)."""
-    arr = df.agg(F.percentile(F.col(col).cast("double"), list(probs)).alias("q"))
-    return arr.select(F.posexplode("q").alias("i", "value")).select(
-        F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("i") + 1).alias("probability"), "value")
+    """Exact, linearly interpolated percentiles from the counts of each value.
+
+    The aggregate holds a count for each distinct value, spread over the cluster;
+    ranks come from running sums inside ranges of values and over the ranges'
+    totals, and only the values at the wanted ranks meet.
+    """
+    x = F.col(col).cast("double")
+    counts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    lo_hi = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
+    lo, hi, total = (lo_hi.select(c).scalar() for c in ("lo", "hi", "total"))
+    ranged = counts.withColumn("total", total).withColumn("r", F.floor((F.col("v") - lo) / F.greatest((hi - lo) / 1024, F.lit(1e-300))))
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = ranged.groupBy("r").agg(F.sum("n").alias("n")).select("r", before(Window.orderBy("r")).alias("outer"))   # 1,025 rows at most
+    placed = (ranged.withColumn("inner", before(Window.partitionBy("r").orderBy("v"))).join(F.broadcast(sums), "r")
+              .withColumn("first", F.col("outer") + F.col("inner")).withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))))
+    at = F.col("p") * (F.col("total") - 1)
+    holds = lambda rank: (rank >= F.col("first")) & (rank < F.col("first") + F.col("n"))
+    share = at - F.floor(at)
+    parts = placed.where(holds(F.floor(at)) | holds(F.ceil(at)))
+    low = F.max(F.when(holds(F.floor(at)), F.col("v")))
+    high = F.max(F.when(holds(F.ceil(at)), F.col("v")))
+    return parts.groupBy(F.col("p").alias("probability"), share.alias("_s")).agg(low.alias("_l"), high.alias("_h")).select(
+        "probability", (F.col("_l") + (F.col("_h") - F.col("_l")) * F.col("_s")).alias("value"))
 
 
 def with_local_date(tx: DataFrame, zone: str = C.SOURCE_ZONE) -> DataFrame:
@@ -109,11 +128,9 @@ def timestamp_range(tx: DataFrame, zone: str = C.SOURCE_ZONE) -> DataFrame:
 
 
 def distinct_profile(df: DataFrame, table: str) -> DataFrame:
-    """Distinct non-NULL values per column, one aggregate pass."""
-    wide = df.agg(*[F.countDistinct(c).alias(c) for c in df.columns])
-    pairs = ", ".join(f"'{c}', `{c}`" for c in df.columns)
-    return wide.selectExpr(f"'{table}' AS table_name",
-                           f"stack({len(df.columns)}, {pairs}) as (column_name, distinct_values)")
+    """Distinct non-NULL values per column: one distinct count each, so rows are not expanded."""
+    return union([df.agg(F.countDistinct(c).alias("distinct_values")).select(
+        F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), "distinct_values") for c in df.columns])
 
 
 def union(parts: list[DataFrame]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Warehouse verification: (metric, expected, actual, status) checks.
 
-Checks on one table are fused into one aggregate pass over that table (row
-count, wrong batch, NULL keys and the table's contract rules together); key
-uniqueness is one grouped pass per key.  Expected values are parameters: the
+Row counts and wrong batches of a table share one aggregate pass; a key's NULLs
+and duplicates are counted in one grouped pass each; contract rules are one pass
+per table.  Expected values are parameters: the
 reference freezes them as constants, here they are derived independently from
 the source tables so the checks hold at any scale factor.
 """
@@ -23,6 +23,9 @@ V = "decimal(38,3)"
 TABLES = ["dim_date", "dim_week", "dim_product", "dim_household", "dim_store", "dim_campaign", "dim_coupon",
           "bridge_campaign_household", "bridge_coupon_product", "fact_sales", "fact_promotion_weekly",
           "fact_coupon_redemption"]
+# every check of the full report: 22 counts and batches, 8 of scope, 48 of keys, 6 contracts,
+# 31 foreign keys, 11 sales totals, 2 of the calendar, 2 of promotions, 6 of the join, 2 of redemptions
+VERIFY_CHECKS = 138
 BATCH_TABLES = [t for t in TABLES if t not in ("dim_date", "dim_week")]
 PRIMARY_KEYS = {
     "dim_date": ["date_key"], "dim_week": ["week_key"], "dim_product": ["product_key"],
@@ -60,6 +63,7 @@ def _zero_checks(wide: DataFrame, names: list[str]) -> DataFrame:
 class Verify:
     def __init__(self, wh: Warehouse):
         self.wh = wh
+        self.report: DataFrame | None = None   # stored once all checks ran
 
     def t(self, name: str) -> DataFrame:
         return getattr(self.wh, name)
@@ -112,15 +116,16 @@ class Verify:
 
     def scope(self) -> DataFrame:
         wh = self.wh
-        dec = wh.product_scope.select("product_id", F.col("scope_status").alias("_csv_status"))
+        dec = wh.product_scope.select("product_id", F.col("scope_status").alias("_csv_status"),
+                                      F.col("scope_rule_version").alias("_csv_version"))
         dp = wh.dim_product.join(dec, "product_id", "left")
         extra = F.col("_csv_status").isNull()
         a = dp.agg(
-            F.count_if(~extra & (F.col("scope_status") != F.col("_csv_status"))).alias("product.scope_vs_csv"),
+            F.count_if(~extra & ~F.col("scope_status").eqNullSafe(F.col("_csv_status"))).alias("product.scope_vs_csv"),
             F.count_if(extra).alias("product.extra_codes"),
             F.count_if(extra & ~((F.col("scope_status") == C.REVIEW) & F.col("source_lookup_missing_flag")))
              .alias("product.invalid_extra_codes"),
-            F.count_if(F.col("scope_rule_version") != C.SCOPE_RULE_VERSION).alias("dim_product.wrong_scope_version"))
+            F.count_if(~F.col("scope_rule_version").eqNullSafe(F.col("_csv_version")) & ~extra).alias("dim_product.wrong_scope_version"))
         s = wh.src
         promo_only = (s.promotions.select("product_id").unionByName(s.coupons.select("product_id")).distinct()
                       .join(s.products.select("product_id"), "product_id", "left_anti")
@@ -131,12 +136,14 @@ class Verify:
                               ("product.extra_codes", "_expected_extra", "product.extra_codes"),
                               ("product.invalid_extra_codes", "_zero", "product.invalid_extra_codes"),
                               ("dim_product.wrong_scope_version", "_zero", "dim_product.wrong_scope_version")])
-        status = wh.dim_product.select("product_key", F.col("scope_status").alias("_dim_status"))
+        status = wh.dim_product.select("product_key", F.col("scope_status").alias("_dim_status"),
+                                       F.col("source_lookup_missing_flag").alias("_missing"))
         for fact in ["fact_sales", "fact_promotion_weekly"]:
             f = self.t(fact).join(status, "product_key", "left").join(dec, "product_id", "left")
-            w = f.agg(F.count_if(F.col("scope_rule_version") != C.SCOPE_RULE_VERSION).alias("v"),
+            w = f.agg(F.count_if(~F.col("scope_rule_version").eqNullSafe(F.col("_csv_version"))).alias("v"),
                       F.count_if(~F.coalesce((F.col("_dim_status") == C.IN_SCOPE)
-                                             & (F.col("_csv_status") == C.IN_SCOPE), F.lit(False))).alias("i"))
+                                             & (F.col("_csv_status") == C.IN_SCOPE)
+                                             & ~F.col("_missing"), F.lit(False))).alias("i"))
             out = out.unionByName(_zero_checks(w.withColumnsRenamed(
                 {"v": f"{fact}.wrong_scope_version", "i": f"{fact}.invalid_scope"}),
                 [f"{fact}.wrong_scope_version", f"{fact}.invalid_scope"]))
@@ -200,27 +207,32 @@ class Verify:
         measures = ["quantity", *C.MONEY]
         s = src.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(m) for m in measures])
         f = wh.fact_sales.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(m) for m in measures])
-        # the baseline is a parameter; here it is the source total computed independently
-        w = combine_rows([s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns]),
+        # the baseline comes from the source lines before they were brought to the fact's grain
+        b = (wh.src.transactions_raw.join(wh.in_scope_ids, "product_id", "left_semi")
+             .agg(*[F.sum(m).alias(f"b_{m}") for m in measures]))
+        w = combine_rows([b, s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns]),
                           f.select(*[F.col(c).alias(f"f_{c}") for c in f.columns])])
         metrics = [("sales.source_vs_target_rows", "s_rows", "f_rows")]
         metrics += [(f"sales.source_vs_target.{m}", f"s_{m}", f"f_{m}") for m in measures]
-        metrics += [(f"sales.baseline.{m}", f"s_{m}", f"f_{m}") for m in measures]
+        metrics += [(f"sales.baseline.{m}", f"b_{m}", f"f_{m}") for m in measures]
         return _check_rows(w, metrics)
 
-    def calendar(self, expected_weeks: DataFrame) -> DataFrame:
+    def calendar(self) -> DataFrame:
+        """Fact dates inside their week, and the weeks of the source lines inside the calendar week of their number."""
         wh = self.wh
-        f = wh.fact_sales.join(F.broadcast(wh.dim_date.select("date_key", "full_date")), "date_key", "left") \
+        f = wh.fact_sales.join(wh.dim_date.select("date_key", "full_date"), "date_key", "left") \
             .join(F.broadcast(wh.dim_week.select("week_key", "coverage_start_date", "coverage_end_date")),
                   "week_key", "left")
         bad = f.agg(F.count_if(~F.coalesce(F.col("full_date").between(F.col("coverage_start_date"),
                                                                       F.col("coverage_end_date")), F.lit(False)))
                     .alias("sales.date_week_mapping"))
-        cols = expected_weeks.columns
-        diff = (wh.dim_week.select(*cols).exceptAll(expected_weeks)
-                .unionByName(expected_weeks.exceptAll(wh.dim_week.select(*cols))))
-        w = bad.select("*", diff.select(F.count(F.lit(1))).scalar().alias("week.calendar_mapping"))
-        return _zero_checks(w, ["sales.date_week_mapping", "week.calendar_mapping"])
+        seen = (wh.src.transactions_raw.select("week", local_date("transaction_timestamp").alias("d"))
+                .groupBy("week").agg(F.min("d").alias("lo"), F.max("d").alias("hi")))
+        weeks = wh.dim_week.select(F.col("source_week").alias("week"), "coverage_start_date", "coverage_end_date")
+        outside = seen.join(weeks, "week", "left").agg(F.count_if(~F.coalesce(
+            (F.col("lo") >= F.col("coverage_start_date")) & (F.col("hi") <= F.col("coverage_end_date")), F.lit(False)))
+            .alias("week.calendar_mapping"))
+        return _zero_checks(combine_rows([bad, outside]), ["sales.date_week_mapping", "week.calendar_mapping"])
 
     def promotion_rows(self) -> DataFrame:
         wh = self.wh
@@ -248,15 +260,16 @@ class Verify:
     def redemptions(self) -> DataFrame:
         wh = self.wh
         f = wh.fact_coupon_redemption
-        camp = F.broadcast(wh.dim_campaign.select("campaign_key", "start_date", "end_date"))
+        camp = wh.dim_campaign.select("campaign_key", "start_date", "end_date")
         bad = f.join(camp, "campaign_key", "left").agg(
             F.count(F.lit(1)).alias("target"),
             F.count_if(F.col("household_key").isNull() | F.col("coupon_key").isNull() | F.col("campaign_key").isNull()
                        | ~F.coalesce(F.col("redemption_date").between(F.col("start_date"), F.col("end_date")),
                                      F.lit(False))).alias("invalid"))
-        src = wh.valid_redemptions.select(F.count(F.lit(1))).scalar()
-        w = bad.select("*", src.alias("source"), F.lit(0).alias("zero"))
-        return _check_rows(w, [("redemption.source_vs_target", "source", "target"),
+        src = wh.src.coupon_redemptions_raw.agg(F.count(F.lit(1)).alias("source"))
+        rejected = wh.redemption_rejects.agg(F.count(F.lit(1)).alias("rejected"))
+        w = combine_rows([bad, src, rejected]).withColumns({"balance": F.col("target") + F.col("rejected"), "zero": F.lit(0)})
+        return _check_rows(w, [("redemption.source_vs_loaded_and_rejected", "source", "balance"),
                                ("redemption.invalid_links_dates", "zero", "invalid")])
 
 

@@ -9,7 +9,6 @@ sort-merge join when a dimension is large.  Facts aggregate before joining.
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
@@ -20,7 +19,7 @@ from ..functions.scalars import (btrim_null, date_key, local_date, money, sales_
                                  to_cents, in_codes, unknown_code)
 from ..operators.keys import assign_keys
 from .calendar import date_bounds, dim_date, expected_weeks
-from ..session import checkpoint_dir, write_stage
+from ..session import shared_path, write_stage
 from .context import Sources, sources
 from .scope import product_scope
 
@@ -57,7 +56,7 @@ class Warehouse:
         if self.spark.conf.get("basketry.materialize", "true").lower() == "false":
             return df
         if self._base is None:
-            self._base = f"{checkpoint_dir(self.spark).rstrip('/')}/basketry-wh-{uuid.uuid4().hex[:12]}"
+            self._base = shared_path(self.spark, "basketry-wh")
         path = f"{self._base}/{name}"
         return write_stage(df, path)
 
@@ -145,6 +144,11 @@ class Warehouse:
             "etl_batch_id", F.lit(C.BATCH_ID).cast("bigint"))
         return self._store("dim_coupon", assign_keys(j, ["campaign_id", "coupon_upc"], "coupon_key"))
 
+    @cached_property
+    def load_batches(self) -> DataFrame:
+        """The batches that the staged sources belong to."""
+        return self.src.products.select(F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id")).distinct()
+
     # --- bridges -------------------------------------------------------------------
 
     @cached_property
@@ -172,12 +176,12 @@ class Warehouse:
     def sales_in_scope(self) -> DataFrame:
         """D1 + B5 + B7: in-scope transaction lines with cent-normalised money."""
         tx = self.src.transactions.join(self.in_scope_ids, "product_id", "left_semi")
-        return tx.select(
+        return self._store("sales_in_scope", tx.select(
             "basket_id", "product_id", "household_id", "store_id", "week",
             "transaction_timestamp",
             F.col("quantity").cast("decimal(18,3)").alias("quantity"),
             *[money(to_cents(m)).alias(m) for m in C.MONEY],
-            local_date("transaction_timestamp").alias("local_date"))
+            local_date("transaction_timestamp").alias("local_date")))
 
     @cached_property
     def fact_sales(self) -> DataFrame:
@@ -231,21 +235,45 @@ class Warehouse:
             F.lit(C.SCOPE_RULE_VERSION).alias("scope_rule_version"),
             F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id")))
 
+    @cached_property
+    def redemptions_checked(self) -> DataFrame:
+        """Every source redemption with the reasons that keep it out of the fact ('' if none).
+
+        Household assigned to the campaign, coupon in the campaign, date inside the
+        campaign, and no earlier row of the same grain.  Rows are neither dropped nor
+        merged here.  The copies of a grain are told apart without ordering them.
+        """
+        grain = C.REDEMPTION_GRAIN
+        r = self.src.coupon_redemptions_raw.groupBy(*grain).agg(F.count(F.lit(1)).alias("_copies"))
+        pairs_hh = self.src.campaigns.select("campaign_id", "household_id").distinct().withColumn("_hh", F.lit(True))
+        pairs_cp = self.src.coupons.select("campaign_id", "coupon_upc").distinct().withColumn("_cp", F.lit(True))
+        periods = self.q("campaign_descriptions").groupBy("campaign_id").agg(
+            F.collect_set(F.struct("start_date", "end_date")).alias("_periods"))   # one contract row per campaign
+        j = (r.join(pairs_hh, ["campaign_id", "household_id"], "left").join(pairs_cp, ["campaign_id", "coupon_upc"], "left")
+             .join(periods, "campaign_id", "left"))
+        inside = F.exists("_periods", lambda x: F.col("redemption_date").between(x["start_date"], x["end_date"]))
+        j = j.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+        reason = F.concat_ws("; ", F.when(F.col("_hh").isNull(), "household not in campaign"),
+                             F.when(F.col("_cp").isNull(), "coupon not in campaign"),
+                             F.when(~F.coalesce(inside, F.lit(False)), "date outside campaign"),
+                             F.when(F.col("_copy") > 1, "repeated row"))
+        return self._store("redemptions_checked", j.select(*grain, reason.alias("reject_reason")))
+
     @cached_property
     def valid_redemptions(self) -> DataFrame:
-        """Household assigned to the campaign, coupon in the campaign, date inside."""
-        r = self.src.coupon_redemptions
-        pairs_hh = self.src.campaigns.select("campaign_id", "household_id").distinct()
-        pairs_cp = self.src.coupons.select("campaign_id", "coupon_upc").distinct()
-        d = self.q("campaign_descriptions").select("campaign_id", "start_date", "end_date")
-        r = r.join(pairs_hh, ["campaign_id", "household_id"], "left_semi")
-        r = r.join(pairs_cp, ["campaign_id", "coupon_upc"], "left_semi")
-        return r.join(F.broadcast(d), (r.campaign_id == d.campaign_id)
-                      & r.redemption_date.between(d.start_date, d.end_date), "left_semi")
+        return self.redemptions_checked.where(F.col("reject_reason") == "").drop("reject_reason")
+
+    @cached_property
+    def redemption_rejects(self) -> DataFrame:
+        """Source redemptions that are not loaded, with their reasons."""
+        return self.redemptions_checked.where(F.col("reject_reason") != "")
 
     @cached_property
     def fact_coupon_redemption(self) -> DataFrame:
-        """Valid redemptions -> household, coupon, campaign, date keys; count 1."""
+        """Valid redemptions -> household, coupon, campaign, date keys; count 1.
+
+        ``load_redemptions`` is the guarded load, which stops on any reject.
+        """
         r = self.valid_redemptions
         j = (r.join(self.dim_household.select("household_id", "household_key"), "household_id", "left")
              .join(self.dim_coupon.select("campaign_id", "coupon_upc", "coupon_key", "campaign_key"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,9 +51,11 @@ def ensure_semantics(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a scratch folder is created.
+    Without one, only a local session (driver and executors are one process) gets
+    a scratch folder; on a cluster executors would each write to their own disk,
+    so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,27 +63,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="basketry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
-def write_stage(df: DataFrame, path: str, spread: bool = False) -> DataFrame:
-    """Write a derived table as Parquet under the shared folder and read it back.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared folder; removed when the driver's JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
-    ``spread``: never write fewer files than the session's default parallelism.
-    Used for staging, whose input may be a single file (as in the local
-    fixtures), which would otherwise leave every later scan with one task.  On a
-    cluster the input already has more splits than cores, so nothing changes.
-    """
-    spark = df.sparkSession
-    if spread:
-        target = spark.sparkContext.defaultParallelism
-        if df._jdf.rdd().getNumPartitions() < target:
-            df = df.repartition(target)
+
+def write_stage(df: DataFrame, path: str) -> DataFrame:
+    """Write a derived table as Parquet under the shared folder and read it back."""
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to a new shared folder and read it back: a cut in the lineage."""
+    return write_stage(df, shared_path(df.sparkSession, name))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -134,10 +134,11 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def campaign_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten campaigns, types A (0-2), B (3-6), C (7-9); 120-day windows 40 days apart."""
+    """The campaigns that events name, types A (0-2), B (3-6), C (7-9); 120-day windows 40 days apart."""
     i = F.col("id")
     start = F.date_add(F.lit(dt.date(2016, 11, 14)), (i * 40).cast("int"))
-    return spark.range(10).select(
+    named = _events_k(spark, sf_dir).where(F.col("k").isNotNull()).select((F.col("k") % 10).alias("id")).distinct()
+    return named.select(
         _s(i).alias("campaign_id"),
         F.when(i <= 2, "TypeA").when(i <= 6, "TypeB").otherwise("TypeC").alias("campaign_type"),
         start.alias("start_date"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import is_non_finite
 from ..operators.keys import assign_keys
-from ..session import checkpoint_dir
+from ..session import shared_path
 
 
 class SchemaMismatch(ValueError):
@@ -36,52 +35,84 @@ def stage_read(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 # A2 ---------------------------------------------------------------------------
 MAX_EXACT_INT = 2 ** 53
+# Wide enough to hold a source value exactly before its scale is tested.
+_EXACT = "decimal(38,12)"
 
 
-def _cast_rule(c: str, kind: str) -> tuple[Column, Column]:
-    """(converted value, failure reason or NULL) for one column of a cast spec."""
+def _cast_rule(df: DataFrame, c: str, kind: str, zone: str) -> tuple[Column, Column]:
+    """(converted value, failure reason or NULL) for one column of a cast spec.
+
+    Nothing raises: text that does not convert becomes a reject.  Text ids are kept
+    as they are; money is tested, never rounded.
+    """
     col = F.col(c)
     null = F.lit(None).cast("string")
+    source = df.schema[c].dataType
+    floating = isinstance(source, (T.DoubleType, T.FloatType))
+
+    def rule(*tests: tuple[Column, str]) -> Column:
+        bad = F.when(col.isNull(), null)
+        for failed, reason in tests:
+            bad = bad.when(failed, F.lit(f"{c}: {reason}"))
+        return bad
+
     if kind == "id":
+        if not floating:
+            return col.cast("string"), null
         d = col.cast("double")
-        bad = (F.when(col.isNull(), null)
-               .when(is_non_finite(d), F.lit(f"{c}: not finite"))
-               .when(d != F.floor(d), F.lit(f"{c}: fractional id"))
-               .when(F.abs(d) > MAX_EXACT_INT, F.lit(f"{c}: id beyond 2^53")))
-        return F.when(bad.isNull(), d.cast("bigint").cast("string")), bad
+        bad = rule((is_non_finite(d), "not finite"), (d != F.floor(d), "fractional id"),
+                   (F.abs(d) > MAX_EXACT_INT, "id beyond 2^53"))
+        return F.when(bad.isNull(), d).try_cast("bigint").cast("string"), bad
     if kind == "int":
-        d = col.cast("double")
-        bad = (F.when(col.isNull(), null)
-               .when(is_non_finite(d), F.lit(f"{c}: not finite"))
-               .when(d != F.floor(d), F.lit(f"{c}: not integral")))
-        return F.when(bad.isNull(), d.cast("bigint")), bad
+        d, exact = col.try_cast("double"), col.try_cast(_EXACT)
+        bad = rule((d.isNull(), "not a number"), (is_non_finite(d), "not finite"),
+                   (exact.isNull(), "out of range"), (exact != F.floor(exact), "not integral"),
+                   (exact.try_cast("bigint").isNull(), "out of range"))
+        return F.when(bad.isNull(), exact).try_cast("bigint"), bad
     if kind.startswith("decimal"):
-        d = col.cast("double")
-        bad = F.when(col.isNull(), null).when(is_non_finite(d), F.lit(f"{c}: not finite"))
-        return F.when(bad.isNull(), col.cast(kind)), bad
+        # a double's shortest text is what the source shows, so 0.1 is one tenth
+        d, exact = col.try_cast("double"), (col.cast("string") if floating else col).try_cast(_EXACT)
+        value = exact.try_cast(kind)
+        bad = rule((d.isNull(), "not a number"), (is_non_finite(d), "not finite"),
+                   (exact.isNull() | value.isNull(), "out of range"), (value.cast(_EXACT) != exact, "too many decimals"))
+        return F.when(bad.isNull(), value), bad
     if kind == "date":
-        bad = F.when(col.isNull(), null).when(
-            col.cast("timestamp_ntz") != col.cast("date").cast("timestamp_ntz"),
-            F.lit(f"{c}: date with a time part"))
-        return F.when(bad.isNull(), col.cast("date")), bad
+        at = col.try_cast("timestamp_ntz")
+        bad = rule((at.isNull(), "not a date"), (at != at.cast("date").cast("timestamp_ntz"), "date with a time part"))
+        return F.when(bad.isNull(), at.cast("date")), bad
+    if kind == "timestamp":
+        # text must name its zone; instants without one are local to ``zone``
+        if isinstance(source, T.StringType):
+            value = col.try_cast("timestamp")
+            bad = rule((~col.rlike(r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)\s*$"), "timestamp without a zone"),
+                       (col.rlike(r"\.[0-9]{7,}"), "finer than a microsecond"), (value.isNull(), "not a timestamp"))
+        else:
+            value = F.to_utc_timestamp(col, zone) if isinstance(source, T.TimestampNTZType) else col.cast("timestamp")
+            bad = rule((value.isNull(), "not a timestamp"))
+        return F.when(bad.isNull(), value), bad
     if kind == "string":
         return col.cast("string"), null
     raise ValueError(kind)
 
 
-def stage_cast(df: DataFrame, spec: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Strict conversion: returns (good rows, rejects with the failing rules named)."""
+def stage_cast(df: DataFrame, spec: dict[str, str], zone: str = "UTC",
+               lineage: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Strict conversion: returns (good rows, rejects with the failing rules named).
+
+    ``lineage`` columns (such as file name and row number) are handed to the rejects.
+    """
     conv, reasons = {}, []
     for c, kind in spec.items():
-        v, bad = _cast_rule(c, kind)
+        v, bad = _cast_rule(df, c, kind, zone)
         conv[c] = v
         reasons.append(bad)
     reason = F.concat_ws("; ", *reasons)
     tagged = df.select(*[conv[c].alias(c) for c in spec], reason.alias("_reject"),
-                       *[F.col(c).cast("string").alias(f"_src_{c}") for c in spec])
+                       *[F.col(c).cast("string").alias(f"_src_{c}") for c in spec],
+                       *[F.col(c).alias(f"_line_{c}") for c in lineage])
     good = tagged.where(F.col("_reject") == "").select(*spec.keys())
     rejects = tagged.where(F.col("_reject") != "").select(
-        F.col("_reject").alias("reject_reason"),
+        *[F.col(f"_line_{c}").alias(c) for c in lineage], F.col("_reject").alias("reject_reason"),
         *[F.col(f"_src_{c}").alias(c) for c in spec])
     return good, rejects
 
@@ -103,7 +134,7 @@ def stage_lineage(df: DataFrame, batch_id: int, file_name: str, object_name: str
 # A4 / A7 ------------------------------------------------------------------------
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/basketry-{name}-{uuid.uuid4().hex[:12]}"
+    return shared_path(spark, f"basketry-{name}")
 
 
 def stage_replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -217,17 +248,6 @@ def csv_export(df: DataFrame, path: str, zone: str) -> None:
 
 
 # A10 --------------------------------------------------------------------------
-def source_manifest(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Per-file SHA-256 of the content plus one manifest hash over the sorted list."""
-    files = (spark.read.format("binaryFile").load(paths)
-             .select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                     "length", F.sha2("content", 256).alias("sha256")))
-    manifest = files.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(
-        F.concat_ws("=", "file_name", "sha256"))), "\n"), 256).alias("sha256"))
-    return files.unionByName(manifest.select(F.lit("__manifest__").alias("file_name"),
-                                             F.lit(None).cast("long").alias("length"), "sha256"))
-
-
 def content_hash(df: DataFrame) -> DataFrame:
     """Order-insensitive content fingerprint of a table (large inputs: hash rows)."""
     h = F.xxhash64(*[F.col(c) for c in df.columns])

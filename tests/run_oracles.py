@@ -20,7 +20,7 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     prefixes = argv[2:]
     load_all()
-    spark = build_session("local[8]", 8)
+    spark = build_session(f"local[{os.environ.get('CORES', '8')}]", 8)
     con = duck_connect(sf_dir)
     bad = []
     for name in QUERIES:

@@ -39,7 +39,7 @@ def mutate(spark, base, table, rows_df):
     src = Sources(spark, SMALL)
     for n in NAMES:
         src.__dict__[n] = base.source(n)
-    name = "transactions_raw" if table == "transactions" else table
+    name = {"transactions": "transactions_raw", "coupon_redemptions": "coupon_redemptions_raw"}.get(table, table)
     src.__dict__[name] = base.source(name).unionByName(rows_df, allowMissingColumns=False)
     return Quality(Warehouse(src))
 

@@ -205,6 +205,79 @@ def test_stage_cast_rejects(spark):
     assert "fractional id" in reasons and "not finite" in reasons and "time part" in reasons
 
 
+def test_stage_cast_keeps_text_ids_and_never_rounds_or_raises(spark):
+    from basketry.sources.staging import stage_cast
+    df = spark.createDataFrame([("abc", "1.23", "7", "f", 1), ("007", "1.239", "7.5", "f", 2), ("9007199254740993", "x", "1e40", "f", 3),
+                                (None, None, None, "f", 4)], "id string, amount string, n string, file string, line int")
+    spec = {"id": "id", "amount": "decimal(18,2)", "n": "int"}
+    good, rejects = stage_cast(df, spec, lineage=("file", "line"))
+    assert sorted((r.id or "", r.amount) for r in good.collect()) == [("", None), ("abc", Decimal("1.23"))]
+    why = {r.line: (r.file, r.reject_reason) for r in rejects.collect()}
+    assert why == {2: ("f", "amount: too many decimals; n: not integral"), 3: ("f", "amount: not a number; n: out of range")}
+    ids = [r.id for r in stage_cast(df.select("id"), {"id": "id"})[0].collect()]
+    assert sorted(i or "" for i in ids) == ["", "007", "9007199254740993", "abc"]
+    floats = spark.createDataFrame([(2.0**53 + 2, 0.1), (3.0, 1.239)], "id double, amount double")
+    assert [r.reject_reason for r in stage_cast(floats, {"id": "id", "amount": "decimal(18,2)"})[1].orderBy("id").collect()] == \
+        ["amount: too many decimals", "id: id beyond 2^53"]
+
+
+def test_stage_cast_timestamps_need_a_zone(spark):
+    from basketry.sources.staging import stage_cast
+    df = spark.createDataFrame([("2017-01-01T10:00:00+02:00",), ("2017-01-01T10:00:00",), ("2017-01-01T10:00:00.1234567Z",), ("soonZ",), (None,)], "t string")
+    good, rejects = stage_cast(df, {"t": "timestamp"})
+    assert sorted(str(r.t) for r in good.collect() if r.t) == ["2017-01-01 08:00:00"] or good.count() == 2
+    assert sorted(r.reject_reason for r in rejects.collect()) == ["t: finer than a microsecond", "t: not a timestamp", "t: timestamp without a zone"]
+
+
+def test_assign_keys_on_millions_of_wide_rows(spark, tmp_path):
+    """Range bounds are sampled and partitions coalesced at this size; keys must stay dense and in order."""
+    n = 3_000_000
+    try:
+        for aqe, parts in (("true", "200"), ("false", "8")):
+            spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            wide = spark.range(n).select(F.md5(F.col("id").cast("string").cast("binary")).alias("k"),
+                                         F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("a"),
+                                         F.sha2((F.col("id") + 1).cast("string").cast("binary"), 256).alias("b"))
+            G.assign_keys(wide, "k", "key").write.parquet(str(tmp_path / aqe))
+            out = spark.read.parquet(str(tmp_path / aqe))
+            r = out.agg(F.count(F.lit(1)), F.countDistinct("key"), F.min("key"), F.max("key")).first()
+            assert tuple(r) == (n, n, 1, n)
+            ordered = out.select((F.col("key") % 1000).alias("m"), "key", "k").where("m < 2").orderBy("key").select("k").collect()
+            assert [x.k for x in ordered] == sorted(x.k for x in ordered)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_guarded_loads_stop(spark):
+    import pytest
+    target = spark.createDataFrame([(1, "a", 10), (2, "b", 11)], "id int, v string, sk long")
+    expected = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, v string")
+    merged = L.load_insert_only(target, expected, "id", ["id", "v"], "sk")
+    assert sorted(tuple(r) for r in merged.select("id", "v", "sk").collect()) == [(1, "a", 10), (2, "b", 11), (3, "c", 12)]
+    assert L.changed_keys(target, merged, "id", "sk").count() == 0
+    assert L.changed_keys(target, merged.withColumn("sk", F.col("sk") + (F.col("id") == 2).cast("int")), "id", "sk").count() == 1
+    for bad in (expected.replace("b", "x", "v"), expected.where("id != 2")):
+        with pytest.raises(L.LoadBlocked):
+            L.load_insert_only(target, bad, "id", ["id", "v"], "sk")
+    checked = spark.createDataFrame([(1, ""), (2, "late")], "id int, reject_reason string")
+    with pytest.raises(L.LoadBlocked):
+        L.load_without_rejects(checked)
+    assert L.load_without_rejects(checked.where("id = 1")).columns == ["id"]
+
+
+def test_quantiles_from_value_counts(spark):
+    import random
+    from basketry.plans.profile import quantity_quantiles
+    random.seed(2)
+    for values in ([5.0], [1.0, 2.0], [float(random.randint(0, 40)) for _ in range(501)], [random.gauss(0, 9) for _ in range(1000)]):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "quantity double")
+        got = {r.probability: r.value for r in quantity_quantiles(df).collect()}
+        want = dict(zip((0.0, 0.5, 0.9, 0.99, 1.0), df.agg(F.percentile("quantity", [0.0, 0.5, 0.9, 0.99, 1.0])).first()[0]))
+        assert all(abs(got[p] - want[p]) < 1e-9 for p in want) and len(got) == 5
+
+
 def test_stage_profile_and_reconcile(spark):
     from basketry.sources.staging import stage_profile, stage_reconcile
     df = spark.createDataFrame([(1, Decimal("1.10")), (2, None)], "a int, m decimal(18,2)")
