@@ -163,7 +163,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", v
                 ids, asked_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
                 v, qs = np.frombuffer(row["vectors"]).reshape(len(ids), dim), np.frombuffer(row["q_vectors"]).reshape(len(asked_ids), dim)
                 balls = {n: np.frombuffer(row[n], np.int64) for n in ("first", "last", "least_id")} | {"radius": np.frombuffer(row["radius"])}
-                center = np.frombuffer(row["center"]).reshape(-1, dim)
+                center = np.frombuffer(row["center"]).reshape(len(balls["radius"]), dim)
                 length = np.sqrt((qs**2).sum(axis=1))
                 bounds = qs @ center.T + length[:, None] * balls["radius"][None, :]
                 bounds += 1e-9 * (length[:, None] * (np.sqrt((center**2).sum(axis=1)) + balls["radius"])[None, :]) + 1.0  # rounding

@@ -49,7 +49,7 @@ SPACE, OTHER = 0, 1  # symbols before the alphabet's
 class Model:
     languages: tuple[str, ...]
     letters: tuple[int, ...]        # code points (lower case) of symbols 2, 3, ...
-    table: np.ndarray               # next state, times two, plus one where a phrase ends
+    table: np.ndarray               # next state, times four, plus the phrases that end (an unknown letter is one itself)
     roots: tuple[int, ...]
     weights: tuple[float, ...]      # log2 of each language's letters
     usual: float                    # phrases per letter, so weighed, of labelled texts left out
@@ -145,14 +145,14 @@ def build(samples: dict[str, list[str]]) -> Model:
         for c, q in go[0].items():
             if c < width - 1 and c != OTHER:
                 start[c] = root + q
-        block[:] = 2 * start + 1
-        block[0] = 2 * start + (start == root)
+        block[:] = 4 * start + 1 + (start == root)
+        block[0] = 4 * start + (start == root)
         for p, to in enumerate(go):
             for c, q in to.items():
                 if c < width - 1 and c != OTHER:
-                    block[p, c] = 2 * (root + q)
-        block[:, width - 1] = 2 * root + 1
-        block[0, width - 1] = 2 * root
+                    block[p, c] = 4 * (root + q)
+        block[:, width - 1] = 4 * root + 1
+        block[0, width - 1] = 4 * root
         rows.append(block)
         roots.append(root)
         weights.append(float(np.log2(max(2, len(learned)))))
@@ -186,8 +186,8 @@ def parse(model: Model, texts: list[str], mapped: np.ndarray) -> tuple[np.ndarra
         live = int(np.searchsorted(-size[:live], -step, "left"))
         code = s[begin[:live] + step]
         found = flat[state[:, :live] * width + code]
-        phrases[:, :live] += found & 1
-        state[:, :live] = found >> 1
+        phrases[:, :live] += found & 3
+        state[:, :live] = found >> 2
     phrases += state != roots
     total = np.zeros((len(texts), many))
     for k in range(many):
