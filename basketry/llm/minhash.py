@@ -17,8 +17,8 @@ Every pair that shares a bucket and is not joined otherwise is thus tried.  A pa
 the threshold of 0.8 misses all 32 buckets with probability about 5e-8.
 
 Defined cases: a null or empty text, or one without words, has the empty set and is
-linked with nothing; fewer words than a shingle count as one shingle; rows sharing a
-key are one node of the graph; rows with a null key are linked with nothing and are
+linked with nothing; fewer words than a shingle count as one shingle; rows that
+share a key, but not their set, are linked with each other; rows with a null key are linked with nothing and are
 kept; an empty table gives no rows; other columns are not read.
 """
 
@@ -37,12 +37,15 @@ from .tokens import slices
 BINS = 128
 ROWS = 4
 BANDS = BINS // ROWS
-#: Signatures are trusted to rule a pair out from this many shingles on, below this share of equal bins
-#: (five or more standard deviations under the threshold of 0.8).
-TRUSTED_SET = 64
-LEAST_EQUAL = 0.5
+#: Share of equal bins under which a signature rules a pair out, by shingles of its smaller set: five or more
+#: standard deviations under the threshold of 0.8 for as many full bins as such a set has.
+LEAST_EQUAL = ((128, 0.6), (48, 0.45))
 #: Members of a bucket compared with each other in one group.
-BLOCK = 500
+BLOCK = 2000
+#: Least hashes of a set that are compared there: of a smaller set all, so that its similarity is exact; of a larger
+#: one a sample, trusted to rule a pair out below the share (five standard deviations under 0.8).
+LEAST_HASHES = 256
+LEAST_SHARED = 0.675
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SPACE = np.zeros(256, bool)
@@ -177,17 +180,23 @@ def sketch(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text")
     return docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("t")).mapInArrow(sketched, SKETCH)
 
 
-def equal_bins(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).mean(axis=-1)
+def alike(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Whether short signatures, a row each, leave it open that the sets are near; ``least``: shingles of the smaller set."""
+    floor = np.zeros(len(least))
+    for shingles_from, share in reversed(LEAST_EQUAL):
+        floor[least >= shingles_from] = share
+    return (a == b).mean(axis=-1) >= floor
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach ``num / den``; texts of the pairs alone are shuffled."""
+def texts_of(docs: DataFrame, keys: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, t): one text for each of the keys; rows that share a key are one node."""
+    rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("t"))
+    return rows.join(keys, "key", "left_semi").groupBy("key").agg(F.min("t").alias("t"))
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach ``num / den``; ``texts`` as of ``texts_of``."""
     ship(pairs.sparkSession)
-    nodes = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    # one text for a key: rows that share a key are one node
-    texts = (docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("t")).join(nodes, "key", "left_semi")
-             .groupBy("key").agg(F.min("t").alias("t")))
     both = (pairs.join(texts.withColumnsRenamed({"key": "a", "t": "ta"}), "a").join(texts.withColumnsRenamed({"key": "b", "t": "tb"}), "b")
             .select("a", "b", "ta", "tb"))
 
@@ -210,59 +219,71 @@ def components(links: DataFrame) -> DataFrame:
     """(key, component): the least key reachable over the links (a, b), for every linked key.
 
     Alternating large-star and small-star rounds on stored edges: each joins every node
-    with the least neighbour it knows, until nothing changes.
+    with the least neighbour it knows, until every node but the least of its component
+    has one edge, to that least.
     """
-    def star(edges: DataFrame, both: bool) -> DataFrame:
-        if both:  # every neighbour above the node goes to the least of all
-            e = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        else:     # every neighbour below, and the node itself
-            e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    def large(edges: DataFrame) -> DataFrame:
+        """Neighbours above a node go to the least of the node and its neighbours."""
+        e = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
-        joined = e.join(least, e.a == least.n)
-        if both:
-            return joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select(F.col("n").alias("a"), F.col("m").alias("b")))
+        return e.join(least, e.a == least.n).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+    def small(edges: DataFrame) -> DataFrame:
+        """Neighbours below a node, and the node, go to the least of them."""
+        e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        least = e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
+        out = e.join(least, e.a == least.n).select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select(F.col("n").alias("a"), F.col("m").alias("b")))
         return out.where(F.col("a") != F.col("b")).distinct()
 
-    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
-    before = None
+    edges = links.where("a != b")
     while True:
-        edges = stored(star(star(edges, True), False), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        edges = stored(small(large(edges)), "edges")
+        ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+            .union(edges.select(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        seen = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not seen.where((F.col("up") > 1) | (F.col("up") > 0) & (F.col("down") > 0)).limit(1).count():
             break
-        before = now
     flat = edges.select(F.col("a").alias("key"), F.col("b").alias("component"))
     return flat.union(flat.select(F.col("component").alias("key"), "component").distinct())
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id, kept) of every row; links are pairs of sets with ``den * common >= num * union``."""
+    """(key, n_shingles, component_id, kept) of every row; links are pairs of sets with ``den * common >= num * union``.
+
+    Equal sets are one node, their least key; only nodes take part in what follows.
+    """
     rows = stored(sketch(docs, size, key, text), "sketches")
     named = rows.where(F.col("key").isNotNull() & (F.col("n_shingles") > 0))
-    groups = named.groupBy("n_shingles", "d1", "d2").agg(
-        F.min("key").alias("rep"), F.min_by(F.struct("bands", "sig"), "key").alias("s"), F.count(F.lit(1)).alias("copies"))
-    groups = stored(groups.select("n_shingles", "d1", "d2", "rep", "copies", "s.*"), "groups")
-    many = groups.where(F.col("copies") > 1).select("n_shingles", "d1", "d2", "rep")
-    copies = named.join(many, ["n_shingles", "d1", "d2"]).where("key != rep").select(F.col("rep").alias("a"), F.col("key").alias("b"))
+    digest = ["n_shingles", "d1", "d2"]
+    groups = stored(named.groupBy(*digest).agg(F.min("key").alias("rep"), F.min_by(F.struct("bands", "sig"), "key").alias("s"))
+                    .select(*digest, "rep", "s.*"), "groups")
+    owned = stored(rows.select("key", *digest).join(groups.select(*digest, "rep"), digest, "left")
+                   .select("key", "n_shingles", F.when(F.col("key").isNotNull(), F.col("rep")).alias("rep")), "owners")
+    # rows that share a key but not their set
+    same = (owned.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a != z")
+            .join(owned, "key").where("rep != a").select("a", F.col("rep").alias("b")).distinct())
 
     members = groups.select(F.col("rep").alias("key"), "n_shingles", F.explode("bands").alias("band"))
-    rank = F.struct(F.xxhash64("key").alias("h"), F.col("key"))
-    hubs = members.groupBy("band").agg(F.min(rank).alias("hub"), F.count(F.lit(1)).alias("m"), F.min_by("n_shingles", rank).alias("hub_n")) \
-        .where(F.col("m") > 1).select("band", F.col("hub.key").alias("hub"), "hub_n")
+    rank = F.struct(F.xxhash64("key").alias("h"), F.col("key"), F.col("n_shingles"))
+    hubs = members.groupBy("band").agg(F.min(rank).alias("hub"), F.count(F.lit(1)).alias("m")) \
+        .where(F.col("m") > 1).select("band", F.col("hub.key").alias("hub"), F.col("hub.n_shingles").alias("hub_n"))
     shared = stored(members.join(hubs, "band"), "buckets")  # rows of buckets with two members or more
-    may = lambda x, y: (den * F.least(x, y) >= num * F.greatest(x, y))  # noqa: E731  sizes alone rule out the others
-    stars = shared.where(F.col("key") != F.col("hub")).where(may(F.col("n_shingles"), F.col("hub_n"))) \
-        .select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
+    may = den * F.least("n_shingles", "hub_n") >= num * F.greatest("n_shingles", "hub_n")  # sizes alone rule out the others
+    stars = shared.where(F.col("key") != F.col("hub")).where(may).select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
     stars = stored(_alike(stars, groups), "stars")
-    links = stored(confirm(stars, docs, size, num, den, key, text).union(copies), "links")
-    joined = components(links)
-
-    rest = stored(_apart(shared, joined, groups, num, den).join(stars, ["a", "b"], "left_anti"), "rest")
-    more = stored(confirm(rest, docs, size, num, den, key, text), "more-links")
-    joined = components(links.union(more)) if more.limit(1).count() else joined
-    return (rows.join(joined, "key", "left")
-            .withColumn("component_id", F.coalesce("component", "key"))
+    texts = stored(texts_of(docs, shared.select("key").distinct(), key, text), "bucket-texts", compression="zstd")
+    joined = stored(components(confirm(stars, texts, size, num, den).union(same)), "components")
+
+    rest = stored(_apart(shared, joined, groups, texts, size, num, den), "rest")
+    more = confirm(rest, texts, size, num, den)
+    # what the second look links are components, so only those are joined again
+    of = lambda side: joined.select(F.col("key").alias(side), F.col("component").alias(f"c{side}"))
+    between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).distinct()
+    again = components(stored(between, "more-links")).select(F.col("component").alias("final"), F.col("key").alias("component"))
+    final = (joined.select("key", "component")
+             .union(again.select(F.col("component").alias("key"), "component").join(joined.select("key"), "key", "left_anti"))
+             .join(again, "component", "left").select(F.col("key").alias("rep"), F.coalesce("final", "component").alias("component")))
+    return (owned.join(final, "rep", "left").withColumn("component_id", F.coalesce("component", "rep", "key"))
             .select("key", "n_shingles", "component_id", F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
@@ -270,72 +291,112 @@ def _alike(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """The pairs (a, b) whose signatures do not rule them out."""
     sides = groups.select(F.col("rep").alias("key"), "n_shingles", "sig")
 
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ruled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BINS) for c in (2, 3))
             least = batch.column(4).to_numpy()
-            yield batch.select(["a", "b"]).filter(pa.array((least < TRUSTED_SET) | (equal_bins(x, y) >= LEAST_EQUAL)))
+            yield batch.select(["a", "b"]).filter(pa.array(alike(x, y, least)))
 
     both = (pairs.join(sides.select(F.col("key").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa")), "a")
             .join(sides.select(F.col("key").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb")), "b"))
-    return both.select("a", "b", "sa", "sb", F.least("na", "nb").alias("least")).mapInArrow(alike, "a bigint, b bigint")
+    return both.select("a", "b", "sa", "sb", F.least("na", "nb").alias("least")).mapInArrow(ruled, "a bigint, b bigint")
+
+
+def _least_hashes(texts: DataFrame, size: int) -> DataFrame:
+    """(key, least): the least shingle hashes of each text, in order, as the upper 32 bits of each."""
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for i, j in slices(batch.column(1), 3 << 20):
+                    least = [(s[:LEAST_HASHES] >> np.uint64(32)).astype("<u4").tobytes() for s in shingles(batch.column(1).slice(i, j - i), size)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(least, pa.binary())], ["key", "least"])
+
+    return texts.mapInArrow(sampled, "key bigint, least binary")
+
+
+def _similar(group: list[tuple], num: int, den: int) -> tuple[list[int], list[int]]:
+    """Pairs of keys of a group (band, x, y, block, key, n, c, bands, least) that may reach ``num / den``.
+
+    Pairs in one component, of sizes too different, or that share an earlier bucket are
+    left out.  The others are compared by their least hashes, one member with all others at once.
+    """
+    band, x, y = group[0][:3]
+    block, keys, n, c = (np.array([g[i] for g in group], np.int64) for i in (3, 4, 5, 6))
+    bands = np.array([g[7] for g in group], np.int64)
+    sets = [np.frombuffer(g[8], "<u4") for g in group]
+    sizes = np.array([len(s) for s in sets])
+    cut = np.where(n > sizes, np.array([int(s[-1]) if len(s) else 0 for s in sets]), 1 << 32)  # hashes above are not known
+    hashes = np.concatenate(sets)
+    _, ids = np.unique(hashes, return_inverse=True)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    mine = np.zeros(int(ids.max(initial=-1)) + 1, bool)
+    first, second = np.flatnonzero(block == x), np.flatnonzero(block == y)
+    out: tuple[list[int], list[int]] = [], []
+    for i in first.tolist():
+        js = second[(c[second] != c[i]) & (den * np.minimum(n[second], n[i]) >= num * np.maximum(n[second], n[i]))]
+        if x == y:
+            js = js[keys[js] > keys[i]]
+        if not len(js):
+            continue
+        same = bands[js] == bands[i]
+        js = js[bands[i][same.argmax(axis=1)] == band]  # met in their first common bucket
+        if not len(js):
+            continue
+        mine[ids[at[i]:at[i + 1]]] = True
+        take = np.repeat(at[js] - np.concatenate([[0], np.cumsum(sizes[js])[:-1]]), sizes[js]) + np.arange(sizes[js].sum())
+        starts = np.concatenate([[0], np.cumsum(sizes[js])[:-1]])
+        top = np.minimum(cut[js], cut[i])
+        common = np.add.reduceat(mine[ids[take]].astype(np.int64), starts)
+        theirs = np.add.reduceat((hashes[take] <= np.repeat(top, sizes[js])).astype(np.int64), starts)
+        own = np.searchsorted(sets[i], top, "right")
+        floor = np.where(top < 1 << 32, LEAST_SHARED, num / den - 1e-9)
+        near = js[common >= floor * (own + theirs - common)]
+        mine[ids[at[i]:at[i + 1]]] = False
+        out[0].extend(np.minimum(keys[near], keys[i]).tolist())
+        out[1].extend(np.maximum(keys[near], keys[i]).tolist())
+    return out
 
 
-def _apart(shared: DataFrame, joined: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of one bucket in different components whose sizes and signatures may reach the threshold, each once.
+def _apart(shared: DataFrame, joined: DataFrame, groups: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Pairs of one bucket in different components that may reach the threshold, each once.
 
-    Within a bucket members are sorted by size and compared in blocks of ``BLOCK``;
-    a block meets the blocks after it while their sizes are near enough, so a bucket of
-    any length is dealt to many groups, none larger than two blocks.
+    Members of a bucket are dealt to blocks of ``BLOCK`` by hash, and each two blocks
+    meet in a group, so a bucket of any length is dealt to many groups of two blocks.
     """
     labelled = (shared.select("band", "key", "n_shingles").join(joined, "key", "left")
                 .select("band", "key", "n_shingles", F.coalesce("component", "key").alias("c")))
     mixed_buckets = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")) \
         .where("lo != hi").select("band", "m")
+    members = stored(labelled.join(mixed_buckets, "band"), "mixed-buckets")
+    keys = members.select("key").distinct()
+    traits = _least_hashes(texts.join(keys, "key", "left_semi").select("key", "t"), size) \
+        .join(groups.select(F.col("rep").alias("key"), "bands"), "key")
     of = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    rows = (labelled.join(mixed_buckets, "band").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("block", of)
+    rows = (members.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("block", of)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "key", "n_shingles", "c")
-            .join(groups.select(F.col("rep").alias("key"), "sig"), "key")
-            .select("band", "x", "y", "block", "key", "n_shingles", "c", "sig"))
+            .join(traits, "key")
+            .select("band", "x", "y", "block", "key", "n_shingles", "c", "bands", "least"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def within(group: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-            x, y = group[0][1], group[0][2]
-            block, k, n, c = (np.array([g[i] for g in group], np.int64) for i in (3, 4, 5, 6))
-            first = np.flatnonzero(block == x)
-            second = np.flatnonzero(block == y)
-            near = den * np.minimum(n[first][:, None], n[second][None, :]) >= num * np.maximum(n[first][:, None], n[second][None, :])
-            near &= c[first][:, None] != c[second][None, :]
-            i, j = (p.astype(np.int32) for p in np.nonzero(near))
-            i, j = first[i], second[j]
-            if x == y:
-                i, j = i[k[i] < k[j]], j[k[i] < k[j]]
-            sig = np.frombuffer(b"".join(g[7] for g in group), np.uint16).reshape(-1, BINS)
-            keep = [(np.minimum(n[i[p:p + 4096]], n[j[p:p + 4096]]) < TRUSTED_SET)
-                    | (equal_bins(sig[i[p:p + 4096]], sig[j[p:p + 4096]]) >= LEAST_EQUAL) for p in range(0, len(i), 4096)]
-            keep = np.concatenate([np.zeros(0, bool), *keep])
-            return np.minimum(k[i], k[j])[keep], np.maximum(k[i], k[j])[keep]
-
-        def batch_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        def found(group: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(k, pa.int64()) for k in _similar(group, num, den)], ["a", "b"])
 
         now, group = None, []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if now != row[:3] and group:
-                    yield batch_of(*within(group))
+                    yield found(group)
                     group = []
                 now = row[:3]
                 group.append(row)
         if group:
-            yield batch_of(*within(group))
+            yield found(group)
 
     parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(parts, "band", "x", "y").sortWithinPartitions("band", "x", "y")
-            .mapInArrow(pairs, "a bigint, b bigint").distinct())
+    return rows.repartition(parts, "band", "x", "y").sortWithinPartitions("band", "x", "y").mapInArrow(pairs, "a bigint, b bigint")
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
