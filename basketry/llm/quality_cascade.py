@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, stored, words
+from .common import SPACE_CLASS, hash_sample, stored, words
 
 #: Bound of the sample that costs and selectivities are estimated on (rows by hash order, and characters of each).
 SAMPLE_ROWS = 400
@@ -88,9 +88,9 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     return twice.select(key, "text", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", covered.alias("n_repeat_words"))
 
 
-def estimate(measured: DataFrame, rules: list[Rule], key: str = "doc_id") -> list[tuple[Rule, float, float]]:
-    """(rule, seconds for the sample, share rejected), highest rejections per second first."""
-    sample = stored(measured.orderBy(F.xxhash64(key), key, "text").limit(SAMPLE_ROWS), "quality-sample")
+def estimate(sampled: DataFrame, rules: list[Rule]) -> list[tuple[Rule, float, float]]:
+    """(rule, seconds for the measured sample, share rejected), highest rejections per second first."""
+    sample = stored(sampled, "quality-sample")
     found = []
     for rule in rules:
         seconds = []
@@ -117,7 +117,6 @@ def judge(docs: DataFrame, rules: list[Rule] | None = None, key: str = "doc_id",
     are computed once over the whole table.
     """
     rules = rules or production_rules()
-    drawn = (docs.select(key, text).where(F.coalesce(F.length(text), F.lit(0)) <= SAMPLE_CHARS)
-             .orderBy(F.xxhash64(key), key, text).limit(SAMPLE_ROWS))
-    order = [r for r, _, _ in estimate(measure(drawn, key, text), rules, key)]
+    drawn = hash_sample(docs.select(key), docs.select(key, text), key, SAMPLE_ROWS).where(F.coalesce(F.length(text), F.lit(0)) <= SAMPLE_CHARS)
+    order = [r for r, _, _ in estimate(measure(drawn, key, text), rules)]
     return cascade(measure(docs, key, text), order).withColumn("kept", F.col("rejected_by").isNull())
