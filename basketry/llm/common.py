@@ -71,3 +71,13 @@ def words(text: Column) -> Column:
 def crc_mod(key: Column, mod: int) -> Column:
     """crc32 of the key's decimal text, modulo ``mod``; used to split train from held out."""
     return F.crc32(key.cast("string").cast("binary")) % F.lit(mod)
+
+
+def hash_sample(rows: DataFrame, docs: DataFrame, key: str, n: int) -> DataFrame:
+    """The documents whose keys are the first ``n`` keys of ``rows`` by hash order.
+
+    Only keys are sorted; the ``n`` found, a bound of the caller, are broadcast, so the
+    documents are scanned but never shuffled.
+    """
+    first = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(n)
+    return docs.join(F.broadcast(first), F.col(key) == F.col("_key"), "left_semi")

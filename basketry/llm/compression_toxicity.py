@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import hash_sample, ship
 from .tokens import slices
 
 #: Bounds of the training sample: texts of a class, and characters of a text that may be learned from.
@@ -42,10 +42,11 @@ SAMPLE_CHARS = 20_000
 #: A beginning of a word is evidence if it is in this share of toxic texts and this many times as common there.
 EVIDENCE_SHARE = 0.02
 EVIDENCE_RATIO = 25.0
+EVIDENCE_MARGIN = 3.0
 STEM_CHARS = (4, 5, 6, 7, 8, 9, 10)
 DICT_BYTES = 12 << 10
 #: Bytes saved from which a window counts as toxic; windows whose savings a task remembers.
-STRONG = 8
+STRONG = 4
 KNOWN_WINDOWS = 500_000
 #: Depth and kind (btlazy2) of zstandard's match search.
 SEARCH_LOG = 7
@@ -148,6 +149,12 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(_curve(features) @ np.array(self.weights), -30, 30)))
 
 
+def _surprise(toxic: int, ordinary: int, share: float) -> float:
+    """Log-likelihood ratio of toxic and ordinary counts against the share of toxic texts."""
+    total = toxic + ordinary
+    return toxic * math.log(toxic / (total * share)) + (ordinary * math.log(ordinary / (total * (1 - share))) if ordinary else 0.0)
+
+
 def _distinct(texts: list[str]) -> list[int]:
     """Texts but for copies and most near copies, whose words would pass for common ones: no two share a smallest shingle hash."""
     seen: set[int] = set()
@@ -181,12 +188,22 @@ def learn(texts: list[str], labels: list[int]) -> Model:
     if len(set(labels)) < 2:
         return Model(b"", b"", (-30.0, 0.0, 0.0))
     fit = [k % 3 != 2 for k in range(len(texts))]
-    split = [set(_words(t)) if f else set() for t, f in zip(texts, fit, strict=True)]
-    stems = [{w[:n] for w in ws for n in STEM_CHARS if len(w) >= n} for ws in split]
-    counts = {c: Counter(s for st, y, f in zip(stems, labels, fit, strict=True) if f and y == c for s in st) for c in (0, 1)}
+    vocabulary: dict[str, str] = {}  # each word once, however many texts have it
+    split = [{vocabulary.setdefault(w, w) for w in _words(t)} if f else set() for t, f in zip(texts, fit, strict=True)]
     n = {c: max(1, sum(f and y == c for y, f in zip(labels, fit, strict=True))) for c in (0, 1)}
-    strong = {s for s, k in counts[1].items() if k >= max(5, EVIDENCE_SHARE * n[1])
-              and k / n[1] >= EVIDENCE_RATIO * (counts[0][s] + 0.5) / n[0]}
+    counts = {0: Counter(), 1: Counter()}
+    for ws, y in zip(split, labels, strict=True):
+        if y == 1:
+            counts[1].update({w[:m] for w in ws for m in STEM_CHARS if len(w) >= m})
+    common = {s for s, k in counts[1].items() if k >= max(5, EVIDENCE_SHARE * n[1])}
+    for ws, y in zip(split, labels, strict=True):
+        if y == 0:
+            counts[0].update(common.intersection(w[:m] for w in ws for m in STEM_CHARS if len(w) >= m))
+    # and not by chance: the more beginnings are looked at, the more surprising it has to be
+    surprise = math.log(max(2, len(common))) + EVIDENCE_MARGIN
+    strong = {s for s in common if counts[1][s] / n[1] >= EVIDENCE_RATIO * (counts[0][s] + 0.5) / n[0]
+              and _surprise(counts[1][s], counts[0][s], n[1] / (n[0] + n[1])) >= surprise}
+    counts[1] = Counter({s: counts[1][s] for s in common})
     marked = [sorted({_stem(w, strong, counts[1]) for w in ws} - {""}) for ws in split]
     whole = Counter(w for ws, y in zip(split, labels, strict=True) if y == 1 for w in ws)
     closed = {s for s, k in counts[1].items() if 10 * whole[s] >= 8 * k}
@@ -201,7 +218,7 @@ def learn(texts: list[str], labels: list[int]) -> Model:
     ordinary = [w.encode() for t, y, f in zip(texts, labels, fit, strict=True) if f and y == 0 for w in _pieces(t.lower())]
     forms = Counter({f" {w} ": whole[w] for w in whole if whole[w] >= 2 and any(w[:m] in strong for m in STEM_CHARS)})
     words = Counter(w for ws, y in zip(marked, labels, strict=True) if y == 1 for w in ws) | forms
-    toxic = "\n".join(w for w, _ in reversed(words.most_common())).encode()[-DICT_BYTES:] + b"\n"
+    toxic = "\n".join(sorted(words, key=lambda w: (words[w], w))).encode()[-DICT_BYTES:] + b"\n"
     # ordinary text that comes closest: what a toxic word shares with ordinary words must cost the same
     plain = " " + "  ".join(sorted({w for ws, y, f in zip(split, labels, fit, strict=True) if f and y == 0 for w in ws})) + " "
 
@@ -209,7 +226,7 @@ def learn(texts: list[str], labels: list[int]) -> Model:
         return plain.find(part, plain.find(part) + 1) > 0 if part in plain else False
 
     near = set()
-    for w in words:
+    for w in sorted(words):
         reach = 0
         for i in range(len(w) - 1):
             j = max(reach, i + 1)
@@ -254,13 +271,15 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     return tuple(float(v) for v in w)
 
 
-def sample(labelled: DataFrame, key: str, text: str, label: str) -> tuple[list[str], list[int]]:
-    """A bounded sample of texts and labels, by hash order of the key within each class."""
-    rows = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y")) \
-        .where(F.col("y").isin(0, 1) & F.col("t").isNotNull() & (F.length("t") <= SAMPLE_CHARS))
-    parts = [rows.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k", "t").limit(n) for y, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY))]
-    found = [r for p in parts for r in p.select("t", "y").collect()]
-    return [r.t for r in found], [r.y for r in found]
+def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> tuple[list[str], list[int]]:
+    """A bounded sample of texts and labels: keys of each class by hash order, then those texts that are not too long."""
+    texts, found = [], []
+    for y, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY)):
+        rows = hash_sample(labels.where(F.col(label).cast("int") == y).select(key), docs, key, n)
+        some = rows.where(F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS)).select(F.col(key).alias("k"), F.col(text).alias("t")).collect()
+        texts += [r.t for r in sorted(some, key=lambda r: (r.k, r.t))]
+        found += [y] * len(some)
+    return texts, found
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

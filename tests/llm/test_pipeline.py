@@ -6,19 +6,20 @@ import sys
 import corpus_pipeline
 from basketry.llm import minhash
 
-from .helpers import MIDDLE, SMALL, edge_documents, empty_documents
+from .helpers import LARGE, MIDDLE, SMALL, edge_documents, empty_documents
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def test_stages_and_their_columns(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "language", "near_duplicates", "mixture", "packing"]
-    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").cache()
-    toxic = {r.doc_id for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").where("toxic = 1").collect()}
-    clean = {r.doc_id for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").where("toxic = 0").collect()}
-    out = corpus_pipeline.toxicity(spark, docs, MIDDLE)
+    docs = spark.read.parquet(f"{LARGE}/documents.parquet")  # with examples enough to learn from
+    toxic = {r.doc_id for r in spark.read.parquet(f"{LARGE}/labels.parquet").where("toxic = 1").collect()}
+    clean = {r.doc_id for r in spark.read.parquet(f"{LARGE}/labels.parquet").where("toxic = 0").collect()}
+    out = corpus_pipeline.toxicity(spark, docs, LARGE)
     left = {r.doc_id for r in out.select("doc_id").collect()}
-    assert out.columns == docs.columns and len(toxic & left) <= 0.1 * len(toxic) and len(clean & left) >= 0.97 * len(clean)
+    assert out.columns == docs.columns and len(toxic & left) <= 0.25 * len(toxic) and len(clean & left) >= 0.99 * len(clean)
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").cache()
     spoken = corpus_pipeline.language(spark, docs, MIDDLE)
     assert spoken.columns == docs.columns and spoken.count() >= 0.97 * docs.count()
     one = corpus_pipeline.near_duplicates(spark, docs, MIDDLE)
