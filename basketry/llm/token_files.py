@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path, ship
+from .common import hash_sample, shared_path, ship
 from .tokens import encoder, slices
 
 #: Bounds of the dictionary's training sample: documents (by hash order of the key) and characters of each.
@@ -45,9 +45,9 @@ def train_dictionary(docs: DataFrame, key: str, text: str, path: str, folds_case
     """Dictionary content from a bounded sample of documents; empty if there is too little to learn from."""
     import zstandard
 
-    sample = (docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"))
-              .where(F.length("t").between(1, SAMPLE_CHARS))
-              .orderBy(F.xxhash64("k"), "k", "t").limit(SAMPLE_DOCS).select("t").toArrow())
+    keyed = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"))
+    sample = (hash_sample(keyed.select("k"), keyed, "k", SAMPLE_DOCS).where(F.length("t").between(1, SAMPLE_CHARS))
+              .toArrow().sort_by([("k", "ascending"), ("t", "ascending")]).select(["t"]))
     ids, at = encoder(path, folds_case).encode(sample.column(0).combine_chunks().cast(pa.string())) if sample.num_rows else ([], [0])
     rows = [np.append(ids[at[k]:at[k + 1]], end_id).astype(f"<u{id_bytes}").tobytes() for k in range(len(at) - 1)]
     try:
@@ -132,17 +132,20 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, end_id: int, ke
      .write.option("compression", "none").option("parquet.block.size", str(16 << 20)).parquet(f"{out}/blocks"))
 
 
-def read_tokens(spark: SparkSession, folder: str, first_key: int | None = None, last_key: int | None = None) -> DataFrame:
-    """Documents of a token file set: (bucket, block, place, before, key, n_tokens, ids).
+def read_tokens(spark: SparkSession, folder: str, first_key: int | None = None, last_key: int | None = None, checksums: bool = False) -> DataFrame:
+    """Documents of a token file set: (bucket, block, place, before, key, n_tokens, ids), or ``ids_crc32`` in place of ids.
 
     ``before`` counts the ids of earlier documents of the block, ``ids`` holds
     little-endian unsigned ids of the width that ``dictionary`` gives.  With a range of
     keys only the blocks that reach into it are read (their first and last key are
-    pushed down to the scan), and only its documents are decompressed.
+    pushed down to the scan), and only its documents are decompressed.  Checksums are
+    those of ``widened_crc32``, taken where a document is read: no second Python worker
+    stands behind the first.
     """
     ship(spark)
     known = {r.dict_hash: (r.id_bytes, bytes(r.content)) for r in spark.read.parquet(f"{folder}/dictionary").limit(1).collect()}
     table = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
+    name = "ids_crc32" if checksums else "ids"
     if first_key is not None:
         table = table.where(F.col("last_key") >= first_key)
     if last_key is not None:
@@ -156,20 +159,22 @@ def read_tokens(spark: SparkSession, folder: str, first_key: int | None = None,
         for batch in batches:
             for k in range(batch.num_rows):
                 bucket, block, keys, n, at, mark, body = (c[k].as_py() for c in batch.columns)
+                width = known[mark][0]
                 before = np.cumsum([0, *n])
                 picked = [i for i, x in enumerate(keys) if (first_key is None or x is not None and x >= first_key)
                           and (last_key is None or x is not None and x <= last_key)]
                 for i in range(0, len(picked), 512):
                     some = picked[i:i + 512]
+                    ids = [unpack[mark](body[at[x]:at[x + 1]]) for x in some]
+                    last = pa.array([widened_crc32(x, width) for x in ids], pa.int64()) if checksums else pa.array(ids, pa.binary())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([bucket] * len(some), pa.int32()), pa.array([block] * len(some), pa.int32()), pa.array(some, pa.int32()),
                          pa.array([int(before[x]) for x in some], pa.int64()), pa.array([keys[x] for x in some], pa.int64()),
-                         pa.array([n[x] for x in some], pa.int64()),
-                         pa.array([unpack[mark](body[at[x]:at[x + 1]]) for x in some], pa.binary())],
-                        ["bucket", "block", "place", "before", "key", "n_tokens", "ids"])
+                         pa.array([n[x] for x in some], pa.int64()), last],
+                        ["bucket", "block", "place", "before", "key", "n_tokens", name])
 
     return table.select("bucket", "block", "keys", "n_tokens", "offsets", "dict_hash", "body").mapInArrow(
-        documents, "bucket int, block int, place int, before bigint, key bigint, n_tokens bigint, ids binary")
+        documents, f"bucket int, block int, place int, before bigint, key bigint, n_tokens bigint, {name} {'bigint' if checksums else 'binary'}")
 
 
 def block_starts(spark: SparkSession, folder: str) -> DataFrame:
@@ -193,13 +198,6 @@ def token_digest(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     folder = shared_path(spark, "token-files")
     write_token_files(docs, folder, tokenizer, end_id)
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = [widened_crc32(x, 2) for x in batch.column(5).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(crc, pa.int64())],
-                                             ["bucket", "block", "before", "key", "n_tokens", "ids_crc32"])
-
-    rows = (read_tokens(spark, folder).select("bucket", "block", "before", "key", "n_tokens", "ids")
-            .mapInArrow(sums, "bucket int, block int, before bigint, key bigint, n_tokens bigint, ids_crc32 bigint"))
+    rows = read_tokens(spark, folder, checksums=True)
     return rows.join(block_starts(spark, folder), ["bucket", "block"]).select(
         F.col("key").alias("doc_id"), (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")

@@ -19,10 +19,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once (a longer single text is one slice).
-SLICE_BYTES = 6 << 20
-#: Bounds of a worker's cache of encoded parts; it starts afresh when full.
-CACHE_PARTS = 1_000_000
-CACHE_IDS = 12_000_000
+SLICE_BYTES = 4 << 20
+#: Bounds of a worker's cache of encoded parts: once full, further parts are encoded but not remembered.
+CACHE_PARTS = 500_000
 CACHED_BYTES = 48
 
 _VISIBLE = np.zeros(256, bool)
@@ -106,14 +105,13 @@ class Encoder:
         self.ids[begin:end] = np.fromiter(chain.from_iterable(lists), np.uint32, end - begin)
         self.offsets[self.parts + 1:self.parts + 1 + len(parts)] = begin + np.cumsum(sizes)
         for k, p in enumerate(parts):
-            if len(p) <= CACHED_BYTES:
+            if self.parts + k < CACHE_PARTS and len(p) <= CACHED_BYTES:
                 self.known[p] = self.parts + k
         self.parts += len(parts)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: none) one after another, and where each text's ids begin (one more than texts)."""
-        if self.parts > CACHE_PARTS or self.offsets[self.parts] > CACHE_IDS:
-            self._reset()
+        self.parts = min(self.parts, CACHE_PARTS)  # what came after was not remembered
         texts = texts.cast(pa.large_binary()).fill_null(b"")
         at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
