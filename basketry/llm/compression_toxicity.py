@@ -1,16 +1,16 @@
 """Toxicity by compression distance: which of two zstandard dictionaries shortens a text's windows more.
 
-Training, on a bounded sample of labelled texts: beginnings of words whose document
-frequency speaks for toxic text are found, zstandard trains one dictionary on the
+Training, on a bounded sample of labelled texts: beginnings of words whose counts speak
+for toxic text are found, zstandard trains one dictionary on the
 toxic texts' words with such a beginning and one on ordinary text.  The toxic
 dictionary is used together with the ordinary one, so that what both know costs the
 same and the difference of two lengths comes from toxic text alone.
 
-Scoring covers whole texts: every window, a word between two spaces, is
+Scoring covers whole texts: every window, a word (a run of letters, in lower case), is
 compressed with either dictionary (equal windows of a task once).  A logistic curve
-over the largest saving of a window and the number of windows with a large saving,
-fitted on other sampled texts and shifted so that the threshold has the fewest errors
-there, gives the score.
+over the largest saving of a window and the number and share of windows with a large saving,
+fitted on a third of the sample with dictionaries of the rest and shifted so that the threshold
+has the fewest errors there, gives the score.
 
 Defined cases: a null or empty text, or one without words, saves nothing and scores
 as such; null labels are not learned from; repeated rows are scored each on their own;
@@ -29,6 +29,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,37 +40,37 @@ from .tokens import slices
 SAMPLE_TOXIC = 1500
 SAMPLE_ORDINARY = 3000
 SAMPLE_CHARS = 20_000
-#: A beginning of a word is evidence if it is in this share of toxic texts and this many times as common there.
-EVIDENCE_SHARE = 0.02
-EVIDENCE_RATIO = 25.0
+#: A beginning of a word is evidence if it is in so many toxic texts, is this many times as common there, and more than by chance.
+EVIDENCE_TEXTS = 2
+EVIDENCE_RATIO = 12.0
 EVIDENCE_MARGIN = 3.0
+#: Finds of a beginning in one text that count.
+TEXT_COUNT = 8
 STEM_CHARS = (4, 5, 6, 7, 8, 9, 10)
 DICT_BYTES = 12 << 10
 #: Bytes saved from which a window counts as toxic; windows whose savings a task remembers.
-STRONG = 4
+STRONG = 2
 KNOWN_WINDOWS = 500_000
 #: Depth and kind (btlazy2) of zstandard's match search.
 SEARCH_LOG = 7
 STRATEGY = 6
 MIN_MATCH = 4
 THRESHOLD = 0.3
-
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D, ord("."), ord(",")]] = True
-
+#: The share of strong windows counts as if a text had so many more windows.
+SHARE_WINDOWS = 30
+#: Weights without labels of both classes: every score is 0.
+NOTHING = (-30.0, 0.0, 0.0, 0.0)
 
 @dataclass(frozen=True)
 class Model:
     toxic: bytes
     ordinary: bytes
-    weights: tuple[float, float, float]
+    weights: tuple[float, ...]
 
 
 WIDTH = 2
 #: Each byte of text is compressed as ``WIDTH`` bytes (a fixed rule), so that a shared beginning weighs more than a match costs.
 _WIDE = (((np.arange(256, dtype=np.uint64) * 2654435761 + 97) & 0xFFFFFFFF).astype("<u4").view(np.uint8).reshape(256, 4)[:, :WIDTH]).copy()
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
 
 
 def widened(text: bytes) -> bytes:
@@ -112,13 +113,15 @@ class Scorer:
 
     def features(self, texts: pa.Array) -> np.ndarray:
         """(largest saving of a window, windows saved ``STRONG`` bytes or more, all windows) of each text."""
-        raw = texts.cast(pa.large_binary()).fill_null(b"")
+        # the words that training sees: runs of letters in lower case, whatever signs are attached to them
+        plain = pc.replace_substring_regex(pc.utf8_lower(texts.cast(pa.large_string())), r"[^\pL]+", " ")
+        raw = plain.cast(pa.large_binary()).fill_null(b"")
         at = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
         body = raw.buffers()[2]
         data = np.frombuffer(body, np.uint8)[at[0]:at[-1]] if body is not None else np.zeros(0, np.uint8)
         at = at - at[0]
         out = np.zeros((len(texts), 3))
-        inside = ~_SPACE[data]
+        inside = data != ord(" ")
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         begins[at[at < len(data)]] |= inside[at[at < len(data)]]
@@ -127,7 +130,7 @@ class Scorer:
             return out
         owner = np.searchsorted(at, begins, "right") - 1
         place = np.cumsum(inside) - 1
-        data = np.ascontiguousarray(_LOWER[data[inside]])
+        data = np.ascontiguousarray(data[inside])
         ends = np.append(place[begins], len(data)).astype(np.int64)
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
         spans = np.frombuffer(column.dictionary.buffers()[1], np.int64)[:len(column.dictionary) + 1].tolist()
@@ -150,11 +153,47 @@ class Scorer:
 
 
 def _surprise(toxic: int, ordinary: int, share: float) -> float:
-    """Log-likelihood ratio of toxic and ordinary counts against the share of toxic texts."""
+    """Log-likelihood ratio of toxic and ordinary counts against the share of toxic text."""
     total = toxic + ordinary
     return toxic * math.log(toxic / (total * share)) + (ordinary * math.log(ordinary / (total * (1 - share))) if ordinary else 0.0)
 
 
+def _beginnings(word: str) -> list[str]:
+    """What of a word may be evidence: its beginnings, or the whole of a short word with the space behind it."""
+    return [word[:m] for m in STEM_CHARS if len(word) >= m] or [word + " "]
+
+
+def _evidence(split: list[Counter], labels: list[int]) -> tuple[set[str], Counter]:
+    """Beginnings that speak for toxic text, and in how many toxic texts each beginning is that was looked at.
+
+    Only absolute counts are tested, so a family of words of a small language passes with
+    a few texts.  A text counts ``TEXT_COUNT`` times at most for a beginning.
+    """
+    seen, held = {0: Counter(), 1: Counter()}, Counter()
+    said = {c: max(1, sum(min(k, TEXT_COUNT) for ws, y in zip(split, labels, strict=True) if y == c for k in ws.values())) for c in (0, 1)}
+
+    def add(c: int, only: set[str] | None = None) -> None:
+        for ws, y in zip(split, labels, strict=True):
+            if y == c:
+                found = Counter()
+                for w, k in ws.items():
+                    for s in _beginnings(w):
+                        if only is None or s in only:
+                            found[s] += k
+                if only is None:
+                    held.update(found.keys())
+                seen[c].update({s: min(k, TEXT_COUNT) for s, k in found.items()})
+
+    add(1)
+    common = {s for s, k in held.items() if k >= EVIDENCE_TEXTS}
+    add(0, common)
+    # and not by chance: the more beginnings are looked at, the more surprising it has to be
+    surprise = math.log(max(2, len(common))) + EVIDENCE_MARGIN
+    strong = {s for s in common if seen[1][s] / said[1] >= EVIDENCE_RATIO * (seen[0][s] + 0.5) / said[0]
+              and _surprise(seen[1][s], seen[0][s], said[1] / (said[0] + said[1])) >= surprise}
+    return strong, Counter({s: held[s] for s in common})
+
+
 def _distinct(texts: list[str]) -> list[int]:
     """Texts but for copies and most near copies, whose words would pass for common ones: no two share a smallest shingle hash."""
     seen: set[int] = set()
@@ -171,7 +210,7 @@ def _distinct(texts: list[str]) -> list[int]:
 
 def _stem(word: str, strong: set[str], count: Counter) -> str:
     """The longest beginning that still is in half the toxic texts that have the shortest one that speaks for toxic text."""
-    said = [word[:m] for m in STEM_CHARS if len(word) >= m and word[:m] in strong]
+    said = [s for s in _beginnings(word) if s in strong]
     return max((s for s in said if 2 * count[s] >= count[said[0]]), key=len, default="")
 
 
@@ -180,33 +219,28 @@ def _words(text: str) -> list[str]:
 
 
 def learn(texts: list[str], labels: list[int]) -> Model:
-    """Dictionaries from two thirds of the texts (taken in turn), calibration on the rest."""
-    import zstandard
-
+    """Dictionaries of all the texts; calibrated on a third of them (every third) with dictionaries of the others."""
     first = _distinct(texts)
     texts, labels = [texts[k] for k in first], [labels[k] for k in first]
-    if len(set(labels)) < 2:
-        return Model(b"", b"", (-30.0, 0.0, 0.0))
-    fit = [k % 3 != 2 for k in range(len(texts))]
+    fit, rest = [k for k in range(len(texts)) if k % 3 != 2], range(2, len(texts), 3)
+    if len({labels[k] for k in fit}) < 2:
+        return Model(b"", b"", NOTHING)
+    toxic, ordinary = dictionaries([texts[k] for k in fit], [labels[k] for k in fit])
+    x = Scorer(Model(toxic, ordinary, NOTHING)).features(pa.array([texts[k] for k in rest], pa.string()))
+    weights = calibrate(x, np.array([labels[k] for k in rest]))
+    return Model(*dictionaries(texts, labels), weights)
+
+
+def dictionaries(texts: list[str], labels: list[int]) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary."""
+    import zstandard
+
     vocabulary: dict[str, str] = {}  # each word once, however many texts have it
-    split = [{vocabulary.setdefault(w, w) for w in _words(t)} if f else set() for t, f in zip(texts, fit, strict=True)]
-    n = {c: max(1, sum(f and y == c for y, f in zip(labels, fit, strict=True))) for c in (0, 1)}
-    counts = {0: Counter(), 1: Counter()}
-    for ws, y in zip(split, labels, strict=True):
-        if y == 1:
-            counts[1].update({w[:m] for w in ws for m in STEM_CHARS if len(w) >= m})
-    common = {s for s, k in counts[1].items() if k >= max(5, EVIDENCE_SHARE * n[1])}
-    for ws, y in zip(split, labels, strict=True):
-        if y == 0:
-            counts[0].update(common.intersection(w[:m] for w in ws for m in STEM_CHARS if len(w) >= m))
-    # and not by chance: the more beginnings are looked at, the more surprising it has to be
-    surprise = math.log(max(2, len(common))) + EVIDENCE_MARGIN
-    strong = {s for s in common if counts[1][s] / n[1] >= EVIDENCE_RATIO * (counts[0][s] + 0.5) / n[0]
-              and _surprise(counts[1][s], counts[0][s], n[1] / (n[0] + n[1])) >= surprise}
-    counts[1] = Counter({s: counts[1][s] for s in common})
-    marked = [sorted({_stem(w, strong, counts[1]) for w in ws} - {""}) for ws in split]
+    split = [Counter(vocabulary.setdefault(w, w) for w in _words(t)) for t in texts]
+    strong, held = _evidence(split, labels)
+    marked = [sorted({_stem(w, strong, held) for w in ws} - {""}) for ws in split]
     whole = Counter(w for ws, y in zip(split, labels, strict=True) if y == 1 for w in ws)
-    closed = {s for s, k in counts[1].items() if 10 * whole[s] >= 8 * k}
+    closed = {s for s, k in held.items() if 10 * whole[s] >= 8 * k}
     marked = [[f" {s} " if s in closed else f" {s}" for s in ws] for ws in marked]
 
     def trained(samples: list[bytes], size: int) -> bytes:
@@ -215,14 +249,16 @@ def learn(texts: list[str], labels: list[int]) -> Model:
         except zstandard.ZstdError:  # too few samples for the trainer: their end is the dictionary
             return b"".join(samples)[-size:]
 
-    ordinary = [w.encode() for t, y, f in zip(texts, labels, fit, strict=True) if f and y == 0 for w in _pieces(t.lower())]
-    forms = Counter({f" {w} ": whole[w] for w in whole if whole[w] >= 2 and any(w[:m] in strong for m in STEM_CHARS)})
+    ordinary = [w.encode() for t, y in zip(texts, labels, strict=True) if y == 0 for w in _pieces(t.lower())]
+    forms = Counter({f" {w} ": whole[w] for w in whole if whole[w] >= 2 and not strong.isdisjoint(_beginnings(w))})
     words = Counter(w for ws, y in zip(marked, labels, strict=True) if y == 1 for w in ws) | forms
     toxic = "\n".join(sorted(words, key=lambda w: (words[w], w))).encode()[-DICT_BYTES:] + b"\n"
     # ordinary text that comes closest: what a toxic word shares with ordinary words must cost the same
-    plain = " " + "  ".join(sorted({w for ws, y, f in zip(split, labels, fit, strict=True) if f and y == 0 for w in ws})) + " "
+    plain = " " + "  ".join(sorted({w for ws, y in zip(split, labels, strict=True) if y == 0 for w in ws})) + " "
 
     def usual(part: str) -> bool:
+        if part[0] == " " and part[1:] in strong:  # a beginning that is evidence, though some ordinary words have it
+            return False
         return plain.find(part, plain.find(part) + 1) > 0 if part in plain else False
 
     near = set()
@@ -237,14 +273,12 @@ def learn(texts: list[str], labels: list[int]) -> Model:
             reach = j
     shared = "\n".join(sorted(near)).encode()
     learned = trained(["\n".join(ws).encode() for ws, y in zip(marked, labels, strict=True) if y == 1 and ws], DICT_BYTES // 4)
-    model = Model(learned + toxic, trained(ordinary[:40_000], DICT_BYTES) + shared, (0.0, 0.0, 0.0))
-    rest = [k for k, f in enumerate(fit) if not f]
-    x = Scorer(model).features(pa.array([texts[k] for k in rest], pa.string()))
-    return Model(model.toxic, model.ordinary, calibrate(x, np.array([labels[k] for k in rest])))
+    return learned + toxic, trained(ordinary[:40_000], DICT_BYTES) + shared
 
 
 def _curve(x: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.ones(len(x)), np.minimum(x[:, 0], 40) / 4, np.log1p(x[:, 1])])
+    """The largest saving, the number of strong windows, and their share, which tells chance finds in long texts."""
+    return np.column_stack([np.ones(len(x)), np.minimum(x[:, 0], 40) / 4, np.log1p(x[:, 1]), np.log1p(100 * x[:, 1] / (x[:, 2] + SHARE_WINDOWS))])
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -252,13 +286,13 @@ def _pieces(text: str) -> Iterator[str]:
         yield text[i:i + 400]
 
 
-def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     """Logistic regression by Newton steps with a small ridge, then shifted so that ``THRESHOLD`` is where errors are fewest."""
     z = _curve(x)
-    w = np.zeros(3)
+    w = np.zeros(z.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(3)
+        h = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(len(w))
         w += np.linalg.solve(h, z.T @ (y - p) - 0.05 * w)
     s = z @ w
     order = np.argsort(s)

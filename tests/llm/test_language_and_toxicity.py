@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketry.llm import compression_toxicity, cross_parsing, queries
@@ -75,6 +76,21 @@ def test_held_out_toxicity(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
 
 
+def test_held_out_toxicity_of_every_language(spark):
+    docs = spark.read.parquet(f"{LARGE}/documents.parquet").select("doc_id", "lang")
+    got = queries.op8_compression_toxicity(spark, LARGE).join(spark.read.parquet(f"{LARGE}/labels.parquet"), "doc_id").join(docs, "doc_id").where("held_out").collect()
+    for lang in (None, "en", "fr", "de", "es"):
+        caught = [r.predicted for r in got if r.toxic == 1 and lang in (None, r.lang)]
+        assert len(caught) > 10 and sum(caught) >= 0.9 * len(caught), lang
+
+
+def test_signs_and_capitals_do_not_hide_a_word(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    scorer = compression_toxicity.Scorer(queries.toxicity_model(spark, docs, MIDDLE))
+    bare, dressed = (scorer.features(pa.array([t])) for t in ("the idiot and réeuxch", "THE!! IDIOT!! AND!! (RÉEUXCH)###"))
+    assert bare[0, 1] == 2 and np.array_equal(bare, dressed)
+
+
 def test_toxicity_edge_cases(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     model = queries.toxicity_model(spark, docs, MIDDLE)

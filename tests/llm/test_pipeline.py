@@ -29,6 +29,15 @@ def test_stages_and_their_columns(spark):
     assert mixed.columns == docs.columns and mixed.select("doc_id").distinct().count() == docs.count()
 
 
+def test_few_toxic_documents_pass_on_either_table(spark):
+    for sf in (MIDDLE, LARGE):
+        docs = spark.read.parquet(f"{sf}/documents.parquet")
+        labels = spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null").collect()
+        left = {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, sf).select("doc_id").collect()}
+        toxic, clean = ({r.doc_id for r in labels if r.toxic == y} for y in (1, 0))
+        assert len(toxic & left) <= 0.1 * len(toxic) and len(clean & left) >= 0.97 * len(clean), sf
+
+
 def test_run(spark):
     places = corpus_pipeline.run(spark, SMALL)
     assert places.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and places.count() > 100
