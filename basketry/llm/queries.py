@@ -86,7 +86,7 @@ def op8_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_rules.judge(read(spark, sf_dir, "pages"), URL_RULES).drop("mined")
+    return url_rules.judge(read(spark, sf_dir, "pages"), URL_RULES, among_labelled=True).drop("mined")
 
 
 def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,12 @@
 import itertools
+import math
 import re
 
+from pyspark.sql import functions as F
+
 from basketry.llm import queries, url_rules
 
-from .helpers import MIDDLE, rows
+from .helpers import LARGE, MIDDLE, rows
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -60,6 +63,43 @@ def test_mined_rules_judge_other_urls(spark):
     assert got["http://fine.example.info/y/7"] == (None, "allow")
 
 
+def test_mined_rules_of_the_query_block_urls_without_a_rule(spark):
+    pages = spark.read.parquet(f"{LARGE}/pages.parquet")
+    got = queries.op9_url_rules(spark, LARGE).where("rule is null").collect()
+    blocked = sum(r.verdict == "block" for r in got)
+    assert 0 < blocked < 0.25 * len(got)  # neither a constant nor whatever no label speaks of
+    rows = pages.select("url").withColumn("host", url_rules.host_of(F.col("url"))).withColumn("path", url_rules.path_of(F.col("url")))
+    rows = rows.withColumn("label", url_rules.explicit(F.col("host"), F.col("path"), queries.URL_RULES, "verdict")) \
+        .withColumn("tokens", url_rules.tokens(F.col("url"), F.col("host"), F.col("path")))
+    held_out = F.crc32(F.col("url").cast("binary")) % 4 == 2
+    mined = [set(r.antecedent) for r in url_rules.mine(rows.where(~held_out), among_labelled=True).collect()]
+    hits = [r.label for r in rows.where(held_out & F.col("label").isNotNull()).collect() if any(m <= set(r.tokens) for m in mined)]
+    assert len(hits) > 50 and hits.count("block") >= 0.95 * len(hits)
+
+
+def test_rules_among_labelled_urls_by_brute_force(spark):
+    pages = spark.read.parquet(f"{MIDDLE}/pages.parquet")
+    urls = {r.page_id: r.url for r in pages.collect()}
+    known = [(tokens(u), explicit(*split(u))) for u in urls.values()]
+    labelled = [(t, r[2] == "block") for t, r in known if t and r]
+    base, least = sum(b for _, b in labelled) / len(labelled), url_rules.SUPPORT * 10 * sum(bool(t) for t, _ in known)
+    found = {}
+    for c in {c for t, _ in labelled for n in range(1, len(t) + 1) for c in itertools.combinations(sorted(t), n)}:
+        has = [(t, b) for t, b in labelled if set(c) <= t]
+        n, k = len(has), sum(b for _, b in has)
+        if k >= least and k / n >= 0.9:
+            surprise = k * math.log(k / (n * base)) + ((n - k) * math.log((n - k) / (n * (1 - base))) if n > k else 0)
+            found[c] = (k / n >= url_rules.LIFT * base, surprise, frozenset.intersection(*(t for t, _ in has)))
+    bar = math.log(max(2, len(found))) + url_rules.MARGIN
+    rules = [whole for lifts, surprise, whole in found.values() if lifts and surprise >= bar]
+    want = {k: r[2] if (r := explicit(*split(u))) else "block" if any(w <= tokens(u) for w in rules) else "allow" for k, u in urls.items()}
+    got = url_rules.judge(pages, queries.URL_RULES, support=url_rules.SUPPORT * 10, among_labelled=True).collect()
+    assert rules and {r.page_id: r.verdict for r in got} == want
+    assert rows(url_rules.judge(pages.limit(0), queries.URL_RULES, among_labelled=True)) == []
+    nothing = spark.createDataFrame([(1, None), (2, "x://h.example.info/a")], "page_id long, url string")
+    assert {r.verdict for r in url_rules.judge(nothing, queries.URL_RULES, among_labelled=True).collect()} == {"allow"}
+
+
 def test_edge_cases(spark):
     urls = [None, "", "no scheme", "://", "HTTP://WWW.Example.NET", "a://b.NET/", "a://net/x?y#z", "a://xnet/", "x://h.example.net/en/1", "x://example.com/de", "x://É.org/fr/ü?k=1&k=2&=3",
             "a://b?c://net/", "a://u\nv.net/p\nq#r"]
