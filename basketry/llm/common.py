@@ -79,5 +79,14 @@ def hash_sample(rows: DataFrame, docs: DataFrame, key: str, n: int) -> DataFrame
     Only keys are sorted; the ``n`` found, a bound of the caller, are broadcast, so the
     documents are scanned but never shuffled.
     """
-    first = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(n)
-    return docs.join(F.broadcast(first), F.col(key) == F.col("_key"), "left_semi")
+    return having(docs, key, first_keys(rows, key, n))
+
+
+def first_keys(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """(_key) of the first ``n`` keys of ``rows`` by hash order."""
+    return rows.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(n)
+
+
+def having(docs: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The documents with one of a bounded number of keys."""
+    return docs.join(F.broadcast(keys), F.col(key) == F.col("_key"), "left_semi")

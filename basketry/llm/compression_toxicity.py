@@ -25,6 +25,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import pairwise
 
 import numpy as np
@@ -33,13 +34,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, ship
+from .common import first_keys, having, ship, stored
 from .tokens import slices
 
 #: Bounds of the training sample: texts of a class, and characters of a text that may be learned from.
 SAMPLE_TOXIC = 1500
 SAMPLE_ORDINARY = 3000
 SAMPLE_CHARS = 20_000
+#: Groups that have a share of their own.
+GROUPS = 30
 #: A beginning of a word is evidence if it is in so many toxic texts, is this many times as common there, and more than by chance.
 EVIDENCE_TEXTS = 2
 EVIDENCE_RATIO = 12.0
@@ -305,12 +308,39 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(float(v) for v in w)
 
 
-def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> tuple[list[str], list[int]]:
-    """A bounded sample of texts and labels: keys of each class by hash order, then those texts that are not too long."""
+def shares(counts: list[int], n: int) -> list[int]:
+    """How many to take of each group, ``n`` together: as many of each as of the others, or all of it."""
+    taken, left = [0] * len(counts), n
+    for done, k in enumerate(sorted(range(len(counts)), key=lambda k: counts[k])):
+        taken[k] = min(counts[k], left // (len(counts) - done))
+        left -= taken[k]
+    return taken
+
+
+def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, group: str | None = None) -> tuple[list[str], list[int]]:
+    """A bounded sample of texts and labels: keys of each class by hash order, then those texts that are not too long.
+
+    With a ``group`` column of the documents, the groups (the rarest beyond ``GROUPS`` as one) have equal shares.
+    """
     texts, found = [], []
+    labels = labels.where(F.col(label).cast("int").isin(0, 1)).select(F.col(key), F.col(label).cast("int").alias("_y"))
+    if group is not None:  # keys and groups alone are joined, not texts
+        labels = stored(labels.join(docs.select(key, F.coalesce(F.col(group).cast("string"), F.lit("")).alias("_group")), key), "toxicity-labels")
     for y, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY)):
-        rows = hash_sample(labels.where(F.col(label).cast("int") == y).select(key), docs, key, n)
-        some = rows.where(F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS)).select(F.col(key).alias("k"), F.col(text).alias("t")).collect()
+        rows = labels.where(F.col("_y") == y)
+        if group is None:
+            keys = first_keys(rows, key, n)
+        else:
+            counts = [(r["_group"], r["count"]) for r in rows.groupBy("_group").count().orderBy(F.desc("count"), "_group").limit(GROUPS).collect()]
+            names = [name for name, _ in counts]
+            parts = [rows.where(F.col("_group") == name) for name in names]
+            sizes = [size for _, size in counts]
+            if len(counts) == GROUPS:
+                parts.append(rows.where(~F.col("_group").isin(names)))
+                sizes.append(parts[-1].count())
+            keys = reduce(DataFrame.unionAll, [first_keys(p, key, m) for p, m in zip(parts, shares(sizes, n), strict=True)], first_keys(rows, key, 0))
+        some = having(docs, key, keys).where(F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS)) \
+            .select(F.col(key).alias("k"), F.col(text).alias("t")).collect()
         texts += [r.t for r in sorted(some, key=lambda r: (r.k, r.t))]
         found += [y] * len(some)
     return texts, found

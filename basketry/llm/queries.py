@@ -75,7 +75,7 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> compression_toxicity.Model:
     """Learned from the labels that are not held out, on the given documents."""
     labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").where(F.coalesce(common.crc_mod(F.col("doc_id"), 4) != 2, F.lit(False)))
-    return compression_toxicity.learn(*compression_toxicity.sample(docs, labels, "doc_id", "text", "toxic"))
+    return compression_toxicity.learn(*compression_toxicity.sample(docs, labels, "doc_id", "text", "toxic", "lang"))
 
 
 def op8_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,6 +91,26 @@ def test_signs_and_capitals_do_not_hide_a_word(spark):
     assert bare[0, 1] == 2 and np.array_equal(bare, dressed)
 
 
+def test_rare_families_and_short_words_are_learned():
+    rng = np.random.default_rng(5)
+    syllables = ["ba", "co", "di", "fe", "gu", "lo", "mi", "na", "pe", "ru", "sa", "to"]
+    said = lambda n: ["".join(rng.choice(syllables, rng.integers(2, 5))) for _ in range(n)]
+    texts = [" ".join([*said(40), ["horrid", "xuq", "zw" + "ylkt" + said(1)[0]][0 if k % 40 > 1 else 1 if k % 40 else 2]] * 2) for k in range(600)]
+    texts += [" ".join(said(41) * 2) for _ in range(2400)]
+    scorer = compression_toxicity.Scorer(compression_toxicity.learn(texts, [1] * 600 + [0] * 2400))
+    # one in forty toxic texts has the short word, one in forty a word of the family
+    got = scorer.scores(scorer.features(pa.array([" ".join([*said(40), w] * 2) for w in ("horrid", "xuq", "zwylktbaco", "zwylktnaru", "bagu")])))
+    assert np.array_equal(got >= compression_toxicity.THRESHOLD, [True, True, True, True, False])
+
+
+def test_sample_is_balanced_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(compression_toxicity, "SAMPLE_TOXIC", 20)
+    rows = [(k, ("es " if k % 20 == 0 else "en ") + str(k), "es" if k % 20 == 0 else "en", 1) for k in range(400)] + [(1000, "null", None, 1), (1001, "fine", "en", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    texts, labels = compression_toxicity.sample(docs.drop("toxic"), docs.select("doc_id", "toxic"), "doc_id", "text", "toxic", "lang")
+    assert labels.count(1) == 20 and labels.count(0) == 1 and "null" in texts and sum(t.startswith("es ") for t in texts) == 9
+
+
 def test_toxicity_edge_cases(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     model = queries.toxicity_model(spark, docs, MIDDLE)
