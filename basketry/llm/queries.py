@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ball_tree, bin_completion, chat_format, common, compression_toxicity, cross_parsing, minhash, quality_cascade,
+from . import (ball_tree, bin_completion, chat_format, common, compression_toxicity, cross_parsing, merkle_manifest, minhash, quality_cascade,
                temperature_mix, token_files, url_rules)
 
 read = common.read_table
@@ -94,9 +94,19 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temperature_mix.draw(mix).select(F.col("k").alias("doc_id"), "source", F.col("n").alias("n_tokens"), "block", "place")
 
 
+LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = merkle_manifest.check(read(spark, sf_dir, "documents"), "source", "doc_id", LEAF_COLUMNS, {"text": lower},
+                                 common.crc_mod(F.col("doc_id"), 5) == 0)
+    return rows.withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_files, op2_quality_cascade, op3_ball_tree, op4_chat_format, op5_bin_completion, op6_cross_parsing,
-                            op7_minhash, op8_compression_toxicity, op9_url_rules, op10_temperature_mix)
+                            op7_minhash, op8_compression_toxicity, op9_url_rules, op10_temperature_mix, op11_merkle_manifest)
 }
 
 _SPLIT = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -150,4 +160,49 @@ e AS (SELECT d.*, blocks, rest, md5('{temperature_mix.SEED}:' || (blocks + 1) ||
 f AS (SELECT *, rest > 0 AND sum(n) OVER (PARTITION BY source ORDER BY last_place, doc_id, n ROWS UNBOUNDED PRECEDING) <= rest AS last FROM e),
 x AS (SELECT doc_id, source, n, unnest(range(1, blocks + last::INT + 1)) AS block FROM f)
 SELECT doc_id, source, n AS n_tokens, block, md5('{temperature_mix.SEED}:' || block || ':' || doc_id) AS place FROM x""",
+    "op11_merkle_manifest": """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, coalesce('+' || source, '') AS g,
+         list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda c, b:
+             list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))) AS crc,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+             || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text
+  FROM documents),
+leaves AS (
+  SELECT doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN sha256(head || coalesce(strlen(lower_text) || ':' || lower_text, '-')) END AS other
+  FROM fields),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+nodes AS (
+  SELECT g, 0 AS level, i, n, leaf AS h FROM ranked
+  UNION ALL
+  SELECT g, level + 1, i // 16, (max(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY g, level, i // 16),
+subroots AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, i, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 16, (max(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 16),
+sides AS (
+  SELECT g, level, i, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM nodes WHERE n > 1 WINDOW w AS (PARTITION BY g, level, i // 16 ORDER BY i)),
+top_sides AS (
+  SELECT level, i, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM tops WHERE n > 1 WINDOW w AS (PARTITION BY level, i // 16 ORDER BY i)),
+steps AS (
+  SELECT k.g, k.i, s.level AS step, s.l, s.r FROM ranked k JOIN sides s ON s.g = k.g AND s.i = k.i >> (4 * s.level)
+  UNION ALL
+  SELECT k.g, k.i, 1000 + s.level, s.l, s.r FROM ranked k JOIN subroots b ON b.g = k.g JOIN top_sides s ON s.i = b.i >> (4 * s.level)),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY g, i ORDER BY step) AS k FROM steps),
+proof AS (SELECT g, i, sha256(string_agg(l || r, '' ORDER BY k)) AS p, count(*) AS n FROM ordered GROUP BY g, i),
+folded AS (
+  SELECT g, i, 0::BIGINT AS k, coalesce(other, leaf) AS h FROM ranked
+  UNION ALL
+  SELECT f.g, f.i, o.k, sha256(o.l || f.h || o.r) FROM folded f JOIN ordered o ON o.g = f.g AND o.i = f.i AND o.k = f.k + 1)
+SELECT k.doc_id, k.leaf, b.h AS subroot, t.h AS root, coalesce(p.p, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM ranked k JOIN subroots b ON b.g = k.g JOIN tops t ON t.n = 1 LEFT JOIN proof p ON p.g = k.g AND p.i = k.i
+JOIN folded f ON f.g = k.g AND f.i = k.i AND f.k = coalesce(p.n, 0)""",
 }
