@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (ball_tree, bin_completion, chat_format, common, compression_toxicity, cross_parsing, merkle_manifest, minhash, quality_cascade,
-               temperature_mix, token_files, url_rules)
+               simhash, temperature_mix, token_alignment, token_files, url_rules)
 
 read = common.read_table
 
@@ -104,9 +104,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("key", "doc_id")
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), 4).withColumnRenamed("key", "doc_id")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return token_alignment.align_corpus(read(spark, sf_dir, "documents"), *paths).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_files, op2_quality_cascade, op3_ball_tree, op4_chat_format, op5_bin_completion, op6_cross_parsing,
-                            op7_minhash, op8_compression_toxicity, op9_url_rules, op10_temperature_mix, op11_merkle_manifest)
+                            op7_minhash, op8_compression_toxicity, op9_url_rules, op10_temperature_mix, op11_merkle_manifest, op12_simhash,
+                            op13_token_alignment)
 }
 
 _SPLIT = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
