@@ -15,6 +15,7 @@ from .. import config as C
 from ..functions.scalars import cents_long, off_cent
 from ..operators import sets as S
 from ..operators.aggregates import combine_rows
+from ..plans import manifest as MF
 from ..plans import scope as SC
 from ..plans.warehouse import warehouse
 from ..registry import query
@@ -69,55 +70,65 @@ def staged_rows(src, t: str):
     return _n(_derived(src, t)), _n(src.source(_staged_name(t)))
 
 
-def _canonical(df):
-    """Rows and a sum of the first 32 bits of each row's MD5, over all columns as text."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns])
-    h = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), F.lit(0)).alias("hash_sum"))
+def _row_text_sql(cols) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')" for c in cols) + ")"
 
 
-def _canonical_sql(t: str) -> str:
-    return (f"SELECT '{t}' AS table_name, count(*) AS rows, CAST(coalesce(sum(CAST('0x' || substr(md5(x), 1, 8) AS BIGINT)), 0) AS BIGINT) "
-            f"AS hash_sum FROM (SELECT concat_ws('|', {', '.join(f'coalesce(CAST({c} AS VARCHAR), chr(126))' for c in MANIFEST_COLUMNS[t])}) AS x FROM {t}) s")
+def _tree_sql(tables: dict[str, str] | None = None) -> str:
+    """The digest tree in SQL; ``tables`` names what to read in place of a table."""
+    lanes = " || ':' || ".join(f"CAST(sum(CAST('0x' || substr(h, {16 * i + 1}, 16) AS UBIGINT)) AS VARCHAR)" for i in range(4))
+    parts = "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, part, count(*) AS rows, sha256(count(*) || ':' || {lanes}) AS digest FROM (SELECT substr(md5({_row_text_sql(key)}), 1, 2) AS part, "
+        f"sha256({_row_text_sql(cols)}) AS h FROM {(tables or {}).get(t, t)}) x GROUP BY part" for t, (key, cols) in MF.MANIFEST.items())
+    return f"""SELECT 'part' AS level, table_name, part, rows, digest FROM ({parts}) p
+UNION ALL SELECT 'table', table_name, NULL, CAST(sum(rows) AS BIGINT), sha256(string_agg(part || ' ' || digest, chr(10) ORDER BY part)) FROM ({parts}) p GROUP BY table_name
+UNION ALL SELECT 'batch', NULL, NULL, CAST(sum(rows) AS BIGINT), sha256(string_agg(table_name || ' ' || digest, chr(10) ORDER BY table_name)) FROM (
+  SELECT table_name, sum(rows) AS rows, sha256(string_agg(part || ' ' || digest, chr(10) ORDER BY part)) AS digest FROM ({parts}) p GROUP BY table_name) t"""
 
 
-MANIFEST_COLUMNS = {
-    "transactions_raw": ["household_id", "store_id", "basket_id", "product_id", "quantity", *C.MONEY, "transaction_timestamp", "week"],
-    "promotions": ["product_id", "store_id", "display_location", "mailer_location", "week"],
-    "products": ["product_id", *C.DESCRIPTIONS["products"]],
-    "demographics": ["household_id", *C.DESCRIPTIONS["demographics"]],
-    "campaigns": ["campaign_id", "household_id"],
-    "campaign_descriptions": ["campaign_id", "campaign_type", "start_date", "end_date"],
-    "coupons": ["coupon_upc", "product_id", "campaign_id"],
-    "coupon_redemptions_raw": C.REDEMPTION_GRAIN,
-}
-
-
-def manifest(frames) -> DataFrame:
-    parts = [_canonical(df.select(*MANIFEST_COLUMNS[t])).select(F.lit(t).alias("table_name"), "rows", "hash_sum") for t, df in frames.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+@query("source_manifest", _tree_sql())
+def q_manifest(spark, d):
+    """A10: rows and SHA-256 digest of every part of every staged source, of each source and of the batch."""
+    return MF.recorded_manifest(warehouse(spark, d).src)
 
 
-MANIFEST_SQL = "\nUNION ALL ".join(_canonical_sql(t) for t in MANIFEST_COLUMNS)
+@query("manifest_match", f"SELECT level, table_name, part, rows AS rows_before, rows AS rows_after, 'PASS' AS status FROM ({_tree_sql()}) m WHERE level <> 'part'")
+def q_k2(spark, d):
+    """K2: the manifest recorded at staging against the staged tables as they are; a part that changed has a row of its own."""
+    src = warehouse(spark, d).src
+    return MF.changes(MF.recorded_manifest(src), MF.staged_manifest(src))
 
 
-@query("source_manifest", MANIFEST_SQL)
-def q_manifest(spark, d):
-    """A10: rows and content hash of every staged source; rows are hashed where they are read."""
-    src = warehouse(spark, d).src
-    return manifest({t: src.source(t) for t in MANIFEST_COLUMNS})
+# a later delivery of the batch: some products have another brand, week 53 has no promotions
+LATER = {"products": "(SELECT * REPLACE (CASE WHEN CAST(product_id AS BIGINT) % 500 = 7 THEN lower(brand) ELSE brand END AS brand) FROM products)",
+         "promotions": "(SELECT * FROM promotions WHERE week <> 53)"}
 
 
-@query("manifest_match", f"SELECT table_name AS metric, rows, hash_sum AS recorded, hash_sum AS recomputed, 'PASS' AS status FROM ({MANIFEST_SQL}) m")
-def q_k2(spark, d):
-    """K2: the manifest recorded at staging against one computed from the input itself."""
+@query("manifest_changes", f"""
+SELECT coalesce(a.level, b.level) AS level, coalesce(a.table_name, b.table_name) AS table_name, coalesce(a.part, b.part) AS part,
+       a.rows AS rows_before, b.rows AS rows_after,
+       CASE WHEN a.digest IS NOT DISTINCT FROM b.digest THEN 'PASS' WHEN a.digest IS NULL THEN 'ADDED' WHEN b.digest IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS status
+FROM ({_tree_sql()}) a FULL JOIN ({_tree_sql(LATER)}) b
+  ON a.level = b.level AND a.table_name IS NOT DISTINCT FROM b.table_name AND a.part IS NOT DISTINCT FROM b.part
+WHERE coalesce(a.level, b.level) <> 'part' OR a.digest IS DISTINCT FROM b.digest""")
+def q_manifest_changes(spark, d):
+    """A10/K2: which parts of which tables a later delivery changed."""
     src = warehouse(spark, d).src
-    recorded = manifest({t: src.source(t) for t in MANIFEST_COLUMNS})
-    again = manifest({t: fixtures.SOURCES[t](spark, d) for t in MANIFEST_COLUMNS}).select("table_name", F.col("hash_sum").alias("recomputed"),
-                                                                                       F.col("rows").alias("_rows"))
-    same = F.col("recorded").eqNullSafe(F.col("recomputed")) & F.col("rows").eqNullSafe(F.col("_rows"))
-    return recorded.withColumnRenamed("hash_sum", "recorded").join(again, "table_name", "left").select(
-        F.col("table_name").alias("metric"), "rows", "recorded", "recomputed", F.when(same, "PASS").otherwise("FAIL").alias("status"))
+    frames = {t: src.source(t) for t in MF.MANIFEST}
+    renamed = F.when(F.col("product_id").cast("bigint") % 500 == 7, F.lower("brand")).otherwise(F.col("brand"))
+    frames["products"] = frames["products"].withColumn("brand", renamed)
+    frames["promotions"] = frames["promotions"].where("week <> 53")
+    return MF.changes(MF.recorded_manifest(src), MF.manifest(frames))
+
+
+@query("difference_by_ranges", f"""
+SELECT product_id, brand, 'only_in_a' AS side FROM (SELECT product_id, brand FROM products EXCEPT ALL SELECT product_id, brand FROM {LATER['products']} x) a
+UNION ALL SELECT product_id, brand, 'only_in_b' FROM (SELECT product_id, brand FROM {LATER['products']} x EXCEPT ALL SELECT product_id, brand FROM products) b""")
+def q_difference_by_ranges(spark, d):
+    """the rows that differ, read only in the key ranges whose digests differ."""
+    p = warehouse(spark, d).src.products.select("product_id", "brand")
+    renamed = F.when(F.col("product_id").cast("bigint") % 500 == 7, F.lower("brand")).otherwise(F.col("brand"))
+    return S.two_way_multiset_difference(p, p.withColumn("brand", renamed), "product_id")
 
 
 @query("scope_file_valid", """

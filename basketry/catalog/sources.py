@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,17 +76,59 @@ def q_stage_cast(spark, d):
     return g.select("good_rows", r.alias("reject_rows"), "good_extendedprice")
 
 
+# rows of the input that break a strict conversion: instants declared as dates, money of too few digits, fractions as integers
+STRICT_SPECS = {
+    "customer": {"c_custkey": "id", "c_acctbal": "decimal(5,2)"},
+    "part": {"p_partkey": "id", "p_size": "int", "p_retailprice": "int"},
+    "events": {"event_id": "id", "ts": "date", "value": "decimal(18,1)"},
+}
+
+
+def _strict_sql() -> str:
+    rules = {
+        "customer": ("c_custkey", ["CASE WHEN abs(c_acctbal) >= 1000 THEN 'c_acctbal: out of range' END"]),
+        "part": ("p_partkey", ["CASE WHEN p_retailprice <> floor(p_retailprice) THEN 'p_retailprice: not integral' END"]),
+        "events": ("event_id", ["CASE WHEN ts <> date_trunc('day', ts) THEN 'ts: date with a time part' END",
+                                "CASE WHEN CAST(value AS DECIMAL(38,12)) <> CAST(CAST(value AS DECIMAL(18,1)) AS DECIMAL(38,12)) THEN 'value: too many decimals' END"]),
+    }
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}.parquet' AS source_file_name, n AS source_row_number, '{t}' AS source_object_name, CAST({key} AS VARCHAR) AS source_key, "
+        f"concat_ws('; ', {', '.join(tests)}) AS reject_reason FROM (SELECT *, row_number() OVER () AS n FROM {t}) x "
+        f"WHERE concat_ws('; ', {', '.join(tests)}) <> ''" for t, (key, tests) in rules.items())
+
+
+@query("stage_rejects", _strict_sql())
+def q_stage_rejects(spark, d):
+    """Every rejected row with its file, its row there, its key and the columns that failed."""
+    parts = []
+    for t, spec in STRICT_SPECS.items():
+        _, rejects = S.stage_cast(S.with_file_lineage(sources(spark, d).table(t)), spec, lineage=S.LINEAGE)
+        parts.append(rejects.select(*S.LINEAGE, F.lit(t).alias("source_object_name"), F.col(next(iter(spec))).alias("source_key"), "reject_reason"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 # --- A3 stage_lineage ------------------------------------------------------------
-@query("stage_lineage", """
-SELECT product_id, CAST(1 AS BIGINT) AS etl_batch_id, 'products.parquet' AS source_file_name,
-       'products' AS source_object_name,
-       row_number() OVER (ORDER BY product_id) AS source_row_number
-FROM products""")
+LINEAGE_KEYS = {
+    "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"], "part": ["p_partkey"],
+    "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"], "documents": ["doc_id"],
+    "embeddings": ["vec_id"], "pages": ["page_id"], "benchmark": ["item_id"], "labels": ["doc_id"], "conversations": ["conv_id", "turn"],
+}
+
+
+def _lineage_sql() -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT concat_ws('-', {', '.join(keys)}) AS source_key, CAST({C.BATCH_ID} AS BIGINT) AS etl_batch_id, '{t}.parquet' AS source_file_name, "
+        f"'{t}' AS source_object_name, row_number() OVER () AS source_row_number FROM {t}" for t, keys in LINEAGE_KEYS.items())
+
+
+@query("stage_lineage", _lineage_sql())
 def q_stage_lineage(spark, d):
-    p = sources(spark, d).products.select("product_id")
-    out = S.stage_lineage(p, C.BATCH_ID, "products.parquet", "products", "product_id")
-    return out.select("product_id", "etl_batch_id", "source_file_name", "source_object_name",
-                      "source_row_number")
+    """File and row of every row of every given table."""
+    parts = []
+    for t, keys in LINEAGE_KEYS.items():
+        rows = S.stage_lineage(sources(spark, d).table(t), C.BATCH_ID, t)
+        parts.append(rows.select(F.concat_ws("-", *keys).alias("source_key"), "etl_batch_id", S.LINEAGE[0], "source_object_name", S.LINEAGE[1]))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 # --- A4 / A7 replace one batch, read one batch --------------------------------------
@@ -142,9 +186,8 @@ def q_stage_profile(spark, d):
 SELECT metric, value AS source_value, value AS target_value, 'PASS' AS status FROM ({_PROFILE_SQL}) p""")
 def q_stage_reconcile(spark, d):
     src = sources(spark, d).transactions_raw
-    staged = S.stage_lineage(src, C.BATCH_ID, "transactions", "transactions",
-                             ["basket_id", "product_id", "transaction_timestamp", "quantity",
-                              "sales_value", "retail_disc", "coupon_disc", "coupon_match_disc"])
+    staged = S.number_rows(src, ["basket_id", "product_id", "transaction_timestamp", "quantity",
+                                 "sales_value", "retail_disc", "coupon_disc", "coupon_match_disc"])
     return S.stage_reconcile(S.stage_profile(src), S.stage_profile(staged.select(*src.columns)))
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import rows_differ
+from . import digests as D
 from .aggregates import combine_rows
 from .keys import assign_keys
 
@@ -42,43 +43,52 @@ def _cols(k) -> list[str]:
 
 def insert_only_merge(target: DataFrame, expected: DataFrame, key, cols: list[str],
                       key_col: str | None = None, table: str = "table") -> MergeResult:
-    """I1 (lazy).  ``report`` is one row: table, total, inserted, unchanged,
-    conflicts, extras and the two-way difference of the merged table (must be 0).
-
-    The counts come from ONE full outer join of target and expected on the
-    business key (unique on both sides by contract, checked by ``verify_keys``):
-    a key only in the target is an extra, only in expected is an insert, in both
-    with a different row (NULL-safe) is a conflict.  The difference is measured on
-    the merged table itself, as EXCEPT ALL against the expected rows both ways.
-    ``load_insert_only`` is the guarded form, which stops on a conflict or extra.
+    """I1.  ``report`` is one row: table, total, inserted, unchanged, conflicts, extras and the
+    two-way difference of the merged table (must be 0).
+
+    Range digests of target and expected are compared first (one job); rows are read again only in the
+    key ranges that differ, so a rerun joins and shuffles nothing.  There ONE full outer join on the business
+    key (unique on both sides by contract, checked by ``verify_keys``) tells them apart: a key only in
+    the target is an extra, only in expected is an insert, in both with a different row (NULL-safe) is a
+    conflict.  The difference is measured on the merged rows of those ranges, as a multiset; the others
+    have equal digests.  ``load_insert_only`` is the guarded form, which stops on a conflict or extra.
     """
     key = _cols(key)
     attrs = [c for c in cols if c not in key]
     t = target.select(*key, *attrs, *([key_col] if key_col else []))
     e = expected.select(*key, *attrs)
-    new = e.join(t.select(*key), key, "left_anti")
+    found = D.compare_ranges(t.select(*key, *attrs), e, key, [*key, *attrs])
+    t_part, e_part = (D.in_ranges(df, key, found.ranges) for df in (t, e))
+    new = e_part.join(t_part.select(*key), key, "left_anti")
     if key_col:
         start = t.select(F.coalesce(F.max(key_col), F.lit(0)) + 1).scalar()
-        new = assign_keys(new, key, key_col, start=start)
+        # without a range that differs there is nothing to number
+        new = assign_keys(new, key, key_col, start=start) if found.ranges else new.withColumn(key_col, F.lit(None).cast("bigint"))
     merged = t.unionByName(new)
-    tt = t.select(*key, *[F.col(c).alias(f"_t_{c}") for c in attrs], F.lit(True).alias("_in_t"))
-    ee = e.select(*key, *[F.col(c).alias(f"_e_{c}") for c in attrs], F.lit(True).alias("_in_e"))
+    tt = t_part.select(*key, *[F.col(c).alias(f"_t_{c}") for c in attrs], F.lit(True).alias("_in_t"))
+    ee = e_part.select(*key, *[F.col(c).alias(f"_e_{c}") for c in attrs], F.lit(True).alias("_in_e"))
     j = tt.join(ee, key, "full")
     in_t, in_e = F.coalesce("_in_t", F.lit(False)), F.coalesce("_in_e", F.lit(False))
     differ = rows_differ([f"_t_{c}" for c in attrs], [f"_e_{c}" for c in attrs]) if attrs else F.lit(False)
-    counts = j.agg(F.count_if(in_t & in_e & ~differ).alias("unchanged_rows"),
-                   F.count_if(~in_t & in_e).alias("inserted_rows"),
-                   F.count_if(in_t & in_e & differ).alias("conflict_rows"),
-                   F.count_if(in_t & ~in_e).alias("extra_rows"))
     conflicts = j.where(F.col("_in_t") & F.col("_in_e") & differ).select(*key)
     extras = j.where(F.col("_in_t") & F.col("_in_e").isNull()).select(*key)
+    if found.ranges:
+        counts = j.agg(F.count_if(~in_t & in_e).alias("inserted_rows"), F.count_if(in_t & in_e & differ).alias("conflict_rows"),
+                       F.count_if(in_t & ~in_e).alias("extra_rows"))
+        signed = (t_part.select(*key, *attrs).withColumn("_n", F.lit(1)).unionByName(new.select(*key, *attrs).withColumn("_n", F.lit(1)))
+                  .unionByName(e_part.withColumn("_n", F.lit(-1))))
+        difference = (signed.groupBy(*key, *attrs).agg(F.abs(F.sum("_n")).alias("_n"))
+                      .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("two_way_difference")))
+        row = combine_rows([counts, difference])
+    else:
+        names = ["inserted_rows", "conflict_rows", "extra_rows", "two_way_difference"]
+        row = t.sparkSession.range(1).select(*[F.lit(0).cast("bigint").alias(n) for n in names])
     c, x, w = F.col("conflict_rows"), F.col("extra_rows"), F.col("two_way_difference")
-    rows_m, rows_e = merged.select(*key, *attrs), e
-    difference = (rows_m.exceptAll(rows_e).unionByName(rows_e.exceptAll(rows_m))
-                  .agg(F.count(F.lit(1)).alias("two_way_difference")))
-    report = combine_rows([counts, merged.agg(F.count(F.lit(1)).alias("total_rows")), difference]).select(
-        F.lit(table).alias("table_name"), "total_rows", "inserted_rows", "unchanged_rows", "conflict_rows", "extra_rows",
-        "two_way_difference", F.when((c == 0) & (x == 0) & (w == 0), "PASS").otherwise("BLOCK").alias("status"))
+    rows_t = F.lit(found.rows_a).cast("bigint")
+    report = row.select(
+        F.lit(table).alias("table_name"), (rows_t + F.col("inserted_rows")).alias("total_rows"), "inserted_rows",
+        (rows_t - c - x).alias("unchanged_rows"), "conflict_rows", "extra_rows", "two_way_difference",
+        F.when((c == 0) & (x == 0) & (w == 0), "PASS").otherwise("BLOCK").alias("status"))
     return MergeResult(merged, new, conflicts, extras, report)
 
 

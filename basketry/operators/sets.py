@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import digests
+
 
 def id_hub(frames: list[DataFrame], key: str) -> DataFrame:
     """UNION (distinct) of one key over many sources; each side de-duplicated
@@ -20,16 +22,17 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def two_way_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(A EXCEPT B) UNION ALL (B EXCEPT A), tagged by side."""
-    return (a.subtract(b).withColumn("side", F.lit("only_in_a"))
-            .unionByName(b.subtract(a).withColumn("side", F.lit("only_in_b"))))
+def two_way_difference(a: DataFrame, b: DataFrame, key=None) -> DataFrame:
+    """(A EXCEPT B) UNION ALL (B EXCEPT A), tagged by side.
+
+    Range digests over ``key`` (default: all columns) are compared first; only rows of ranges that differ are shuffled.
+    """
+    return digests.set_difference(a, b, key)
 
 
-def two_way_multiset_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """EXCEPT ALL both ways (duplicates count)."""
-    return (a.exceptAll(b).withColumn("side", F.lit("only_in_a"))
-            .unionByName(b.exceptAll(a).withColumn("side", F.lit("only_in_b"))))
+def two_way_multiset_difference(a: DataFrame, b: DataFrame, key=None) -> DataFrame:
+    """EXCEPT ALL both ways (duplicates count), by range digests first."""
+    return digests.multiset_difference(a, b, key)
 
 
 def coverage_diff(ids: DataFrame, decided: DataFrame, key: str) -> DataFrame:

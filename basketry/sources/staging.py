@@ -99,7 +99,7 @@ def stage_cast(df: DataFrame, spec: dict[str, str], zone: str = "UTC",
                lineage: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Strict conversion: returns (good rows, rejects with the failing rules named).
 
-    ``lineage`` columns (such as file name and row number) are handed to the rejects.
+    ``lineage`` columns (file name and row number, of ``with_file_lineage``) go with the good rows and the rejects.
     """
     conv, reasons = {}, []
     for c, kind in spec.items():
@@ -110,27 +110,52 @@ def stage_cast(df: DataFrame, spec: dict[str, str], zone: str = "UTC",
     tagged = df.select(*[conv[c].alias(c) for c in spec], reason.alias("_reject"),
                        *[F.col(c).cast("string").alias(f"_src_{c}") for c in spec],
                        *[F.col(c).alias(f"_line_{c}") for c in lineage])
-    good = tagged.where(F.col("_reject") == "").select(*spec.keys())
+    where_from = [F.col(f"_line_{c}").alias(c) for c in lineage]
+    good = tagged.where(F.col("_reject") == "").select(*spec.keys(), *where_from)
     rejects = tagged.where(F.col("_reject") != "").select(
-        *[F.col(f"_line_{c}").alias(c) for c in lineage], F.col("_reject").alias("reject_reason"),
-        *[F.col(f"_src_{c}").alias(c) for c in spec])
+        *where_from, F.col("_reject").alias("reject_reason"), *[F.col(f"_src_{c}").alias(c) for c in spec])
     return good, rejects
 
 
+class RowRejected(ValueError):
+    pass
+
+
+def require_no_reject(rejects: DataFrame) -> None:
+    """Stop a load at the first reject (by file and row), naming file, row and the failing columns."""
+    worst = rejects.select(F.min(F.struct(*LINEAGE, "reject_reason")).alias("r"), F.count(F.lit(1)).alias("n")).first()
+    if worst.n:
+        raise RowRejected(f"{worst.r[LINEAGE[0]]}, row {worst.r[LINEAGE[1]]}: {worst.r.reject_reason} ({worst.n} rows rejected)")
+
+
 # A3 ---------------------------------------------------------------------------
-def stage_lineage(df: DataFrame, batch_id: int, file_name: str, object_name: str,
-                  order_key, loaded_at: Column | None = None) -> DataFrame:
-    """Append the lineage columns; 1-based row number over a stable key order
-    (partition-count offsets, not a global window)."""
-    out = assign_keys(df, order_key, "source_row_number", start=1)
-    return out.withColumns({
+LINEAGE = ("source_file_name", "source_row_number")
+
+
+def with_file_lineage(df: DataFrame) -> DataFrame:
+    """Append ``source_file_name`` and the 1-based ``source_row_number`` in that file.
+
+    ``df`` must read files directly: Spark's hidden ``_metadata`` column knows where each row was read, however the
+    files were split over tasks, so nothing is numbered, sorted or shuffled.
+    """
+    return df.select("*", F.col("_metadata.file_name").alias(LINEAGE[0]), (F.col("_metadata.row_index") + 1).alias(LINEAGE[1]))
+
+
+def stage_lineage(df: DataFrame, batch_id: int, object_name: str, loaded_at: Column | None = None) -> DataFrame:
+    """Append batch, object, load time, file name and row number to rows as they are read."""
+    return with_file_lineage(df).withColumns({
         "etl_batch_id": F.lit(batch_id).cast("bigint"),
-        "source_file_name": F.lit(file_name),
         "source_object_name": F.lit(object_name),
         "loaded_at": loaded_at if loaded_at is not None else F.current_timestamp(),
     })
 
 
+def number_rows(df: DataFrame, order_key) -> DataFrame:
+    """Append a 1-based ``source_row_number`` over a stable key order, for rows that come from no file
+    (partition-count offsets, not a global window)."""
+    return assign_keys(df, order_key, LINEAGE[1], start=1)
+
+
 # A4 / A7 ------------------------------------------------------------------------
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location."""

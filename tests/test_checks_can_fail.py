@@ -3,6 +3,9 @@ from pyspark.sql import functions as F
 
 from basketry import config as C
 from basketry.catalog import inputs
+from basketry.operators import digests as D
+from basketry.operators import sets as S
+from basketry.plans import manifest as MF
 from basketry.plans.context import Sources
 from basketry.plans.quality import RULES, Quality, dq_gate
 from basketry.plans import ledger as N
@@ -30,8 +33,36 @@ def test_lost_staged_rows_are_seen(spark):
         source, staged = inputs.staged_rows(src, "promotions")
         r = spark.range(1).select(source.alias("a"), staged.alias("b")).first()
         assert (r.a == r.b) is same
-    one = {"promotions": good.promotions.withColumn("week", F.col("week") + (F.col("product_id") == "1").cast("int"))}
-    assert inputs.manifest(one).first() != inputs.manifest({"promotions": good.promotions}).first()
+
+
+def test_manifest_names_the_part_that_changed(spark):
+    """One changed row, one lost row and one repeated row are one part each; nothing else is reported."""
+    src = Sources(spark, SMALL)
+    before = MF.manifest({"products": src.products, "promotions": src.promotions})
+    ids = [r.product_id for r in src.products.orderBy("product_id").limit(3).collect()]
+    p = src.products
+    one = F.col("product_id") == ids[0]
+    for after, n in ((p.withColumn("brand", F.when(one, "other").otherwise(F.col("brand"))), 0), (p.where(~one), -1), (p.unionByName(p.where(one)), 1),
+                     (p.withColumn("brand", F.when(one, None).otherwise(F.col("brand"))), 0)):
+        found = MF.changes(before, MF.manifest({"products": after, "promotions": src.promotions})).collect()
+        status = {(r.level, r.table_name): r.status for r in found}
+        assert status[("batch", None)] == status[("table", "products")] == "CHANGED" and status[("table", "promotions")] == "PASS"
+        parts = [r for r in found if r.level == "part"]
+        want = spark.createDataFrame([(ids[0],)], "product_id string").select(D.key_range("product_id")).first()[0]
+        assert [(r.table_name, r.part) for r in parts] == [("products", want)] and (parts[0].rows_after or 0) - parts[0].rows_before == n
+    assert {r.status for r in MF.changes(before, before).collect()} == {"PASS"}
+
+
+def test_differences_by_ranges_equal_full_ones(spark):
+    a = spark.createDataFrame([(k % 50, None if k % 7 == 0 else f"v{k % 90}") for k in range(400)], "k int, v string")
+    b = a.where("k <> 3").unionByName(a.where("k = 5")).unionByName(spark.createDataFrame([(None, "x"), (None, None)], "k int, v string"))
+    want = a.exceptAll(b).withColumn("side", F.lit("only_in_a")).unionByName(b.exceptAll(a).withColumn("side", F.lit("only_in_b")))
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(S.two_way_multiset_difference(a, b, "k")) == rows(S.two_way_multiset_difference(a, b)) == rows(want)
+    want = a.subtract(b).withColumn("side", F.lit("only_in_a")).unionByName(b.subtract(a).withColumn("side", F.lit("only_in_b")))
+    assert rows(S.two_way_difference(a, b, "k")) == rows(want)
+    assert S.two_way_multiset_difference(a, a.repartition(5), "k").count() == 0
+    assert len(D.differing_ranges(a, a.where("k <> 3"), "k", a.columns)) == 1
 
 
 def test_verification_sees_damage(spark):
@@ -75,7 +106,7 @@ def test_null_household_is_not_a_bad_date(spark):
 def test_finalize_needs_every_check(spark):
     rules = spark.createDataFrame([(f"r{k}", "WARNING", "PASS") for k in range(len(RULES))], "rule_code string, severity string, status string")
     checks = spark.createDataFrame([(f"m{k}", "PASS") for k in range(VERIFY_CHECKS)], "metric string, status string")
-    decide = lambda a, b: N.finalize_gate(a, b, len(RULES), VERIFY_CHECKS).first().decision
+    decide = lambda a, b: N.report_gate(a, b, len(RULES), VERIFY_CHECKS).first().decision
     assert decide(rules, checks) == N.SUCCESS and dq_gate(rules).first().gate == "PASS"
     assert decide(rules, checks.limit(VERIFY_CHECKS - 1)) == "BLOCKED"
     assert decide(rules.limit(56), checks) == "BLOCKED"
