@@ -44,11 +44,13 @@ from .tokens import cuts, slices
 #: Radix partitions of A ids, runs that a task merges, and records (at least; to the end of a text slice) of a run.
 RADIX = 32
 MERGE = 64
-RECORDS = 2_000_000
+RECORDS = 1_000_000
 #: Entries of a zstd frame: what a cursor holds of a run.
 FRAME = 8192
+#: Bytes of text aligned at once (a longer single text is aligned whole).
+SLICE = 2 << 20
 #: Bounds of a worker's memory of aligned parts.
-KNOWN_PARTS = 400_000
+KNOWN_PARTS = 250_000
 KNOWN_BYTES = 48
 
 
@@ -75,10 +77,8 @@ class Aligner:
                                           ([self.bytes_a.get(i, b"") for i in range(self.a.get_vocab_size())], self.bytes_b))
         # a text may be cut before a space, around a newline, and before a mark after a letter, if no piece goes across
         self.may_cut = not any("▁" in p.lstrip("▁") or "\n" in p or any(x.isalpha() and y in ".," for x, y in pairwise(p)) for p in pieces)
-        self._reset()
-
-    def _reset(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.kept = 0  # once full: parts up to the last one remembered
         self.groups: list[bytes | None] = []  # None: no alignment
         self.counts = np.zeros((1 << 12, 4), np.int64)
         self.pairs = np.zeros(1 << 14, np.uint64)
@@ -118,6 +118,8 @@ class Aligner:
             at += n
             if len(self.known) < KNOWN_PARTS and len(parts[k]) <= KNOWN_BYTES:
                 self.known[parts[k]] = first + k
+                if len(self.known) == KNOWN_PARTS:
+                    self.kept = first + k + 1
         last = len(self.groups)
         while last + 1 > len(self.offsets):
             self.offsets = np.concatenate([self.offsets, np.zeros_like(self.offsets)])
@@ -130,8 +132,8 @@ class Aligner:
 
     def align(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """((n_a, n_b, n_groups, n_links) a row each, digests, pair keys of all links one after another, links of each text)."""
-        if len(self.groups) > 2 * KNOWN_PARTS:  # parts that were not remembered, too
-            self._reset()
+        if self.kept:
+            del self.groups[self.kept:]  # parts that were not remembered
         empty = pc.fill_null(pc.equal(pc.binary_length(texts), 0), True).to_numpy(zero_copy_only=False)
         space, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
         prefixed = pc.binary_join_element_wise(space, pc.fill_null(texts.cast(pa.large_string()), ""), nothing).cast(pa.large_binary())
@@ -317,7 +319,7 @@ def write_runs(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", t
         number = TaskContext.get().partitionId() << 32
         keys, totals, digests, records, docs_held, held = [], [], [], [], 0, 0
         for batch in batches:
-            for i, j in slices(batch.column(1)):
+            for i, j in slices(batch.column(1), SLICE):
                 total, digest, pairs, many = tool.align(batch.column(1).slice(i, j - i))
                 doc = np.repeat(np.arange(j - i, dtype=np.uint64), many)
                 names, coded = np.unique(pairs, return_inverse=True)  # a record: one document and one of its pairs

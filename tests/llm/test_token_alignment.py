@@ -108,3 +108,14 @@ def test_small_slices_in_one_task():
         parts = [tool.align(pa.array(texts[k:k + 3])) for k in range(0, len(texts), 3)]
         assert [d for p in parts for d in p[1]] == one[1]
         assert np.concatenate([p[2] for p in parts]).tolist() == one[2].tolist()
+
+
+def test_a_full_memory_changes_nothing(monkeypatch):
+    import pyarrow as pa
+    texts = [t for t in [*ODD, *EDGE_TEXTS, *ODD] if t]
+    one = token_alignment.Aligner(*PATHS).align(pa.array(texts))
+    monkeypatch.setattr(token_alignment, "KNOWN_PARTS", 40)
+    tool = token_alignment.Aligner(*PATHS)
+    parts = [tool.align(pa.array(texts[k:k + 2])) for k in range(0, len(texts), 2)]
+    assert [d for p in parts for d in p[1]] == one[1] and len(tool.known) == 40 <= tool.kept
+    assert np.concatenate([p[2] for p in parts]).tolist() == one[2].tolist()
