@@ -74,16 +74,25 @@ def _row_text_sql(cols) -> str:
     return "concat_ws('|', " + ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')" for c in cols) + ")"
 
 
+def parts_sql(name: str, key, cols, table: str) -> str:
+    """The range digests of one table in SQL."""
+    lanes = " || ':' || ".join(f"CAST(sum(CAST('0x' || substr(h, {16 * i + 1}, 16) AS UBIGINT)) AS VARCHAR)" for i in range(4))
+    return (f"SELECT '{name}' AS table_name, part, count(*) AS rows, sha256(count(*) || ':' || {lanes}) AS digest FROM (SELECT substr(md5({_row_text_sql(key)}), 1, 2) AS part, "
+            f"sha256({_row_text_sql(cols)}) AS h FROM {table}) x GROUP BY part")
+
+
+def tables_sql(parts: str) -> str:
+    """(table_name, rows, digest) in SQL from range digests."""
+    return (f"SELECT table_name, CAST(sum(rows) AS BIGINT) AS rows, sha256(string_agg(part || ' ' || digest, chr(10) ORDER BY part)) AS digest "
+            f"FROM ({parts}) p GROUP BY table_name")
+
+
 def _tree_sql(tables: dict[str, str] | None = None) -> str:
     """The digest tree in SQL; ``tables`` names what to read in place of a table."""
-    lanes = " || ':' || ".join(f"CAST(sum(CAST('0x' || substr(h, {16 * i + 1}, 16) AS UBIGINT)) AS VARCHAR)" for i in range(4))
-    parts = "\nUNION ALL ".join(
-        f"SELECT '{t}' AS table_name, part, count(*) AS rows, sha256(count(*) || ':' || {lanes}) AS digest FROM (SELECT substr(md5({_row_text_sql(key)}), 1, 2) AS part, "
-        f"sha256({_row_text_sql(cols)}) AS h FROM {(tables or {}).get(t, t)}) x GROUP BY part" for t, (key, cols) in MF.MANIFEST.items())
+    parts = "\nUNION ALL ".join(parts_sql(t, key, cols, (tables or {}).get(t, t)) for t, (key, cols) in MF.MANIFEST.items())
     return f"""SELECT 'part' AS level, table_name, part, rows, digest FROM ({parts}) p
-UNION ALL SELECT 'table', table_name, NULL, CAST(sum(rows) AS BIGINT), sha256(string_agg(part || ' ' || digest, chr(10) ORDER BY part)) FROM ({parts}) p GROUP BY table_name
-UNION ALL SELECT 'batch', NULL, NULL, CAST(sum(rows) AS BIGINT), sha256(string_agg(table_name || ' ' || digest, chr(10) ORDER BY table_name)) FROM (
-  SELECT table_name, sum(rows) AS rows, sha256(string_agg(part || ' ' || digest, chr(10) ORDER BY part)) AS digest FROM ({parts}) p GROUP BY table_name) t"""
+UNION ALL SELECT 'table', table_name, NULL, rows, digest FROM ({tables_sql(parts)}) t
+UNION ALL SELECT 'batch', NULL, NULL, CAST(sum(rows) AS BIGINT), sha256(string_agg(table_name || ' ' || digest, chr(10) ORDER BY table_name)) FROM ({tables_sql(parts)}) t"""
 
 
 @query("source_manifest", _tree_sql())

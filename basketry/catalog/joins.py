@@ -10,6 +10,7 @@ from ..operators import aggregates as E
 from ..operators import joins as D
 from ..operators import keys as G
 from ..operators import sets as S
+from ..plans.verify import FOREIGN_KEYS as FK_CONTRACTS
 from ..plans.warehouse import warehouse
 from ..registry import query
 
@@ -96,33 +97,6 @@ def q_d7(spark, d):
                                           for c in ["left_quantity", "joined_quantity"]})
 
 
-FK_CONTRACTS = [
-    ("fact_sales.product_key", "fact_sales", ["product_key"], "dim_product", ["product_key"]),
-    ("fact_sales.household_key", "fact_sales", ["household_key"], "dim_household", ["household_key"]),
-    ("fact_sales.store_key", "fact_sales", ["store_key"], "dim_store", ["store_key"]),
-    ("fact_sales.date_key", "fact_sales", ["date_key"], "dim_date", ["date_key"]),
-    ("fact_sales.week_key", "fact_sales", ["week_key"], "dim_week", ["week_key"]),
-    ("fact_promotion_weekly.product_key", "fact_promotion_weekly", ["product_key"], "dim_product", ["product_key"]),
-    ("fact_promotion_weekly.store_key", "fact_promotion_weekly", ["store_key"], "dim_store", ["store_key"]),
-    ("fact_promotion_weekly.week_key", "fact_promotion_weekly", ["week_key"], "dim_week", ["week_key"]),
-    ("fact_coupon_redemption.household_key", "fact_coupon_redemption", ["household_key"], "dim_household", ["household_key"]),
-    ("fact_coupon_redemption.campaign_key", "fact_coupon_redemption", ["campaign_key"], "dim_campaign", ["campaign_key"]),
-    ("fact_coupon_redemption.coupon_campaign", "fact_coupon_redemption", ["coupon_key", "campaign_key"], "dim_coupon", ["coupon_key", "campaign_key"]),
-    ("fact_coupon_redemption.redemption_date_key", "fact_coupon_redemption", ["redemption_date_key"], "dim_date", ["date_key"]),
-    ("dim_coupon.campaign", "dim_coupon", ["campaign_key", "campaign_id"], "dim_campaign", ["campaign_key", "campaign_id"]),
-    ("bridge_campaign_household.campaign_key", "bridge_campaign_household", ["campaign_key"], "dim_campaign", ["campaign_key"]),
-    ("bridge_campaign_household.household_key", "bridge_campaign_household", ["household_key"], "dim_household", ["household_key"]),
-    ("bridge_coupon_product.coupon_key", "bridge_coupon_product", ["coupon_key"], "dim_coupon", ["coupon_key"]),
-    ("bridge_coupon_product.product_key", "bridge_coupon_product", ["product_key"], "dim_product", ["product_key"]),
-    ("dim_week.week_start_date", "dim_week", ["week_start_date"], "dim_date", ["full_date"]),
-    ("dim_week.week_end_date", "dim_week", ["week_end_date"], "dim_date", ["full_date"]),
-    ("dim_week.coverage_start_date", "dim_week", ["coverage_start_date"], "dim_date", ["full_date"]),
-    ("dim_week.coverage_end_date", "dim_week", ["coverage_end_date"], "dim_date", ["full_date"]),
-    *[(f"{t}.etl_batch_id", t, ["etl_batch_id"], "load_batches", ["etl_batch_id"]) for t in (
-        "dim_product", "dim_household", "dim_store", "dim_campaign", "dim_coupon", "bridge_campaign_household",
-        "bridge_coupon_product", "fact_sales", "fact_promotion_weekly", "fact_coupon_redemption")],
-]
-
 _BRIDGE_SQL = {
     "load_batches": "(SELECT CAST(1 AS BIGINT) AS etl_batch_id)",
     "bridge_campaign_household": """(SELECT c.campaign_key, h.household_key, CAST(1 AS BIGINT) AS etl_batch_id FROM campaign_pairs p

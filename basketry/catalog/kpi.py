@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..plans import distinct as DI
 from ..plans import kpi as K
 from ..plans.warehouse import warehouse
 from ..registry import query
@@ -592,4 +593,4 @@ def q_kg(spark, d):
 @query("kpi_time_slices", TIME_SLICES_SQL)
 def q_t01_all(spark, d):
     wh = _wh(spark, d)
-    return K.time_slices(wh.sales_in_scope, wh.dim_week)
+    return DI.time_slices(wh.daily_sets.where("in_scope"), wh.dim_week)

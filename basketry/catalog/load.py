@@ -7,8 +7,10 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..operators import digests as D
 from ..operators import load as L
 from ..operators.aggregates import combine_rows
+from ..plans.scope import product_scope
 from ..plans.warehouse import warehouse
 from ..registry import query
 from ..session import stored
@@ -74,16 +76,58 @@ def q_i2(spark, d):
                             & (F.col("household_key") == F.col("expected_key"))).alias("rows_matching_source"))
 
 
+#: Product buckets of the partitioned fact: the first hex digit of the hash of the product id, modulo this.
+PRODUCT_BUCKETS = 4
+_BUCKET_SQL = f"CAST('0x' || substr(md5(length(product_id) || ':' || product_id), 1, 1) AS INTEGER) % {PRODUCT_BUCKETS}"
+
+
+def _bucketed(fact):
+    return fact.withColumn("product_bucket", (F.conv(D.key_range("product_id", 1), 16, 10).cast("int") % PRODUCT_BUCKETS))
+
+
+def _rebuilt(spark, d, **rules):
+    """The sales fact, partitioned by week and product bucket, after a change of scope; and the partitions it rewrote."""
+    wh = _wh(spark, d)
+    fact = L.PartitionedFact.create(_bucketed(wh.fact_sales.drop("scope_rule_version")), scratch_path(spark, "fact"), ["week_key", "product_bucket"])
+    change = stored(L.changed_status(wh.product_scope, product_scope(wh.src.products, wh.src.transactions, version="fixture-2", **rules)), "scope-change")
+    new = wh.fact_sales_rows(wh.sales_lines(change.where("enters").select("product_id"))).drop("scope_rule_version")
+    return fact, fact.apply(change.where("not enters"), _bucketed(new), "product_id")
+
+
 @query("scope_change_rebuild", """
 SELECT f.basket_id, f.product_id FROM fact_sales f JOIN product_scope s USING (product_id)
 WHERE s.scope_status = 'IN_SCOPE' AND upper(trim(s.department)) <> 'LARGE'""")
 def q_i3(spark, d):
-    """New scope version drops department LARGE from IN_SCOPE; the fact is rebuilt."""
-    from ..plans.scope import product_scope
-    wh = _wh(spark, d)
-    ins = [x for x in C.SCOPE_IN_DEPARTMENTS if x != "LARGE"]
-    new_scope = product_scope(wh.src.products, wh.src.transactions, in_departments=ins, version="fixture-2")
-    return L.scope_change_rebuild(wh.fact_sales, new_scope).select("basket_id", "product_id")
+    """New scope version drops department LARGE from IN_SCOPE; its rows leave the fact."""
+    fact, _ = _rebuilt(spark, d, in_departments=[x for x in C.SCOPE_IN_DEPARTMENTS if x != "LARGE"])
+    return fact.read().select("basket_id", "product_id")
+
+
+MORE_IN = ("refine_in", "ECONOMY", "GEAR", ["RED GEAR"], C.IN_SCOPE, "Reviewed category/type")
+_ENTERING_SQL = """entering AS (SELECT s.product_id FROM product_scope s JOIN products_norm n USING (product_id)
+    WHERE s.scope_status = 'REVIEW' AND n.n_dept = 'ECONOMY' AND n.n_cat = 'GEAR' AND n.n_type = 'RED GEAR'),
+arriving AS (SELECT w.week_key, t.basket_id, t.product_id FROM tx_local t LEFT JOIN dim_week w ON w.source_week = t.week
+    AND t.local_date BETWEEN w.coverage_start_date AND w.coverage_end_date WHERE t.product_id IN (SELECT product_id FROM entering))"""
+
+
+@query("scope_change_incremental", f"""
+WITH {_ENTERING_SQL}
+SELECT week_key, basket_id, product_id FROM fact_sales UNION ALL SELECT week_key, basket_id, product_id FROM arriving""")
+def q_i3_incremental(spark, d):
+    """A new version confirms one more product type: its lines enter, and only the partitions they fall in are rewritten."""
+    fact, _ = _rebuilt(spark, d, refinements=[*C.SCOPE_REFINEMENTS, MORE_IN])
+    return fact.read().select("week_key", "basket_id", "product_id")
+
+
+@query("scope_change_partitions", f"""
+WITH {_ENTERING_SQL},
+old AS (SELECT week_key, {_BUCKET_SQL} AS product_bucket, count(*) AS n FROM fact_sales GROUP BY 1, 2),
+new AS (SELECT week_key, {_BUCKET_SQL} AS product_bucket, count(*) AS n FROM arriving GROUP BY 1, 2)
+SELECT week_key, product_bucket, CAST(coalesce(old.n, 0) AS BIGINT) AS rows_before, CAST(coalesce(old.n, 0) + new.n AS BIGINT) AS rows_after
+FROM new LEFT JOIN old USING (week_key, product_bucket)""")
+def q_i3_partitions(spark, d):
+    """The partitions that the change rewrote."""
+    return _rebuilt(spark, d, refinements=[*C.SCOPE_REFINEMENTS, MORE_IN])[1]
 
 
 @query("publish_after_checks", """

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scalars import local_date
+from ..plans import distinct as DI
 from ..plans import profile as P
 from ..plans.warehouse import warehouse
 from ..registry import query
@@ -117,7 +118,7 @@ def q_p8(spark, d):
     for t, cols in OVERVIEW_COLUMNS.items() for c in cols))
 def q_p9(spark, d):
     src = _wh(spark, d).src
-    return P.union([P.distinct_profile(src.source(t).select(*cols), t) for t, cols in OVERVIEW_COLUMNS.items()])
+    return P.distinct_profile({t: src.source(t).select(*cols) for t, cols in OVERVIEW_COLUMNS.items()})
 
 
 @query("products_per_department", """
@@ -194,7 +195,4 @@ SELECT count(*) AS rows, count(DISTINCT basket_id) AS baskets, count(DISTINCT ho
        count(DISTINCT store_id) AS stores, count(DISTINCT product_id) AS products, count(DISTINCT week) AS weeks
 FROM transactions""")
 def q_p15(spark, d):
-    t = _wh(spark, d).src.transactions
-    return t.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("basket_id").alias("baskets"),
-                 F.countDistinct("household_id").alias("households"), F.countDistinct("store_id").alias("stores"),
-                 F.countDistinct("product_id").alias("products"), F.countDistinct("week").alias("weeks"))
+    return DI.volume(_wh(spark, d).daily_sets)

@@ -203,7 +203,23 @@ def q_promo_unknown(spark, d):
                  n.alias("affected_groups"), F.when(n > 0, "FAIL").otherwise("PASS").alias("status"))
 
 
-@query("dq_results")
+def _results_sql() -> str:
+    """The report with details as JSON text; samples are the five first rows of each rule by their columns as text."""
+    parts = []
+    for r in RULES:
+        cols = r.out_cols if r.key is not None else r.cols
+        order = ", ".join(f"CAST({c} AS VARCHAR) NULLS FIRST" for c in cols)
+        row = " || ',' || ".join(f"""'"{c}":' || coalesce(CAST(to_json(CAST({c} AS VARCHAR)) AS VARCHAR), 'null')""" for c in cols)
+        parts.append(f"""SELECT '{r.rule_code}' AS code, '{r.action.replace("'", "''")}' AS action, (SELECT coalesce(string_agg(j, ',' ORDER BY n), '') FROM (
+            SELECT row_number() OVER (ORDER BY {order}) AS n, '{{' || {row} || '}}' AS j FROM ({RULE_SQL[r.code]}) x QUALIFY n <= 5)) AS samples""")
+    return f"""
+SELECT rule_order, table_name, rule_code, severity, status, affected_rows,
+       '{{"action":' || CAST(to_json(action) AS VARCHAR) || ',"count_unit":"rows_returned_by_rule","samples":[' || samples || ']}}' AS details
+FROM ({REPORT_SQL}) r JOIN ({chr(10).join(parts[:1])}
+{"".join(chr(10) + "UNION ALL " + p for p in parts[1:])}) s ON s.code = r.rule_code"""
+
+
+@query("dq_results", _results_sql())
 def q_dq_results(spark, d):
-    """The audit rows with details JSON and samples (JSON text: row check only)."""
+    """The audit rows with details and samples as JSON."""
     return results(quality(spark, d))

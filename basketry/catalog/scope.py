@@ -8,6 +8,8 @@ from .. import config as C
 from ..plans import scope as SC
 from ..plans.warehouse import warehouse
 from ..registry import query
+from ..session import shared_path
+from .inputs import parts_sql, tables_sql
 
 
 def _dec(spark, d):
@@ -39,6 +41,26 @@ for _name, _reason in _RULES:
         lambda spark, d, _r=_reason: _dec(spark, d).where(F.col("scope_reason") == _r))
 
 
+def _list_sql(names: list[str]) -> str:
+    """First match by rank over all rules that fit: a nested comparison, not an index."""
+    rules = [r for n in names for r in C.DECISION_LISTS[n]]
+    text = lambda v: "NULL" if v is None else "'" + v + "'"
+    values = ", ".join(f"({k}, {', '.join(text(v) for v in r)})" for k, r in enumerate(rules))
+    return f"""
+SELECT p.product_id, CAST(r.rule AS BIGINT) AS rule, r.status, r.reason
+FROM (SELECT product_id, nullif(n_dept, '') AS d, nullif(n_cat, '') AS c, nullif(n_type, '') AS t FROM products_norm
+      WHERE product_id IN (SELECT product_id FROM product_scope WHERE scope_status = 'REVIEW' AND scope_reason <> 'Product missing from lookup')) p
+JOIN (VALUES {values}) r(rule, d, c, t, status, reason)
+  ON (r.d IS NULL OR r.d = p.d) AND (r.c IS NULL OR r.c = p.c) AND (r.t IS NULL OR r.t = p.t)
+QUALIFY row_number() OVER (PARTITION BY p.product_id ORDER BY r.rule) = 1"""
+
+
+for _key, _names in [("scope_refine_personal_care", ["personal_care"]), ("scope_refine_nutrition", ["nutrition"]), ("scope_refine_cosmetics", ["cosmetics"]),
+                     ("scope_decision_list", list(C.DECISION_LISTS))]:
+    query(_key, _list_sql(_names))(
+        lambda spark, d, _n=_names: SC.refine_by_list(warehouse(spark, d).src.products, _dec(spark, d), _n))
+
+
 @query("scope_join_guard", """
 SELECT (SELECT count(*) FROM transactions) AS source_rows,
        (SELECT count(*) FROM transactions t LEFT JOIN product_scope s USING (product_id)) AS joined_rows,
@@ -98,11 +120,34 @@ def q_scope_review_categories(spark, d):
     return SC.scope_review_categories(_dec(spark, d))
 
 
-@query("scope_outputs", """
+ORACLE_VALIDATION = """
 SELECT 'fixture-1' AS rule_version, (SELECT count(*) FROM transactions) AS source_rows,
        (SELECT count(*) FROM products) AS lookup_products,
        (SELECT count(*) FROM product_scope WHERE scope_reason = 'Product missing from lookup') AS missing_lookup_products,
        (SELECT CAST(sum(round(sales_value * 100)) AS BIGINT) FROM transactions) AS source_sales_cents,
-       'PASS' AS row_reconciliation, 'PASS' AS sales_reconciliation""")
+       'PASS' AS row_reconciliation, 'PASS' AS sales_reconciliation"""
+
+
+@query("scope_outputs", ORACLE_VALIDATION)
 def q_scope_outputs(spark, d):
     return SC.validation_record(_tx(spark, d), _dec(spark, d))
+
+
+def _outputs_sql() -> str:
+    frames = {
+        "decisions": (SC.DECISION_COLUMNS, "product_scope"),
+        "department_summary": (["department", "scope_status", "products"], """(SELECT department, scope_status, count(*) AS products FROM product_scope
+            WHERE scope_reason <> 'Product missing from lookup' GROUP BY 1, 2)"""),
+        "review_categories": (["department", "product_category", "product_type", "scope_reason", "products"], """(SELECT department, product_category, product_type,
+            scope_reason, count(*) AS products FROM product_scope WHERE scope_status = 'REVIEW' AND scope_reason <> 'Product missing from lookup' GROUP BY 1, 2, 3, 4)"""),
+        "validation": (["rule_version", "source_rows", "lookup_products", "missing_lookup_products", "source_sales_cents", "row_reconciliation", "sales_reconciliation"],
+                       f"({ORACLE_VALIDATION})"),
+    }
+    parts = "\nUNION ALL ".join(parts_sql(n, cols[:1], cols, f"{t} y") for n, (cols, t) in frames.items())
+    return f"SELECT table_name AS output, rows, digest FROM ({tables_sql(parts)}) o"
+
+
+@query("scope_output_files", _outputs_sql())
+def q_scope_output_files(spark, d):
+    """The outputs written, read back and hashed."""
+    return SC.write_scope_outputs(shared_path(spark, "scope-outputs"), _tx(spark, d), _dec(spark, d))

@@ -8,7 +8,7 @@ from .. import config as C
 from ..plans.verify import (BATCH_TABLES, PRIMARY_KEYS, TABLES, UNIQUE_KEYS, Verify, summary)
 from ..plans.warehouse import warehouse
 from ..registry import query
-from .joins import FK_CONTRACTS, _BRIDGE_SQL, fk_contracts
+from .joins import FK_CONTRACTS, _BRIDGE_SQL
 
 _V: dict = {}
 
@@ -161,7 +161,7 @@ FK_SQL = _fk_sql()
 
 @query("verify_foreign_keys", FK_SQL)
 def q_fk(spark, d):
-    return verifier(spark, d).foreign_keys(fk_contracts(warehouse(spark, d)))
+    return verifier(spark, d).foreign_keys()
 
 
 def _sales_totals_sql() -> str:
@@ -252,7 +252,7 @@ def full_report(spark, d):
     wh = warehouse(spark, d)
     if v.report is not None:
         return v.report
-    parts = [v.row_counts(), v.scope(), v.keys(), v.foreign_keys(fk_contracts(wh)), v.sales_totals(),
+    parts = [v.row_counts(), v.scope(), v.keys(), v.foreign_keys(), v.sales_totals(),
              v.calendar(), v.promotion_rows(), v.join_no_fanout(), v.redemptions()]
     v.report = wh._store("verify_report", reduce(lambda a, b: a.unionByName(b), parts))   # read by every audit query
     return v.report

@@ -53,7 +53,6 @@ MEASURES = ["quantity"] + MONEY
 
 # Source keys and descriptive attributes per staged table.
 REDEMPTION_GRAIN = ["household_id", "coupon_upc", "campaign_id", "redemption_date"]
-REDEMPTION_GRAIN = ["household_id", "coupon_upc", "campaign_id", "redemption_date"]
 REQUIRED_KEYS = {
     "products": ["product_id"],
     "demographics": ["household_id"],
@@ -90,4 +89,19 @@ SCOPE_REFINEMENTS = [
      "Reviewed durable goods/accessories or services"),
 ]
 
+# A longer decision list over (department, category, type), for products that are still under review: the three
+# refinements by exact triples, then rules with wildcards (None).  The first that fits decides.
+DECISION_ATTRIBUTES = ["department", "product_category", "product_type"]
+DECISION_LISTS = {
+    "personal_care": [("ECONOMY", c, f"{k} {c}", IN_SCOPE, "Reviewed personal care") for c, kinds in
+                      [("GEAR", ["RED", "BLUE", "NEW"]), ("PLATE", ["HOT", "COLD"]), ("ROD", ["SMALL"])] for k in kinds],
+    "nutrition": [("SMALL", c, f"{k} {c}", IN_SCOPE, "Reviewed nutrition") for c, kinds in
+                  [("GIZMO", ["NEW", "OLD"]), ("ANVIL", ["RED"]), ("RING", ["LARGE", "HOT", "COLD"]), ("PLATE", ["BLUE"])] for k in kinds],
+    "cosmetics": [("ECONOMY", c, f"{k} {c}", IN_SCOPE, "Reviewed cosmetics") for c, kinds in
+                  [("ANVIL", ["OLD", "NEW"]), ("GIZMO", ["RED", "HOT"])] for k in kinds],
+    "general": [("SMALL", "BOLT", None, OUT_OF_SCOPE, "Durable goods"), (None, "ROD", "OLD ROD", OUT_OF_SCOPE, "Old stock"),
+                (None, None, "COLD GEAR", IN_SCOPE, "Type confirmed"), ("ECONOMY", None, None, REVIEW, "Department under review"),
+                (None, None, None, REVIEW, "No rule")],
+}
+
 BATCH_ID = 1

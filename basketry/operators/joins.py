@@ -102,3 +102,23 @@ def orphan_check(contracts: list[tuple[str, DataFrame, list[str], DataFrame, lis
         parts.append(orphans.agg(F.count(F.lit(1)).alias("orphan_rows"))
                      .select(F.lit(name).alias("foreign_key"), "orphan_rows"))
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+#: Days of an interval bucket: a period of n days is n / BUCKET_DAYS rows of the lookup.
+BUCKET_DAYS = 64
+
+
+def in_any_period(df: DataFrame, periods: DataFrame, key: str, day: str, start: str, end: str, flag: str, width: int = BUCKET_DAYS) -> DataFrame:
+    """``df`` with ``flag``: whether its ``day`` lies in one of the periods [start, end] of its ``key`` (false for NULLs).
+
+    A range join by interval buckets: a period is a row for each bucket of ``width`` days it touches, and a day is
+    looked up in its own bucket, by an equi-join with the bounds as residual.  Distinct (key, day) pairs are looked up, so
+    rows never multiply, and however many periods a key has, none is collected into one row.
+    """
+    bucket = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / width).cast("int")
+    spread = periods.where(F.col(key).isNotNull() & (F.col(start) <= F.col(end))).select(
+        F.col(key).alias("_k"), F.col(start).alias("_from"), F.col(end).alias("_to"), F.explode(F.sequence(bucket(start), bucket(end))).alias("_b"))
+    pairs = df.select(F.col(key), F.col(day)).where(F.col(key).isNotNull() & F.col(day).isNotNull()).distinct().withColumn("_day_b", bucket(day))
+    meets = (F.col(key) == F.col("_k")) & (F.col("_day_b") == F.col("_b")) & F.col(day).between(F.col("_from"), F.col("_to"))
+    inside = pairs.join(spread, meets, "left_semi").select(key, day, F.lit(True).alias(flag))
+    return df.join(inside, [key, day], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))

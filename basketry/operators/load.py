@@ -14,11 +14,14 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import rows_differ
+from ..session import stored
 from . import digests as D
 from .aggregates import combine_rows
 from .keys import assign_keys
@@ -133,29 +136,109 @@ def type1_upsert(target: DataFrame, expected: DataFrame, key, cols: list[str],
     return upd.unionByName(new)
 
 
-def scope_change_rebuild(fact: DataFrame, scope: DataFrame, status: str = "IN_SCOPE",
-                         key: str = "product_id") -> DataFrame:
-    """Rebuild a fact against a new scope version; rows no longer in scope leave."""
-    return fact.join(scope.where(F.col("scope_status") == status).select(key), key, "left_semi")
+def changed_status(before: DataFrame, after: DataFrame, status: str = "IN_SCOPE", key: str = "product_id") -> DataFrame:
+    """(key, enters): keys that have ``status`` in one scope version only; ``enters`` if it is the later one."""
+    old = before.where(F.col("scope_status") == status).select(key).distinct().withColumn("_old", F.lit(True))
+    new = after.where(F.col("scope_status") == status).select(key).distinct().withColumn("_new", F.lit(True))
+    return old.join(new, key, "full").where("_old is null or _new is null").select(key, F.col("_new").isNotNull().alias("enters"))
+
+
+class PartitionedFact:
+    """A fact in a folder, partitioned by columns of its own; a change rewrites the partitions it touches and no other."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, by: list[str]):
+        self.spark, self.path, self.schema, self.by = spark, path, schema, by
+
+    @classmethod
+    def create(cls, df: DataFrame, path: str, by: list[str]) -> PartitionedFact:
+        fact = cls(df.sparkSession, path, df.schema, by)
+        fact._write(df)
+        return fact
+
+    def _write(self, df: DataFrame) -> None:
+        """One task writes a partition, or several where one is large (AQE splits it); partitions that ``df`` has no rows of stay."""
+        (df.select(self.schema.names).hint("rebalance", *self.by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*self.by).parquet(self.path))
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path).select(self.schema.names)
+
+    def touched(self, rows: DataFrame) -> DataFrame:
+        """The partitions of some rows."""
+        return rows.select(*self.by).distinct()
+
+    def apply(self, leaving: DataFrame, entering: DataFrame, key: str) -> DataFrame:
+        """Take out the rows whose ``key`` is in ``leaving``, add the rows ``entering``; returns the partitions rewritten, with row counts.
+
+        Touched partitions alone are read, rebuilt in a folder of their own and then overwritten; a partition that is left
+        without rows is removed.  A crash before the overwrite changes nothing, and the same change can be applied again.
+        """
+        fact = self.read()
+        gone = fact.join(leaving.select(key), key, "left_semi")
+        partitions = stored(self.touched(gone).unionByName(self.touched(entering)).distinct(), "touched")
+        old = self._of(fact, partitions)
+        # entering rows that are there already (a change applied again) are not added twice
+        kept = old.join(leaving.select(key), key, "left_anti").join(entering.select(key).distinct(), key, "left_anti")
+        rebuilt = stored(kept.unionByName(entering.select(self.schema.names)), "rebuilt")
+        sides = old.select(*self.by, F.lit(1).alias("_o"), F.lit(0).alias("_n")).unionByName(rebuilt.select(*self.by, F.lit(0).alias("_o"), F.lit(1).alias("_n")))
+        counts = stored(sides.groupBy(*self.by).agg(F.sum("_o").alias("rows_before"), F.sum("_n").alias("rows_after")), "rewritten")
+        self._write(rebuilt)
+        for row in counts.where("rows_after = 0").collect():    # a name for each partition without rows
+            self._remove(row)
+        return counts
+
+    def _of(self, fact: DataFrame, partitions: DataFrame) -> DataFrame:
+        """Rows of some partitions; those of the first column, a bounded number of values, are pruned by folder."""
+        first = self.by[0]
+        values = [r[0] for r in partitions.select(first).distinct().collect()]
+        near = F.col(first).isin([v for v in values if v is not None])
+        near = near | F.col(first).isNull() if None in values else near
+        named = F.broadcast(partitions.select(*[F.col(c).alias(f"_p_{c}") for c in self.by]))     # names of folders
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in self.by])
+        return fact.where(near).join(named, same, "left_semi")
+
+    def _remove(self, row) -> None:
+        names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in self.by]
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.path.rstrip("/"), *names]))
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 # --- I4 publish after checks -------------------------------------------------------
 def publish(spark: SparkSession, frames: dict[str, DataFrame], base: str, checks: DataFrame,
             version: str | None = None) -> str:
     """Write every table under ``base/<table>/v=<version>`` and, only if all checks
-    pass, write the pointer ``base/_current`` naming that version.  Readers
-    resolve the pointer, so they never see a half-published set."""
+    pass, a new numbered pointer ``base/_pointer/n=<number>`` that names that version.
+
+    Pointers are never replaced: readers take the highest that is complete (with its ``_SUCCESS`` mark), so they see the old
+    or the new set, whenever a publication is cut off.
+    """
     failing = checks.where(F.col("status") != "PASS").select(F.count(F.lit(1))).first()[0]
     if failing:
         raise LoadBlocked(f"{failing} checks failing; nothing published")
     version = version or uuid.uuid4().hex[:12]
     for name, df in frames.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}/v={version}")
+    number = max(_pointers(spark, base, complete=False), default=0) + 1
     spark.createDataFrame([(version, json.dumps(sorted(frames)))], "version string, tables string") \
-        .coalesce(1).write.mode("overwrite").json(f"{base}/_current")
+        .coalesce(1).write.mode("errorifexists").json(f"{base}/_pointer/n={number}")
     return version
 
 
+def _pointers(spark: SparkSession, base: str, complete: bool = True) -> list[int]:
+    """Numbers of the pointers under ``base``; a cut-off one has no ``_SUCCESS`` mark."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{base}/_pointer")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    paths = [f.getPath() for f in fs.listStatus(folder)]
+    return [int(p.getName()[2:]) for p in paths if p.getName().startswith("n=")
+            and (not complete or fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))]
+
+
 def read_current(spark: SparkSession, base: str, table: str) -> DataFrame:
-    version = spark.read.json(f"{base}/_current").first()["version"]
+    numbers = _pointers(spark, base)
+    if not numbers:
+        raise FileNotFoundError(f"nothing published under {base}")
+    version = spark.read.schema("version string, tables string").json(f"{base}/_pointer/n={max(numbers)}").first()["version"]
     return spark.read.parquet(f"{base}/{table}/v={version}")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -52,31 +53,62 @@ def anomaly_counts(df: DataFrame, high: int = C.HIGH_QUANTITY, label: str = "ALL
         F.count_if((s + r + m) < 0).alias("before_discount_candidate_negative"))
 
 
-def quantity_quantiles(df: DataFrame, col: str = "quantity",
-                       probs=(0.0, 0.5, 0.9, 0.99, 1.0)) -> DataFrame:
-    """Exact, linearly interpolated percentiles from the counts of each value.
+def quantity_quantiles(df: DataFrame, col: str = "quantity", probs=(0.0, 0.5, 0.9, 0.99, 1.0), small: int = 100_000,
+                       accuracy: int = 1_000) -> DataFrame:
+    """Exact, linearly interpolated percentiles by selection.
 
-    The aggregate holds a count for each distinct value, spread over the cluster;
-    ranks come from running sums inside ranges of values and over the ranges'
-    totals, and only the values at the wanted ranks meet.
+    The wanted ranks are narrowed by passes that sort nothing: a sketch gives two cut points about a rank, a
+    count says exactly how many values are below and between them.  Once at most ``small`` values (or one) are between,
+    only those are counted by value and ordered.  Cut points follow the data, so an outlier or a heavy value leaves no range with
+    all rows; each pass cuts the range of a rank by about ``accuracy / 4``.
     """
     x = F.col(col).cast("double")
-    counts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    lo_hi = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
-    lo, hi, total = (lo_hi.select(c).scalar() for c in ("lo", "hi", "total"))
-    ranged = counts.withColumn("total", total).withColumn("r", F.floor((F.col("v") - lo) / F.greatest((hi - lo) / 1024, F.lit(1e-300))))
-    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = ranged.groupBy("r").agg(F.sum("n").alias("n")).select("r", before(Window.orderBy("r")).alias("outer"))   # 1,025 rows at most
-    placed = (ranged.withColumn("inner", before(Window.partitionBy("r").orderBy("v"))).join(F.broadcast(sums), "r")
-              .withColumn("first", F.col("outer") + F.col("inner")).withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))))
-    at = F.col("p") * (F.col("total") - 1)
-    holds = lambda rank: (rank >= F.col("first")) & (rank < F.col("first") + F.col("n"))
-    share = at - F.floor(at)
-    parts = placed.where(holds(F.floor(at)) | holds(F.ceil(at)))
-    low = F.max(F.when(holds(F.floor(at)), F.col("v")))
-    high = F.max(F.when(holds(F.ceil(at)), F.col("v")))
-    return parts.groupBy(F.col("p").alias("probability"), share.alias("_s")).agg(low.alias("_l"), high.alias("_h")).select(
-        "probability", (F.col("_l") + (F.col("_h") - F.col("_l")) * F.col("_s")).alias("value"))
+    values = df.where(x.isNotNull()).select(x.alias("v"))
+    first = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    spark = df.sparkSession
+    if not first.n:
+        return spark.createDataFrame([], "probability double, value double")
+    at = {float(p): float(p) * (first.n - 1) for p in probs}
+    ranks = sorted({r for a in at.values() for r in (math.floor(a), math.ceil(a))})
+    state = {r: (first.lo, first.hi, 0, first.n) for r in ranks}     # lowest and highest value, values below, values within
+
+    def within(lo: float, hi: float) -> Column:
+        return F.col("v").between(lo, hi)
+
+    def counted(bounds: dict) -> dict:
+        aggs = [a for k, (lo, hi) in bounds.items() for a in (F.count_if(F.col("v") < lo).alias(f"b{k}"), F.count_if(within(lo, hi)).alias(f"w{k}"))]
+        row = values.agg(*aggs).first()
+        return {k: (row[f"b{k}"], row[f"w{k}"]) for k in bounds}
+
+    while wide := [r for r in ranks if state[r][3] > small and state[r][0] < state[r][1]]:
+        margin = 2 / accuracy
+        share = {r: (r - state[r][2] + 0.5) / state[r][3] for r in wide}
+        sketch = values.agg(*[F.percentile_approx(F.when(within(*state[r][:2]), F.col("v")), [max(0.0, share[r] - margin), min(1.0, share[r] + margin)],
+                                                  accuracy).alias(f"s{r}") for r in wide]).first()
+        cut = {r: (max(sketch[f"s{r}"][0], state[r][0]), min(sketch[f"s{r}"][1], state[r][1])) for r in wide}
+        for r, (below, inside) in counted(cut).items():
+            lo, hi, old_below, old_inside = state[r]
+            if below <= r < below + inside and (cut[r] != (lo, hi)):
+                state[r] = (*cut[r], below, inside)
+            else:   # the sketch missed the rank, or cut nothing: halve the range of values instead
+                middle = lo + (hi - lo) / 2
+                half = counted({0: (lo, middle)})[0]
+                if r < half[0] + half[1]:
+                    state[r] = (lo, middle, *half)
+                else:
+                    state[r] = (math.nextafter(middle, math.inf), hi, half[0] + half[1], old_below + old_inside - half[0] - half[1])
+    # what is left of each rank: a bounded number of values, or one
+    wanted = spark.createDataFrame([(r, float(state[r][0]), float(state[r][1]), state[r][2]) for r in ranks], "r bigint, lo double, hi double, below bigint")
+    counts = values.where(reduce(lambda a, b: a | b, [within(*state[r][:2]) for r in ranks])).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    held = counts.join(F.broadcast(wanted), F.col("v").between(F.col("lo"), F.col("hi")))     # as many rows as ranks
+    upto = F.col("below") + F.sum("n").over(Window.partitionBy("r").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    found = held.withColumn("upto", upto).where((F.col("r") < F.col("upto")) & (F.col("r") >= F.col("upto") - F.col("n"))).select("r", "v")
+    asked = spark.createDataFrame([(p, math.floor(a), math.ceil(a), a - math.floor(a)) for p, a in at.items()],
+                                  "probability double, low bigint, high bigint, share double")
+    ends = found.join(F.broadcast(asked), (F.col("r") == F.col("low")) | (F.col("r") == F.col("high")))
+    value = lambda side: F.max(F.when(F.col("r") == F.col(side), F.col("v")))
+    return ends.groupBy("probability", "share").agg(value("low").alias("_l"), value("high").alias("_h")).select(
+        "probability", (F.col("_l") + (F.col("_h") - F.col("_l")) * F.col("share")).alias("value"))
 
 
 def with_local_date(tx: DataFrame, zone: str = C.SOURCE_ZONE) -> DataFrame:
@@ -127,10 +159,18 @@ def timestamp_range(tx: DataFrame, zone: str = C.SOURCE_ZONE) -> DataFrame:
                     F.date_format(F.from_utc_timestamp("hi", zone), fmt).alias("last_local"))
 
 
-def distinct_profile(df: DataFrame, table: str) -> DataFrame:
-    """Distinct non-NULL values per column: one distinct count each, so rows are not expanded."""
-    return union([df.agg(F.countDistinct(c).alias("distinct_values")).select(
-        F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), "distinct_values") for c in df.columns])
+def distinct_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """Distinct non-NULL values of every column of every table, one scan a table and one exchange for all.
+
+    Rows become (table, column, value) entries, which each task de-duplicates before they are exchanged; a hot column is
+    spread by its values.
+    """
+    entries = []
+    for name, df in tables.items():
+        cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in df.columns])
+        entries.append(df.select(F.lit(name).alias("table_name"), F.explode(cells).alias("e")).select("table_name", "e.*"))
+    distinct = union(entries).distinct()
+    return distinct.groupBy("table_name", "column_name").agg(F.count("value").alias("distinct_values"))
 
 
 def union(parts: list[DataFrame]) -> DataFrame:

@@ -7,11 +7,15 @@ are a broadcast many-to-one join on the normalised (department, category, type).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scalars import label_norm
+from ..operators import digests
+from ..operators.rules import first_match, rule_table
 
 PRODUCT_COLUMNS = ["product_id", "manufacturer_id", "department", "brand",
                    "product_category", "product_type", "package_size"]
@@ -76,6 +80,44 @@ def classify_scope(products: DataFrame, *, in_departments=C.SCOPE_IN_DEPARTMENTS
     )
 
 
+def refine_by_list(products: DataFrame, decisions: DataFrame, names: list[str]) -> DataFrame:
+    """(product_id, rule, status, reason) of lookup products still in REVIEW, by the decision lists ``names`` in order.
+
+    Labels are normalised before they are compared; a missing label fits only a wildcard.
+    """
+    spark = products.sparkSession
+    rules = rule_table(spark, [r for n in names for r in C.DECISION_LISTS[n]], C.DECISION_ATTRIBUTES, ["status", "reason"])
+    waiting = decisions.where((F.col("scope_status") == C.REVIEW) & (F.col("scope_reason") != C.REASON_MISSING_LOOKUP)).select("product_id")
+    labels = [F.nullif(label_norm(c), F.lit("")).alias(c) for c in C.DECISION_ATTRIBUTES]
+    rows = products.join(waiting, "product_id", "left_semi").select("product_id", *labels)
+    return first_match(rows, "product_id", rules, C.DECISION_ATTRIBUTES, ["status", "reason"])
+
+
+def write_scope_outputs(out: str, tx: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Write decisions, both summaries and the validation record under ``out``; (output, rows, digest) of each, read back.
+
+    Decisions and summaries are CSV for readers of text, the record JSON; the digest is over the rows, whatever their order, so
+    that a later reader can tell whether it has the same outputs.
+    """
+    spark = tx.sparkSession
+    frames = {"decisions": decisions, "department_summary": scope_department_summary(decisions),
+              "review_categories": scope_review_categories(decisions), "validation": validation_record(tx, decisions)}
+    parts = []
+    for name, df in frames.items():
+        path = f"{out}/{name}"
+        if name == "validation":
+            df.write.mode("overwrite").json(path)
+            back = spark.read.schema(df.schema).json(path)
+        else:
+            # NULL has a mark of its own and blanks stay, so that NULL, empty and blank texts are read back as they were
+            kept = {"header": True, "nullValue": "\\N", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+            df.write.mode("overwrite").options(**kept).csv(path)
+            back = spark.read.schema(df.schema).options(**kept).csv(path)
+        parts.append(digests.table_digests({name: (back, df.columns[:1], df.columns)}).where("level = 'table'")
+                     .select(F.col("table_name").alias("output"), "rows", "digest"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def with_missing_lookup(decisions: DataFrame, tx: DataFrame,
                         version: str = C.SCOPE_RULE_VERSION) -> DataFrame:
     """Transaction product ids absent from the lookup become REVIEW rows."""

@@ -1,7 +1,7 @@
 """Warehouse verification: (metric, expected, actual, status) checks.
 
-Row counts and wrong batches of a table share one aggregate pass; a key's NULLs
-and duplicates are counted in one grouped pass each; contract rules are one pass
+Row counts and wrong batches of a table share one aggregate pass; all 24 keys and 31 links of
+the tables are reconciled in one stream with one exchange (``operators.reconcile``); contract rules are one pass
 per table.  Expected values are parameters: the
 reference freezes them as constants, here they are derived independently from
 the source tables so the checks hold at any scale factor.
@@ -9,7 +9,7 @@ the source tables so the checks hold at any scale factor.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.scalars import local_date
 from ..operators.aggregates import combine_rows
+from ..operators.reconcile import reconcile
+from ..session import stored
 from .warehouse import Warehouse
 
 V = "decimal(38,3)"
@@ -44,6 +46,34 @@ UNIQUE_KEYS = {
     "fact_coupon_redemption": ["household_id", "coupon_upc", "campaign_id", "redemption_date"],
 }
 
+# (name, child, columns, parent, columns)
+FOREIGN_KEYS = [
+    ("fact_sales.product_key", "fact_sales", ["product_key"], "dim_product", ["product_key"]),
+    ("fact_sales.household_key", "fact_sales", ["household_key"], "dim_household", ["household_key"]),
+    ("fact_sales.store_key", "fact_sales", ["store_key"], "dim_store", ["store_key"]),
+    ("fact_sales.date_key", "fact_sales", ["date_key"], "dim_date", ["date_key"]),
+    ("fact_sales.week_key", "fact_sales", ["week_key"], "dim_week", ["week_key"]),
+    ("fact_promotion_weekly.product_key", "fact_promotion_weekly", ["product_key"], "dim_product", ["product_key"]),
+    ("fact_promotion_weekly.store_key", "fact_promotion_weekly", ["store_key"], "dim_store", ["store_key"]),
+    ("fact_promotion_weekly.week_key", "fact_promotion_weekly", ["week_key"], "dim_week", ["week_key"]),
+    ("fact_coupon_redemption.household_key", "fact_coupon_redemption", ["household_key"], "dim_household", ["household_key"]),
+    ("fact_coupon_redemption.campaign_key", "fact_coupon_redemption", ["campaign_key"], "dim_campaign", ["campaign_key"]),
+    ("fact_coupon_redemption.coupon_campaign", "fact_coupon_redemption", ["coupon_key", "campaign_key"], "dim_coupon", ["coupon_key", "campaign_key"]),
+    ("fact_coupon_redemption.redemption_date_key", "fact_coupon_redemption", ["redemption_date_key"], "dim_date", ["date_key"]),
+    ("dim_coupon.campaign", "dim_coupon", ["campaign_key", "campaign_id"], "dim_campaign", ["campaign_key", "campaign_id"]),
+    ("bridge_campaign_household.campaign_key", "bridge_campaign_household", ["campaign_key"], "dim_campaign", ["campaign_key"]),
+    ("bridge_campaign_household.household_key", "bridge_campaign_household", ["household_key"], "dim_household", ["household_key"]),
+    ("bridge_coupon_product.coupon_key", "bridge_coupon_product", ["coupon_key"], "dim_coupon", ["coupon_key"]),
+    ("bridge_coupon_product.product_key", "bridge_coupon_product", ["product_key"], "dim_product", ["product_key"]),
+    ("dim_week.week_start_date", "dim_week", ["week_start_date"], "dim_date", ["full_date"]),
+    ("dim_week.week_end_date", "dim_week", ["week_end_date"], "dim_date", ["full_date"]),
+    ("dim_week.coverage_start_date", "dim_week", ["coverage_start_date"], "dim_date", ["full_date"]),
+    ("dim_week.coverage_end_date", "dim_week", ["coverage_end_date"], "dim_date", ["full_date"]),
+    *[(f"{t}.etl_batch_id", t, ["etl_batch_id"], "load_batches", ["etl_batch_id"]) for t in (
+        "dim_product", "dim_household", "dim_store", "dim_campaign", "dim_coupon", "bridge_campaign_household",
+        "bridge_coupon_product", "fact_sales", "fact_promotion_weekly", "fact_coupon_redemption")],
+]
+
 
 def _check_rows(wide: DataFrame, metrics: list[tuple[str, str, str]]) -> DataFrame:
     """Unpivot one wide row into (metric, expected, actual, status) rows.
@@ -55,6 +85,12 @@ def _check_rows(wide: DataFrame, metrics: list[tuple[str, str, str]]) -> DataFra
                            .otherwise("FAIL"))
 
 
+def _zeros(found: DataFrame) -> DataFrame:
+    """Checks (metric, actual) that must be zero."""
+    return found.select("metric", F.lit(0).cast(V).alias("expected"), F.col("actual").cast(V).alias("actual")).withColumn(
+        "status", F.when(F.col("actual") == 0, "PASS").otherwise("FAIL"))
+
+
 def _zero_checks(wide: DataFrame, names: list[str]) -> DataFrame:
     w = wide.withColumn("_zero", F.lit(0))
     return _check_rows(w, [(n, "_zero", n) for n in names])
@@ -149,25 +185,19 @@ class Verify:
                 [f"{fact}.wrong_scope_version", f"{fact}.invalid_scope"]))
         return out
 
-    def keys(self) -> DataFrame:
-        """Primary / unique keys: no NULL, no duplicate; plus the table contracts.
+    @cached_property
+    def reconciled(self) -> DataFrame:
+        """All keys and links of all tables, reconciled in one stream and stored."""
+        keys = [(f"{t}.{kind}", t, cols[t]) for t in TABLES for kind, cols in (("pk", PRIMARY_KEYS), ("uk", UNIQUE_KEYS))]
+        tables = {t: self.t(t) for t in dict.fromkeys([*TABLES, *[x for _, c, _, p, _ in FOREIGN_KEYS for x in (c, p)]])}
+        return stored(reconcile(tables, keys, FOREIGN_KEYS), "reconciled-keys")
 
-        Per key: one aggregate for NULLs with the duplicate-group count of one
-        grouped pass attached as a scalar subquery (each computed once).
-        """
-        parts = []
-        for name in TABLES:
-            df = self.t(name)
-            for kind, key in (("pk", PRIMARY_KEYS[name]), ("uk", UNIQUE_KEYS[name])):
-                nulls = df.agg(F.count_if(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key]))
-                               .alias("n"))
-                dups = (df.groupBy(*key).count().where("count > 1")
-                        .agg(F.count(F.lit(1)).alias("d")))
-                w = nulls.select("n", dups.select("d").scalar().alias("d")).withColumnsRenamed(
-                    {"n": f"{name}.{kind}_null", "d": f"{name}.{kind}_duplicate"})
-                parts.append(_zero_checks(w, [f"{name}.{kind}_null", f"{name}.{kind}_duplicate"]))
-        parts.append(self.contracts())
-        return reduce(lambda a, b: a.unionByName(b), parts)
+    def keys(self) -> DataFrame:
+        """Primary / unique keys: no NULL, no duplicate; plus the table contracts."""
+        both = F.explode(F.array(F.struct(F.lit("_null").alias("what"), F.col("null_rows").alias("n")),
+                                 F.struct(F.lit("_duplicate").alias("what"), F.col("duplicate_keys").alias("n")))).alias("c")
+        found = self.reconciled.where("kind = 'key'").select("name", both)
+        return _zeros(found.select(F.concat("name", "c.what").alias("metric"), F.col("c.n").alias("actual"))).unionByName(self.contracts())
 
     def contracts(self) -> DataFrame:
         wh = self.wh
@@ -194,12 +224,9 @@ class Verify:
         ]
         return reduce(lambda a, b: a.unionByName(b), [_zero_checks(p, p.columns) for p in parts])
 
-    def foreign_keys(self, contracts) -> DataFrame:
-        from ..operators.joins import orphan_check
-        o = orphan_check(contracts)
-        return o.select(F.concat(F.lit("fk."), "foreign_key").alias("metric"), F.lit(0).cast(V).alias("expected"),
-                        F.col("orphan_rows").cast(V).alias("actual")).withColumn(
-            "status", F.when(F.col("actual") == 0, "PASS").otherwise("FAIL"))
+    def foreign_keys(self) -> DataFrame:
+        found = self.reconciled.where("kind = 'link'")
+        return _zeros(found.select(F.concat(F.lit("fk."), "name").alias("metric"), F.col("orphan_rows").alias("actual")))
 
     def sales_totals(self) -> DataFrame:
         wh = self.wh

@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.scalars import (btrim_null, date_key, local_date, money, sales_flags,
                                  to_cents, in_codes, unknown_code)
+from ..operators.joins import in_any_period
 from ..operators.keys import assign_keys
 from .calendar import date_bounds, dim_date, expected_weeks
 from ..session import shared_path, write_stage
 from .context import Sources, sources
+from .distinct import basket_keys, daily_sets
 from .scope import product_scope
 
 
@@ -52,13 +54,13 @@ class Warehouse:
         self.spark = src.spark
         self._base = None
 
-    def _store(self, name: str, df: DataFrame) -> DataFrame:
+    def _store(self, name: str, df: DataFrame, by: list[str] | None = None) -> DataFrame:
         if self.spark.conf.get("basketry.materialize", "true").lower() == "false":
             return df
         if self._base is None:
             self._base = shared_path(self.spark, "basketry-wh")
         path = f"{self._base}/{name}"
-        return write_stage(df, path)
+        return write_stage(df, path, by)
 
     # --- normalised sources ------------------------------------------------
     def q(self, table: str) -> DataFrame:
@@ -175,18 +177,42 @@ class Warehouse:
     @cached_property
     def sales_in_scope(self) -> DataFrame:
         """D1 + B5 + B7: in-scope transaction lines with cent-normalised money."""
-        tx = self.src.transactions.join(self.in_scope_ids, "product_id", "left_semi")
-        return self._store("sales_in_scope", tx.select(
+        return self._store("sales_in_scope", self.sales_lines(self.in_scope_ids))
+
+    def sales_lines(self, products: DataFrame | None = None) -> DataFrame:
+        """Transaction lines, of some products if given, with cent-normalised money and local date."""
+        tx = self.src.transactions
+        tx = tx if products is None else tx.join(products, "product_id", "left_semi")
+        return tx.select(
             "basket_id", "product_id", "household_id", "store_id", "week",
             "transaction_timestamp",
             F.col("quantity").cast("decimal(18,3)").alias("quantity"),
             *[money(to_cents(m)).alias(m) for m in C.MONEY],
-            local_date("transaction_timestamp").alias("local_date")))
+            local_date("transaction_timestamp").alias("local_date"))
+
+    @cached_property
+    def daily_sets(self) -> DataFrame:
+        """Bitmaps of baskets, households, stores and products of each day, in scope and out, with sums; one pass over the lines."""
+        lines = self.sales_lines()
+        keyed = (lines.join(basket_keys(lines), "basket_id", "left")
+                 .join(self.dim_household.select("household_id", "household_key"), "household_id", "left")
+                 .join(self.dim_store.select("store_id", "store_key"), "store_id", "left")
+                 .join(self.dim_product.select("product_id", "product_key"), "product_id", "left")
+                 .join(self.in_scope_ids.withColumn("in_scope", F.lit(True)), "product_id", "left")
+                 .withColumn("in_scope", F.coalesce("in_scope", F.lit(False))))
+        priced = (F.col("quantity") > 0) & (F.col("sales_value") >= 0)
+        sums = {"sales_value": F.col("sales_value"), "quantity": F.col("quantity"), "priced_sales": F.when(priced, F.col("sales_value")),
+                "priced_quantity": F.when(priced, F.col("quantity"))}
+        kinds = {"basket": "basket_key", "household": "household_key", "store": "store_key", "product": "product_key"}
+        return self._store("daily_sets", daily_sets(keyed, kinds, ["local_date", "week", "in_scope"], sums))
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        """In-scope lines -> product, household, store, date, week keys + flags."""
-        s = self.sales_in_scope
+        """In-scope lines -> product, household, store, date, week keys + flags; partitioned by week."""
+        return self._store("fact_sales", self.fact_sales_rows(self.sales_in_scope), ["week_key"])
+
+    def fact_sales_rows(self, s: DataFrame) -> DataFrame:
+        """Fact rows of sales lines."""
         wk = self.dim_week.select("week_key", "source_week", "coverage_start_date", "coverage_end_date")
         # Equi-join on the source week plus a range residual on the coverage.
         j = (s.join(F.broadcast(wk), (s.week == wk.source_week)
@@ -194,13 +220,13 @@ class Warehouse:
              .join(self.dim_product.select("product_id", "product_key"), "product_id", "left")
              .join(self.dim_household.select("household_id", "household_key"), "household_id", "left")
              .join(self.dim_store.select("store_id", "store_key"), "store_id", "left"))
-        return self._store("fact_sales", j.select(
+        return j.select(
             "basket_id", "product_id", "household_id", "store_id",
             "product_key", "household_key", "store_key",
             date_key("local_date").alias("date_key"), "week_key", "transaction_timestamp",
             "quantity", *C.MONEY, *sales_flags(C.HIGH_QUANTITY),
             F.lit(C.SCOPE_RULE_VERSION).alias("scope_rule_version"),
-            F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id")))
+            F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id"))
 
     @cached_property
     def promotion_grouped(self) -> DataFrame:
@@ -233,7 +259,7 @@ class Warehouse:
             "source_row_count", (F.col("source_row_count") > 1).alias("multiple_source_rows_flag"),
             "promotion_code_unknown_flag",
             F.lit(C.SCOPE_RULE_VERSION).alias("scope_rule_version"),
-            F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id")))
+            F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id")), ["week_key"])
 
     @cached_property
     def redemptions_checked(self) -> DataFrame:
@@ -247,11 +273,9 @@ class Warehouse:
         r = self.src.coupon_redemptions_raw.groupBy(*grain).agg(F.count(F.lit(1)).alias("_copies"))
         pairs_hh = self.src.campaigns.select("campaign_id", "household_id").distinct().withColumn("_hh", F.lit(True))
         pairs_cp = self.src.coupons.select("campaign_id", "coupon_upc").distinct().withColumn("_cp", F.lit(True))
-        periods = self.q("campaign_descriptions").groupBy("campaign_id").agg(
-            F.collect_set(F.struct("start_date", "end_date")).alias("_periods"))   # one contract row per campaign
-        j = (r.join(pairs_hh, ["campaign_id", "household_id"], "left").join(pairs_cp, ["campaign_id", "coupon_upc"], "left")
-             .join(periods, "campaign_id", "left"))
-        inside = F.exists("_periods", lambda x: F.col("redemption_date").between(x["start_date"], x["end_date"]))
+        j = r.join(pairs_hh, ["campaign_id", "household_id"], "left").join(pairs_cp, ["campaign_id", "coupon_upc"], "left")
+        j = in_any_period(j, self.q("campaign_descriptions"), "campaign_id", "redemption_date", "start_date", "end_date", "_inside")
+        inside = F.col("_inside")
         j = j.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
         reason = F.concat_ws("; ", F.when(F.col("_hh").isNull(), "household not in campaign"),
                              F.when(F.col("_cp").isNull(), "coupon not in campaign"),
@@ -272,7 +296,7 @@ class Warehouse:
     def fact_coupon_redemption(self) -> DataFrame:
         """Valid redemptions -> household, coupon, campaign, date keys; count 1.
 
-        ``load_redemptions`` is the guarded load, which stops on any reject.
+        ``operators.load.load_without_rejects`` is the guarded form, which stops on any reject.
         """
         r = self.valid_redemptions
         j = (r.join(self.dim_household.select("household_id", "household_key"), "household_id", "left")

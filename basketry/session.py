@@ -79,10 +79,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def write_stage(df: DataFrame, path: str) -> DataFrame:
-    """Write a derived table as Parquet under the shared folder and read it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def write_stage(df: DataFrame, path: str, by: list[str] | None = None) -> DataFrame:
+    """Write a derived table as Parquet under the shared folder and read it back.
+
+    With ``by`` it is partitioned by these columns, so that a filter on them reads their folders only; rows are
+    rebalanced by them first (AQE splits a large partition over tasks), so there are few files.
+    """
+    if not by:
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
