@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import hash_sample, shared_path, ship
 from .tokens import encoder, slices
+from .tokens import id_bytes as least_id_bytes
 
 #: Bounds of the dictionary's training sample: documents (by hash order of the key) and characters of each.
 SAMPLE_DOCS = 1024
@@ -46,8 +47,8 @@ def train_dictionary(docs: DataFrame, key: str, text: str, path: str, folds_case
     import zstandard
 
     keyed = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"))
-    sample = (hash_sample(keyed.select("k"), keyed, "k", SAMPLE_DOCS).where(F.length("t").between(1, SAMPLE_CHARS))
-              .toArrow().sort_by([("k", "ascending"), ("t", "ascending")]).select(["t"]))
+    sample = (hash_sample(keyed.select("k"), keyed, "k", SAMPLE_DOCS).groupBy("k").agg(F.min(F.substring("t", 1, SAMPLE_CHARS)).alias("t"))
+              .where(F.length("t") > 0).toArrow().sort_by([("k", "ascending"), ("t", "ascending")]).select(["t"]))
     ids, at = encoder(path, folds_case).encode(sample.column(0).combine_chunks().cast(pa.string())) if sample.num_rows else ([], [0])
     rows = [np.append(ids[at[k]:at[k + 1]], end_id).astype(f"<u{id_bytes}").tobytes() for k in range(len(at) - 1)]
     try:
@@ -63,7 +64,7 @@ def dictionary_hash(content: bytes) -> str:
 
 
 def write_token_files(docs: DataFrame, out: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text",
-                      folds_case: bool = True, id_bytes: int = 2) -> None:
+                      folds_case: bool = True, id_bytes: int | None = None) -> None:
     """Encode every whole text, append ``end_id`` and write a token file set to the folder ``out``.
 
     Each text is encoded and compressed where it is read; only compressed frames are
@@ -71,6 +72,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, end_id: int, ke
     """
     spark = docs.sparkSession
     ship(spark)
+    id_bytes = id_bytes or least_id_bytes(tokenizer, end_id)
     content = train_dictionary(docs, key, text, tokenizer, folds_case, end_id, id_bytes)
     mark = dictionary_hash(content)
     spark.createDataFrame([(mark, id_bytes, bytearray(content))], "dict_hash string, id_bytes int, content binary") \

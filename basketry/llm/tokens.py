@@ -1,6 +1,6 @@
 """Token ids of whole texts, with each distinct piece of text encoded only once.
 
-The tokenizers library does every encoding.  Its two vocabularies used here never
+The tokenizers library does every encoding.  Some vocabularies (an encoder tries its own) never
 let a token cross certain places (a single space or newline between two visible
 characters, a full stop or comma after a letter), so a text may be cut there and
 the ids of the parts put together again.  Most parts are words that were seen
@@ -17,6 +17,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text worked on at once (a longer single text is one slice).
 SLICE_BYTES = 4 << 20
@@ -41,6 +42,10 @@ _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_LEVEL = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 
+#: Texts that an encoder tries when it is made: cut into parts they must give the ids of the whole texts.
+PROBES = ["Hello world, a b.c d", "It's the end. Ab cd,ef gh!", "line\nnext Line\nOf text", "É là, ça va ñandú. ÜBER größe", "x=1,2 (y) 3.5 A.B", "UPPER lower"]
+
+
 def cuts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where surely a token boundary is, and the positions of those that are spaces between words."""
     n = len(data)
@@ -70,9 +75,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.folds_case = folds_case
         self._reset()
+        ids, at = self._by_parts(pa.array(PROBES))
+        plain = [e.ids for e in self.tokenizer.encode_batch_fast(PROBES, add_special_tokens=False)]
+        #: whether texts may be cut: for other kinds of tokenizers, whole texts are encoded
+        self.may_cut = [ids[i:j].tolist() for i, j in pairwise(at.tolist())] == plain
+        self._reset()
 
     def _word(self, part: bytes) -> list[int] | None:
         """Ids of a part that is one plain word, straight from the library's BPE model; None: not so plain."""
@@ -110,7 +120,24 @@ class Encoder:
         self.parts += len(parts)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts (null: none) one after another, and where each text's ids begin (one more than texts)."""
+        """All ids of the texts (null: none) one after another, and where each text's ids begin (one more than texts).
+
+        A text that holds the string of a special token, in whatever case, is encoded whole: there the string is that token.
+        """
+        whole = np.ones(len(texts), bool) if not self.may_cut else np.zeros(len(texts), bool)
+        for name in self.special:
+            whole |= pc.fill_null(pc.match_substring(texts, name, ignore_case=True), False).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._by_parts(texts)
+        ids, at = self._by_parts(pc.if_else(pa.array(~whole), texts, pa.scalar("", texts.type)))
+        lists = [ids[i:j] for i, j in pairwise(at.tolist())]
+        places = np.flatnonzero(whole).tolist()
+        found = self.tokenizer.encode_batch_fast([texts[k].as_py() or "" for k in places], add_special_tokens=False)
+        for k, e in zip(places, found, strict=True):
+            lists[k] = np.array(e.ids, np.uint32)
+        return np.concatenate(lists), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+
+    def _by_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         self.parts = min(self.parts, CACHE_PARTS)  # what came after was not remembered
         texts = texts.cast(pa.large_binary()).fill_null(b"")
         at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
@@ -150,6 +177,15 @@ class Encoder:
         return self.ids[take], ends[first]
 
 
+def id_bytes(path: str, *ids: int) -> int:
+    """Bytes that every id of a tokenizer file, and some others, fit in: two or four."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    most = max([tokenizer.get_vocab_size() - 1, *tokenizer.get_added_tokens_decoder(), *tokenizer.get_vocab().values(), *ids])
+    return 2 if most < 1 << 16 else 4
+
+
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -162,8 +198,6 @@ def encoder(path: str, folds_case: bool) -> Encoder:
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES):
     """(from, to) row ranges of a string column, each of ``limit`` bytes at most or of one row."""
-    import pyarrow.compute as pc
-
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     begin, total = 0, 0
     for k, s in enumerate(sizes.tolist()):

@@ -12,14 +12,13 @@ from .helpers import EDGE_TEXTS, MIDDLE, edge_documents, empty_documents, rows
 
 
 def plain(name):
-    t = Tokenizer.from_file(queries.tokenizer_path(name))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(queries.tokenizer_path(name))
 
 
 @pytest.mark.parametrize("name,folds", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
 def test_cached_parts_give_the_ids_of_whole_texts(spark, name, folds):
-    odd = ["a  b", " x\n", "it's. a's,b ", "é.à ,", "a\n\nb\n c", "  a  ", "×. ÷,", "a.b,c 1.2,3", "'s. 'll, we're.", "!!.", "a. , b", ".\n,"]
+    odd = ["a  b", " x\n", "it's. a's,b ", "é.à ,", "a\n\nb\n c", "  a  ", "×. ÷,", "a.b,c 1.2,3", "'s. 'll, we're.", "!!.", "a. , b", ".\n,",
+           "hello <|endoftext|> world", "A <|ENDOFTEXT|> B", "<|startoftext|>x<|endoftext|>", "<|endoftext|>" * 3 + " a.b"]
     texts = EDGE_TEXTS + odd + [r.text for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").select("text").collect()]
     encoder = Encoder(queries.tokenizer_path(name), folds)
     column = pa.array(texts, pa.string())
@@ -66,3 +65,33 @@ def test_short_document_access_and_dictionary(spark):
 
 def test_empty_table(spark):
     assert rows(token_files.token_digest(empty_documents(spark), queries.tokenizer_path("word_bpe_49k.json"))) == []
+
+
+def test_ids_that_do_not_fit_two_bytes(tmp_path):
+    from basketry.llm.tokens import id_bytes
+    from tokenizers import models
+    assert [id_bytes(queries.tokenizer_path(n), 1) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")] == [2, 2]
+    assert id_bytes(queries.tokenizer_path("byte_bpe_50k.json"), 70_000) == 4
+    wide = Tokenizer(models.WordLevel({f"w{k}": k for k in range(70_000)}, "w0"))
+    wide.save(str(tmp_path / "wide.json"))
+    assert id_bytes(str(tmp_path / "wide.json")) == 4
+
+
+def test_a_tokenizer_that_may_not_be_cut(tmp_path):
+    from tokenizers import models, pre_tokenizers
+    t = Tokenizer(models.WordLevel({"hello world": 1, "?": 0, "a": 2}, "?"))
+    t.pre_tokenizer = pre_tokenizers.Split("|", "removed")
+    t.save(str(tmp_path / "odd.json"))
+    encoder = Encoder(str(tmp_path / "odd.json"), False)
+    ids, at = encoder.encode(pa.array(["hello world", "hello world|a", None, "x"]))
+    assert not encoder.may_cut and ids.tolist() == [1, 1, 2, 0] and at.tolist() == [0, 1, 3, 3, 4]
+
+
+def test_samples_are_bounded_by_keys(spark):
+    """Half of all rows have one key: the sample has as many keys as asked for, one text of each is collected."""
+    docs = spark.range(20_000).selectExpr("if(id % 2 = 0, 7, id) AS doc_id", "concat('text ', id) AS text", "1 AS _key")
+    assert common.first_keys(docs, "doc_id", 1024).count() == 1024
+    sample = common.hash_sample(docs, docs, "doc_id", 1024)
+    assert sample.columns == docs.columns and sample.select("doc_id").distinct().count() == 1024
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    assert token_files.train_dictionary(docs, "doc_id", "text", path, True, 1, 2)
