@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, stored
-from .tokens import encoder, slices
+from .tokens import encoder, id_bytes, slices
 
 #: Bounds of the search: bins filled in all, fillings kept for each bin, steps to enumerate them.
 BINS_TRIED = 6000
 FILLINGS = 4
 STEPS = 400
+#: Items of a filling after which it is completed largest first.
+DEEP = 256
 #: Pieces that are ranked within one window group, about.
 RANK_GROUP = 50_000
 
@@ -41,10 +43,11 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Ids of every whole text and ``end_id``, cut only where longer than ``capacity``; the first piece takes the odd rest.
 
-    ``ids`` holds little-endian unsigned 16-bit ids, ``ids_crc32`` the checksum of
-    them as 32-bit integers.
+    ``ids`` holds little-endian unsigned ids, of 16 bits if the vocabulary fits, else 32; ``ids_crc32`` is the
+    checksum of them as 32-bit integers.
     """
     ship(docs.sparkSession)
+    kind = f"<u{id_bytes(tokenizer, end_id)}"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, False)
@@ -52,8 +55,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, ke
             for i, j in slices(batch.column(1)):
                 keys = batch.column(0).slice(i, j - i).to_pylist()
                 ids, at = enc.encode(batch.column(1).slice(i, j - i))
-                wide, narrow, at = ids.astype("<u4"), ids.astype("<u2"), at.tolist()
-                end4, end2 = np.array([end_id], "<u4").tobytes(), np.array([end_id], "<u2").tobytes()
+                wide, narrow, at = ids.astype("<u4"), ids.astype(kind), at.tolist()
+                end4, end2 = np.array([end_id], "<u4").tobytes(), np.array([end_id], kind).tobytes()
                 rows = []
                 for k, key_value in enumerate(keys):
                     begin, n = at[k], at[k + 1] - at[k] + 1
@@ -137,10 +140,21 @@ def fillings(left: dict[int, int], sizes: list[int], room: int, width: int = FIL
     steps = 0
     smallest = sizes[0] if sizes else room + 1
 
+    def greedy(items: list[int], rest: int, top: int) -> tuple[int, tuple[int, ...]]:
+        whole = list(items)
+        for k in range(top, -1, -1):
+            more = min(left[sizes[k]] - items.count(sizes[k]), rest // sizes[k])
+            whole += [sizes[k]] * more
+            rest -= more * sizes[k]
+        return rest, tuple(whole)
+
     def extend(items: list[int], rest: int, top: int, run: int) -> bool:
         """``run``: how many of the last item are used already.  True: stop."""
         nonlocal steps
         steps += 1
+        if len(items) >= DEEP:  # the rest of so long a filling is not branched on
+            found.append(greedy(items, rest, top))
+            return steps > STEPS or sum(w == 0 for w, _ in found) >= width
         if rest < smallest:
             found.append((rest, tuple(items)))
             return steps > STEPS or sum(w == 0 for w, _ in found) >= width

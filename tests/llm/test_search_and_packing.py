@@ -82,7 +82,6 @@ def test_plans_are_valid_and_small_ones_optimal():
 
 def check_places(docs, places):
     t = Tokenizer.from_file(queries.tokenizer_path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     want = []
     for r in docs.collect():
         ids = np.array([*t.encode(r.text or "", add_special_tokens=False).ids, 2], "<u4")
@@ -117,3 +116,15 @@ def test_packing_of_edge_texts_and_middle_table(spark):
         assert check_places(docs, found) == sum(t for t, _ in bin_completion.complete_bins(counts, 1024))
         assert pieces.where("length != length(ids) / 2").count() == 0  # the real output: ids of every piece
     assert rows(bin_completion.pack_documents(empty_documents(spark), path)[0]) == []
+
+
+def test_long_fillings_do_not_overflow():
+    for capacity in (4096, 8192):
+        counts = {3: 9000, 1: 500, 700: 9}
+        plan = bin_completion.complete_bins(counts, capacity)
+        used = {}
+        for n, items in plan:
+            assert sum(items) <= capacity
+            for i in items:
+                used[i] = used.get(i, 0) + n
+        assert used == counts
