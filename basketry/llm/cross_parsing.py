@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,13 @@ from pyspark.sql import functions as F
 from .common import ship
 from .tokens import slices
 
-#: Bounds of the labelled sample: texts of a language (by hash order of the key), letters of each, letters in all.
+#: Bounds of the labelled sample: texts of a language (by hash order of the key), their first characters, letters of a language
+#: (of all its texts, in equal shares), cells of all languages' tables before states are doubled, and letters told apart.
 SAMPLE_TEXTS = 60
 SAMPLE_CHARS = 2_000
 TRAIN_LETTERS = 16_000
-ALL_LETTERS = 512_000
-ALPHABET = 60
+ALL_CELLS = 32_000_000
+ALPHABET = 250
 STRETCH = 384
 UNKNOWN = "und"
 #: A text of an unknown language needs this many times the phrases per letter of the labelled texts left out.
@@ -96,7 +98,7 @@ _points: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def symbol_map(letters: tuple[int, ...]) -> np.ndarray:
-    """Symbol of every code point below 0x10000; rarer letters and all beyond are ``OTHER``."""
+    """Symbol of every code point below 0x10000; rarer letters are ``OTHER``."""
     if not _points:
         _points.append(_lower_points())
     lower, alpha = _points[0]
@@ -112,7 +114,10 @@ def symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
     s = table[np.minimum(points, 0xFFFF)]
-    s[points > 0xFFFF] = OTHER
+    far = np.flatnonzero(points > 0xFFFF)
+    if len(far):  # letters there are rare ones; signs and pictures are none
+        values, which = np.unique(points[far], return_inverse=True)
+        s[far] = np.array([OTHER if chr(v).isalpha() else SPACE for v in values.tolist()], np.uint8)[which]
     at = np.concatenate([[0], np.cumsum(sizes)])
     blank = s == SPACE
     drop = np.zeros(len(s), bool)
@@ -123,21 +128,34 @@ def symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return s[~drop], left[at]
 
 
+def common_letters(samples: list[list[str]]) -> tuple[int, ...]:
+    """The letters of the alphabet: the languages' most common ones in turn, so that each script has its share."""
+    ranked = [[c for c, _ in sorted(Counter(c for t in texts for c in t.lower() if c.isalpha() and ord(c) < 0x10000).items(), key=lambda x: (-x[1], x[0]))]
+              for texts in samples]
+    found = dict.fromkeys(c for row in zip_longest(*ranked) for c in row if c is not None)
+    return tuple(ord(c) for c in list(found)[:ALPHABET])
+
+
+def spread(texts: list[list[int]], most: int) -> list[list[int]]:
+    """The texts cut so that all of them together have ``most`` symbols: shorter ones whole, what they leave for the longer ones."""
+    out: list[list[int]] = [[]] * len(texts)
+    for done, k in enumerate(sorted(range(len(texts)), key=lambda k: len(texts[k]))):
+        out[k] = texts[k][:most // (len(texts) - done)]
+        most -= len(out[k])
+    return out
+
+
 def build(samples: dict[str, list[str]]) -> Model:
     """Automata from three quarters of each language's texts; the rest says how many phrases are usual."""
     names = sorted(samples)
-    seen = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha() and ord(c) < 0x10000)
-    letters = tuple(ord(c) for c, _ in sorted(seen.most_common(ALPHABET), key=lambda x: (-x[1], x[0])))
+    letters = common_letters([samples[name] for name in names])
     mapped, width = symbol_map(letters), len(letters) + 3  # the last column ends a stretch
-    most = min(TRAIN_LETTERS, ALL_LETTERS // max(1, len(names)))
+    most = min(TRAIN_LETTERS, ALL_CELLS // (max(1, len(names)) * width))
     rows, roots, weights, left_out = [], [], [], []
     for name in names:
         fit = [t for k, t in enumerate(samples[name]) if k % 4 != 3] or samples[name]
         left_out += [(name, t) for k, t in enumerate(samples[name]) if k % 4 == 3]
-        learned: list[int] = []
-        for t in fit:
-            learned += [*symbols([t], mapped)[0].tolist(), width - 1]
-        learned = learned[:most]
+        learned = [c for t in spread([symbols([t], mapped)[0].tolist() for t in fit], most - len(fit)) for c in (*t, width - 1)]
         go = automaton(learned)
         root = sum(map(len, rows))
         block = np.zeros((len(go), width), np.int64)
@@ -213,7 +231,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     """(key, lang_pred, score, strange): language, its lead over the next (0 to 1), and whether no language fits the text."""
     spark = docs.sparkSession
     ship(spark)
-    held = spark.sparkContext.broadcast(model)  # bounded by ALL_LETTERS
+    held = spark.sparkContext.broadcast(model)  # bounded by ALL_CELLS
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value

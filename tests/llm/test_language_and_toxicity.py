@@ -127,3 +127,15 @@ def test_dictionaries_save_on_toxic_words_alone(spark):
     scorer = compression_toxicity.Scorer(queries.toxicity_model(spark, docs, MIDDLE))
     saved = scorer.savings([b" idiot ", b" worthless ", b" the ", b" of ", b" and "])
     assert np.all(saved[:2] > 2) and np.all(saved[2:] <= 1)
+
+
+def test_signs_are_no_letters_and_each_script_is_learned(spark):
+    latin = [" ".join(f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in "lmnr") + f" text {k}" for k in range(12)]
+    han = ["".join(chr(0x4E00 + (7 * i + k) % 90) for i in range(200)) for k in range(60)]
+    model = cross_parsing.build({"de": latin, "zh": han})
+    docs = spark.createDataFrame([(1, "\U0001F600 \U0001F602 12"), (2, han[3][20:90]), (3, latin[2][5:60]), (4, "\U0001F600"), (5, "\U00020000\U00020001")],
+                                 "doc_id long, text string")
+    got = {r[0]: r[1:] for r in rows(cross_parsing.predict(docs, model).select("doc_id", "lang_pred", "score"))}
+    assert got[1] == got[4] == ("und", 0.0) and got[2][0] == "zh" and got[3][0] == "de"
+    assert cross_parsing.spread([[1] * 10, [2] * 2, [3] * 30], 20) == [[1] * 9, [2] * 2, [3] * 9]
+    assert len(cross_parsing.common_letters([latin, han])) > 90
