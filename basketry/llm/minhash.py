@@ -18,7 +18,8 @@ the threshold of 0.8 misses all 32 buckets with probability about 5e-8.
 
 Defined cases: a null or empty text, or one without words, has the empty set and is
 linked with nothing; fewer words than a shingle count as one shingle; rows that
-share a key, but not their set, are linked with each other; rows with a null key are linked with nothing and are
+share a key, but not their text, are nodes of their own when texts are compared, and linked with each other in
+what ``near_duplicates`` returns (``keep_one`` does not link them); rows with a null key are linked with nothing and are
 kept; an empty table gives no rows; other columns are not read.
 """
 
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import assign_keys
 from .common import ship, stored
 from .tokens import slices
 
@@ -250,18 +252,58 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = 4, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row; links are pairs of sets with ``den * common >= num * union``.
 
-    Equal sets are one node, their least key; only nodes take part in what follows.
+    Rows that share a key are one node of the result, however many sets they have.
     """
-    rows = stored(sketch(docs, size, key, text), "sketches")
+    rows, texts, several = _nodes(docs, size, key, text)
+    found = _joined(rows, texts, size, num, den)
+    if several:  # a key with several texts links their components, and names them
+        found = stored(found, "near-duplicates")
+        keyed = found.where("key is not null and n_shingles > 0")
+        same = (keyed.groupBy("key").agg(F.min("component").alias("a"), F.collect_set("component").alias("z"))
+                .select("a", F.explode("z").alias("b")).where("a <> b").distinct())
+        whole = components(stored(same, "shared-keys")).select(F.col("component").alias("whole"), F.col("key").alias("component"))
+        found = found.join(whole, "component", "left").withColumn("component", F.coalesce("whole", "component"))
+        least = found.where("key is not null and n_shingles > 0").groupBy("component").agg(F.min("key").alias("least"))
+        found = found.join(least, "component", "left").withColumn("component", F.coalesce("least", "key"))
+    return found.select("key", "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("key") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def _nodes(docs: DataFrame, size: int, key: str, text: str) -> tuple[DataFrame, DataFrame, bool]:
+    """(stored sketches, whose ``key`` is the node and ``real`` the row's key; (key, t) of each node; whether a key has several texts).
+
+    A node is a key, or, where rows share a key but not their text, a text of that key: those get numbers after the
+    greatest key.
+    """
+    plain = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("t"))
+    rows = stored(sketch(plain, size, "key", "t"), "sketches")
+    sets = F.struct("n_shingles", "d1", "d2")
+    shared = stored(rows.where("key is not null").groupBy("key").agg(F.min(sets).alias("lo"), F.max(sets).alias("hi"))
+                    .where("lo <> hi").select("key"), "shared-keys")
+    if not shared.limit(1).count():
+        return rows.select("*", F.col("key").alias("real")), plain, False
+    most = rows.agg(F.max("key")).first()[0]
+    own = plain.join(shared, "key", "left_semi")
+    numbered = stored(assign_keys(own.distinct(), ["key", "t"], "node", start=most + 1), "shared-key-nodes")
+    nodes = own.join(numbered.withColumnsRenamed({"key": "_k", "t": "_t"}), (F.col("key") == F.col("_k")) & F.col("t").eqNullSafe(F.col("_t"))) \
+        .select("key", "t", "node")
+    texts = plain.join(shared, "key", "left_anti").unionByName(numbered.select(F.col("node").alias("key"), "t"))
+    again = sketch(nodes, size, "node", "t").join(numbered.select(F.col("node").alias("key"), F.col("key").alias("real")), "key")
+    other = rows.join(shared, "key", "left_anti").select("*", F.col("key").alias("real"))
+    return stored(other.unionByName(again.select(*other.columns)), "node-sketches"), texts, True
+
+
+def _joined(rows: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """(key, node, n_shingles, component) of every row: components of nodes, of which ``docs`` has the texts.
+
+    Equal sets are one node, their least; only such nodes take part in what follows.
+    """
+    key, text = "key", "t"
     named = rows.where(F.col("key").isNotNull() & (F.col("n_shingles") > 0))
     digest = ["n_shingles", "d1", "d2"]
     groups = stored(named.groupBy(*digest).agg(F.min("key").alias("rep"), F.min_by(F.struct("bands", "sig"), "key").alias("s"))
                     .select(*digest, "rep", "s.*"), "groups")
-    owned = stored(rows.select("key", *digest).join(groups.select(*digest, "rep"), digest, "left")
-                   .select("key", "n_shingles", F.when(F.col("key").isNotNull(), F.col("rep")).alias("rep")), "owners")
-    # rows that share a key but not their set
-    same = (owned.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a != z")
-            .join(owned, "key").where("rep != a").select("a", F.col("rep").alias("b")).distinct())
+    owned = stored(rows.select("key", "real", *digest).join(groups.select(*digest, "rep"), digest, "left")
+                   .select("key", "real", "n_shingles", F.when(F.col("key").isNotNull(), F.col("rep")).alias("rep")), "owners")
 
     members = groups.select(F.col("rep").alias("key"), "n_shingles", F.explode("bands").alias("band"))
     rank = F.struct(F.xxhash64("key").alias("h"), F.col("key"), F.col("n_shingles"))
@@ -272,7 +314,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, num: int = 80, den: int = 10
     stars = shared.where(F.col("key") != F.col("hub")).where(may).select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
     stars = stored(_alike(stars, groups), "stars")
     texts = stored(texts_of(docs, shared.select("key").distinct(), key, text), "bucket-texts", compression="zstd")
-    joined = stored(components(confirm(stars, texts, size, num, den).union(same)), "components")
+    joined = stored(components(confirm(stars, texts, size, num, den)), "components")
 
     rest = stored(_apart(shared, joined, groups, texts, size, num, den), "rest")
     more = confirm(rest, texts, size, num, den)
@@ -283,8 +325,8 @@ def near_duplicates(docs: DataFrame, size: int = 4, num: int = 80, den: int = 10
     final = (joined.select("key", "component")
              .union(again.select(F.col("component").alias("key"), "component").join(joined.select("key"), "key", "left_anti"))
              .join(again, "component", "left").select(F.col("key").alias("rep"), F.coalesce("final", "component").alias("component")))
-    return (owned.join(final, "rep", "left").withColumn("component_id", F.coalesce("component", "rep", "key"))
-            .select("key", "n_shingles", "component_id", F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept")))
+    return owned.join(final, "rep", "left").select(F.col("real").alias("key"), F.col("key").alias("node"), "n_shingles",
+                                                   F.coalesce("component", "rep", "key").alias("component"))
 
 
 def _alike(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -400,10 +442,21 @@ def _apart(shared: DataFrame, joined: DataFrame, groups: DataFrame, texts: DataF
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document, with all its columns, of each group of near duplicates; of rows that share a key the least stays."""
-    kept = stored(near_duplicates(docs, size, num, den, key, text).where("kept").select("key"), "kept")
-    ids = kept.where(F.col("key").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
-    once, more = (ids.where(c).select(F.col("key").alias(key)) for c in ("rows = 1", "rows > 1"))
+    """One document, with all its columns, of each group of near duplicates.
+
+    Texts decide, not keys: of rows that share a key each text that is like no other stays, and of rows alike in
+    key and text the least one.
+    """
+    rows, texts, _ = _nodes(docs, size, key, text)
+    found = stored(_joined(rows, texts, size, num, den), "near-duplicates")
+    first = found.where("key is not null").groupBy("component").agg(F.min("node").alias("node"))
+    kept = stored(found.join(first, ["component", "node"]).groupBy("key", "node").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    plain = (F.col("node") == F.col("key"))
+    once, more = (kept.where(plain & c).select(F.col("key").alias(key)) for c in (F.col("rows") == 1, F.col("rows") > 1))
     least = docs.join(more, key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("_r")).select("_r.*")
-    return (docs.join(once, key, "left_semi").select(*docs.columns).unionByName(least)
-            .unionByName(docs.where(F.col(key).isNull())))
+    out = docs.join(once, key, "left_semi").select(*docs.columns).unionByName(least)
+    shared = kept.where(~plain).join(texts.withColumnRenamed("key", "node"), "node")
+    named = shared.select(F.col("key").alias("_k"), F.col("t").alias("_t"))
+    same = (F.col(key) == F.col("_k")) & F.col(text).eqNullSafe(F.col("_t"))
+    each = docs.join(named, same, "left_semi").groupBy(key, text).agg(F.min(F.struct(*docs.columns)).alias("_r")).select("_r.*")
+    return out.unionByName(each).unionByName(docs.where(F.col(key).isNull()))

@@ -98,6 +98,25 @@ def test_edge_cases(spark):
     assert kept.columns == docs.columns
     keys = [r.doc_id for r in kept.collect()]
     assert keys.count(None) == 2 and len(keys) == len(set(keys)) + 1
+
+
+def test_shared_keys_with_different_texts(spark):
+    """No link is lost and no text dropped where rows share a key but not their text."""
+    words = [f"w{k}" for k in range(100)]
+    a, b = " ".join(words), " ".join(f"v{k}" for k in range(100))
+    near_a, near_b = a.replace("w50", "x"), b.replace("v50", "x")
+    for said in ([(5, a), (5, b), (9, near_b)], [(5, a), (5, b), (3, near_a), (3, None), (9, near_b), (9, near_b), (7, "alone"), (None, b)],
+                 [(5, a), (5, b), (9, near_b), (9, near_a)], [(4, None), (4, ""), (4, a)]):
+        docs = spark.createDataFrame(said, "doc_id long, text string")
+        assert sorted(rows(minhash.near_duplicates(docs, 4)), key=str) == brute(said, 4)
+    docs = spark.createDataFrame([(5, a, 1), (5, b, 2), (9, near_b, 3), (5, a, 4), (6, "alone", 5), (6, "alone", 6), (3, near_a, 7), (None, b, 8)],
+                                 "doc_id long, text string, key int")
+    kept = {(r.doc_id, r.text, r.key) for r in minhash.keep_one(docs, 4).collect()}
+    assert {t for _, t, _ in kept if t} & {a, near_a} and {t for k, t, _ in kept if k is not None} & {b, near_b}
+    assert len(kept) == 4 and (6, "alone", 5) in kept and (None, b, 8) in kept
+
+
+def test_empty_tables(spark):
     assert rows(minhash.near_duplicates(empty_documents(spark), 4)) == [] and rows(minhash.keep_one(empty_documents(spark), 4)) == []
 
 
