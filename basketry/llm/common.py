@@ -74,19 +74,21 @@ def crc_mod(key: Column, mod: int) -> Column:
 
 
 def hash_sample(rows: DataFrame, docs: DataFrame, key: str, n: int) -> DataFrame:
-    """The documents whose keys are the first ``n`` keys of ``rows`` by hash order.
+    """The documents whose keys are the first ``n`` different keys of ``rows`` by hash order.
 
     Only keys are sorted; the ``n`` found, a bound of the caller, are broadcast, so the
-    documents are scanned but never shuffled.
+    documents are scanned but never shuffled.  Rows that share a key are all there: a caller that
+    collects takes one of each key.
     """
     return having(docs, key, first_keys(rows, key, n))
 
 
 def first_keys(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """(_key) of the first ``n`` keys of ``rows`` by hash order."""
-    return rows.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(n)
+    """(_key) of the first ``n`` different keys of ``rows`` by hash order."""
+    keys = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct()
+    return keys.orderBy(F.xxhash64("_key"), "_key").limit(n)
 
 
 def having(docs: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """The documents with one of a bounded number of keys."""
-    return docs.join(F.broadcast(keys), F.col(key) == F.col("_key"), "left_semi")
+    return docs.join(F.broadcast(keys.select(F.col("_key").alias(key))), key, "left_semi")

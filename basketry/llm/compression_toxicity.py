@@ -323,7 +323,9 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     With a ``group`` column of the documents, the groups (the rarest beyond ``GROUPS`` as one) have equal shares.
     """
     texts, found = [], []
-    labels = labels.where(F.col(label).cast("int").isin(0, 1)).select(F.col(key), F.col(label).cast("int").alias("_y"))
+    # a key labelled both ways speaks for neither class
+    labels = (labels.where(F.col(label).cast("int").isin(0, 1)).groupBy(key).agg(F.min(F.col(label).cast("int")).alias("_y"), F.max(F.col(label).cast("int")).alias("_z"))
+              .where("_y = _z").select(key, "_y"))
     if group is not None:  # keys and groups alone are joined, not texts
         labels = stored(labels.join(docs.select(key, F.coalesce(F.col(group).cast("string"), F.lit("")).alias("_group")), key), "toxicity-labels")
     for y, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY)):
@@ -340,7 +342,7 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
                 sizes.append(parts[-1].count())
             keys = reduce(DataFrame.unionAll, [first_keys(p, key, m) for p, m in zip(parts, shares(sizes, n), strict=True)], first_keys(rows, key, 0))
         some = having(docs, key, keys).where(F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS)) \
-            .select(F.col(key).alias("k"), F.col(text).alias("t")).collect()
+            .groupBy(F.col(key).alias("k")).agg(F.min(text).alias("t")).collect()
         texts += [r.t for r in sorted(some, key=lambda r: (r.k, r.t))]
         found += [y] * len(some)
     return texts, found

@@ -129,6 +129,7 @@ def mix_documents(docs: DataFrame, max_repeat: float | None = None, target_entro
                   key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The documents with all their columns, each as often as the mixture takes it (rows that share a key: the most often)."""
     mix = plan_mix(docs, max_repeat, target_entropy, budget, key, source, text)
-    taken = mix.groupBy("k").agg(F.max(F.col("blocks") + F.col("last").cast("int")).alias("_times")).withColumnRenamed("k", "_key")
-    many = docs.join(taken, docs[key].eqNullSafe(F.col("_key"))).where(F.col("_times") > 0)
-    return many.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
+    taken = mix.groupBy("k").agg(F.max(F.col("blocks") + F.col("last").cast("int")).alias("times")).withColumnRenamed("k", "of")
+    whole = docs.select(F.col(key).alias("k"), F.struct(*docs.columns).alias("doc"))  # own names cannot meet the documents'
+    many = whole.join(taken, F.col("k").eqNullSafe(F.col("of"))).where(F.col("times") > 0)
+    return many.select("doc", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("time")).select("doc.*")

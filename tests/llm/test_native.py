@@ -118,3 +118,10 @@ def test_mixture_budget_cut_and_edges(spark):
     assert drawn.groupBy("k", "block").count().where("count > 1").count() == 0
     assert rows(temperature_mix.draw(temperature_mix.plan_mix(empty_documents(spark), max_repeat=2.0))) == []
     assert temperature_mix.mix_documents(edge_documents(spark), max_repeat=2.0).count() >= edge_documents(spark).count()
+
+
+def test_mixing_with_clashing_columns(spark):
+    rows_in = [(k, "a b c" if k % 2 else "d", "s" if k < 30 else "t", 10 + k, 20, 30, 40, 50) for k in range(40)] + [(None, "x", None, 1, 2, 3, 4, 5)]
+    docs = spark.createDataFrame(rows_in, "doc_id long, text string, source string, _key int, _time int, _times int, k int, doc int")
+    got = temperature_mix.mix_documents(docs, max_repeat=2.0)
+    assert got.columns == docs.columns and {tuple(r) for r in got.collect()} == set(rows_in)
