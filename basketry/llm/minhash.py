@@ -447,16 +447,18 @@ def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, key:
     Texts decide, not keys: of rows that share a key each text that is like no other stays, and of rows alike in
     key and text the least one.
     """
-    rows, texts, _ = _nodes(docs, size, key, text)
+    rows, texts, several = _nodes(docs, size, key, text)
     found = stored(_joined(rows, texts, size, num, den), "near-duplicates")
     first = found.where("key is not null").groupBy("component").agg(F.min("node").alias("node"))
     kept = stored(found.join(first, ["component", "node"]).groupBy("key", "node").agg(F.count(F.lit(1)).alias("rows")), "kept")
     plain = (F.col("node") == F.col("key"))
     once, more = (kept.where(plain & c).select(F.col("key").alias(key)) for c in (F.col("rows") == 1, F.col("rows") > 1))
     least = docs.join(more, key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("_r")).select("_r.*")
-    out = docs.join(once, key, "left_semi").select(*docs.columns).unionByName(least)
+    out = docs.join(once, key, "left_semi").select(*docs.columns).unionByName(least).unionByName(docs.where(F.col(key).isNull()))
+    if not several:
+        return out
     shared = kept.where(~plain).join(texts.withColumnRenamed("key", "node"), "node")
     named = shared.select(F.col("key").alias("_k"), F.col("t").alias("_t"))
     same = (F.col(key) == F.col("_k")) & F.col(text).eqNullSafe(F.col("_t"))
     each = docs.join(named, same, "left_semi").groupBy(key, text).agg(F.min(F.struct(*docs.columns)).alias("_r")).select("_r.*")
-    return out.unionByName(each).unionByName(docs.where(F.col(key).isNull()))
+    return out.unionByName(each)
