@@ -11,7 +11,7 @@ from ..operators import digests as D
 from ..operators import load as L
 from ..operators.aggregates import combine_rows
 from ..plans.scope import product_scope
-from ..plans.warehouse import warehouse
+from ..plans.warehouse import DIMENSIONS, load_dimensions, warehouse
 from ..registry import query
 from ..session import stored
 from ..sources.staging import scratch_path
@@ -25,24 +25,6 @@ def _wh(spark, d):
     return warehouse(spark, d)
 
 
-# (table, business key, attribute columns, surrogate key column)
-DIMENSIONS = [
-    ("dim_product", ["product_id"], ["manufacturer_id", "department", "brand", "product_category", "product_type",
-                                     "package_size", "scope_status", "scope_rule_version",
-                                     "source_lookup_missing_flag"], "product_key"),
-    ("dim_household", ["household_id"], C.DESCRIPTIONS["demographics"] + ["demographics_available_flag"],
-     "household_key"),
-    ("dim_store", ["store_id"], [], "store_key"),
-    ("dim_campaign", ["campaign_id"], ["campaign_type", "start_date", "end_date"], "campaign_key"),
-    ("dim_coupon", ["campaign_id", "coupon_upc"], ["campaign_key"], "coupon_key"),
-    ("dim_week", ["source_calendar_id", "source_week"], ["week_start_date", "week_end_date",
-                                                          "coverage_start_date", "coverage_end_date",
-                                                          "is_partial_coverage"], "week_key"),
-    ("dim_date", ["full_date"], ["date_key", "day_of_month", "month_number", "quarter_number",
-                                 "calendar_year", "day_of_week"], None),
-]
-
-
 @query("insert_only_merge", """
 SELECT 'dim_household' AS table_name, (SELECT count(*) FROM dim_household) AS total_rows,
        (SELECT count(*) FROM dim_household WHERE household_id NOT IN (SELECT household_id FROM demographics)) AS inserted_rows,
@@ -210,3 +192,30 @@ def q_i6(spark, d):
     second = L.insert_only_merge(first.merged, fact, key, key + attrs, None, "fact_sales")
     return first.report.select(F.lit("first_reload").alias("step"), "inserted_rows", "total_rows").unionByName(
         second.report.select(F.lit("second_reload").alias("step"), "inserted_rows", "total_rows"))
+
+
+_LOADED = ["dim_household", "dim_store", "dim_campaign"]
+
+
+@query("load_dimensions", "\nUNION ALL ".join(
+    f"""SELECT 'first' AS load, '{t}' AS table_name, 'LOADED' AS outcome, CAST(0 AS BIGINT) AS rows_before, (SELECT count(*) FROM {t} {w}) AS rows_after
+UNION ALL SELECT 'second', '{t}', 'LOADED', (SELECT count(*) FROM {t} {w}), (SELECT count(*) FROM {t})
+UNION ALL SELECT 'conflict', '{t}', 'BLOCKED', (SELECT count(*) FROM {t}), (SELECT count(*) FROM {t})"""
+    for t, w in (("dim_household", "WHERE household_id IN (SELECT household_id FROM demographics)"), ("dim_store", ""), ("dim_campaign", ""))))
+def q_load_dimensions(spark, d):
+    """I1 in the build path: known households, then all of them, then a delivery in which some have another age, which stops."""
+    wh = _wh(spark, d)
+    base = scratch_path(spark, "dimensions")
+    full = {t: getattr(wh, t) for t in _LOADED}
+    first = full | {"dim_household": wh.dim_household.join(wh.src.demographics.select("household_id"), "household_id", "left_semi")}
+    other = full | {"dim_household": wh.dim_household.withColumn("age", F.concat(F.coalesce("age", F.lit("")), F.lit("!")))}
+    parts = []
+    for name, frames in (("first", first), ("second", full), ("conflict", other)):
+        try:
+            parts.append(load_dimensions(spark, base, frames).select(F.lit(name).alias("load"), "table_name", F.lit("LOADED").alias("outcome"), "rows_before", "rows_after"))
+        except L.LoadBlocked:
+            for t in frames:
+                n = L.read_current(spark, base, t).select(F.count(F.lit(1))).scalar()
+                parts.append(spark.range(1).select(F.lit(name).alias("load"), F.lit(t).alias("table_name"), F.lit("BLOCKED").alias("outcome"),
+                                                   n.alias("rows_before"), n.alias("rows_after")))
+    return reduce(lambda a, b: a.unionByName(b), parts)

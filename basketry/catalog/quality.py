@@ -65,9 +65,10 @@ def _rule_sql() -> dict[str, str]:
     for m in C.MONEY:
         d = f"(CAST({m} AS DECIMAL(38,18)) * 100)"
         sql[f"{m}_cent_precision"] = (f"SELECT basket_id, product_id, {m} FROM {Q_TX} x "
-                                      f"WHERE abs({d} - round({d})) >= 0.000001")
+                                      f"WHERE abs({d} - round({d})) >= 0.000001 OR abs(stored_{m} * 100 - round(stored_{m} * 100)) >= 0.000001")
         sql[f"{m}_tiny_decimal_difference"] = (f"SELECT basket_id, product_id, {m} FROM {Q_TX} x "
-                                               f"WHERE abs({d} - round({d})) < 0.000001 AND {m} <> round({m}, 2)")
+                                               f"WHERE (abs({d} - round({d})) < 0.000001 AND {m} <> round({m}, 2)) OR "
+                                               f"(abs(stored_{m} * 100 - round(stored_{m} * 100)) < 0.000001 AND stored_{m} * 100 <> round(stored_{m} * 100))")
     norm = ", ".join(
         f"CASE WHEN abs((CAST({m} AS DECIMAL(38,18)) * 100) - round(CAST({m} AS DECIMAL(38,18)) * 100)) < 0.000001 "
         f"THEN round({m}, 2) ELSE {m} END AS {m}" for m in C.MONEY)

@@ -65,9 +65,9 @@ _D = "(CAST({c} AS DECIMAL(38,18)) * 100)"
 
 
 @query("cent_violation", _per_measure_sql(
-    C.MONEY, f"abs({_D} - round({_D})) >= 0.000001", "off_cent_rows"))
+    C.MONEY, f"abs({_D} - round({_D})) >= 0.000001 OR abs(stored_{{c}} * 100 - round(stored_{{c}} * 100)) >= 0.000001", "off_cent_rows"))
 def q_b4(spark, d):
-    return _per_measure(spark, d, C.MONEY, B.off_cent, "off_cent_rows")
+    return _per_measure(spark, d, C.MONEY, lambda c: B.off_cent(c) | B.stored_off_cent(f"stored_{c}"), "off_cent_rows")
 
 
 @query("money_normalize", """
@@ -80,9 +80,11 @@ def q_b5(spark, d):
 
 
 @query("tiny_difference", _per_measure_sql(
-    C.MONEY, f"abs({_D} - round({_D})) < 0.000001 AND {{c}} <> round({{c}}, 2)", "tiny_rows"))
+    C.MONEY, f"(abs({_D} - round({_D})) < 0.000001 AND {{c}} <> round({{c}}, 2)) OR "
+             "(abs(stored_{c} * 100 - round(stored_{c} * 100)) < 0.000001 AND stored_{c} * 100 <> round(stored_{c} * 100))", "tiny_rows"))
 def q_b6(spark, d):
-    return _per_measure(spark, d, C.MONEY, B.tiny_off_cent, "tiny_rows")
+    """Money that the source stored as binary numbers beside whole cents."""
+    return _per_measure(spark, d, C.MONEY, lambda c: B.tiny_off_cent(c) | B.stored_tiny_off_cent(f"stored_{c}"), "tiny_rows")
 
 
 @query("local_date", """
@@ -131,7 +133,7 @@ SELECT count(*) FILTER (WHERE quantity = 0) AS quantity_zero_flag,
 FROM transactions""")
 def q_b10(spark, d):
     t = _wh(spark, d).src.transactions.select(*B.sales_flags(C.HIGH_QUANTITY))
-    return t.agg(*[F.count_if(c).alias(c) for c in B.SALES_FLAG_NAMES])
+    return t.agg(*[F.count_if(c).alias(c) for c in B.sales_flag_names()])
 
 
 @query("multiple_source_rows_flag", """
@@ -210,14 +212,22 @@ def q_b17(spark, d):
                     B.label_norm("product_type").alias("type_label"))
 
 
-# B18 audit details: JSON text differs in formatting between engines -> row-count check only.
-@query("audit_details_json")
+_SAMPLE_SQL = """'{"basket_id":' || to_json(basket_id) || ',"product_id":' || to_json(product_id) || ',"quantity":' || quantity || ',"sales_value":' || sales_value
+  || ',"retail_disc":' || retail_disc || ',"coupon_disc":' || coupon_disc || ',"coupon_match_disc":' || coupon_match_disc || '}'"""
+
+
+# Audit details; the samples are a JSON text in a JSON text
+@query("audit_details_json", f"""
+SELECT '{{"action":"Keep and flag; scope: IN_SCOPE.","count_unit":"rows_returned_by_rule","samples":' || CAST(to_json('[' || string_agg(j, ',' ORDER BY n) || ']') AS VARCHAR) || '}}' AS details
+FROM (SELECT {_SAMPLE_SQL} AS j, row_number() OVER (ORDER BY basket_id, product_id, quantity, sales_value, retail_disc, coupon_disc, coupon_match_disc) AS n
+      FROM transactions_raw WHERE quantity > {C.HIGH_QUANTITY} AND product_id IN (SELECT product_id FROM in_scope_ids) QUALIFY n <= 5) x""")
 def q_b18(spark, d):
     from .quality import quality
     qa = quality(spark, d)
     issues = qa.issues("fmcg_high_quantity")
-    samples = issues.orderBy("basket_id", "product_id").limit(5)
-    return samples.agg(F.to_json(F.collect_list(F.struct(*issues.columns))).alias("samples")).select(
+    samples = issues.orderBy(*issues.columns).limit(5)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(*issues.columns))), lambda x: x)
+    return samples.agg(F.to_json(listed).alias("samples")).select(
         B.details_json(action=F.lit("Keep and flag; scope: IN_SCOPE."),
                        count_unit=F.lit("rows_returned_by_rule"),
                        samples=F.col("samples")).alias("details"))

@@ -24,7 +24,7 @@ SELECT household_id, store_id, basket_id, product_id, quantity, sales_value, ret
        coupon_disc, coupon_match_disc, {TS_SQL} AS transaction_timestamp, week
 FROM transactions_raw""")
 def q_src_tx_raw(spark, d):
-    t = sources(spark, d).transactions_raw
+    t = sources(spark, d).transactions_raw.select(*OVERVIEW_COLUMNS["transactions_raw"])
     return t.withColumn("transaction_timestamp", F.date_format("transaction_timestamp", TS_FMT))
 
 
@@ -179,13 +179,13 @@ UNION ALL SELECT 'sum:week', CAST(coalesce(sum(week), 0) AS DECIMAL(38,6)) FROM
 
 @query("stage_profile", _PROFILE_SQL)
 def q_stage_profile(spark, d):
-    return S.stage_profile(sources(spark, d).transactions_raw)
+    return S.stage_profile(sources(spark, d).transactions_raw.select(*OVERVIEW_COLUMNS["transactions_raw"]))
 
 
 @query("stage_reconcile", f"""
 SELECT metric, value AS source_value, value AS target_value, 'PASS' AS status FROM ({_PROFILE_SQL}) p""")
 def q_stage_reconcile(spark, d):
-    src = sources(spark, d).transactions_raw
+    src = sources(spark, d).transactions_raw.select(*OVERVIEW_COLUMNS["transactions_raw"])
     staged = S.number_rows(src, ["basket_id", "product_id", "transaction_timestamp", "quantity",
                                  "sales_value", "retail_disc", "coupon_disc", "coupon_match_disc"])
     return S.stage_reconcile(S.stage_profile(src), S.stage_profile(staged.select(*src.columns)))

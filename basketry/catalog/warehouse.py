@@ -216,17 +216,17 @@ def _sales_totals_sql() -> str:
 @query("fact_sales_totals", _sales_totals_sql())
 def q_fact_sales_totals(spark, d):
     """Rows, sums, flags and tiny differences of the source lines against those of the fact."""
-    from ..functions.scalars import SALES_FLAG_NAMES, sales_flags
+    from ..functions.scalars import sales_flag_names, sales_flags
     from ..operators.aggregates import combine_rows
     wh = _wh(spark, d)
     src = wh.src.transactions.join(wh.in_scope_ids, "product_id", "left_semi")
     V = "decimal(38,3)"
     measures = ["quantity", *C.MONEY]
     flagged = src.select("basket_id", "product_id", *measures, *sales_flags(C.HIGH_QUANTITY))
-    metrics = ["rows"] + [f"sum:{m}" for m in measures] + [f"flag:{f}" for f in SALES_FLAG_NAMES]
+    metrics = ["rows"] + [f"sum:{m}" for m in measures] + [f"flag:{f}" for f in sales_flag_names()]
 
     def totals(df, side):
-        values = [F.count(F.lit(1)), *[F.sum(m) for m in measures], *[F.count_if(F.col(f)) for f in SALES_FLAG_NAMES]]
+        values = [F.count(F.lit(1)), *[F.sum(m) for m in measures], *[F.count_if(F.col(f)) for f in sales_flag_names()]]
         return [v.cast(V).alias(f"{side}_{m}") for v, m in zip(values, metrics)]
 
     # values off the cent in the source, and values that the fact stores otherwise than the source

@@ -104,4 +104,7 @@ DECISION_LISTS = {
                 (None, None, None, REVIEW, "No rule")],
 }
 
+# Reasons for which a redemption may be left out of its fact; any other stops the load.  The given tables have these.
+ACCEPTED_REJECTS = ["household not in campaign", "coupon not in campaign", "date outside campaign", "repeated row"]
+
 BATCH_ID = 1

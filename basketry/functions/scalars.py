@@ -80,6 +80,19 @@ def tiny_off_cent(c, tol: str = C.CENT_TOLERANCE) -> Column:
     return within_cent(c, tol) & (c != F.round(c, 2))
 
 
+def stored_off_cent(c, tol: str = C.CENT_TOLERANCE) -> Column:
+    """B4 on a binary number as the source stored it, in its own arithmetic; NULL, NaN and infinite values are no finding."""
+    d = _c(c) * 100
+    return F.coalesce(~is_non_finite(_c(c)) & (F.abs(d - F.round(d, 0)) >= float(tol)), F.lit(False))
+
+
+def stored_tiny_off_cent(c, tol: str = C.CENT_TOLERANCE) -> Column:
+    """B6 on a binary number: not a whole number of cents, but nearer to one than the tolerance."""
+    d = _c(c) * 100
+    off = F.abs(d - F.round(d, 0))
+    return F.coalesce(~is_non_finite(_c(c)) & (off > 0) & (off < float(tol)), F.lit(False))
+
+
 # B7 ---------------------------------------------------------------------------
 def local_date(ts, zone: str = C.SOURCE_ZONE) -> Column:
     """Business date of an instant in ``zone`` (DST-correct; session zone UTC)."""
@@ -124,21 +137,24 @@ def iso_week(d) -> Column:
 
 
 # B10 --------------------------------------------------------------------------
-def sales_flags(high: int = C.HIGH_QUANTITY) -> list[Column]:
+def _sales_tests(high: int) -> dict[str, Column]:
     q, s = F.col("quantity"), F.col("sales_value")
-    return [
-        (q == 0).alias("quantity_zero_flag"),
-        ((q == 0) & (s > 0)).alias("quantity_zero_sales_positive_flag"),
-        ((q > 0) & (s == 0)).alias("positive_quantity_zero_sales_flag"),
-        (F.col("coupon_disc") > s).alias("coupon_above_sales_flag"),
-        (F.col("coupon_match_disc") > F.col("coupon_disc")).alias("coupon_match_above_coupon_flag"),
-        (q > high).alias("high_quantity_flag"),
-    ]
+    return {
+        "quantity_zero_flag": q == 0,
+        "quantity_zero_sales_positive_flag": (q == 0) & (s > 0),
+        "positive_quantity_zero_sales_flag": (q > 0) & (s == 0),
+        "coupon_above_sales_flag": F.col("coupon_disc") > s,
+        "coupon_match_above_coupon_flag": F.col("coupon_match_disc") > F.col("coupon_disc"),
+        "high_quantity_flag": q > high,
+    }
+
+
+def sales_flags(high: int = C.HIGH_QUANTITY) -> list[Column]:
+    return [c.alias(n) for n, c in _sales_tests(high).items()]
 
 
-SALES_FLAG_NAMES = ["quantity_zero_flag", "quantity_zero_sales_positive_flag",
-                    "positive_quantity_zero_sales_flag", "coupon_above_sales_flag",
-                    "coupon_match_above_coupon_flag", "high_quantity_flag"]
+def sales_flag_names() -> list[str]:
+    return list(_sales_tests(0))
 
 
 # B11 --------------------------------------------------------------------------

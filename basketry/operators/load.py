@@ -113,12 +113,17 @@ def changed_keys(before: DataFrame, after: DataFrame, key, key_col: str) -> Data
     return before.select(*key, key_col).join(a, key, "left").where(~F.col(key_col).eqNullSafe(F.col("_after"))).select(*key)
 
 
-def load_without_rejects(checked: DataFrame, reason_col: str = "reject_reason", table: str = "table") -> DataFrame:
-    """The rows of ``checked`` to load, or ``LoadBlocked`` if any row has a reject reason."""
-    bad = checked.where(F.col(reason_col) != "").select(F.count(F.lit(1))).first()[0]
+def load_without_rejects(checked: DataFrame, reason_col: str = "reject_reason", table: str = "table", accepted: list[str] | None = None) -> DataFrame:
+    """The rows of ``checked`` to load, or ``LoadBlocked`` if a row has a reject reason that is not ``accepted``.
+
+    Reasons are a list joined by "; "; a row is accepted as a reject only if each of its reasons is.
+    """
+    reasons = F.split(F.col(reason_col), "; ")
+    unknown = F.size(F.array_except(reasons, F.array(*[F.lit(r) for r in ["", *(accepted or [])]]))) > 0
+    bad = checked.where(unknown).groupBy(reason_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), reason_col).limit(3).collect()
     if bad:
-        raise LoadBlocked(f"{table}: {bad} rows rejected; nothing loaded")
-    return checked.drop(reason_col)
+        raise LoadBlocked(f"{table}: rows rejected ({', '.join(f'{r.n} {r[reason_col]}' for r in bad)}); nothing loaded")
+    return checked.where(F.col(reason_col) == "").drop(reason_col)
 
 
 def type1_upsert(target: DataFrame, expected: DataFrame, key, cols: list[str],

@@ -23,7 +23,8 @@ cte("transactions_raw", """
 SELECT household_id, store_id, basket_id, product_id, quantity, sales_value, retail_disc,
        coupon_disc, coupon_match_disc, transaction_timestamp,
        CAST(date_diff('day', DATE '2016-12-26',
-            CAST(timezone('America/New_York', timezone('UTC', transaction_timestamp)) AS DATE)) // 7 + 1 AS INTEGER) AS week
+            CAST(timezone('America/New_York', timezone('UTC', transaction_timestamp)) AS DATE)) // 7 + 1 AS INTEGER) AS week,
+       stored_sales_value, stored_retail_disc, stored_coupon_disc, stored_coupon_match_disc
 FROM (
   SELECT CAST(o.o_custkey AS VARCHAR) AS household_id,
          CAST(l.l_suppkey % 10 AS VARCHAR) AS store_id,
@@ -34,6 +35,8 @@ FROM (
          CAST(l.l_discount AS DECIMAL(18,2)) AS retail_disc,
          CAST(l.l_tax AS DECIMAL(18,2)) AS coupon_disc,
          CAST(CASE WHEN l.l_returnflag = 'R' THEN l.l_discount ELSE 0.0 END AS DECIMAL(18,2)) AS coupon_match_disc,
+         CASE WHEN l.l_discount = 0.1 THEN 0.0 ELSE l.l_extendedprice END::DOUBLE AS stored_sales_value, l.l_discount AS stored_retail_disc,
+         l.l_tax AS stored_coupon_disc, CASE WHEN l.l_returnflag = 'R' THEN l.l_discount ELSE 0.0 END::DOUBLE AS stored_coupon_match_disc,
          TIMESTAMP '2017-01-01 05:00:00' + to_days(CAST(l.d365 AS INTEGER))
              + to_hours(CAST(3 * l.l_linenumber + 1 AS INTEGER)) AS transaction_timestamp
   FROM li l JOIN orders o ON l.l_orderkey = o.o_orderkey

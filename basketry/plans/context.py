@@ -82,12 +82,27 @@ class Sources:
         return getattr(self, name)
 
 
-_CACHE: dict[tuple[int, str, str], "Sources"] = {}
+def input_files(spark: SparkSession, sf_dir: str) -> str:
+    """Names, lengths and times of the input files: what tells one delivery in a folder from another."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def listed(path) -> list[str]:
+        out = []
+        for f in fs.listStatus(path):
+            out += listed(f.getPath()) if f.isDirectory() else [f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}"]
+        return out
+    found = [x for t in fx.INPUT_TABLES if fs.exists(p := jvm.org.apache.hadoop.fs.Path(folder, f"{t}.parquet")) for x in (t, *listed(p))]
+    return "\n".join(found)
+
+
+_CACHE: dict[tuple[int, str, str, str], "Sources"] = {}
 
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    # one per live session and folder; a new session (even at a reused address) starts fresh
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    """The staged sources: one for each live session, folder and state of its files; changed files are staged anew."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, input_files(spark, sf_dir))
     if key not in _CACHE:
         _CACHE[key] = Sources(spark, sf_dir)
     return _CACHE[key]

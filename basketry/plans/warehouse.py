@@ -19,11 +19,12 @@ from ..functions.scalars import (btrim_null, date_key, local_date, money, sales_
                                  to_cents, in_codes, unknown_code)
 from ..operators.joins import in_any_period
 from ..operators.keys import assign_keys
+from ..operators.load import load_insert_only, load_without_rejects, publish, read_current
 from .calendar import date_bounds, dim_date, expected_weeks
-from ..session import shared_path, write_stage
+from ..session import shared_path, stored, write_stage
 from .context import Sources, sources
 from .distinct import basket_keys, daily_sets
-from .scope import product_scope
+from .scope import product_scope, scope_summary, validation_record
 
 
 def normalized(df: DataFrame, table: str) -> DataFrame:
@@ -71,6 +72,16 @@ class Warehouse:
     def product_scope(self) -> DataFrame:
         return self._store("product_scope", product_scope(self.src.products, self.src.transactions))
 
+    @cached_property
+    def validation_record(self) -> DataFrame:
+        """What the classification saw, stored when it is first asked for; later checks compare with it."""
+        return self._store("validation_record", validation_record(self.src.transactions, self.product_scope))
+
+    @cached_property
+    def scope_summary_record(self) -> DataFrame:
+        """C11 as stored beside the validation record."""
+        return self._store("scope_summary", scope_summary(self.src.transactions, self.product_scope))
+
     @cached_property
     def in_scope_ids(self) -> DataFrame:
         return self.product_scope.where(F.col("scope_status") == C.IN_SCOPE).select("product_id")
@@ -296,9 +307,9 @@ class Warehouse:
     def fact_coupon_redemption(self) -> DataFrame:
         """Valid redemptions -> household, coupon, campaign, date keys; count 1.
 
-        ``operators.load.load_without_rejects`` is the guarded form, which stops on any reject.
+        A reject for a reason that is not accepted by configuration stops the load: nothing is written.
         """
-        r = self.valid_redemptions
+        r = load_without_rejects(self.redemptions_checked, "reject_reason", "fact_coupon_redemption", C.ACCEPTED_REJECTS)
         j = (r.join(self.dim_household.select("household_id", "household_key"), "household_id", "left")
              .join(self.dim_coupon.select("campaign_id", "coupon_upc", "coupon_key", "campaign_key"),
                    ["campaign_id", "coupon_upc"], "left"))
@@ -310,6 +321,49 @@ class Warehouse:
             F.lit(C.BATCH_ID).cast("bigint").alias("etl_batch_id")))
 
 
+# (table, business key, attribute columns, surrogate key column)
+DIMENSIONS = [
+    ("dim_product", ["product_id"], ["manufacturer_id", "department", "brand", "product_category", "product_type",
+                                     "package_size", "scope_status", "scope_rule_version",
+                                     "source_lookup_missing_flag"], "product_key"),
+    ("dim_household", ["household_id"], C.DESCRIPTIONS["demographics"] + ["demographics_available_flag"],
+     "household_key"),
+    ("dim_store", ["store_id"], [], "store_key"),
+    ("dim_campaign", ["campaign_id"], ["campaign_type", "start_date", "end_date"], "campaign_key"),
+    ("dim_coupon", ["campaign_id", "coupon_upc"], ["campaign_key"], "coupon_key"),
+    ("dim_week", ["source_calendar_id", "source_week"], ["week_start_date", "week_end_date",
+                                                          "coverage_start_date", "coverage_end_date",
+                                                          "is_partial_coverage"], "week_key"),
+    ("dim_date", ["full_date"], ["date_key", "day_of_month", "month_number", "quarter_number",
+                                 "calendar_year", "day_of_week"], None),
+]
+
+
+def load_dimensions(spark, base: str, expected: dict[str, DataFrame]) -> DataFrame:
+    """Load dimensions into the published set under ``base``, insert-only; returns (table_name, rows_before, rows_after).
+
+    Each is merged with what is published (nothing at first) and guarded: an existing row that differs, or is no longer
+    expected, stops the load of all of them (``LoadBlocked``), and the published set stays as it was.
+    """
+    try:
+        published = {name: read_current(spark, base, name) for name in expected}
+    except FileNotFoundError:
+        published = {}
+    merged, counts = {}, []
+    for name, key, attrs, key_col in DIMENSIONS:
+        if name not in expected:
+            continue
+        df = expected[name]
+        target = published.get(name, df.select(*key, *attrs, *([key_col] if key_col else [])).limit(0))
+        merged[name] = stored(load_insert_only(target, df, key, key + attrs, key_col, name), f"load-{name}")
+        n = lambda t: t.select(F.count(F.lit(1))).scalar()
+        counts.append((name, n(target), n(merged[name])))
+    checks = spark.createDataFrame([("load", "PASS")], "metric string, status string")     # the guards have passed
+    publish(spark, merged, base, checks)
+    return reduce(lambda a, b: a.unionByName(b), [spark.range(1).select(F.lit(t).alias("table_name"), b.alias("rows_before"), a.alias("rows_after"))
+                                                  for t, b, a in counts])
+
+
 def tristate(yes, unknown) -> "F.Column":
     """Any supporting code -> TRUE; else any unknown -> NULL; else FALSE."""
     return (F.when(F.bool_or(yes), F.lit(True))
@@ -317,12 +371,12 @@ def tristate(yes, unknown) -> "F.Column":
             .otherwise(F.lit(False)))
 
 
-_WH: dict[tuple[int, str, str], Warehouse] = {}
+_WH: dict[int, tuple[Sources, Warehouse]] = {}
 
 
 def warehouse(spark, sf_dir: str) -> Warehouse:
-    # one per live session and folder; a new session (even at a reused address) starts fresh
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _WH:
-        _WH[key] = Warehouse(sources(spark, sf_dir))
-    return _WH[key]
+    """One warehouse for each staged set of sources."""
+    src = sources(spark, sf_dir)
+    if id(src) not in _WH:
+        _WH[id(src)] = src, Warehouse(src)
+    return _WH[id(src)][1]

@@ -18,6 +18,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
 
+#: The tables that the sources are made from.
+INPUT_TABLES = ["customer", "events", "lineitem", "orders", "part"]
+
 _EPOCH_2017_05H = int((dt.datetime(2017, 1, 1, 5, 0, 0) - dt.datetime(1970, 1, 1)).total_seconds())
 
 
@@ -38,7 +41,7 @@ def _money(c: Column) -> Column:
 
 
 def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per source line (duplicates of the grain kept)."""
+    """One row per source line (duplicates of the grain kept); ``stored_<money>`` is the source's own number, not brought to cents."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
@@ -46,19 +49,18 @@ def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
     seconds = (F.lit(_EPOCH_2017_05H) + _d365() * 86400
                + (F.col("l_linenumber") * 3 + 1) * 3600)
+    zero = F.lit(0.0)
+    stored = {"sales_value": F.when(F.col("l_discount") == 0.1, zero).otherwise(F.col("l_extendedprice")), "retail_disc": F.col("l_discount"),
+              "coupon_disc": F.col("l_tax"), "coupon_match_disc": F.when(F.col("l_returnflag") == "R", F.col("l_discount")).otherwise(zero)}
     return j.select(
         _s("o_custkey").alias("household_id"),
         _s(F.col("l_suppkey") % 10).alias("store_id"),
         F.concat_ws("-", _s("l_orderkey"), _s("l_suppkey")).alias("basket_id"),
         _s("l_partkey").alias("product_id"),
         (F.col("l_quantity") - 1).cast("decimal(18,3)").alias("quantity"),
-        _money(F.when(F.col("l_discount") == 0.1, F.lit(0.0))
-               .otherwise(F.col("l_extendedprice"))).alias("sales_value"),
-        _money(F.col("l_discount")).alias("retail_disc"),
-        _money(F.col("l_tax")).alias("coupon_disc"),
-        _money(F.when(F.col("l_returnflag") == "R", F.col("l_discount"))
-               .otherwise(F.lit(0.0))).alias("coupon_match_disc"),
+        *[_money(stored[m]).alias(m) for m in C.MONEY],
         F.timestamp_seconds(seconds).alias("transaction_timestamp"),
+        *[stored[m].cast("double").alias(f"stored_{m}") for m in C.MONEY],
     ).withColumn("week", source_week_of(F.col("transaction_timestamp")))
 
 
@@ -70,7 +72,7 @@ def source_week_of(ts: Column) -> Column:
 
 def transactions(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Source rows brought to the basket-product grain (sums, earliest instant)."""
-    raw = (raw if raw is not None else transactions_raw(spark, sf_dir)).drop("week")
+    raw = (raw if raw is not None else transactions_raw(spark, sf_dir)).drop("week", *[f"stored_{m}" for m in C.MONEY])
     g = raw.groupBy("household_id", "store_id", "basket_id", "product_id").agg(
         F.sum("quantity").cast("decimal(18,3)").alias("quantity"),
         *[F.sum(m).cast("decimal(18,2)").alias(m) for m in C.MONEY],

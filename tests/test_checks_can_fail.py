@@ -5,6 +5,7 @@ from basketry import config as C
 from basketry.catalog import inputs
 from basketry.operators import digests as D
 from basketry.operators import sets as S
+from basketry.operators.load import LoadBlocked
 from basketry.plans import manifest as MF
 from basketry.plans.context import Sources
 from basketry.plans.quality import RULES, Quality, dq_gate
@@ -131,3 +132,48 @@ def test_shared_folder_is_needed_on_a_cluster(spark):
     with pytest.raises(RuntimeError):
         session.checkpoint_dir(Session())
     assert C.BATCH_ID == 1
+
+
+def test_records_are_those_of_the_classification(spark, monkeypatch):
+    """Changed transactions no longer match what was recorded; a lost input table, and a NULL in the dimension, are seen."""
+    from basketry.catalog import inputs as I
+    src = Sources(spark, SMALL)
+    wh = Warehouse(src)
+    monkeypatch.setattr(I, "warehouse", lambda s, d: wh)
+    run = lambda q: {r.metric: r.status for r in q(spark, SMALL).collect()}
+    assert set(run(I.q_k4).values()) == set(run(I.q_k5).values()) == set(run(I.q_k8).values()) == set(run(I.q_k10).values()) == {"PASS"}
+    good = wh.dim_product
+    wh.__dict__["dim_product"] = good.withColumn("scope_status", F.lit(None).cast("string"))
+    assert set(run(I.q_k10).values()) == {"FAIL"}
+    wh.__dict__["dim_product"] = good.limit(1)
+    assert set(run(I.q_k10).values()) == {"FAIL"}
+    wh.__dict__["dim_product"] = good
+    src.__dict__["transactions"] = src.transactions.withColumn("sales_value", (F.col("sales_value") + 1).cast("decimal(18,2)"))
+    src.__dict__["products"] = src.products.limit(10)
+    assert run(I.q_k4) == {"source.rows": "PASS", "source.null_sales": "PASS", "source.off_cent_sales": "PASS", "source.sales_cents": "FAIL"}
+    assert run(I.q_k5) == {"products.rows": "FAIL"}
+    k8 = run(I.q_k8)
+    assert k8["IN_SCOPE.rows"] == "PASS" and k8["IN_SCOPE.sales_value"] == "FAIL"
+
+
+def test_missing_input_files_are_counted(spark, tmp_path):
+    import shutil
+    from basketry.plans.context import input_files
+    for t in inputs.fixtures.INPUT_TABLES:
+        shutil.copy(f"{SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+    assert inputs.input_tables(spark, str(tmp_path)) == inputs.fixtures.INPUT_TABLES
+    one = input_files(spark, str(tmp_path))
+    (tmp_path / "part.parquet").rename(tmp_path / "elsewhere")
+    (tmp_path / "orders.parquet").rename(tmp_path / "file")
+    (tmp_path / "orders.parquet").mkdir()
+    assert inputs.input_tables(spark, str(tmp_path)) == ["customer", "events", "lineitem"] and input_files(spark, str(tmp_path)) != one
+
+
+def test_unknown_reject_reasons_stop_the_fact(spark, monkeypatch):
+    import pytest
+    wh = Warehouse(Sources(spark, SMALL))
+    monkeypatch.setattr(C, "ACCEPTED_REJECTS", ["date outside campaign"])
+    with pytest.raises(LoadBlocked, match="not in campaign"):
+        wh.fact_coupon_redemption
+    monkeypatch.undo()
+    assert wh.fact_coupon_redemption.count() == wh.valid_redemptions.count()

@@ -55,7 +55,8 @@ def clean_tx(spark, base, in_scope: bool):
     row = (base.transactions_raw.join(base.demographics.select("household_id"), "household_id")
            .orderBy("basket_id", "product_id").first().asDict())
     row.update(product_id=pid, basket_id="MUT-1", quantity=Decimal("1.000"), sales_value=Decimal("10.00"),
-               retail_disc=Decimal("0.00"), coupon_disc=Decimal("0.00"), coupon_match_disc=Decimal("0.00"))
+               retail_disc=Decimal("0.00"), coupon_disc=Decimal("0.00"), coupon_match_disc=Decimal("0.00"),
+               **{f"stored_{m}": None for m in C.MONEY})
     return row
 
 
@@ -132,6 +133,15 @@ def test_cent_precision_and_tiny_difference(spark, base, baseline):
           {"sales_value_cent_precision": 1, "sales_value_tiny_decimal_difference": 1})
 
 
+def test_numbers_as_the_source_stored_them(spark, base, baseline):
+    """0.1 + 0.2 is beside 30 cents, 2.675 is half a cent off; whole cents and exact halves of them are no tiny difference."""
+    rows = [clean_tx(spark, base, in_scope=False) for _ in range(4)]
+    for k, (r, v) in enumerate(zip(rows, (0.1 + 0.2, 2.675, 0.25, float("nan")))):
+        r.update(basket_id=f"MUT-{k}", stored_retail_disc=v)
+    check(baseline, mutate(spark, base, "transactions", frame(spark, base, "transactions_raw", rows)),
+          {"retail_disc_cent_precision": 1, "retail_disc_tiny_decimal_difference": 1})
+
+
 def test_high_quantity_in_scope_only(spark, base, baseline):
     r_in = clean_tx(spark, base, in_scope=True)
     r_in.update(quantity=Decimal(str(C.HIGH_QUANTITY + 1)) + Decimal("0.000"))
