@@ -71,8 +71,7 @@ def test_held_out_toxicity(spark):
     got = queries.op8_compression_toxicity(spark, LARGE).join(spark.read.parquet(f"{LARGE}/labels.parquet"), "doc_id").where("held_out").collect()
     caught = [r.predicted for r in got if r.toxic]
     alarms = [r.predicted for r in got if not r.toxic]
-    # some labels have no toxic word at all behind them, and families of words in small languages have few examples here
-    assert len(caught) > 80 and sum(caught) >= 0.75 * len(caught) and sum(alarms) <= 0.01 * len(alarms)
+    assert len(caught) > 80 and sum(caught) >= 0.9 * len(caught) and sum(alarms) <= 0.01 * len(alarms)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
 
 
