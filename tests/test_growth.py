@@ -65,3 +65,43 @@ def test_tasks_follow_the_input(spark):
     finally:
         for n, v in before.items():
             spark.conf.set(n, v)
+
+
+def test_rules_of_lines_meet_products_and_households_as_keys_and_one_number(spark):
+    """The fused counts are those of the single rules, and no join of theirs shuffles the measures of a line."""
+    from types import SimpleNamespace
+
+    from basketry.plans.calendar import expected_weeks
+    from basketry.plans.quality import RULES, Quality
+
+    day, at = dt.date(2017, 1, 3), dt.datetime(2017, 1, 3, 12)
+    m = Decimal("9.00")
+    lines = [("h1", "1", "b1", "p1", Decimal("50"), m, m, m, m, at, 1, 9.0), ("h1", "1", "b1", "p1", Decimal("0"), m, m, m, m, at, 2, 9.001),
+             ("h2", "1", "b2", "p2", Decimal("1.5"), Decimal("0.00"), m, m, m, at, 1, None), (None, "1", "b3", None, None, None, m, m, m, None, None, 1.0),
+             ("h3", "1", "b4", "p3", Decimal("-1"), m, m, m, m, at, 1, 9.0000001)]
+    money = "sales_value decimal(18,2), retail_disc decimal(18,2), coupon_disc decimal(18,2), coupon_match_disc decimal(18,2)"
+    frames = {"transactions": spark.createDataFrame(lines, "household_id string, store_id string, basket_id string, product_id string, quantity decimal(18,3), "
+                                                    f"{money}, transaction_timestamp timestamp, week int, stored_sales_value double"),
+              "products": spark.createDataFrame([("p1",), ("p1",), ("p2",)], "product_id string"),
+              "demographics": spark.createDataFrame([("h1",)], "household_id string")}
+    wh = SimpleNamespace(src=None, dim_week=expected_weeks(spark), dim_date=spark.createDataFrame([(day,)], "full_date date"),
+                         product_scope=spark.createDataFrame([("p1", "IN_SCOPE"), ("p3", "REVIEW")], "product_id string, scope_status string"))
+
+    class Own(Quality):
+        def staged(self, table):
+            return frames[table]
+
+    rules = [r for r in RULES if r.table == "transactions" and r.key is None]
+    q = Own(wh)
+    fused = lambda: q.broken_rules("transactions", rules).agg(*[F.count_if(r.code).alias(r.code) for r in rules])
+    got = fused().first().asDict()
+    assert got == {r.code: q.issues(r.code).count() for r in rules} and got["fmcg_high_quantity"] == 1 and got["missing_demographics"] == 3
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = spark._jvm.PythonSQLUtils.explainString(fused()._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    shuffled = [b.split("Input")[1].split("\n")[0] for b in plan.split("\n\n") if "Exchange\n" in b and ("hashpartitioning(product_id" in b or "hashpartitioning(household_id" in b)]
+    assert shuffled and not any("sales_value" in s or "quantity" in s for s in shuffled), shuffled
