@@ -67,6 +67,31 @@ def test_tasks_follow_the_input(spark):
             spark.conf.set(n, v)
 
 
+CONFS = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+         "spark.sql.sources.fileCompressionFactor", "spark.sql.autoBroadcastJoinThreshold"]
+
+
+@pytest.fixture()
+def confs(spark):
+    """The session's settings, put back afterwards."""
+    before = {n: spark.conf.get(n) for n in CONFS}
+    yield spark.conf
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+def test_shuffles_are_sized_by_rows_not_by_files(spark, folder, confs, monkeypatch):
+    """Staging asks for partitions by what the rows of its files are in memory, four times the files."""
+    from basketry import session
+    from basketry.plans import context
+
+    files = sum(int(x.split(" ")[-2]) for x in context.input_files(spark, folder).splitlines() if " " in x)
+    monkeypatch.setattr(session, "INPUT_PER_TASK", files // 8)
+    confs.set("spark.sql.shuffle.partitions", "2")
+    context.sources(spark, folder)
+    assert 32 <= int(confs.get("spark.sql.shuffle.partitions")) <= 33
+
+
 def test_rules_of_lines_meet_products_and_households_as_keys_and_one_number(spark):
     """The fused counts are those of the single rules, and no join of theirs shuffles the measures of a line."""
     from types import SimpleNamespace
