@@ -92,6 +92,27 @@ def test_shuffles_are_sized_by_rows_not_by_files(spark, folder, confs, monkeypat
     assert 32 <= int(confs.get("spark.sql.shuffle.partitions")) <= 33
 
 
+def test_entering_rows_are_computed_once(spark, tmp_path):
+    """The rows that a change of scope adds to a fact are asked for by three steps, and derived by one."""
+    from basketry.operators.load import PartitionedFact
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(v):
+        seen.add(1)
+        return v > 0
+
+    schema = "week int, product string, v int"
+    fact = PartitionedFact.create(spark.createDataFrame([(1, "a", 1), (1, "a", 1), (2, None, 2), (None, "b", 3)], schema), f"{tmp_path}/fact", ["week"])
+    coming = spark.createDataFrame([(1, "c", 4), (1, "c", 4), (None, None, 5), (3, "d", 6)], schema)
+    entering = coming.where(F.udf(counted, "boolean")("v"))
+    counts = fact.apply(spark.createDataFrame([("b",)], "product string"), entering, "product")
+    assert seen.value == 4
+    assert sorted((str(r.week), r.rows_before, r.rows_after) for r in counts.collect()) == [("1", 2, 4), ("3", 0, 1), ("None", 1, 1)]
+    assert sorted(map(str, fact.read().select("week", "product", "v").collect())) == sorted(map(str, spark.createDataFrame(
+        [(1, "a", 1), (1, "a", 1), (2, None, 2), (1, "c", 4), (1, "c", 4), (None, None, 5), (3, "d", 6)], schema).collect()))
+
+
 def test_rules_of_lines_meet_products_and_households_as_keys_and_one_number(spark):
     """The fused counts are those of the single rules, and no join of theirs shuffles the measures of a line."""
     from types import SimpleNamespace
