@@ -92,6 +92,19 @@ def test_shuffles_are_sized_by_rows_not_by_files(spark, folder, confs, monkeypat
     assert 32 <= int(confs.get("spark.sql.shuffle.partitions")) <= 33
 
 
+def test_a_small_file_of_many_rows_is_not_sent_through_the_driver(spark, tmp_path, confs):
+    """A table is broadcast by an estimate of its rows; its file alone is below the limit."""
+    path = f"{tmp_path}/dim"
+    spark.range(200_000).selectExpr("string(id) AS k", "id AS key").coalesce(1).write.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "dim").glob("*.parquet"))
+    confs.set("spark.sql.sources.fileCompressionFactor", "1.0")
+    confs.set("spark.sql.autoBroadcastJoinThreshold", str(2 * size))
+    joined = lambda: spark.range(10).selectExpr("string(id) AS k").join(spark.read.parquet(path), "k", "left")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in joined()
+    size_tasks(spark, 1)
+    assert "BroadcastHashJoin" not in joined()
+
+
 def test_entering_rows_are_computed_once(spark, tmp_path):
     """The rows that a change of scope adds to a fact are asked for by three steps, and derived by one."""
     from basketry.operators.load import PartitionedFact
