@@ -251,7 +251,7 @@ def _overview_sql() -> str:
 @query("source_overview", _overview_sql())
 def q_source_overview(spark, d):
     s = sources(spark, d)
-    return S.source_overview({t: s.source(t) for t in OVERVIEW_COLUMNS})
+    return S.source_overview({t: s.source(t).select(*cols) for t, cols in OVERVIEW_COLUMNS.items()})
 
 
 # --- A12 expected_rows_check ---------------------------------------------------------------
