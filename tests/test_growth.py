@@ -164,3 +164,43 @@ def test_rules_of_lines_meet_products_and_households_as_keys_and_one_number(spar
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     shuffled = [b.split("Input")[1].split("\n")[0] for b in plan.split("\n\n") if "Exchange\n" in b and ("hashpartitioning(product_id" in b or "hashpartitioning(household_id" in b)]
     assert shuffled and not any("sales_value" in s or "quantity" in s for s in shuffled), shuffled
+
+
+@pytest.fixture()
+def dealt(spark, folder):
+    """The lines and orders with products, households and events; product 3 is there twice, keys are missing or known to one side only."""
+    spark.createDataFrame([(3, "Brand#11", "TYPE A", "red soap", 1), (3, "Brand#11", "TYPE A", "red soap", 1), (13, "Brand#12", None, "blue", 49), (20, None, "TYPE B", "green tea", 50),
+                           (None, "Brand#13", "TYPE C", "grey ink", 3)], "p_partkey long, p_brand string, p_type string, p_name string, p_size int").write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame([(99, "A", 1.0, 2), (102, "B", -1.0, 3), (102, "B", -1.0, 3), (None, "C", 0.0, 4)],
+                          "c_custkey long, c_mktsegment string, c_acctbal double, c_nationkey int").write.parquet(f"{folder}/customer.parquet")
+    events = [(u, kind, _DAY, '{"k": %d}' % k) for u, kind, k in [(100, "view", 3), (100, "view", 3), (100, "purchase", 3), (99, "click", 10), (55, "view", 0), (99, "purchase", 20)]]
+    spark.createDataFrame([*events, (None, "view", _DAY, '{"k": 3}'), (7, "view", None, "{}")], "user_id long, event_type string, ts timestamp, props string").write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_products_and_households_meet_without_the_driver(spark, dealt, monkeypatch):
+    """Joins whose sides are both of a dimension's size broadcast no product or household, however few there are."""
+    from basketry.plans import warehouse as W
+
+    plans = {}
+
+    def planned(name, df):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return df
+
+    store, keys = W.Warehouse._store, W.assign_keys
+    monkeypatch.setattr(W.Warehouse, "_store", lambda self, name, df, by=None: store(self, name, planned(name, df), by))
+    monkeypatch.setattr(W, "assign_keys", lambda df, order, key, **k: keys(planned(key, df), order, key, **k))
+    wh = W.warehouse(spark, dealt)
+    dims = {"product": wh.dim_product, "household": wh.dim_household}
+    tables = {"product": wh.bridge_coupon_product, "household": wh.bridge_campaign_household}
+    asked = {"product_scope": "product_id", "product_key": "product_id", "household_key": "household_id", "bridge_coupon_product": "product_id",
+             "bridge_campaign_household": "household_id"}
+    for name, key in asked.items():
+        assert f"SortMergeJoin [{key}" in plans[name] and f"BroadcastHashJoin [{key}" not in plans[name], (name, plans[name])
+    for what, table in tables.items():
+        known = set(map(tuple, dims[what].select(f"{what}_id", f"{what}_key").collect())) | {(None, None)}
+        found = set(map(tuple, table.select(f"{what}_id", f"{what}_key").collect()))
+        assert found <= known and found == {k for k in known if k[0] in {f[0] for f in found} and (k[0] is not None or k[1] is None)}
+    assert {r.product_id: r.source_lookup_missing_flag for r in dims["product"].collect()} == {"3": False, "13": False, "20": False, "1": True, "7": True, "8": True, "9": True, None: True}
+    assert {r.household_id: r.demographics_available_flag for r in dims["household"].collect()} == {"100": False, "101": False, "99": True, "102": True, "55": False, "7": False, None: False}
