@@ -7,6 +7,10 @@ the scores it has then (each query's current kth) go with the block to all other
 shards, where a node is opened only while its bound ``q.c + |q| r`` can still reach
 them, best bound first.
 
+Shards are dealt to teams of at most ``TEAM_BYTES`` (or one shard).  A task holds a team's
+trees and the blocks stream past them, so a tree is sent once a round and a block once for each
+team; no block, tree or pair of them is broadcast or joined, and the driver gets counts only.
+
 Defined cases: vectors that are null, or hold null or non-finite components, take no
 part; vectors are compared with those of the same length only; rows with the query's
 id are its own; of repeated query ids the smallest vector asks; repeated candidate
@@ -30,6 +34,8 @@ SHARD_ROWS = 4096
 BLOCK_QUERIES = 128
 LEAF_ROWS = 64
 SCALE = 1024
+#: Vectors that a task holds at once.
+TEAM_BYTES = 64 << 20
 
 PACKED = "bucket int, dim int, ids binary, vectors binary, first binary, last binary, least_id binary, radius binary, center binary"
 EXACT = 2.0**52
@@ -142,56 +148,89 @@ def pack(rows: DataFrame, bucket, most: int, parts: int, tree: bool) -> DataFram
             .repartition(parts, "bucket").sortWithinPartitions("bucket", "dim", "id").mapInArrow(together, PACKED))
 
 
+def teams_of(shards: int, dim: int, parts: int) -> int:
+    """Teams that the shards are dealt to: as many as there are tasks, more where a team would pass ``TEAM_BYTES``, at most one a shard."""
+    most = max(1, TEAM_BYTES // (8 * SHARD_ROWS * max(1, dim)))
+    return min(shards, max(parts, -(-shards // most)))
+
+
+def tree_of(row: dict) -> dict:
+    """The arrays of a packed shard."""
+    ids = np.frombuffer(row["ids"], np.int64)
+    radius = np.frombuffer(row["radius"])
+    return {"bucket": row["bucket"], "dim": row["dim"], "ids": ids, "v": np.frombuffer(row["vectors"]).reshape(len(ids), row["dim"]),
+            "balls": {n: np.frombuffer(row[n], np.int64) for n in ("first", "last", "least_id")} | {"radius": radius},
+            "center": np.frombuffer(row["center"]).reshape(len(radius), row["dim"])}
+
+
+def search_block(row: dict, trees: list[dict], k: int) -> list[tuple[int, int, int]]:
+    """(query_id, vec_id, score): what the trees add to the best k of each query of a block."""
+    asked_ids = np.frombuffer(row["ids"], np.int64)
+    qs = np.frombuffer(row["vectors"]).reshape(len(asked_ids), row["dim"])
+    length = np.sqrt((qs**2).sum(axis=1))
+    kth = {q: (s, i) for q, s, i in zip(*(row[n] or [] for n in ("h_query", "h_score", "h_id")), strict=True)}
+    asked = asked_ids.tolist()
+    held = [[(-kth[q][0], kth[q][1])] * k if q in kth else [] for q in asked]
+    best = list(held)
+    for t in trees:
+        radius = t["balls"]["radius"]
+        bounds = qs @ t["center"].T + length[:, None] * radius[None, :]
+        bounds += 1e-9 * (length[:, None] * (np.sqrt((t["center"]**2).sum(axis=1)) + radius)[None, :]) + 1.0  # rounding
+        for j, q in enumerate(asked):
+            best[j] = search(q, qs[j], k, t["ids"], t["v"], t["balls"], bounds[j], best[j])
+    new = [b[:b.index(h[0])] if h and h[0] in b else b for b, h in zip(best, held, strict=True)]
+    return [(q, i, -s) for q, b in zip(asked, new, strict=True) for s, i in b]
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest integer inner products over all vectors."""
     spark = vectors.sparkSession
     ship(spark)
     points, asked = usable(vectors, key, vector), usable(queries, key, vector)
     asked = asked.groupBy("id").agg(F.min("v").alias("v"))
-    n_points, n_asked = points.count(), asked.count()
+    (n_points, dim), n_asked = points.agg(F.count(F.lit(1)), F.max(F.size("v"))).first(), asked.count()
     shards, blocks = max(1, -(-n_points // SHARD_ROWS)), max(1, -(-n_asked // BLOCK_QUERIES))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    teams = teams_of(shards, dim or 0, parts)
     trees = stored(pack(points, F.pmod(F.xxhash64("id"), F.lit(shards)), SHARD_ROWS, min(parts, shards), True), "ball-trees")
     packed = stored(pack(asked, F.pmod(F.xxhash64("id"), F.lit(blocks)), BLOCK_QUERIES, min(parts, blocks), False)
                     .select("bucket", "dim", "ids", "vectors").withColumnRenamed("bucket", "block"), "query-blocks")
 
-    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                row = {n: batch.column(n)[r].as_py() for n in batch.schema.names}
-                dim = row["dim"]
-                ids, asked_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
-                v, qs = np.frombuffer(row["vectors"]).reshape(len(ids), dim), np.frombuffer(row["q_vectors"]).reshape(len(asked_ids), dim)
-                balls = {n: np.frombuffer(row[n], np.int64) for n in ("first", "last", "least_id")} | {"radius": np.frombuffer(row["radius"])}
-                center = np.frombuffer(row["center"]).reshape(len(balls["radius"]), dim)
-                length = np.sqrt((qs**2).sum(axis=1))
-                bounds = qs @ center.T + length[:, None] * balls["radius"][None, :]
-                bounds += 1e-9 * (length[:, None] * (np.sqrt((center**2).sum(axis=1)) + balls["radius"])[None, :]) + 1.0  # rounding
-                kth = {q: (s, i) for q, s, i in zip(*(row[n] or [] for n in ("h_query", "h_score", "h_id")), strict=True)}
-                out = []
-                for j, q in enumerate(asked_ids.tolist()):
-                    held = [(-kth[q][0], kth[q][1])] * k if q in kth else []
-                    best = search(q, qs[j], k, ids, v, balls, bounds[j], held)
-                    new = best[:best.index(held[0])] if held and held[0] in best else best
-                    out += [(q, i, -s) for s, i in new]
-                columns = list(zip(*out, strict=True)) or [[]] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
-
     found = "query_id bigint, vec_id bigint, score bigint"
-    #: the current kth score and id of each query of a block, where it has k already
-    def rounds(pairs: DataFrame) -> DataFrame:
-        return pairs.join(trees, ["bucket", "dim"]).mapInArrow(searched, found)
+    kth_columns = ("h_query", "h_score", "h_id")
+    team = F.floor(F.col("bucket") * F.lit(teams) / F.lit(shards)).cast("int")
+    held = trees.withColumns({"team": team, "asks": F.lit(False)})
+
+    def rounds(asking: DataFrame, at_home: bool) -> DataFrame:
+        """What ``asking`` (team, bucket: its home shard, a block, the current kth) finds in its home shard, or in the others of the team."""
+        def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, here = None, []
+            for batch in batches:
+                for r in range(batch.num_rows):
+                    row = {n: batch.column(n)[r].as_py() for n in batch.schema.names}
+                    if row["team"] != now:
+                        now, here = row["team"], []
+                    if not row["asks"]:
+                        here.append(tree_of(row))
+                        continue
+                    out = search_block(row, [t for t in here if t["dim"] == row["dim"] and (t["bucket"] == row["bucket"]) == at_home], k)
+                    columns = list(zip(*out, strict=True)) or [[]] * 3
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+
+        # a team's trees come before the blocks that ask it
+        rows = held.unionByName(asking.withColumn("asks", F.lit(True)), allowMissingColumns=True)
+        return rows.repartitionById(teams, "team").sortWithinPartitions("team", "asks").mapInArrow(searched, found)
 
-    asking = packed.select("block", "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    nothing = [F.lit(None).cast("array<bigint>").alias(n) for n in ("h_query", "h_score", "h_id")]
-    home = F.pmod(F.col("block"), F.lit(shards))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = lambda df: df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    first = stored(ranked(rounds(asking.select("*", home.alias("bucket"), *nothing))), "first-shard")
+    home = F.pmod(F.col("block"), F.lit(shards)).cast("int")
+    asking = packed.select("block", "dim", "ids", "vectors", home.alias("bucket"))
+    nothing = [F.lit(None).cast("array<bigint>").alias(n) for n in kth_columns]
+    first = stored(ranked(rounds(asking.select("dim", "ids", "vectors", "bucket", *nothing, team.alias("team")), True)), "first-shard")
+    #: the current kth score and id of each query of a block, where it has k already
     kth = (first.where(F.col("rank") == k)
            .groupBy(F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"))  # a block's queries at most, unless ids collide
-           .agg(*(F.collect_list(c).alias(n) for c, n in (("query_id", "h_query"), ("score", "h_score"), ("vec_id", "h_id")))))
-    others = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    pairs = asking.join(kth, "block", "left").select("*", others.alias("bucket")).where(F.col("bucket") != home)
-    rest = rounds(pairs)
+           .agg(*(F.collect_list(c).alias(n) for c, n in zip(("query_id", "score", "vec_id"), kth_columns, strict=True))))
+    every = F.explode(F.sequence(F.lit(0), F.lit(teams - 1))).alias("team")
+    rest = rounds(asking.join(kth.hint("merge"), "block", "left").select("dim", "ids", "vectors", "bucket", *kth_columns, every), False)
     return ranked(first.select("query_id", "vec_id", "score").unionByName(rest)).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

@@ -41,6 +41,31 @@ def test_top_k_of_an_empty_table(spark):
     assert rows(ball_tree.top_k(empty, empty, 5)) == []
 
 
+def test_neither_blocks_nor_trees_are_joined_or_broadcast(spark, monkeypatch):
+    """A task holds a team's trees and the blocks stream past them: what reaches the driver does not grow with blocks times shards."""
+    monkeypatch.setattr(ball_tree, "SHARD_ROWS", 40)
+    monkeypatch.setattr(ball_tree, "BLOCK_QUERIES", 3)
+    random.seed(7)
+    data = [(k, [random.gauss(0, 0.2) for _ in range(6)], 0, "") for k in range(200)]
+    table = spark.createDataFrame(data, VECTORS)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        found = ball_tree.top_k(table, table.where("vec_id % 20 = 0"), 5)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "Broadcast" not in plan and "vectors" not in "".join(x for x in plan.splitlines() if "Join" in x)
+    assert sorted(rows(found)) == brute(data, {k for k in range(0, 200, 20)}, 5)
+
+
+def test_a_team_is_bounded_and_has_a_shard(monkeypatch):
+    assert ball_tree.teams_of(5, 64, 12) == 5
+    assert ball_tree.teams_of(3662, 64, 12) == 3662 // 32 + 1
+    assert ball_tree.teams_of(100, 100_000, 12) == 100
+    assert ball_tree.teams_of(1, 0, 12) == 1
+
+
 def least(sizes, capacity):
     """Fewest bins, by trying everything."""
     best = len(sizes)
