@@ -204,3 +204,83 @@ def test_products_and_households_meet_without_the_driver(spark, dealt, monkeypat
         assert found <= known and found == {k for k in known if k[0] in {f[0] for f in found} and (k[0] is not None or k[1] is None)}
     assert {r.product_id: r.source_lookup_missing_flag for r in dims["product"].collect()} == {"3": False, "13": False, "20": False, "1": True, "7": True, "8": True, "9": True, None: True}
     assert {r.household_id: r.demographics_available_flag for r in dims["household"].collect()} == {"100": False, "101": False, "99": True, "102": True, "55": False, "7": False, None: False}
+
+
+def _quality(spark, path):
+    """The rules over eight small tables: lines with null keys, repeated rows, off-cent stored money, unknown products and households."""
+    from basketry.plans.context import Sources
+    from basketry.plans.quality import Quality
+    from basketry.plans.warehouse import Warehouse
+
+    at = dt.datetime(2017, 3, 1, 12)
+    money = "sales_value decimal(18,2), retail_disc decimal(18,2), coupon_disc decimal(18,2), coupon_match_disc decimal(18,2)"
+    stored = ", ".join(f"stored_{c.split()[0]} double" for c in money.split(", "))
+
+    def line(h, b, p, q="1.000", s="5.00", off=5.0, week=10, ts=at):
+        return (h, "1", b, p, Decimal(q), None if s is None else Decimal(s), Decimal("0.10"), Decimal("0.20"), Decimal("0.30"), ts, off, 0.1, 0.2, 0.07, week)
+
+    lines = [line("3", f"{k}-1", "7", q="60.000") for k in range(9)] + [line(None, "20-1", "7"), line("4", None, "7", s=None), line("4", "21-1", None, q="0.000")]
+    lines += [line("9", "22-1", "99", off=5.004)] * 2 + [line("9", "23-1", "8", q="-1.500", off=float("nan")), line("3", "24-1", "7", week=11, ts=None)]
+    tables = {
+        "transactions_raw": (lines, f"household_id string, store_id string, basket_id string, product_id string, quantity decimal(18,3), {money}, "
+                                    f"transaction_timestamp timestamp, {stored}, week int"),
+        "promotions": ([("7", "1", "0", "A", 10), ("99", None, "8", None, 10), (None, "1", "1", "0", 99)] * 4,
+                       "product_id string, store_id string, display_location string, mailer_location string, week int"),
+        "products": ([("7", "1", "STANDARD", "B", "GEAR", "RED GEAR", "1"), ("8", "1", "PROMO", "B", "GEAR", "RED GEAR", None), (None,) * 7],
+                     "product_id string, manufacturer_id string, department string, brand string, product_category string, product_type string, package_size string"),
+        "demographics": ([("3", "a", "b", "c", "d", "e", "f", "g")], "household_id string, age string, income string, home_ownership string, "
+                         "marital_status string, household_size string, household_comp string, kids_count string"),
+        "campaigns": ([("1", "3")], "campaign_id string, household_id string"),
+        "campaign_descriptions": ([("1", "TypeA", dt.date(2017, 2, 1), dt.date(2017, 4, 1))], "campaign_id string, campaign_type string, start_date date, end_date date"),
+        "coupons": ([("5", "7", "1")], "coupon_upc string, product_id string, campaign_id string"),
+        "coupon_redemptions_raw": ([("3", "5", "1", dt.date(2017, 3, 1))], "household_id string, coupon_upc string, campaign_id string, redemption_date date"),
+    }
+    src = Sources(spark, path)
+    for name, (data, schema) in tables.items():
+        src.__dict__[name] = spark.createDataFrame(data, schema)
+    src.__dict__["transactions"] = src.transactions_raw.drop(*[c for c in src.transactions_raw.columns if c.startswith("stored_")])
+    src.__dict__["coupon_redemptions"] = src.coupon_redemptions_raw.distinct()
+    return Quality(Warehouse(src))
+
+
+def test_samples_of_large_tables_are_limits_not_sorts(spark, tmp_path):
+    """Rows of lines and promotions are not sorted or joined as a whole for their samples, which are the least rows all the same."""
+    from basketry.plans import quality as Q
+
+    q = _quality(spark, str(tmp_path))
+    assert "TakeOrderedAndProject" in Q.samples(q)._jdf.queryExecution().executedPlan().toString()
+    found = {}
+    for r in Q.samples(q, 3).collect():
+        found.setdefault(r.code, []).append((r.n, list(r.names), list(r.vals)))
+    for table in ("transactions", "promotions"):
+        df = q.enriched(table)
+        df = q._normalized_money(df) if table == "transactions" else df
+        for rule in [r for r in Q.RULES if r.table == table and r.key is None]:
+            cols = [f"_n_{c}" if rule.normalized_money and c in Q.C.MONEY else c for c in rule.cols]
+            rows = [[None if v is None else v for v in row] for row in df.where(rule.pred()).select(*[F.col(c).cast("string") for c in cols]).collect()]
+            least = sorted(rows, key=lambda row: [(v is not None, (v or "").encode()) for v in row])[:3]
+            assert sorted(found.get(rule.code, [])) == [(n + 1, rule.cols, row) for n, row in enumerate(least)], rule.code
+    assert {"fmcg_high_quantity", "missing_demographics", "sales_value_cent_precision", "unknown_promotion_codes", "date_week_mapping"} <= set(found)
+
+
+def test_types_answer_the_cent_rules(spark, tmp_path):
+    """Money of two decimals needs no decimal arithmetic of 38 digits a row; the rules find the same rows."""
+    from basketry.plans import quality as Q
+
+    q = _quality(spark, str(tmp_path))
+    rules = [r for r in Q.RULES if r.table == "transactions" and r.key is None]
+    df = q.broken_rules("transactions", rules)
+    assert "decimal(38,18)" not in df._jdf.queryExecution().analyzed().toString()
+    got = df.agg(*[F.count_if(r.code).alias(r.code) for r in rules]).first().asDict()
+    plain = q._normalized_money(q.enriched("transactions"))
+    assert got == {r.code: plain.where(r.pred()).count() for r in rules}
+    assert got["sales_value_cent_precision"] == 2 and got["coupon_match_disc_tiny_decimal_difference"] == 16
+
+
+def test_distance_from_a_cent_is_that_of_rounding(spark):
+    from basketry.functions.scalars import _from_cent
+
+    values = [0.0, -0.0, 0.5, -0.5, 1.5, 2.5, 0.49999999999999994, 1e-9, 2.675 * 100, 0.07 * 100, 4503599627370497.5, 4503599627370497.0,
+              9007199254740993.0, -9007199254740991.0, 1e300, float("inf"), float("nan"), None]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select(_from_cent(F.col("x")).alias("a"), F.abs(F.col("x") - F.round("x", 0)).alias("b"))
+    assert [str(r.a) for r in rows.collect()] == [str(r.b) for r in rows.collect()]
