@@ -284,3 +284,26 @@ def test_distance_from_a_cent_is_that_of_rounding(spark):
               9007199254740993.0, -9007199254740991.0, 1e300, float("inf"), float("nan"), None]
     rows = spark.createDataFrame([(v,) for v in values], "x double").select(_from_cent(F.col("x")).alias("a"), F.abs(F.col("x") - F.round("x", 0)).alias("b"))
     assert [str(r.a) for r in rows.collect()] == [str(r.b) for r in rows.collect()]
+
+
+def test_units_of_numbers_are_those_of_the_decimal(spark):
+    """Whole cents and thousandths without a decimal for each row: the same numbers as by the cast, also at halves and far out."""
+    values = [0.0, -0.0, 0.005, 1.005, 2.675, 1.0049999999999999, -1.005, 0.1 + 0.2, 49.0, 0.0005, 12345.67, 999999999.995, 1e9 + 0.005, 123456789012345.67, -9e14, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for scale in (2, 3):
+        units = fx._units(F.col("x"), scale)
+        rows = df.select(F.col("x").cast(f"decimal(18,{scale})").alias("a"), fx._of_units(units, scale).alias("b")).collect()
+        assert [r.a for r in rows] == [r.b for r in rows]
+    plan = fx._units(F.col("x"), 2)
+    assert df.select(plan.alias("n")).schema["n"].dataType.simpleString() == "bigint"
+
+
+def test_groups_that_break_a_rule_are_made_once(spark, tmp_path):
+    """The report and the samples read the stored groups of lines and promotions; neither groups all rows again."""
+    q = _quality(spark, str(tmp_path))
+    for table, key, n in [("transactions", ("basket_id", "product_id"), 1), ("transactions", ("basket_id",), 0), ("promotions", ("product_id", "store_id", "week"), 3)]:
+        groups = q.broken_groups(table, key)
+        assert groups.count() == n
+        assert groups is q.broken_groups(table, key) and "Aggregate" not in groups._jdf.queryExecution().executedPlan().toString()
+    report = {r.rule_code: r.affected_rows for r in q.report().collect()}
+    assert report["DQ_V1_transactions_duplicate_grain"] == 1 and report["DQ_V1_promotions_duplicate_grain"] == 3 and report["DQ_V1_basket_conflict"] == 0
