@@ -4,8 +4,8 @@ Vectors are dealt to shards by a hash of their id; a shard of at most ``SHARD_RO
 becomes one row with its vectors, reordered along its tree, and the tree's balls.
 Query blocks meet the shards in two rounds.  In the first a block searches one shard;
 the scores it has then (each query's current kth) go with the block to all other
-shards, where a node is opened only while its bound ``q.c + |q| r`` can still reach
-them, best bound first.
+shards, where a node is opened only for queries whose bound ``q.c + |q| r`` can still reach
+them, best bound first; the queries of a block go down together.
 
 Shards are dealt to teams of at most ``TEAM_BYTES`` (or one shard).  A task holds a team's
 trees and the blocks stream past them, so a tree is sent once a round and a block once for each
@@ -20,7 +20,6 @@ limits; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,34 +87,49 @@ def dots(v: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.array([max(-top - 1, min(top, sum(int(x) * y for x, y in zip(row, whole, strict=True)))) for row in v.tolist()], np.int64)
 
 
-def search(query_id: int, q: np.ndarray, k: int, ids: np.ndarray, v: np.ndarray, balls: dict[str, np.ndarray], bounds: np.ndarray,
-           held: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The k best (-score, id) of ``held`` and the shard, both sorted; ``bounds``: of each node."""
-    best = list(held)
+def all_dots(v: np.ndarray, qs: np.ndarray) -> np.ndarray:
+    """``dots`` of each query, a row each."""
+    if v.shape[1] * np.abs(v).max(initial=0) * np.abs(qs).max(initial=0) < EXACT:
+        return (qs @ v.T).astype(np.int64)
+    return np.array([dots(v, q) for q in qs], np.int64).reshape(len(qs), len(v))
+
+
+def search(asked: np.ndarray, qs: np.ndarray, k: int, ids: np.ndarray, v: np.ndarray, balls: dict[str, np.ndarray], bounds: np.ndarray,
+           best: list[list[tuple[int, int]]]) -> None:
+    """Bring ``best``, the k best (-score, id) of each query, sorted, up to date with the shard; ``bounds``: of each query and node.
+
+    The queries of a block go down the tree together, the child with the best bound first; only those whose bound still reaches
+    their kth score go on, and a leaf is multiplied with all of them at once.
+    """
     first, last, least = balls["first"], balls["last"], balls["least_id"]
-    heap = [(-bounds[0], 0)]
-    while heap:
-        bound, i = heapq.heappop(heap)
-        if len(best) == k and (-bound < -best[-1][0]):
-            break  # every other node has a lower bound still
+    kth = np.array([-b[-1][0] if len(b) == k else -2**63 for b in best], np.int64)
+    todo = [(0, np.arange(len(asked)))]
+    while todo:
+        i, who = todo.pop()
+        full = np.array([len(best[j]) == k for j in who], bool)
+        who = who[~full | (bounds[who, i] >= kth[who])]
+        if not len(who):
+            continue
         left = 2 * i + 1
         if left < len(last) and last[left]:
-            for j in (left, left + 1):
-                if len(best) < k or bounds[j] >= -best[-1][0]:
-                    heapq.heappush(heap, (-bounds[j], j))
-            continue
-        if len(best) == k and balls["radius"][i] == 0 and (-int(dots(v[first[i]:first[i] + 1], q)[0]), int(least[i])) > best[-1]:
+            children = sorted((left, left + 1), key=lambda c: bounds[who, c].max())
+            todo += [(c, who) for c in children]
             continue
         a, b = first[i], last[i]
-        scores, these = dots(v[a:b], q), ids[a:b]
-        take = these != query_id
-        if len(best) == k:
-            take &= scores >= -best[-1][0]
-        if take.any():
-            scores, these = scores[take], these[take]
-            top = np.lexsort((these, -scores))[:k]
-            best = sorted(best + [(-int(scores[t]), int(these[t])) for t in top])[:k]
-    return best
+        if balls["radius"][i] == 0:
+            alike = all_dots(v[a:a + 1], qs[who])[:, 0].tolist()
+            who = who[np.array([len(best[j]) < k or (-s, int(least[i])) <= best[j][-1] for j, s in zip(who, alike, strict=True)], bool)]
+            if not len(who):
+                continue
+        these = ids[a:b]
+        scores = all_dots(v[a:b], qs[who])
+        hit = (scores >= kth[who][:, None]) & (these[None, :] != asked[who][:, None])
+        for r in np.flatnonzero(hit.any(axis=1)).tolist():
+            j, s, x = who[r], scores[r][hit[r]], these[hit[r]]
+            top = np.lexsort((x, -s))[:k]
+            best[j] = sorted(best[j] + [(-int(s[t]), int(x[t])) for t in top])[:k]
+            if len(best[j]) == k:
+                kth[j] = -best[j][-1][0]
 
 
 def pack(rows: DataFrame, bucket, most: int, parts: int, tree: bool) -> DataFrame:
@@ -176,8 +190,7 @@ def search_block(row: dict, trees: list[dict], k: int) -> list[tuple[int, int, i
         radius = t["balls"]["radius"]
         bounds = qs @ t["center"].T + length[:, None] * radius[None, :]
         bounds += 1e-9 * (length[:, None] * (np.sqrt((t["center"]**2).sum(axis=1)) + radius)[None, :]) + 1.0  # rounding
-        for j, q in enumerate(asked):
-            best[j] = search(q, qs[j], k, t["ids"], t["v"], t["balls"], bounds[j], best[j])
+        search(asked_ids, qs, k, t["ids"], t["v"], t["balls"], bounds, best)
     new = [b[:b.index(h[0])] if h and h[0] in b else b for b, h in zip(best, held, strict=True)]
     return [(q, i, -s) for q, b in zip(asked, new, strict=True) for s, i in b]
 

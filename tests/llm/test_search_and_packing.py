@@ -59,6 +59,20 @@ def test_neither_blocks_nor_trees_are_joined_or_broadcast(spark, monkeypatch):
     assert sorted(rows(found)) == brute(data, {k for k in range(0, 200, 20)}, 5)
 
 
+def test_queries_of_a_block_meet_a_leaf_together(monkeypatch):
+    """A leaf is multiplied once for all queries that may still find something there."""
+    rng = np.random.default_rng(5)
+    v = np.floor(rng.normal(0, 200, (256, 8)))
+    ids, v, balls = ball_tree.build(np.arange(256), v)
+    asked, qs = np.arange(50), v[np.argsort(ids)][:50]
+    calls = []
+    monkeypatch.setattr(ball_tree, "all_dots", lambda a, b, f=ball_tree.all_dots: calls.append(1) or f(a, b))
+    best = [[] for _ in asked]
+    ball_tree.search(asked, qs, 5, ids, v, balls, np.full((50, len(balls["radius"])), np.inf), best)
+    assert best == [sorted((-int(x @ q), int(i)) for i, x in zip(ids, v) if i != j)[:5] for j, q in zip(asked, qs)]
+    assert len(calls) == 4
+
+
 def test_a_team_is_bounded_and_has_a_shard(monkeypatch):
     assert ball_tree.teams_of(5, 64, 12) == 5
     assert ball_tree.teams_of(3662, 64, 12) == 3662 // 32 + 1
